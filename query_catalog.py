@@ -232,20 +232,20 @@ def partition_groups(spark, sf_dir):
     )
 
 
+def _slices(spark) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 @query
 def compacted_days(spark, sf_dir):
     rows = _staged(spark, sf_dir, TRANSACTIONS)
     table = f"{_lake(spark).database}.compacted"
-    tables.compact_days(rows, table, TRANSACTIONS, COMPACT_AS_OF)
+    tables.compact_days(rows, table, TRANSACTIONS.event_time, COMPACT_AS_OF, _slices(spark))
     return spark.table(table).groupBy("part_group", tables.EVENT_DAY).agg(
         F.count("*").alias("cnt"), F.sum("amount").alias("amount")
     )
 
 
-def _slices(spark) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 @query
 def clustered_copy(spark, sf_dir):
     table = f"{_lake(spark).database}.clustered"
@@ -387,7 +387,8 @@ def amount_usd(spark, sf_dir):
 
 def _across_days(spark, sf_dir, mode):
     tx = convert.real_accounts(_tx(spark, sf_dir))
-    return convert.asof_convert(tx, _cur(spark, sf_dir), mode=mode).select(
+    points = convert.rate_points(_raw(spark, sf_dir, TRANSACTIONS))
+    return convert.asof_convert(tx, _cur(spark, sf_dir), mode=mode, points=points).select(
         "object_id", "day", "currency_code", "currency_with_div", "amount_usd"
     )
 

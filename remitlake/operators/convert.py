@@ -39,19 +39,26 @@ def convert(tx: DataFrame, rates: DataFrame, max_broadcast: int = BROADCAST_ROWS
     return tx.join(lookup, "currency_code").withColumn("amount_usd", amount_in_usd())
 
 
+def rate_points(tx: DataFrame) -> DataFrame:
+    """The (currency_code, day) pairs that occur; two columns are read and folded in map tasks."""
+    return tx.select("currency_code", event_day("transaction_dt").alias("day")).distinct()
+
+
 def asof_convert(
     tx: DataFrame,
     cur: DataFrame,
     code: int = USD,
     mode: str = "asof",
+    points: DataFrame | None = None,
     max_broadcast: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Convert any span of days in one pass.
 
     The rate in force is worked out once per (currency, day) that occurs, then found by equality, so
-    a transaction meets one lookup row and not a currency's whole rate history.
+    a transaction meets one lookup row and not a currency's whole rate history. Where ``tx`` is
+    costly to compute, give ``points`` (at least the pairs of ``tx``) from a cheaper source.
     """
-    dated = tx.withColumn("day", event_day("transaction_dt"))
-    points = dated.select("currency_code", "day").distinct()
+    points = rate_points(tx) if points is None else points
     lookup = broadcast_if_small(lookup_for_days(points, cur, code, mode), max_broadcast)
+    dated = tx.withColumn("day", event_day("transaction_dt"))
     return dated.join(lookup, ["currency_code", "day"]).withColumn("amount_usd", amount_in_usd())

@@ -90,7 +90,7 @@ def stage_range(
     landing = read_landing_range(spark, lake.landing, kind.name, lo, hi)
     with materialized(with_faults(extract(landing, kind, keep), kind), kind.table) as judged:
         ok, bad = _sides(judged, kind)
-        tables.overwrite_days(ok, lake.table(kind))
+        tables.overwrite_days(ok, lake.table(kind), [kind.event_time, "object_id"])
         tables.overwrite_days(bad, lake.rejects(kind))
         # One row per calendar day, from two columns of the written extract.
         per_day = (
@@ -102,11 +102,8 @@ def stage_range(
             .orderBy("day")
             .collect()
         )
-    for row in per_day:
-        if not row.accepted:
-            tables.drop_days(spark, lake.table(kind), row.day, row.day)
-        if not row.rejected:
-            tables.drop_days(spark, lake.rejects(kind), row.day, row.day)
+    for table, filled in ((lake.table(kind), "accepted"), (lake.rejects(kind), "rejected")):
+        tables.drop_listed_days(spark, table, [r.day for r in per_day if not r[filled]])
     return [row.day for row in per_day]
 
 

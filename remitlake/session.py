@@ -4,17 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+# Stream de-duplication state can outgrow the heap; keep it in RocksDB and upload only changes.
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 SETTINGS = {
     # Messages carry no zone; every timestamp is read and written as UTC.
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Stream de-duplication state can outgrow the heap; keep it in RocksDB with changelogs.
-    "spark.sql.streaming.stateStore.providerClass": (
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    ),
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    **STATE_STORE,
     "spark.ui.enabled": "false",
 }
 

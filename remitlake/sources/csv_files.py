@@ -8,8 +8,16 @@ from pyspark.sql import functions as F
 from remitlake.functions import Day, day_text
 
 CORRUPT = "_corrupt_record"
-# No header; quotes are doubled inside quoted fields; null is empty, empty text is "".
-_FORMAT = {"header": "false", "sep": ",", "quote": '"', "escape": '"'}
+# No header; quotes are doubled inside quoted fields; blanks are data; null is \N, empty text is "".
+_FORMAT = {
+    "header": "false",
+    "sep": ",",
+    "quote": '"',
+    "escape": '"',
+    "nullValue": "\\N",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 
 
 def csv_path(directory: str, table: str, day: Day) -> str:
@@ -21,7 +29,7 @@ def export_csv(
 ) -> str:
     """Write a folder of CSV files in place of the previous export; returns its path."""
     path = csv_path(directory, table, day)
-    writer = df.write.mode("overwrite").options(**_FORMAT, emptyValue='""')
+    writer = df.write.mode("overwrite").options(**_FORMAT)
     writer.option("maxRecordsPerFile", max_rows_per_file).csv(path)
     return path
 
@@ -34,7 +42,9 @@ def load_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     reader = spark.read.schema(f"{schema}, {CORRUPT} string").options(
         **_FORMAT, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, multiLine="true"
     )
-    return reader.csv(path)
+    # As a generator, so that whole lines are parsed whatever columns a query uses: which lines are
+    # corrupt would otherwise depend on the columns pruned.
+    return reader.csv(path).select(F.inline(F.array(F.struct("*"))))
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -11,10 +11,13 @@ from pyspark.sql import functions as F
 from remitlake.functions import Day, day_lit, day_text, event_day, partition_group
 from remitlake.operators.metrics import only_new
 from remitlake.operators.typing import REASON
-from remitlake.schemas import BY_KIND, MART_DDL, MART_TABLE, Kind
+from remitlake.schemas import BY_KIND, MART_DDL, MART_TABLE
 
 EVENT_DAY = "event_day"
 MART_DAY = "date_update"
+# Kept with the table, so that an overwrite replaces only the days it has rows for whatever the
+# session says. A session setting switched on and off would race between concurrent loads.
+BY_DAY = ("partitionOverwriteMode", "dynamic")
 
 
 def ensure_database(spark: SparkSession, database: str, location: str | None = None) -> None:
@@ -24,7 +27,10 @@ def ensure_database(spark: SparkSession, database: str, location: str | None = N
 
 def ensure_tables(spark: SparkSession, database: str) -> None:
     """Create the staging, reject and mart tables that are missing."""
-    create = "CREATE TABLE IF NOT EXISTS {} ({}, {} date) USING parquet PARTITIONED BY ({})"
+    create = (
+        "CREATE TABLE IF NOT EXISTS {} ({}, {} date) USING parquet "
+        f"OPTIONS ({BY_DAY[0]} '{BY_DAY[1]}') PARTITIONED BY ({{}})"
+    )
     for kind in BY_KIND.values():
         name = f"{database}.{kind.table}"
         spark.sql(create.format(name, kind.ddl, EVENT_DAY, EVENT_DAY))
@@ -69,16 +75,26 @@ def replace_day(extract: DataFrame, accepted: DataFrame, table: str, day: Day) -
     return True
 
 
-def overwrite_days(df: DataFrame, table: str) -> None:
+def overwrite_days(df: DataFrame, table: str, sort_cols: Sequence[str] = ()) -> None:
     """Replace every day that occurs in ``df``, leaving the others.
 
-    A dominant day is cut into several files by the rebalance hint.
+    The rebalance hint cuts a dominant day into several files; ``sort_cols`` order each of them.
     """
     spark = df.sparkSession
+    _check_replaces_by_day(spark, table)
     key = _day_column(spark, table)
     columns = [c for c in spark.table(table).columns if c != key]
     spread = df.select(*columns, key).hint("rebalance", key)
-    spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+    ordered = spread.sortWithinPartitions(key, *sort_cols)
+    ordered.write.mode("overwrite").insertInto(table)
+
+
+def _check_replaces_by_day(spark: SparkSession, table: str) -> None:
+    """Refuse a table on which an overwrite would also remove the days not in the data."""
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name like 'Storage Prop%'")
+    properties = "".join(row.data_type for row in described.collect())
+    if "=".join(BY_DAY) not in properties:
+        raise ValueError(f"{table} lacks the option {BY_DAY[0]} '{BY_DAY[1]}'")
 
 
 def stored_days(spark: SparkSession, table: str) -> list[str]:
@@ -93,18 +109,24 @@ def drop_days(spark: SparkSession, table: str, lo: Day, hi: Day) -> list[str]:
     return _drop(spark, table, [d for d in stored_days(spark, table) if first <= d <= last])
 
 
+def drop_listed_days(spark: SparkSession, table: str, days: Sequence[Day]) -> list[str]:
+    """Drop the given day partitions where they exist; returns the days dropped."""
+    wanted = {day_text(d) for d in days}
+    return _drop(spark, table, [d for d in stored_days(spark, table) if d in wanted])
+
+
 def keep_only_days(
-    spark: SparkSession, table: str, lo: Day, hi: Day, keep: Sequence[str]
+    spark: SparkSession, table: str, lo: Day, hi: Day, keep: Sequence[Day]
 ) -> list[str]:
     """Drop the day partitions lo..hi that are not among ``keep``."""
-    first, last, kept = day_text(lo), day_text(hi), set(keep)
+    first, last, kept = day_text(lo), day_text(hi), {day_text(d) for d in keep}
     stored = stored_days(spark, table)
     return _drop(spark, table, [d for d in stored if first <= d <= last and d not in kept])
 
 
 def _drop(spark: SparkSession, table: str, days: list[str]) -> list[str]:
-    key = _day_column(spark, table)
     if days:
+        key = _day_column(spark, table)
         parts = ", ".join(f"PARTITION ({key} = DATE'{d}')" for d in days)
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {parts}")
     return days
@@ -120,8 +142,11 @@ def append_new(df: DataFrame, table: str, key: str) -> None:
 def write_clustered(
     df: DataFrame, table: str, hash_cols: Sequence[str], sort_cols: Sequence[str], n: int
 ) -> None:
-    """A copy spread over ``n`` partitions by hash and sorted inside each."""
-    spread = df.repartition(n, *hash_cols).sortWithinPartitions(*sort_cols)
+    """A copy spread over ``n`` segments by hash and sorted inside each.
+
+    Rebalancing cuts a segment that one key value makes too large, and joins tiny ones.
+    """
+    spread = df.hint("rebalance", n, *hash_cols).sortWithinPartitions(*sort_cols)
     spread.write.mode("overwrite").format("parquet").saveAsTable(table)
 
 
@@ -138,15 +163,22 @@ def write_by_date(df: DataFrame, table: str, date_col: str, n: int) -> None:
 
 
 def compact_days(
-    df: DataFrame, table: str, kind: Kind, as_of: Day, months: int = 3, years: int = 2
+    df: DataFrame,
+    table: str,
+    event_time: str,
+    as_of: Day,
+    n: int,
+    months: int = 3,
+    years: int = 2,
 ) -> None:
     """A copy in which older day partitions are joined into months and years.
 
-    Inside a group rows stay in time order, so day reads still skip row groups.
+    Written as ``n`` ranges of (group, time), so a file covers one stretch of time and day reads
+    skip the others.
     """
-    group = partition_group(EVENT_DAY, as_of, months, years)
-    rows = df.withColumn("part_group", group).hint("rebalance", "part_group")
-    rows.sortWithinPartitions("part_group", kind.event_time).write.mode("overwrite").partitionBy(
+    rows = df.withColumn("part_group", partition_group(EVENT_DAY, as_of, months, years))
+    spread = rows.repartitionByRange(n, "part_group", event_time, F.xxhash64("object_id"))
+    spread.sortWithinPartitions("part_group", event_time).write.mode("overwrite").partitionBy(
         "part_group"
     ).format("parquet").saveAsTable(table)
 

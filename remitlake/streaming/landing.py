@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from remitlake.operators.parse import landable, parse_envelope, quarantine, with_event_date
+from remitlake.session import STATE_STORE
 from remitlake.sources.landing import LANDING_COLUMNS, PARTITIONS
 
 KEYS = ["object_type", "object_id"]
@@ -83,12 +85,31 @@ def landing_rows(
     return with_event_date(unique).select(*LANDING_COLUMNS)
 
 
-def _start(writer, available_now: bool, every: str | None) -> StreamingQuery:
+@contextmanager
+def _state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Start a query with RocksDB state unless the session names a store.
+
+    A query copies the settings when it starts, so the session's own are put back at once.
+    """
+    unset = [key for key in STATE_STORE if spark.conf.get(key, None) is None]
+    for key in unset:
+        spark.conf.set(key, STATE_STORE[key])
+    try:
+        yield
+    finally:
+        for key in unset:
+            spark.conf.unset(key)
+
+
+def _start(
+    spark: SparkSession, writer: DataStreamWriter, available_now: bool, every: str | None
+) -> StreamingQuery:
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif every:
         writer = writer.trigger(processingTime=every)
-    return writer.start()
+    with _state_on_disk(spark):
+        return writer.start()
 
 
 def run_landing(
@@ -116,7 +137,7 @@ def run_landing(
         .option("path", path)
         .option("checkpointLocation", checkpoint)
     )
-    return _start(writer, available_now, every)
+    return _start(messages.sparkSession, writer, available_now, every)
 
 
 def run_quarantine(
@@ -134,7 +155,7 @@ def run_quarantine(
         .option("path", path)
         .option("checkpointLocation", checkpoint)
     )
-    return _start(writer, available_now, every)
+    return _start(messages.sparkSession, writer, available_now, every)
 
 
 def folder_writer(path: str) -> BatchWriter:
@@ -175,4 +196,4 @@ def run_fan_out(
     writer = rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
         lambda df, batch_id: land_batch(df, batch_id, writers)
     )
-    return _start(writer, available_now, every)
+    return _start(messages.sparkSession, writer, available_now, every)
