@@ -45,7 +45,7 @@ def make_mart_day(
 ) -> None:
     """Rebuild one day of the mart; a day without metrics is left empty."""
     rows = mart_rows(day_metrics(spark, lake, day, day, **options), src, now)
-    tables.overwrite_day(rows.coalesce(1), lake.mart, day)
+    tables.overwrite_day(rows, lake.mart, day)
 
 
 def backfill(

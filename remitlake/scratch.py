@@ -13,24 +13,22 @@ from pyspark.sql import functions as F
 # Rows up to which a lookup side may be broadcast: about 100 MB for the narrow rows used here.
 BROADCAST_ROWS = 1_000_000
 
-_local_fallback: dict[str, str] = {}
-
 
 def scratch_root(spark: SparkSession) -> str:
     """The cluster's shared folder. Only a local master may fall back to a temporary one."""
     context = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get(
-        "spark.checkpoint.dir"
+    root = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or context.getConf().get("spark.checkpoint.dir")
+        or context.getCheckpointDir()
     )
-    if root:
-        return root.rstrip("/")
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    app = context.applicationId
-    if app not in _local_fallback:
-        _local_fallback[app] = tempfile.mkdtemp(prefix="remitlake-")
-        context.setCheckpointDir(_local_fallback[app])
-    return _local_fallback[app]
+    if not root:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
+        root = tempfile.mkdtemp(prefix="remitlake-")
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(root)
+    return root.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

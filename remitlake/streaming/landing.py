@@ -27,6 +27,7 @@ def collapse_repeats(df: DataFrame) -> DataFrame:
 
     def first_of_batch(batches):
         # Nested, so that it travels by value and executors need no copy of this package.
+        import numpy as np
         import pyarrow as pa
 
         for batch in batches:
@@ -37,7 +38,7 @@ def collapse_repeats(df: DataFrame) -> DataFrame:
                 {
                     "t": batch.column("object_type"),
                     "i": batch.column("object_id"),
-                    "n": pa.array(range(batch.num_rows), pa.int64()),
+                    "n": np.arange(batch.num_rows),
                 }
             )
             first = keys.group_by(["t", "i"]).aggregate([("n", "min")]).column("n_min")

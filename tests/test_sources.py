@@ -188,6 +188,7 @@ def test_scratch_root_is_required_on_a_cluster():
     session = mock.MagicMock()
     session.conf.get.return_value = None
     session.sparkContext.getConf.return_value.get.return_value = None
+    session.sparkContext.getCheckpointDir.return_value = None
     session.sparkContext.master = "yarn"
     with pytest.raises(ValueError):
         scratch.scratch_root(session)
