@@ -89,9 +89,6 @@ def stage_range(
     """
     landing = read_landing_range(spark, lake.landing, kind.name, lo, hi)
     with materialized(with_faults(extract(landing, kind, keep), kind), kind.table) as judged:
-        ok, bad = _sides(judged, kind)
-        tables.overwrite_days(ok, lake.table(kind), [kind.event_time, "object_id"])
-        tables.overwrite_days(bad, lake.rejects(kind))
         # One row per calendar day, from two columns of the written extract.
         per_day = (
             judged.groupBy(F.date_format(tables.EVENT_DAY, "yyyy-MM-dd").alias("day"))
@@ -102,6 +99,11 @@ def stage_range(
             .orderBy("day")
             .collect()
         )
+        ok, bad = _sides(judged, kind)
+        if any(r.accepted for r in per_day):
+            tables.overwrite_days(ok, lake.table(kind), [kind.event_time, "object_id"])
+        if any(r.rejected for r in per_day):
+            tables.overwrite_days(bad, lake.rejects(kind))
     for table, filled in ((lake.table(kind), "accepted"), (lake.rejects(kind), "rejected")):
         tables.drop_listed_days(spark, table, [r.day for r in per_day if not r[filled]])
     return [row.day for row in per_day]
