@@ -9,7 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from remitlake.functions import event_day, hash_key_md5, on_day, partition_group
+from remitlake.functions import event_day, on_day, partition_group
+from remitlake.functions import hash_key_md5 as md5_key
 from remitlake.operators import checks, convert, core, metrics, parse, rates, reports
 from remitlake.operators.dedup import dedup_batch, latest_per_key, scd1
 from remitlake.operators.typing import split_rejects
@@ -443,7 +444,7 @@ def global_metrics_day(spark, sf_dir):
     tx = staging.staged(_of_kind(day_tx, TRANSACTIONS), TRANSACTIONS)
     cur = staging.staged(_of_kind(landed, CURRENCIES), CURRENCIES)
     return metrics.global_metrics(tx, cur).withColumn(
-        "hk_md5", hash_key_md5("date_update", "currency_from")
+        "hk_md5", md5_key("date_update", "currency_from")
     )
 
 
@@ -522,16 +523,12 @@ def dedup_latest(spark, sf_dir):
 
 
 @query
-def hash_key_md5_keys(spark, sf_dir):
+def hash_key_md5(spark, sf_dir):
     return _raw(spark, sf_dir, TRANSACTIONS).select(
-        "object_id",
-        hash_key_md5(event_day("transaction_dt"), "currency_code").alias("hk"),
+        "object_id", md5_key(event_day("transaction_dt"), "currency_code").alias("hk")
     )
 
 
-_QUERIES["hash_key_md5"] = _QUERIES.pop("hash_key_md5_keys")
-
-
 @query
 def anchor_dates(spark, sf_dir):
     return calendar.run_calendar(event_feed.day_bounds(_events(spark, sf_dir)))
@@ -680,32 +677,32 @@ def dash_filtered(spark, sf_dir):
 
 @query
 def dim_accounts(spark, sf_dir):
-    return core.dim_accounts(_tx(spark, sf_dir), hash_key_md5)
+    return core.dim_accounts(_tx(spark, sf_dir), md5_key)
 
 
 @query
 def dim_dates(spark, sf_dir):
-    return core.dim_dates(_tx(spark, sf_dir), _cur(spark, sf_dir), hash_key_md5)
+    return core.dim_dates(_tx(spark, sf_dir), _cur(spark, sf_dir), md5_key)
 
 
 @query
 def dim_countries(spark, sf_dir):
-    return core.dim_countries(_tx(spark, sf_dir), hash_key_md5)
+    return core.dim_countries(_tx(spark, sf_dir), md5_key)
 
 
 @query
 def dim_currencies(spark, sf_dir):
-    return core.dim_currencies(_tx(spark, sf_dir), _cur(spark, sf_dir), hash_key_md5)
+    return core.dim_currencies(_tx(spark, sf_dir), _cur(spark, sf_dir), md5_key)
 
 
 @query
 def dim_types(spark, sf_dir):
-    return core.dim_types(_tx(spark, sf_dir), hash_key_md5)
+    return core.dim_types(_tx(spark, sf_dir), md5_key)
 
 
 @query
 def fact_done(spark, sf_dir):
-    return core.fact_done(_tx(spark, sf_dir, keep="latest"), hash_key_md5)
+    return core.fact_done(_tx(spark, sf_dir, keep="latest"), md5_key)
 
 
 @query
@@ -714,7 +711,7 @@ def rates_scd1(spark, sf_dir):
     cur = _cur(spark, sf_dir)
     day = event_day("date_update")
     old, new = (
-        core.rate_rows(cur.filter(side), hash_key_md5)
+        core.rate_rows(cur.filter(side), md5_key)
         for side in (day <= F.lit(DAY).cast("date"), day >= F.lit(DAY).cast("date"))
     )
     return scd1(old, new, ["hk_rate"], rates.RATE_ORDER).select(
@@ -737,5 +734,5 @@ def fk_violations(spark, sf_dir):
     """Senders that are no account because they are test accounts."""
     tx = _tx(spark, sf_dir)
     return checks.fk_violations(
-        tx, core.dim_accounts(tx, hash_key_md5), "account_number_from", "account_number"
+        tx, core.dim_accounts(tx, md5_key), "account_number_from", "account_number"
     )

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from remitlake.functions import Day, day_lit, day_text
 from remitlake.operators.metrics import LOAD_SRC, global_metrics, mart_rows
 from remitlake.plans.staging import Lake, stage_day, stage_range
-from remitlake.schemas import CURRENCIES, TRANSACTIONS, USD
+from remitlake.schemas import CURRENCIES, TRANSACTIONS, USD, Kind
 from remitlake.scratch import materialized
 from remitlake.sources import tables
 
@@ -67,12 +68,17 @@ def backfill(
     return filled
 
 
+def _both_kinds(stage: Callable[[Kind], object]) -> None:
+    """Stage both tables at the same time; the smaller one fills idle executors."""
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(stage, (CURRENCIES, TRANSACTIONS)))
+
+
 def run_day(spark: SparkSession, lake: Lake, run_date: Day, **options) -> str:
     """The whole daily run: tables, both stagings, mart. Works on the day before ``run_date``."""
     day = dt.date.fromisoformat(day_text(run_date)) - dt.timedelta(days=1)
     tables.ensure_tables(spark, lake.database)
-    for kind in (CURRENCIES, TRANSACTIONS):
-        stage_day(spark, lake, kind, day)
+    _both_kinds(lambda kind: stage_day(spark, lake, kind, day))
     make_mart_day(spark, lake, day, **options)
     return day_text(day)
 
@@ -83,6 +89,5 @@ def run_range(spark: SparkSession, lake: Lake, first_run: Day, last_run: Day, **
         dt.date.fromisoformat(day_text(d)) - dt.timedelta(days=1) for d in (first_run, last_run)
     )
     tables.ensure_tables(spark, lake.database)
-    for kind in (CURRENCIES, TRANSACTIONS):
-        stage_range(spark, lake, kind, lo, hi)
+    _both_kinds(lambda kind: stage_range(spark, lake, kind, lo, hi))
     return backfill(spark, lake, lo, hi, **options)

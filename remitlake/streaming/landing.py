@@ -11,6 +11,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from remitlake.operators.parse import landable, parse_envelope, quarantine, with_event_date
 from remitlake.session import STATE_STORE
+from remitlake.sources.jdbc import write_jdbc
 from remitlake.sources.landing import LANDING_COLUMNS, PARTITIONS
 
 KEYS = ["object_type", "object_id"]
@@ -168,6 +169,16 @@ def folder_writer(path: str) -> BatchWriter:
     return write
 
 
+def jdbc_writer(url: str, table: str, props: Mapping[str, str], connections: int = 16) -> BatchWriter:
+    """A batch writer that appends the message columns to a database table."""
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        rows = df.select("object_id", "object_type", "sent_dttm", "payload")
+        write_jdbc(rows, url, table, props, connections)
+
+    return write
+
+
 def land_batch(df: DataFrame, batch_id: int, writers: Mapping[str, BatchWriter]) -> None:
     """Write one micro-batch to a target per message type; it is computed once and then released."""
     df.persist()

@@ -31,3 +31,12 @@ def test_bounded_dedup_finds_only_landed_keys(spark, sf_dir):
     exact = queries["stream_dedup_exact"](spark, sf_dir)
     assert bounded.count() > 0
     assert bounded.subtract(exact).isEmpty()
+
+
+@pytest.mark.parametrize("sf, currencies, transactions, months", [("sf0.001", 261, 310, 92)])
+def test_known_sizes(spark, sf, currencies, transactions, months):
+    """Sizes worked out beforehand with another engine."""
+    queries, folder = query_catalog.all_queries(), f"/root/testdata/{sf}"
+    assert queries["dedup_currencies"](spark, folder).count() == currencies
+    assert queries["dedup_transactions"](spark, folder).count() == transactions
+    assert queries["global_metrics_month"](spark, folder).count() == months

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from remitlake import scratch
 from remitlake.schemas import TRANSACTIONS
 from remitlake.sources import csv_files, jdbc, tables, topics
+from remitlake.streaming.landing import jdbc_writer
 from samples import tx_df, uid
 
 
@@ -94,6 +95,14 @@ def test_jdbc_append_arguments():
     )
 
 
+def test_jdbc_batches_hold_the_message_columns():
+    df = mock.MagicMock()
+    jdbc_writer("jdbc:db://host/de", "stg.transactions", {"user": "u"})(df, 3)
+    df.select.assert_called_once_with("object_id", "object_type", "sent_dttm", "payload")
+    call = df.select.return_value.write.option.return_value.jdbc.call_args
+    assert (call.kwargs["table"], call.kwargs["mode"]) == ("stg.transactions", "append")
+
+
 def test_jdbc_read_is_partitioned():
     spark = mock.MagicMock()
     jdbc.read_jdbc(spark, "jdbc:db://h/d", "t", {}, "id", 0, 1000, 8)
