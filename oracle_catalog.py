@@ -201,8 +201,8 @@ def _dim(values: str, name: str, key: str) -> str:
 def _across(lookup: str) -> str:
     return _with(
         f"""SELECT t.object_id, t.event_day AS day, t.currency_code, c.currency_with_div,
-          t.amount * c.currency_with_div AS amount_usd
-        FROM (SELECT * REPLACE (CAST(amount AS DECIMAL(18,0)) AS amount) FROM tx WHERE {REAL}) t
+          CAST(t.amount * c.currency_with_div AS DECIMAL(29,2)) AS amount_usd
+        FROM (SELECT * REPLACE (CAST(amount AS DECIMAL(20,0)) AS amount) FROM tx WHERE {REAL}) t
         JOIN {lookup} c ON c.currency_code = t.currency_code AND c.event_day = t.event_day""",
         TYPED,
         RATES,
@@ -362,7 +362,8 @@ def all_sql() -> dict[str, str]:
         "join_rates": _one_day("t.object_id, t.currency_code, c.currency_with_div"),
         "amount_usd": _one_day(
             """t.object_id, t.amount,
-            CAST(t.amount AS DECIMAL(18,0)) * c.currency_with_div AS amount_usd"""
+            CAST(CAST(t.amount AS DECIMAL(20,0)) * c.currency_with_div AS DECIMAL(29,2))
+              AS amount_usd"""
         ),
         "asof_convert": _across("rate_asof"),
         "exact_day_convert": _across("rate_exact"),
