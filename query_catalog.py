@@ -58,12 +58,8 @@ def _events(spark, sf_dir):
     return event_feed.events(spark, sf_dir)
 
 
-def _landed(spark, sf_dir, dirty=False):
-    return event_feed.landed(_events(spark, sf_dir), dirty)
-
-
-def _of_kind(landed: DataFrame, kind: Kind) -> DataFrame:
-    return landed.filter(F.col("object_type") == kind.name)
+def _landed(spark, sf_dir, dirty=False, kind=None):
+    return event_feed.landed(_events(spark, sf_dir), dirty, kind)
 
 
 def _raw(spark, sf_dir, kind: Kind) -> DataFrame:
@@ -146,7 +142,7 @@ def landing_day_scan(spark, sf_dir):
 
 
 def _dirty_extract(spark, sf_dir, kind):
-    rows = staging.extract(_of_kind(_landed(spark, sf_dir, dirty=True), kind), kind)
+    rows = staging.extract(_landed(spark, sf_dir, dirty=True, kind=kind), kind)
     return rows.filter(F.col(tables.EVENT_DAY).isNotNull()).drop(tables.EVENT_DAY)
 
 
@@ -172,7 +168,7 @@ def rejects_bad_currencies(spark, sf_dir):
 
 @query
 def rejects_undated(spark, sf_dir):
-    landed = _of_kind(_landed(spark, sf_dir, dirty=True), TRANSACTIONS)
+    landed = _landed(spark, sf_dir, dirty=True, kind=TRANSACTIONS)
     return staging.undated(landed, TRANSACTIONS)
 
 
@@ -299,22 +295,22 @@ def route_transaction(spark, sf_dir):
 
 @query
 def flatten_currencies(spark, sf_dir):
-    return parse.flatten_currencies(_of_kind(_landed(spark, sf_dir), CURRENCIES))
+    return parse.flatten_currencies(_landed(spark, sf_dir, kind=CURRENCIES))
 
 
 @query
 def flatten_transactions(spark, sf_dir):
-    return parse.flatten_transactions(_of_kind(_landed(spark, sf_dir), TRANSACTIONS))
+    return parse.flatten_transactions(_landed(spark, sf_dir, kind=TRANSACTIONS))
 
 
 @query
 def typed_currencies(spark, sf_dir):
-    return staging.typed(_of_kind(_landed(spark, sf_dir, dirty=True), CURRENCIES), CURRENCIES)
+    return staging.typed(_landed(spark, sf_dir, dirty=True, kind=CURRENCIES), CURRENCIES)
 
 
 @query
 def typed_transactions(spark, sf_dir):
-    return staging.typed(_of_kind(_landed(spark, sf_dir, dirty=True), TRANSACTIONS), TRANSACTIONS)
+    return staging.typed(_landed(spark, sf_dir, dirty=True, kind=TRANSACTIONS), TRANSACTIONS)
 
 
 @query
@@ -432,17 +428,16 @@ def only_new(spark, sf_dir):
 
 def _pipeline(spark, sf_dir):
     """Staged kinds from messages: parse, flatten, de-duplicate, type, reject."""
-    landed = _landed(spark, sf_dir)
-    return {k: staging.staged(_of_kind(landed, k), k) for k in BY_KIND.values()}
+    return {k: staging.staged(_landed(spark, sf_dir, kind=k), k) for k in BY_KIND.values()}
 
 
 @query
 def global_metrics_day(spark, sf_dir):
     """From raw messages to one day of the mart."""
-    landed = _landed(spark, sf_dir)
+    landed = _landed(spark, sf_dir, kind=TRANSACTIONS)
     day_tx = landed.filter(F.col("event_date") == F.lit(DAY).cast("date"))
-    tx = staging.staged(_of_kind(day_tx, TRANSACTIONS), TRANSACTIONS)
-    cur = staging.staged(_of_kind(landed, CURRENCIES), CURRENCIES)
+    tx = staging.staged(day_tx, TRANSACTIONS)
+    cur = staging.staged(_landed(spark, sf_dir, kind=CURRENCIES), CURRENCIES)
     return metrics.global_metrics(tx, cur).withColumn(
         "hk_md5", md5_key("date_update", "currency_from")
     )
@@ -490,7 +485,9 @@ def distinct_rates(spark, sf_dir):
 
 @query
 def profile_by_day(spark, sf_dir):
-    return reports.profile_by_day(_landed(spark, sf_dir, dirty=True), TRANSACTIONS)
+    return reports.profile_by_day(
+        _landed(spark, sf_dir, dirty=True, kind=TRANSACTIONS), TRANSACTIONS
+    )
 
 
 # --- one row per key --------------------------------------------------------------------------
@@ -504,13 +501,13 @@ def latest_rate_first_value(spark, sf_dir):
 
 @query
 def dedup_currencies(spark, sf_dir):
-    landed = _of_kind(_landed(spark, sf_dir), CURRENCIES)
+    landed = _landed(spark, sf_dir, kind=CURRENCIES)
     return staging.extract(landed, CURRENCIES)
 
 
 @query
 def dedup_transactions(spark, sf_dir):
-    landed = _of_kind(_landed(spark, sf_dir), TRANSACTIONS)
+    landed = _landed(spark, sf_dir, kind=TRANSACTIONS)
     return staging.extract(landed, TRANSACTIONS)
 
 
@@ -639,7 +636,7 @@ def duplicate_rates(spark, sf_dir):
 
 @query
 def null_violations(spark, sf_dir):
-    landed = _of_kind(_landed(spark, sf_dir, dirty=True), TRANSACTIONS)
+    landed = _landed(spark, sf_dir, dirty=True, kind=TRANSACTIONS)
     return checks.null_violations(staging.typed(landed, TRANSACTIONS), TRANSACTIONS.names)
 
 
