@@ -1,4 +1,4 @@
-"""Byte-level BPE: encode each distinct pre-token of the corpus once, and decode by the token table."""
+"""Byte-level BPE: encode each distinct word of the corpus once, and decode by the token table."""
 
 from __future__ import annotations
 
@@ -68,6 +68,27 @@ def _merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[word[i : end[i]]] for i in range(n) if alive[i]]
 
 
+class Pieces(dictionary.Tokenizer):
+    """Texts cut before single spaces; a piece is one pre-token or a few, such as a word and its stop.
+
+    The public patterns let a pre-token begin at every space between visible characters, so cutting
+    there changes none. A text in which white space follows a space is cut by the pattern itself.
+    """
+
+    def __init__(self, pattern: str):
+        self.pattern = pattern
+
+    def split(self, text: str) -> list:
+        first, *rest = text.split(" ")
+        return [first.encode(), *rest]
+
+    def exact(self, text: str) -> list[bytes]:
+        return [x.encode() for x in regex.findall(self.pattern, text)]
+
+    def odd(self, word) -> bool:
+        return isinstance(word, str) and (not word or word[0].isspace())
+
+
 def gather(start: np.ndarray, size: np.ndarray, data: np.ndarray) -> np.ndarray:
     """The stretches ``data[start:start + size]`` one after the other."""
     total = int(size.sum())
@@ -93,8 +114,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """
     sent = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
 
-    def tokenize(text: str) -> list[str]:
-        return regex.findall(pattern, text)
+    tokenizer = Pieces(pattern)
 
     def resolve(table: pa.Table) -> Iterator[dict]:
         ranks, known = sent.value, {}
@@ -104,7 +124,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
             for word in dictionary.unpack_words(cell):
                 own = known.get(word)
                 if own is None:
-                    own = known[word] = np.array(merge(word, ranks), kind).tobytes()
+                    own = known[word] = np.array([i for x in regex.findall(pattern, word.decode()) for i in merge(x.encode(), ranks)], kind).tobytes()
                 ids.append(own)
             sizes = np.array([len(x) for x in ids], np.uint32) // np.dtype(kind).itemsize
             yield {"chunk": chunk, "check": check, "seq": bucket, "blob": dictionary.pack(sizes, np.frombuffer(b"".join(ids), kind))}
@@ -121,8 +141,8 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
 
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.lit(0).alias("flag"))
     buckets = dictionary.bucket_count(own)
-    values = dictionary.by_bucket(dictionary.words_by_bucket(own, tokenize, buckets), resolve, "chunk long, check long, seq long, blob binary")
-    return dictionary.by_chunk(values, dictionary.places(own, tokenize, buckets), assemble, "doc_id long, ids_le binary")
+    values = dictionary.by_bucket(dictionary.words_by_bucket(own, tokenizer, buckets), resolve, "chunk long, check long, seq long, blob binary")
+    return dictionary.by_chunk(values, dictionary.places(own, tokenizer, buckets), assemble, "doc_id long, ids_le binary")
 
 
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:

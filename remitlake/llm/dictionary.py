@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from remitlake.llm.words import groups
 
-CHUNK_BYTES = 32 << 20
+CHUNK_BYTES = 16 << 20
 PART_BYTES = 4 << 20
 #: Bytes of text for each bucket; a bucket's words are held in one task.
 BUCKET_BYTES = 24 << 20
@@ -58,11 +58,38 @@ def unpack(cell: bytes) -> list[np.ndarray]:
     return out
 
 
+class Odd(Exception):
+    """A text that ``split`` may not cut."""
+
+
+class Tokenizer:
+    """How a text is cut into words. A word is bytes, or a str that stands for a space and itself."""
+
+    def split(self, text: str) -> list:
+        raise NotImplementedError
+
+    def exact(self, text: str) -> list[bytes]:
+        """The words of a text in which ``split`` met an odd one."""
+        raise NotImplementedError
+
+    def odd(self, word) -> bool:
+        return False
+
+
 class _Codes(dict):
+    def __init__(self, odd: Callable):
+        super().__init__()
+        self.odd = odd
+
     def __missing__(self, word):
+        if self.odd(word):
+            raise Odd
         self[word] = code = len(self)
         return code
 
+    def all_of(self, words: list) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.uint32, len(words))
+
 
 @dataclass
 class Chunk:
@@ -79,9 +106,9 @@ class Chunk:
     weights: np.ndarray
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], tokenize: Callable[[str], list], buckets: int) -> Iterator[Chunk]:
+def _chunks(batches: Iterator[pa.RecordBatch], tokenizer: Tokenizer, buckets: int) -> Iterator[Chunk]:
     def close() -> Chunk:
-        words = [w if isinstance(w, bytes) else w.encode() for w in book]
+        words = [w if isinstance(w, bytes) else b" " + w.encode() for w in book]
         bucket = np.fromiter((crc32(w) % buckets for w in words), np.int64, len(words))
         codes = np.concatenate(places) if places else np.zeros(0, np.uint32)
         trained = np.repeat(np.array(flags, np.int64) == 0, counts)
@@ -89,15 +116,18 @@ def _chunks(batches: Iterator[pa.RecordBatch], tokenize: Callable[[str], list],
         return Chunk(digest >> 65, digest & (1 << 63) - 1, words, np.argsort(bucket, kind="stable"), bucket, codes, np.array(counts, np.int64), ids, flags, sizes, np.bincount(codes[trained], minlength=len(words)))
 
     def fresh():
-        return _Codes(), [], [], [], [], [], xxhash.xxh3_128(), 0
+        return _Codes(tokenizer.odd), [], [], [], [], [], xxhash.xxh3_128(), 0
 
     book, places, counts, ids, flags, sizes, seen, held = fresh()
     for batch in batches:
         flag = batch.column("flag").to_pylist()
         for i, text in enumerate(batch.column("text")):
             value = text.as_py() or ""
-            found = tokenize(value)
-            places.append(np.fromiter(map(book.__getitem__, found), np.uint32, len(found)))
+            try:
+                found = book.all_of(tokenizer.split(value))
+            except Odd:
+                found = book.all_of(tokenizer.exact(value))
+            places.append(found)
             counts.append(len(found))
             ids.append(batch.column("doc_id")[i].as_py())
             flags.append(flag[i])
@@ -111,11 +141,11 @@ def _chunks(batches: Iterator[pa.RecordBatch], tokenize: Callable[[str], list],
         yield close()
 
 
-def words_by_bucket(docs: DataFrame, tokenize: Callable[[str], list], buckets: int) -> DataFrame:
+def words_by_bucket(docs: DataFrame, tokenizer: Tokenizer, buckets: int) -> DataFrame:
     """One row for each chunk and bucket with words: the words, and how often each is in rows of flag 0."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for c in _chunks(batches, tokenize, buckets):
+        for c in _chunks(batches, tokenizer, buckets):
             own = c.buckets[c.bucket_order]
             cuts = np.flatnonzero(np.diff(own)) + 1
             for part in np.split(c.bucket_order, cuts) if len(own) else []:
@@ -152,7 +182,7 @@ def _schema(ddl: str) -> pa.Schema:
     return pa.schema([(n, kinds[k]) for n, k in (x.split() for x in ddl.split(", "))])
 
 
-def places(docs: DataFrame, tokenize: Callable[[str], list], buckets: int) -> DataFrame:
+def places(docs: DataFrame, tokenizer: Tokenizer, buckets: int) -> DataFrame:
     """PLACES_SCHEMA: a row with the order of a chunk's dictionary, and rows with its words' places.
 
     Words are numbered by frequency, so that most numbers are small.
@@ -160,7 +190,7 @@ def places(docs: DataFrame, tokenize: Callable[[str], list], buckets: int) -> Da
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = _schema(PLACES_SCHEMA)
-        for c in _chunks(batches, tokenize, buckets):
+        for c in _chunks(batches, tokenizer, buckets):
             n = len(c.words)
             at_bucket = np.empty(n, np.uint32)
             at_bucket[c.bucket_order] = np.arange(n, dtype=np.uint32)
