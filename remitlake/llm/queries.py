@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from remitlake.llm import byte_bpe, decontaminate, exact_dedup, quality, token_counts, warc
+from remitlake.llm import byte_bpe, decontaminate, exact_dedup, pii, quality, token_counts, warc
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -33,6 +33,10 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(table(spark, sf_dir, "pages"))
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.summary(pii.find_personal_data(table(spark, sf_dir, "documents")))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = decontaminate.benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return hits.select("doc_id", "contaminated", F.transform("items", lambda x: x["item_id"]).alias("item_ids"), F.array_max(F.transform("items", lambda x: x["similarity"])).alias("similarity"))
@@ -43,7 +47,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(byte_bpe.decode(encoded, BYTE_BPE))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_classifier, op3_exact_dedup, op4_token_counts, op7_warc, op9_decontamination, op10_byte_bpe)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_classifier, op3_exact_dedup, op4_token_counts, op7_warc, op8_pii, op9_decontamination, op10_byte_bpe)}
 
 _NORMAL = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
 
