@@ -8,8 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from remitlake.llm import decontaminate, exact_dedup, quality
-from remitlake.llm.queries import table
+from remitlake.llm import byte_bpe, decontaminate, exact_dedup, quality, similarity_join
+from remitlake.llm.queries import BYTE_BPE, BYTE_PATTERN, table
 from remitlake.scratch import scratch_path
 
 
@@ -21,14 +21,26 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.keep_first(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return similarity_join.keep_one_of_each_class(docs)
+
+
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document that is left, and digests of the ids and of the text they decode to."""
+    encoded = byte_bpe.encode(docs, BYTE_BPE, BYTE_PATTERN)
+    return byte_bpe.digests(byte_bpe.decode(encoded, BYTE_BPE), "ids_le")
+
+
 STAGES = [
     ("quality classifier", drop_low_quality),
     ("exact dedup", drop_copies),
+    ("n-gram Jaccard join", drop_near_copies),
     ("benchmark decontamination", drop_leaks),
+    ("byte-level BPE", tokens),
 ]
 
 #: The classifier and the similarity join cannot be written in SQL; tests compare with brute force.

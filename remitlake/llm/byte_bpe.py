@@ -177,9 +177,9 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     return encoded.mapInArrow(work, f"{schema}, decoded binary")
 
 
-def digests(decoded: DataFrame) -> DataFrame:
+def digests(decoded: DataFrame, *also: str) -> DataFrame:
     return decoded.select(
-        "doc_id", F.floor(F.octet_length("ids_le") / 4).cast("long").alias("n_tokens"), F.sha2("ids_le", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+        "doc_id", F.floor(F.octet_length("ids_le") / 4).cast("long").alias("n_tokens"), F.sha2("ids_le", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"), *also
     )
 
 

@@ -8,9 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from remitlake.llm import byte_bpe, decontaminate, exact_dedup, pii, quality, token_counts, warc
+from remitlake.llm import byte_bpe, decontaminate, exact_dedup, pii, quality, similarity_join, token_counts, warc
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
+BYTE_PATTERN = public_tokenizers.PATTERN
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +22,10 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similarity_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -43,11 +48,11 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = byte_bpe.encode(table(spark, sf_dir, "documents"), BYTE_BPE, public_tokenizers.PATTERN)
+    encoded = byte_bpe.encode(table(spark, sf_dir, "documents"), BYTE_BPE, BYTE_PATTERN)
     return byte_bpe.digests(byte_bpe.decode(encoded, BYTE_BPE))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_classifier, op3_exact_dedup, op4_token_counts, op7_warc, op8_pii, op9_decontamination, op10_byte_bpe)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_classifier, op2_ngram_jaccard_join, op3_exact_dedup, op4_token_counts, op7_warc, op8_pii, op9_decontamination, op10_byte_bpe)}
 
 _NORMAL = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
 
