@@ -3,7 +3,7 @@
 Sets are split recursively on sampled tokens: at a node of the search tree a few sampling functions
 pick a token of each set (the smallest by that function), and sets that picked the same one go down
 together. Two sets of similarity s pick alike with chance s, unlike ones part. Nodes that became small
-are compared by brute force, runs are repeated with other functions until the chance to miss a pair
+are compared by brute force; in a large one, sets close to one of its leaders are settled there. Runs are repeated with other functions until the chance to miss a pair
 at the threshold is below MISS, and every pair that meets is decided by its whole shingle sets.
 
 Equal sets are one node of everything that follows and count through their size.
@@ -12,10 +12,11 @@ Equal sets are one node of everything that follows and count through their size.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from remitlake.llm.graph import components
@@ -32,6 +33,11 @@ LEAF = 200
 DEPTH = 3
 #: Sets with fewer equal picks of all FUNCTIONS are not looked at again: five deviations below NEAR.
 LEAST_EQUAL = 14
+#: Sets of a large node that all others are compared with; a set with SETTLED equal picks with one of
+#: them goes no further down: whatever is near it has at least LINKED with the same one.
+LEADERS = 8
+LINKED = 12
+SETTLED = 26
 #: Sets of a candidate group that are verified at once; larger groups are verified block by block.
 BLOCK = 256
 
@@ -143,6 +149,33 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
 
 
+def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each set of a large node with the leaders it is linked to; ``stays`` if it must go further down."""
+    for batch in batches:
+        n, sketch = batch.num_rows, _matrix(batch.column("sketch"))
+        path = batch.column("path").to_numpy()
+        linked: list[list[bytes]] = [[]] * n
+        stays = np.ones(n, bool)
+        for node in np.unique(path):
+            own = np.flatnonzero(path == node)
+            leaders = batch.column("leaders")[int(own[0])].as_py()
+            ids = [x["sid"] for x in leaders]
+            marks = np.frombuffer(b"".join(x["sketch"] for x in leaders), np.uint32).reshape(-1, FUNCTIONS)
+            label = _least(np.array([(marks == m).sum(axis=1) >= LINKED for m in marks]))
+            equal = np.stack([(sketch[own] == m).sum(axis=1) for m in marks], axis=1)
+            stays[own] = equal.max(axis=1) < SETTLED
+            for i, row in zip(own, equal >= LINKED, strict=True):
+                linked[i] = [ids[k] for k in np.unique(label[row])]
+        yield pa.RecordBatch.from_arrays([batch.column("path"), batch.column("sid"), batch.column("sketch"), pa.array(stays), pa.array(linked, pa.list_(pa.binary()))], names=["path", "sid", "sketch", "stays", "linked"])
+
+
+def _stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once in shared storage and read again, so that a join with it can be split."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def _blocks(df: DataFrame, key: str, count: str, id_: str, size: int) -> DataFrame:
     """``df`` with ``block`` keys such that any two rows of a ``key`` share one, of about 2 x size rows."""
     n = F.ceil(F.col(count) / F.lit(size)).cast("int")
@@ -154,27 +187,31 @@ def _blocks(df: DataFrame, key: str, count: str, id_: str, size: int) -> DataFra
 
 def candidate_links(sets: DataFrame, runs: int) -> DataFrame:
     """a, b: links whose components hold every pair that met in a node. ``sets``: sid, sketch."""
-    spark, leaves = sets.sparkSession, []
+    leaves, links = [], []
     rows = sets.mapInArrow(lambda it: _split(it, runs), "path long, sid binary")
     for level in range(DEPTH):
-        path = scratch_path(spark, f"paths-{level}")
-        sized = rows.join(rows.groupBy("path").agg(F.count("*").alias("n")).where("n > 1"), "path")
-        sized.write.parquet(path)
-        sized = spark.read.parquet(path)
-        large = sized.where(F.col("n") > LEAF)
+        counts = _stored(rows.groupBy("path").agg(F.count("*").alias("n")).where("n > 1"), "nodes")
+        sized = _stored(rows.join(counts, "path"), "paths")
         leaves.append(sized.where(F.col("n") <= LEAF).select("path", "sid"))
-        if level == DEPTH - 1:
-            # Nodes that no function splits hold sets that are alike: compared block by block.
-            leaves.append(_blocks(large, "path", "n", "sid", LEAF).select(F.col("block").alias("path"), "sid"))
-        elif large.isEmpty():
+        large = sized.where(F.col("n") > LEAF).join(sets, "sid")
+        if large.isEmpty():
             break
+        # The window passes on LEADERS rows a node before its shuffle.
+        first = Window.partitionBy("path").orderBy(F.xxhash64("sid", "path"), "sid")
+        leaders = large.withColumn("_k", F.row_number().over(first)).where(F.col("_k") <= LEADERS)
+        leaders = _stored(leaders.groupBy("path").agg(F.collect_list(F.struct("sid", "sketch")).alias("leaders")), "leaders")
+        settled = _stored(large.join(leaders, "path").mapInArrow(_settle, "path long, sid binary, sketch binary, stays boolean, linked array<binary>"), "settled")
+        links.append(settled.select(F.col("sid").alias("a"), F.explode("linked").alias("b")).where("a != b"))
+        rest = settled.where("stays")
+        if level < DEPTH - 1:
+            rows = rest.mapInArrow(lambda it: _split(it, runs), "path long, sid binary")
         else:
-            rows = large.join(sets, "sid").select("path", "sid", "sketch").mapInArrow(lambda it: _split(it, runs), "path long, sid binary")
-    every = leaves[0]
-    for more in leaves[1:]:
-        every = every.unionByName(more)
+            # Nodes that no function splits hold sets that are alike: compared block by block.
+            left = _stored(rest.groupBy("path").agg(F.count("*").alias("n")), "left")
+            leaves.append(_blocks(rest.select("path", "sid").join(left, "path"), "path", "n", "sid", LEAF).select(F.col("block").alias("path"), "sid"))
+    every = reduce(DataFrame.unionByName, leaves)
     dealt = every.join(sets, "sid").repartition("path").sortWithinPartitions("path", "sid")
-    return dealt.mapInArrow(_meet, "a binary, b binary").distinct()
+    return reduce(DataFrame.unionByName, links, dealt.mapInArrow(_meet, "a binary, b binary")).distinct()
 
 
 def _common(sets: list[np.ndarray]) -> np.ndarray:
@@ -251,7 +288,7 @@ def near_duplicates(docs: DataFrame, miss: float = MISS) -> DataFrame:
 
     group = components(candidate_links(sets.select("sid", "sketch"), runs_for(miss))).withColumnRenamed("node", "sid")
     members = group.join(sets.select("sid", "size", "doc_id", "th"), "sid")
-    members = members.join(group.groupBy("label").agg(F.count("*").alias("n")), "label")
+    members = members.join(_stored(group.groupBy("label").agg(F.count("*").alias("n")), "groups"), "label")
     texts = keyed.withColumnRenamed("doc_id", "_id").withColumnRenamed("th", "_th")
     whole = members.join(texts, members["doc_id"].eqNullSafe(texts["_id"]) & (members["th"] == texts["_th"]))
     whole = _blocks(whole.select("label", "n", "sid", "size", "text"), "label", "n", "sid", BLOCK).select("block", "side", "sid", "size", "text")
@@ -262,7 +299,7 @@ def near_duplicates(docs: DataFrame, miss: float = MISS) -> DataFrame:
     label = components(links.select(F.col("sid").alias("a"), F.col("other").alias("b"))).withColumnRenamed("node", "sid")
     known = sets.select("sid", "size", "doc_id").join(links.groupBy("sid").agg(F.sum("links").alias("links")), "sid", "left").join(label, "sid", "left")
     known = known.withColumn("label", F.coalesce("label", "sid"))
-    named = known.join(known.groupBy("label").agg(F.min("doc_id").alias("class_id")), "label")
+    named = known.join(_stored(known.groupBy("label").agg(F.min("doc_id").alias("class_id")), "classes"), "label")
     named = named.select("sid", "class_id", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"))
     out = described.select("doc_id", "sid").join(named, "sid", "left")
     return out.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
@@ -270,8 +307,6 @@ def near_duplicates(docs: DataFrame, miss: float = MISS) -> DataFrame:
 
 def keep_one_of_each_class(docs: DataFrame) -> DataFrame:
     """The row of ``docs`` that names each class, with all its columns."""
-    from pyspark.sql import Window
-
     named = near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("_id")).distinct()
     kept = docs.join(named, docs["doc_id"].eqNullSafe(named["_id"]), "left_semi")
     # Rows of one id have one row left; the window passes on one row a key before its shuffle.
