@@ -4,8 +4,8 @@ A text is a row of word symbols. In each round two equal neighbours that stand a
 first symbol falls left and second right by a coin of the symbol, become one symbol. A symbol's name
 is a hash of what it stands for, so every task gives equal stretches equal names. Only symbols near
 the ends of a stretch depend on what is around it: after ROUNDS rounds, at most MARGIN words from
-either end. Every window therefore has the same symbols inside wherever it occurs, and the smallest of
-them by hash stands for the window. Spark rounds then find the symbols that stand for windows of two
+either end. Every window therefore has the same symbols inside wherever it occurs, and the NEIGHBOURS
+consecutive ones of the smallest hash stand for the window. Spark rounds then find the symbols that stand for windows of two
 documents or more, and the windows behind those symbols are verified by their whole word sequence.
 """
 
@@ -21,13 +21,16 @@ from pyspark.sql import functions as F
 
 from remitlake.llm import dictionary
 from remitlake.llm.byte_bpe import gather
-from remitlake.llm.words import Words, mix, slices, words_of
+from remitlake.llm.words import Words, grams, mix, slices, words_of
 
 WINDOW = 50
 ROUNDS = 2
 #: A symbol of round r has 2^r words at most, and at most three symbols at an end depend on the outside.
 MARGIN = 3 * (2**ROUNDS - 1)
-CHUNK_BYTES = 16 << 20
+#: Neighbouring symbols that stand for a window together. The WINDOW - 2 * MARGIN words inside hold six
+#: symbols at least, and so some such row.
+NEIGHBOURS = 4
+CHUNK_BYTES = 8 << 20
 
 _R = np.random.default_rng(50)
 _SALT = _R.integers(1, 2**63, (ROUNDS + 1, 3), dtype=np.uint64) | np.uint64(1)
@@ -83,6 +86,7 @@ def windows(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
         none = np.zeros(0, np.uint64)
         return first, first, none, none
     symbol, start, end = recompress(words.hash, row)
+    symbol, start, end = grams(symbol, NEIGHBOURS), start[: 1 - NEIGHBOURS], end[NEIGHBOURS - 1 :]
     low = np.searchsorted(start, first + MARGIN)
     high = np.searchsorted(end, first + WINDOW - MARGIN, "right")
     stands = _least_between(symbol, low, high)
