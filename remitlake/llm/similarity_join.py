@@ -196,8 +196,9 @@ def candidate_links(sets: DataFrame, runs: int) -> DataFrame:
         large = sized.where(F.col("n") > LEAF).join(sets, "sid")
         if large.isEmpty():
             break
-        # The window passes on LEADERS rows a node before its shuffle.
-        first = Window.partitionBy("path").orderBy(F.xxhash64("sid", "path"), "sid")
+        # The window passes on LEADERS rows a node before its shuffle. Sets have one order in all nodes,
+        # so that alike sets are linked to the same leader everywhere.
+        first = Window.partitionBy("path").orderBy(F.xxhash64("sid"), "sid")
         leaders = large.withColumn("_k", F.row_number().over(first)).where(F.col("_k") <= LEADERS)
         leaders = _stored(leaders.groupBy("path").agg(F.collect_list(F.struct("sid", "sketch")).alias("leaders")), "leaders")
         settled = _stored(large.join(leaders, "path").mapInArrow(_settle, "path long, sid binary, sketch binary, stays boolean, linked array<binary>"), "settled")
