@@ -178,7 +178,7 @@ def by_bucket(words: DataFrame, work: Callable[[pa.Table], Iterator[dict]], sche
 
 
 def _schema(ddl: str) -> pa.Schema:
-    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32()), "string": pa.string(), "double": pa.float64()}
+    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32()), "array<double>": pa.list_(pa.float64()), "string": pa.string(), "double": pa.float64()}
     return pa.schema([(n, kinds[k]) for n, k in (x.split() for x in ddl.split(", "))])
 
 

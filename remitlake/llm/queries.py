@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from remitlake.llm import byte_bpe, decontaminate, exact_dedup, pii, quality, similarity_join, substring_dedup, token_counts, warc
+from remitlake.llm import byte_bpe, decontaminate, exact_dedup, language_model, pii, quality, similarity_join, substring_dedup, token_counts, warc
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 BYTE_PATTERN = public_tokenizers.PATTERN
@@ -38,6 +38,10 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digests(substring_dedup.drop_repeats(table(spark, sf_dir, "documents")))
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score(table(spark, sf_dir, "documents"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(table(spark, sf_dir, "pages"))
 
@@ -56,7 +60,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(byte_bpe.decode(encoded, BYTE_BPE))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_classifier, op2_ngram_jaccard_join, op3_exact_dedup, op4_token_counts, op5_substring_dedup, op7_warc, op8_pii, op9_decontamination, op10_byte_bpe)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_quality_classifier, op2_ngram_jaccard_join, op3_exact_dedup, op4_token_counts, op5_substring_dedup, op6_lm_scoring, op7_warc, op8_pii, op9_decontamination, op10_byte_bpe)}
 
 _NORMAL = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
 
