@@ -34,8 +34,11 @@ WINDOW = 32
 #: Each round trains on one of SHARES of the training documents, by a hash of the id.
 SHARES = 16
 ROUNDS = 2
-LANES_TRAIN, LANES_SCORE = 64, 256
-HOLD_TOKENS = 1 << 20
+LANES_TRAIN, LANES_SCORE = 32, 256
+#: Steps until the full rate; words of a stretch in training, where lanes of like length cost least.
+WARM = 60
+STRETCH = 1024
+HOLD_TOKENS = 2 << 20
 REDUCERS = 32
 
 CODED = "doc_ids array<long>, flags array<int>, n_known array<long>, log_base array<double>, log_tail array<double>, blob binary"
@@ -174,9 +177,9 @@ def _grid(counts: np.ndarray, tokens: np.ndarray, most: int):
     lanes = lanes_of(counts, most)
     length = np.array([sum(int(counts[i]) for i in own) for own in lanes])
     steps = int(length.max()) if len(length) else 0
-    target = np.zeros((steps, len(lanes)), np.int64)
-    enter = np.full((steps, len(lanes)), START, np.int64)
-    doc = np.full((steps, len(lanes)), -1, np.int64)
+    target = np.zeros((steps, len(lanes)), np.int32)
+    enter = np.full((steps, len(lanes)), START, np.int32)
+    doc = np.full((steps, len(lanes)), -1, np.int32)
     for k, own in enumerate(lanes):
         t = 0
         for i in own:
@@ -246,12 +249,13 @@ def train(model: GatedModel, counts: np.ndarray, tokens: np.ndarray, moments: di
             back = np.where(live, before, back)
             back = np.where((enter[t, :k] == START)[:, None], np.float32(0), back)
         moments["t"] = moments.get("t", 0) + 1
+        slow = min(1.0, moments["t"] / WARM)
         for name, x in g.items():
             x = x / max(1, len(own))
             one, two = moments.setdefault(name, (np.zeros_like(x), np.zeros_like(x)))
             one += 0.1 * (x - one)
             two += 0.01 * (x * x - two)
-            p[name] -= (rate * (one / (1 - 0.9 ** moments["t"])) / (np.sqrt(two / (1 - 0.99 ** moments["t"])) + 1e-4)).astype(np.float32)
+            p[name] -= (slow * rate * (one / (1 - 0.9 ** moments["t"])) / (np.sqrt(two / (1 - 0.99 ** moments["t"])) + 1e-6)).astype(np.float32)
 
 
 def _flat(p: dict) -> np.ndarray:
@@ -298,7 +302,9 @@ def _train_round(coded: DataFrame, model: GatedModel, round_: int) -> GatedModel
                 # Words met once stand for themselves and, every second time, for words never met.
                 once = np.flatnonzero(tokens == HEAD)
                 tokens[once[::2]] = UNSEEN
-                train(own, counts, tokens, moments)
+                whole, rest = counts // STRETCH, counts % STRETCH
+                pieces = [np.append(np.full(w, STRETCH), r) if r else np.full(w, STRETCH) for w, r in zip(whole, rest, strict=True)]
+                train(own, np.concatenate(pieces), tokens, moments)
                 seen += len(tokens)
         if seen:
             yield pa.RecordBatch.from_pydict({"r": [seen % REDUCERS], "n": [seen], "p": [_flat(own.p).tobytes()]})
