@@ -11,22 +11,30 @@ from remitlake.scratch import scratch_root
 def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -> DataFrame:
     """``node, label``: every node of ``edges`` with the smallest node of its component.
 
-    Each round takes the smallest label among the neighbours and then the label of that label, so long
-    chains shorten by half. The minimum is formed before the shuffle and a hub's rows meet its label
-    in a join that adaptive execution splits, so a hub with a third of the edges is no hot task.
-    Rounds end when no label changes; the driver sees one number a round.
+    In a round every node with a smaller neighbour hooks to the smallest, and on to what that one hooks
+    to; then the edges are contracted, so that they get fewer quickly. The minimum is formed before the
+    shuffle and a hub's rows meet its hook in joins that adaptive execution splits, so a hub with a
+    third of the edges is no hot task. It ends when no edge is left; the driver sees one flag a round.
     """
     scratch_root(edges.sparkSession)
-    both = edges.select(F.col(a).alias("node"), F.col(b).alias("other")).where(F.col(a) != F.col(b))
-    both = both.union(both.select("other", "node")).distinct().checkpoint(eager=True)
-    labels = both.groupBy("node").agg(F.least(F.min("other"), F.col("node")).alias("label"))
-    labels = labels.checkpoint(eager=True)
+    edges = _tidy(edges.select(F.col(a).alias("a"), F.col(b).alias("b")))
+    labels = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct().withColumn("label", F.col("node")).checkpoint(eager=True)
     for _ in range(rounds):
-        seen = both.join(labels.withColumnRenamed("node", "other"), "other").groupBy("node").agg(F.min("label").alias("near"))
-        near = labels.join(seen, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        top = labels.select(F.col("node").alias("label"), F.col("label").alias("up"))
-        new = near.join(top, "label", "left").select("node", "old", F.least("label", "up").alias("label")).checkpoint(eager=True)
-        labels = new.select("node", "label")
-        if new.where("label < old").isEmpty():
+        if edges.isEmpty():
             return labels
-    raise RuntimeError(f"labels still change after {rounds} rounds")
+        hook = edges.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("up")).checkpoint(eager=True)
+        further = hook.select(F.col("node").alias("up"), F.col("up").alias("top"))
+        hook = hook.join(further, "up", "left").select("node", F.coalesce("top", "up").alias("up")).checkpoint(eager=True)
+        for end in ("a", "b"):
+            own = hook.select(F.col("node").alias(end), F.col("up").alias("_up"))
+            edges = edges.join(own, end, "left").withColumn(end, F.coalesce("_up", end)).drop("_up")
+        edges = _tidy(edges)
+        own = hook.select(F.col("node").alias("label"), F.col("up").alias("_up"))
+        labels = labels.join(own, "label", "left").select("node", F.coalesce("_up", "label").alias("label")).checkpoint(eager=True)
+    raise RuntimeError(f"edges are still left after {rounds} rounds")
+
+
+def _tidy(edges: DataFrame) -> DataFrame:
+    """Each edge once, from its smaller node to its larger."""
+    both = edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return both.distinct().checkpoint(eager=True)
