@@ -136,13 +136,10 @@ _CUR_TYPED = (
 )
 
 RATES = f"""
-day_rates AS (SELECT DISTINCT
-    first_value(currency_code) OVER w AS currency_code,
-    first_value(currency_code_with) OVER w AS currency_code_with,
-    first_value(currency_with_div) OVER w AS currency_with_div,
-    CAST(first_value(date_update) OVER w AS DATE) AS date_update
-  FROM cur WHERE currency_code_with = 420 AND CAST(date_update AS DATE) <= {DAY}
-  WINDOW w AS (PARTITION BY currency_code ORDER BY date_update DESC, sent_dttm DESC, object_id DESC)),
+last_known AS (SELECT currency_code, max((date_update, sent_dttm, object_id, currency_with_div)) AS best
+  FROM cur WHERE currency_code_with = 420 AND event_day <= {DAY} GROUP BY currency_code),
+day_rates AS (SELECT currency_code, 420 AS currency_code_with, best[4] AS currency_with_div,
+    CAST(best[1] AS DATE) AS date_update FROM last_known),
 day_rates_420 AS (SELECT * FROM day_rates
   UNION ALL SELECT 420, 420, CAST(1.0 AS DECIMAL(8,2)), {DAY}),
 daily AS (SELECT currency_code, event_day AS rate_day, currency_with_div FROM cur
@@ -409,15 +406,10 @@ def all_sql() -> dict[str, str]:
         ),
         # one row per key
         "latest_rate_first_value": _with(
-            """SELECT DISTINCT first_value(object_id) OVER w AS object_id,
-              first_value(sent_dttm) OVER w AS sent_dttm,
-              first_value(date_update) OVER w AS date_update,
-              first_value(currency_code) OVER w AS currency_code,
-              first_value(currency_code_with) OVER w AS currency_code_with,
-              first_value(currency_with_div) OVER w AS currency_with_div
+            """SELECT object_id, sent_dttm, date_update, currency_code, currency_code_with, currency_with_div
             FROM cur WHERE currency_code_with = 420
-            WINDOW w AS (PARTITION BY currency_code
-              ORDER BY date_update DESC, sent_dttm DESC, object_id DESC)""",
+            QUALIFY row_number() OVER (PARTITION BY currency_code
+              ORDER BY date_update DESC, sent_dttm DESC, object_id DESC) = 1""",
             TYPED,
         ),
         "dedup_currencies": _with(f"SELECT {cur_text}, event_day FROM cur_text", TEXT),
@@ -435,6 +427,7 @@ def all_sql() -> dict[str, str]:
               FROM (SELECT CAST(min(ts) AS DATE) AS lo, CAST(max(ts) AS DATE) AS hi FROM events))""",
         # streaming
         "stream_dedup_exact": _STREAM_KEYS,
+        "stream_dedup_bounded": _STREAM_KEYS,
         "stream_land_counts": _with(
             """SELECT sent_type AS object_type, COUNT(DISTINCT object_id) AS cnt FROM landed
             GROUP BY sent_type""",

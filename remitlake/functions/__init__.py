@@ -22,9 +22,17 @@ def day_text(day: Day) -> str:
 
 
 def event_day(column: str | Column) -> Column:
-    """The calendar day of a timestamp, or of timestamp text; null where the text is no timestamp."""
+    """The calendar day of a timestamp, or of timestamp text; null where the text is no timestamp.
+
+    Text must begin with a whole date: a bare time would take the day of the clock, a bare year its
+    first day. Text with a zone counts on its day in the session's zone, UTC.
+    """
     column = F.col(column) if isinstance(column, str) else column
-    return column.try_cast("timestamp").cast("date")
+    return F.when(dated(column), column.try_cast("timestamp")).cast("date")
+
+
+def dated(column: Column) -> Column:
+    return column.cast("string").rlike(r"^\s*[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9])")
 
 
 def on_day(column: str | Column, day: Day) -> Column:

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from remitlake.functions import event_day
 from remitlake.operators.rates import lookup_for_days
 from remitlake.schemas import USD
-from remitlake.scratch import BROADCAST_ROWS, broadcast_if_small
 
 
 def real_accounts(tx: DataFrame) -> DataFrame:
@@ -31,11 +30,12 @@ def amount_in_usd(amount: str = "amount", rate: str = "currency_with_div") -> Co
     return F.col(amount).cast("decimal(20,0)") * F.col(rate)
 
 
-def convert(tx: DataFrame, rates: DataFrame, max_broadcast: int = BROADCAST_ROWS) -> DataFrame:
-    """Join one day's rates by currency; transactions without a rate drop out."""
-    lookup = broadcast_if_small(
-        rates.select("currency_code", "currency_with_div"), max_broadcast
-    )
+def convert(tx: DataFrame, rates: DataFrame) -> DataFrame:
+    """Join one day's rates by currency; transactions without a rate drop out.
+
+    No job runs here: adaptive execution broadcasts the rates if they turn out small.
+    """
+    lookup = rates.select("currency_code", "currency_with_div")
     return tx.join(lookup, "currency_code").withColumn("amount_usd", amount_in_usd())
 
 
@@ -50,7 +50,6 @@ def asof_convert(
     code: int = USD,
     mode: str = "asof",
     points: DataFrame | None = None,
-    max_broadcast: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Convert any span of days in one pass.
 
@@ -59,6 +58,6 @@ def asof_convert(
     costly to compute, give ``points`` (at least the pairs of ``tx``) from a cheaper source.
     """
     points = rate_points(tx) if points is None else points
-    lookup = broadcast_if_small(lookup_for_days(points, cur, code, mode), max_broadcast)
+    lookup = lookup_for_days(points, cur, code, mode)
     dated = tx.withColumn("day", event_day("transaction_dt"))
     return dated.join(lookup, ["currency_code", "day"]).withColumn("amount_usd", amount_in_usd())

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from remitlake.functions import dated
 from remitlake.schemas import Field, Kind
 
 REASON = "reject_reason"
@@ -12,6 +13,8 @@ REASON = "reject_reason"
 
 def _typed(field: Field) -> Column:
     value = F.col(field.name).try_cast(field.type)
+    if field.type in ("timestamp", "date"):
+        value = F.when(dated(F.col(field.name)), value)
     if field.grain:
         value = F.date_trunc(field.grain, value)
     return value

@@ -8,10 +8,6 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Rows up to which a lookup side may be broadcast: about 100 MB for the narrow rows used here.
-BROADCAST_ROWS = 1_000_000
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -56,16 +52,3 @@ def _delete(spark: SparkSession, path: str) -> None:
     context = spark.sparkContext
     target = context._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after the row count is known to be within ``max_rows``.
-
-    The side is checkpointed first, so counting and joining compute it once. Beyond the bound it is
-    returned without a hint and Spark shuffles (adaptive execution splits skewed join keys).
-    """
-    scratch_root(df.sparkSession)
-    lookup = df.checkpoint(eager=True)
-    if lookup.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(lookup)
-    return lookup

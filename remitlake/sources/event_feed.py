@@ -66,11 +66,9 @@ def typed_rows(events: DataFrame, kind: Kind) -> DataFrame:
     )
 
 
-def messages(events: DataFrame, dirty: bool = False, kind: Kind | None = None) -> DataFrame:
-    """Topic rows: binary key and value, topic, partition, offset, timestamp; one kind or both."""
+def messages(events: DataFrame, dirty: bool = False) -> DataFrame:
+    """Topic rows, all kinds mixed: binary key and value, topic, partition, offset, timestamp."""
     rows = feed(events)
-    if kind is not None:
-        rows = rows.filter(F.col("object_type") == kind.name)
     stamp = F.date_format("dt", "yyyy-MM-dd HH:mm:ss")
     sent = F.date_format("sent_dttm", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     object_type, amount, country = F.col("object_type"), F.col("amount"), F.col("country")
@@ -122,8 +120,9 @@ def messages(events: DataFrame, dirty: bool = False, kind: Kind | None = None) -
 
 
 def landed(events: DataFrame, dirty: bool = False, kind: Kind | None = None) -> DataFrame:
-    """Landing rows of one kind or both, before any de-duplication."""
-    return with_event_date(parse_envelope(messages(events, dirty, kind)).filter(landable()))
+    """Landing rows of one kind or both, split after the mixed messages are parsed."""
+    rows = with_event_date(parse_envelope(messages(events, dirty)).filter(landable()))
+    return rows if kind is None else rows.filter(F.col("object_type") == kind.name)
 
 
 def day_bounds(events: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +15,8 @@ LANDING_DDL = (
     "object_id string, sent_dttm timestamp, payload string, object_type string, event_date date"
 )
 PARTITIONS = ["object_type", "event_date"]
+# Above them, who wrote: streams and batch loads share the folder and never touch each other's files.
+OWNER = ["run", "batch_id"]
 
 
 def land(messages: DataFrame, path: str, mode: str = "append") -> None:
@@ -22,11 +26,21 @@ def land(messages: DataFrame, path: str, mode: str = "append") -> None:
     ones, so file sizes follow the data.
     """
     rows = with_event_date(messages.filter(landable())).select(*LANDING_COLUMNS)
-    rows.hint("rebalance", *PARTITIONS).write.mode(mode).partitionBy(*PARTITIONS).parquet(path)
+    owned = rows.hint("rebalance", *PARTITIONS).withColumns(
+        {"run": F.lit(uuid.uuid4().hex), "batch_id": F.lit(0)}
+    )
+    owned.write.mode(mode).partitionBy(*OWNER, *PARTITIONS).parquet(path)
+
+
+def land_as(rows: DataFrame, path: str, run: str, batch_id: int) -> None:
+    """Landing rows of one batch of a run; the same batch again replaces what it wrote."""
+    folder = f"{path}/run={run}/batch_id={batch_id}"
+    rows.write.mode("overwrite").partitionBy(*PARTITIONS).parquet(folder)
 
 
 def read_all(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(LANDING_DDL).parquet(path)
+    columns = [c.split()[0] for c in LANDING_DDL.split(", ")]
+    return spark.read.schema(f"{LANDING_DDL}, run string, batch_id long").parquet(path).select(*columns)
 
 
 def read_landing(spark: SparkSession, path: str, kind: str, day: Day | None = None) -> DataFrame:

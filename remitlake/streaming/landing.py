@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Iterator, Mapping
 from contextlib import contextmanager
 
@@ -12,47 +13,41 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from remitlake.operators.parse import landable, parse_envelope, quarantine, with_event_date
 from remitlake.session import STATE_STORE
 from remitlake.sources.jdbc import write_jdbc
-from remitlake.sources.landing import LANDING_COLUMNS, PARTITIONS
+from remitlake.sources.landing import LANDING_COLUMNS, land_as
 
 KEYS = ["object_type", "object_id"]
 DELAY = "5 minutes"
-BatchWriter = Callable[[DataFrame, int], None]
+# Rows, batch id and run: batch ids begin anew with a new checkpoint, runs are never the same.
+BatchWriter = Callable[[DataFrame, int, str], None]
 
 
 def collapse_repeats(df: DataFrame) -> DataFrame:
-    """Drop repeats of a key within each Arrow batch, keeping the first.
+    """Drop repeats of a key within each Arrow batch, keeping the first and every later event time.
 
-    Streaming de-duplication shuffles every row by key and has no map-side step of its own. Without
+    A repeat with a later event time than all before it goes on: the first may turn out too late for
+    the watermark, and event times move the watermark. Streaming de-duplication shuffles every row by key and has no map-side step of its own. Without
     this a key repeated through the stream would send all its rows to one task.
     """
 
     def first_of_batch(batches):
         # Nested, so that it travels by value and executors need no copy of this package.
-        import numpy as np
         import pyarrow as pa
 
         for batch in batches:
             if batch.num_rows < 2:
                 yield batch
                 continue
-            keys = pa.table(
-                {
-                    "t": batch.column("object_type"),
-                    "i": batch.column("object_id"),
-                    "n": np.arange(batch.num_rows),
-                }
-            )
-            first = keys.group_by(["t", "i"]).aggregate([("n", "min")]).column("n_min")
-            if len(first) == batch.num_rows:
-                yield batch
-            else:
-                yield batch.take(first.combine_chunks().sort())
+            rows = batch.select(["object_type", "object_id", "sent_dttm"]).to_pandas()
+            key = [rows["object_type"], rows["object_id"]]
+            latest = rows["sent_dttm"].groupby(key, dropna=False).cummax()
+            before = latest.groupby(key, dropna=False).shift()
+            yield batch.filter(pa.array(before.isna() | (rows["sent_dttm"] > before)))
 
     return df.mapInArrow(first_of_batch, df.schema)
 
 
 def dedup_stream(
-    df: DataFrame, mode: str = "exact", delay: str = DELAY, collapse: bool = True
+    df: DataFrame, mode: str = "exact", delay: str = DELAY, collapse: bool = False
 ) -> DataFrame:
     """Keep the first arrival of each (object_type, object_id).
 
@@ -71,7 +66,7 @@ def dedup_stream(
 
 
 def landing_rows(
-    messages: DataFrame, mode: str = "exact", delay: str = DELAY, collapse: bool = True
+    messages: DataFrame, mode: str = "exact", delay: str = DELAY, collapse: bool = False
 ) -> DataFrame:
     """Raw messages to de-duplicated landing rows.
 
@@ -120,26 +115,43 @@ def run_landing(
     checkpoint: str,
     mode: str = "exact",
     delay: str = DELAY,
-    collapse: bool = True,
+    collapse: bool = False,
     available_now: bool = False,
     every: str | None = None,
     files_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Land into one partitioned Parquet folder, each message exactly once across restarts.
 
+    A batch that is written again replaces itself. ``land`` may add to the same folder.
+
     ``files_per_batch`` repartitions by message id before writing, to keep small micro-batches from
     writing one file per state partition.
     """
     rows = landing_rows(messages, mode, delay, collapse)
     if files_per_batch:
         rows = rows.repartition(files_per_batch, "object_id")
-    writer = (
-        rows.writeStream.format("parquet")
-        .partitionBy(*PARTITIONS)
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-    )
-    return _start(messages.sparkSession, writer, available_now, every)
+
+    def write(df: DataFrame, batch_id: int, run: str) -> None:
+        land_as(df, path, run, batch_id)
+
+    return _start_batches(rows, write, checkpoint, available_now, every)
+
+
+def _start_batches(
+    rows: DataFrame, write: BatchWriter, checkpoint: str, available_now: bool, every: str | None
+) -> StreamingQuery:
+    """Write each micro-batch under the query's id, which a checkpoint keeps across restarts."""
+    named, run = threading.Event(), []
+
+    def batch(df: DataFrame, batch_id: int) -> None:
+        named.wait()
+        write(df, batch_id, run[0])
+
+    writer = rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(batch)
+    query = _start(rows.sparkSession, writer, available_now, every)
+    run.append(str(query.id))
+    named.set()
+    return query
 
 
 def run_quarantine(
@@ -161,10 +173,11 @@ def run_quarantine(
 
 
 def folder_writer(path: str) -> BatchWriter:
-    """A batch writer that is safe to repeat: each batch owns a folder and replaces it whole."""
+    """A batch writer that is safe to repeat: each batch of a run owns a folder and replaces it whole."""
 
-    def write(df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").partitionBy("event_date").parquet(f"{path}/batch_id={batch_id}")
+    def write(df: DataFrame, batch_id: int, run: str) -> None:
+        folder = f"{path}/run={run}/batch_id={batch_id}"
+        df.write.mode("overwrite").partitionBy("event_date").parquet(folder)
 
     return write
 
@@ -172,19 +185,21 @@ def folder_writer(path: str) -> BatchWriter:
 def jdbc_writer(url: str, table: str, props: Mapping[str, str], connections: int = 16) -> BatchWriter:
     """A batch writer that appends the message columns to a database table."""
 
-    def write(df: DataFrame, batch_id: int) -> None:
+    def write(df: DataFrame, batch_id: int, run: str) -> None:
         rows = df.select("object_id", "object_type", "sent_dttm", "payload")
         write_jdbc(rows, url, table, props, connections)
 
     return write
 
 
-def land_batch(df: DataFrame, batch_id: int, writers: Mapping[str, BatchWriter]) -> None:
+def land_batch(
+    df: DataFrame, batch_id: int, writers: Mapping[str, BatchWriter], run: str = "manual"
+) -> None:
     """Write one micro-batch to a target per message type; it is computed once and then released."""
     df.persist()
     try:
         for kind, write in writers.items():
-            write(df.filter(F.col("object_type") == kind), batch_id)
+            write(df.filter(F.col("object_type") == kind), batch_id, run)
     finally:
         df.unpersist()
 
@@ -195,7 +210,7 @@ def run_fan_out(
     checkpoint: str,
     mode: str = "exact",
     delay: str = DELAY,
-    collapse: bool = True,
+    collapse: bool = False,
     available_now: bool = False,
     every: str | None = None,
 ) -> StreamingQuery:
@@ -205,7 +220,8 @@ def run_fan_out(
     the staging de-duplication.
     """
     rows = landing_rows(messages, mode, delay, collapse)
-    writer = rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
-        lambda df, batch_id: land_batch(df, batch_id, writers)
-    )
-    return _start(messages.sparkSession, writer, available_now, every)
+
+    def write(df: DataFrame, batch_id: int, run: str) -> None:
+        land_batch(df, batch_id, writers, run)
+
+    return _start_batches(rows, write, checkpoint, available_now, every)

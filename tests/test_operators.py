@@ -7,6 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 from remitlake.functions import anchor_of, day_text, hash_key, partition_group
+from remitlake.functions import event_day
 from remitlake.operators import checks, convert, core, metrics, parse, rates, reports
 from remitlake.operators.dedup import dedup_batch, scd1
 from remitlake.operators.typing import split_rejects
@@ -235,13 +236,8 @@ TX = [
 ]
 
 
-@pytest.mark.parametrize("max_broadcast", [1000, 0])
-def test_asof_convert(spark, max_broadcast):
-    out = convert.asof_convert(
-        tx_df(spark, TX), rates_df(spark, RATES), max_broadcast=max_broadcast
-    )
-    plan = out._jdf.queryExecution().optimizedPlan().toString()
-    assert ("broadcast" in plan) == bool(max_broadcast)
+def test_asof_convert(spark):
+    out = convert.asof_convert(tx_df(spark, TX), rates_df(spark, RATES))
     assert as_dict(out, "object_id", "amount_usd") == {
         uid(2): Decimal("95.00"),
         uid(3): Decimal("95.00"),
@@ -403,3 +399,21 @@ def test_dashboard_filters(spark):
     turnover = as_dict(reports.dash_turnover(mart), "date_update", "amount_total")
     assert turnover[dt.date(2022, 10, 1)] == Decimal("102.00")
     assert reports.dash_avg(mart).count() == reports.dash_accounts(mart).count() == mart.count()
+
+
+@pytest.mark.parametrize(
+    ("text", "day"),
+    [
+        ("2022-10-01 23:30:00", "2022-10-01"),
+        ("2022-10-01", "2022-10-01"),
+        ("2022-10-01T23:30:00-05:00", "2022-10-02"),
+        ("10:00", None),
+        ("T10:00", None),
+        ("2022", None),
+        ("2022-10", None),
+        ("", None),
+    ],
+)
+def test_a_day_needs_a_whole_date(spark, text, day):
+    got = spark.createDataFrame([(text,)], "t string").select(event_day("t").alias("d")).first().d
+    assert (got and str(got)) == day

@@ -97,7 +97,7 @@ def test_jdbc_append_arguments():
 
 def test_jdbc_batches_hold_the_message_columns():
     df = mock.MagicMock()
-    jdbc_writer("jdbc:db://host/de", "stg.transactions", {"user": "u"})(df, 3)
+    jdbc_writer("jdbc:db://host/de", "stg.transactions", {"user": "u"})(df, 3, "run")
     df.select.assert_called_once_with("object_id", "object_type", "sent_dttm", "payload")
     call = df.select.return_value.write.option.return_value.jdbc.call_args
     assert (call.kwargs["table"], call.kwargs["mode"]) == ("stg.transactions", "append")
@@ -201,11 +201,3 @@ def test_scratch_root_is_required_on_a_cluster():
     session.sparkContext.master = "yarn"
     with pytest.raises(ValueError):
         scratch.scratch_root(session)
-
-
-def test_broadcast_only_within_the_bound(spark):
-    small = scratch.broadcast_if_small(spark.range(10), 10)
-    large = scratch.broadcast_if_small(spark.range(11), 10)
-    assert "Hint broadcast" in small._jdf.queryExecution().logical().toString()
-    assert "Hint broadcast" not in large._jdf.queryExecution().logical().toString()
-    assert uid(1).endswith("1") and large.count() == 11

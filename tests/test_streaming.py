@@ -142,5 +142,43 @@ def test_files_per_batch(spark, tmp_path):
     rows = [payment(i, minute(1)) for i in range(50)]
     write_lines(tmp_path / "in", "a", rows)
     land(spark, tmp_path, files_per_batch=1)
-    assert len(list((tmp_path / "out").glob("*/*/*.parquet"))) == 1
+    assert len(list((tmp_path / "out").glob("*/*/*/*/*.parquet"))) == 1
     assert len(landed_ids(spark, tmp_path)) == 50
+
+
+@pytest.mark.parametrize("collapse", [False, True])
+@pytest.mark.parametrize("batch_rows", ["1", "2", "10000"])
+def test_on_time_repeat_of_a_late_row_lands(spark, tmp_path, collapse, batch_rows):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, batch_rows)
+    try:
+        for name, rows in [
+            ("a", [payment(1, minute(0, 5))]),
+            ("b", [payment(2, minute(0, 6))]),
+            ("c", [payment(9, minute(0, 1)), payment(9, minute(6, 10))]),
+        ]:
+            write_lines(tmp_path / "in", name, rows)
+            land(spark, tmp_path, mode="bounded", collapse=collapse)
+    finally:
+        spark.conf.set(key, before)
+    assert [i for _, i in landed_ids(spark, tmp_path)] == [1, 2, 9]
+
+
+def test_fan_out_with_a_new_checkpoint_keeps_earlier_rows(spark, tmp_path):
+    writers = {"TRANSACTION": stream.folder_writer(str(tmp_path / "t"))}
+    for n in (1, 2):
+        write_lines(tmp_path / f"in{n}", "a", [payment(n, minute(1))])
+        stream.run_fan_out(
+            lines(spark, tmp_path / f"in{n}"), writers, str(tmp_path / f"c{n}"), available_now=True
+        ).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 2
+
+
+def test_stream_and_batch_land_in_one_folder(spark, tmp_path):
+    write_lines(tmp_path / "in", "a", [payment(1, minute(1))])
+    land(spark, tmp_path)
+    landing.land(parse_envelope(values(spark, [payment(2, minute(2))])), str(tmp_path / "out"))
+    write_lines(tmp_path / "in", "b", [payment(3, minute(3))])
+    land(spark, tmp_path)
+    assert [i for _, i in landed_ids(spark, tmp_path)] == [1, 2, 3]
