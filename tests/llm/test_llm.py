@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from remitlake.llm import byte_bpe, decontaminate, dictionary, exact_dedup, language_model, pii, quality
 from remitlake.llm import similarity_join, substring_dedup, token_counts, warc
-from remitlake.llm.graph import components
 from remitlake.llm.words import shingles, words_of
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -162,15 +161,6 @@ def test_similarity_join(spark, odd, empty):
     assert similarity_join.near_duplicates(empty).count() == 0
 
 
-def test_components_of_chains_and_stars(spark):
-    chain = [(i, i + 1) for i in range(0, 40)]
-    star = [(100 + i, 200) for i in range(50)] + [(7_000, 100), (300, 300)]
-    found = {x.node: x.label for x in components(spark.createDataFrame(chain + star, "a long, b long")).collect()}
-    assert all(found[i] == 0 for i in range(41)) and all(found[100 + i] == 100 for i in range(50))
-    assert found[200] == found[7_000] == 100
-    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
-
-
 def test_large_nodes_lose_no_link(spark, monkeypatch):
     monkeypatch.setattr(similarity_join, "LEAF", 8)
     monkeypatch.setattr(similarity_join, "BLOCK", 16)
