@@ -185,6 +185,16 @@ def _blocks(df: DataFrame, key: str, count: str, id_: str, size: int) -> DataFra
     return out.withColumn("block", F.xxhash64(key, "_pair")).withColumn("side", F.when(F.col("_pair.i") == F.col("_pair.j"), 0).when(F.col("_own") == F.col("_pair.i"), 1).otherwise(2)).drop("_pair", "_own")
 
 
+def contracted(links: DataFrame) -> DataFrame:
+    """``links`` (a, b; b < a) with the same components and, where sets share partners, far fewer rows.
+
+    Each set keeps the link to its smallest partner; its other partners are linked to that one instead,
+    and sets of one group have the same few. A set has as many links as nodes or blocks that hold it.
+    """
+    links = links.withColumn("_least", F.min("b").over(Window.partitionBy("a")))
+    return links.select(F.when(F.col("b") == F.col("_least"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("_least").alias("b")).distinct()
+
+
 def candidate_links(sets: DataFrame, runs: int) -> DataFrame:
     """a, b: links whose components hold every pair that met in a node. ``sets``: sid, sketch."""
     leaves, links = [], []
@@ -196,11 +206,11 @@ def candidate_links(sets: DataFrame, runs: int) -> DataFrame:
         large = sized.where(F.col("n") > LEAF).join(sets, "sid")
         if large.isEmpty():
             break
-        # The window passes on LEADERS rows a node before its shuffle. Sets have one order in all nodes,
-        # so that alike sets are linked to the same leader everywhere.
-        first = Window.partitionBy("path").orderBy(F.xxhash64("sid"), "sid")
+        # The window passes on LEADERS rows a node before its shuffle. Sets have one order in all nodes
+        # and leaves, so that alike sets are linked to the same one everywhere; ids are hashes.
+        first = Window.partitionBy("path").orderBy("sid")
         leaders = large.withColumn("_k", F.row_number().over(first)).where(F.col("_k") <= LEADERS)
-        leaders = _stored(leaders.groupBy("path").agg(F.collect_list(F.struct("sid", "sketch")).alias("leaders")), "leaders")
+        leaders = _stored(leaders.groupBy("path").agg(F.sort_array(F.collect_list(F.struct("sid", "sketch"))).alias("leaders")), "leaders")
         settled = _stored(large.join(leaders, "path").mapInArrow(_settle, "path long, sid binary, sketch binary, stays boolean, linked array<binary>"), "settled")
         links.append(settled.select(F.col("sid").alias("a"), F.explode("linked").alias("b")).where("a != b"))
         rest = settled.where("stays")
@@ -212,7 +222,7 @@ def candidate_links(sets: DataFrame, runs: int) -> DataFrame:
             leaves.append(_blocks(rest.select("path", "sid").join(left, "path"), "path", "n", "sid", LEAF).select(F.col("block").alias("path"), "sid"))
     every = reduce(DataFrame.unionByName, leaves)
     dealt = every.join(sets, "sid").repartition("path").sortWithinPartitions("path", "sid")
-    return reduce(DataFrame.unionByName, links, dealt.mapInArrow(_meet, "a binary, b binary")).distinct()
+    return reduce(DataFrame.unionByName, links, dealt.mapInArrow(_meet, "a binary, b binary"))
 
 
 def _common(sets: list[np.ndarray]) -> np.ndarray:
@@ -287,7 +297,7 @@ def near_duplicates(docs: DataFrame, miss: float = MISS) -> DataFrame:
     ).write.parquet(at)
     sets = spark.read.parquet(at)
 
-    group = components(candidate_links(sets.select("sid", "sketch"), runs_for(miss))).withColumnRenamed("node", "sid")
+    group = components(contracted(candidate_links(sets.select("sid", "sketch"), runs_for(miss)))).withColumnRenamed("node", "sid")
     members = group.join(sets.select("sid", "size", "doc_id", "th"), "sid")
     members = members.join(_stored(group.groupBy("label").agg(F.count("*").alias("n")), "groups"), "label")
     texts = keyed.withColumnRenamed("doc_id", "_id").withColumnRenamed("th", "_th")
@@ -297,7 +307,7 @@ def near_duplicates(docs: DataFrame, miss: float = MISS) -> DataFrame:
     whole.repartition("block").sortWithinPartitions("block", "sid").mapInArrow(_verify, "sid binary, links long, other binary").write.parquet(at)
     links = spark.read.parquet(at)
 
-    label = components(links.select(F.col("sid").alias("a"), F.col("other").alias("b"))).withColumnRenamed("node", "sid")
+    label = components(contracted(links.select(F.col("sid").alias("a"), F.col("other").alias("b")))).withColumnRenamed("node", "sid")
     known = sets.select("sid", "size", "doc_id").join(links.groupBy("sid").agg(F.sum("links").alias("links")), "sid", "left").join(label, "sid", "left")
     known = known.withColumn("label", F.coalesce("label", "sid"))
     named = known.join(_stored(known.groupBy("label").agg(F.min("doc_id").alias("class_id")), "classes"), "label")
