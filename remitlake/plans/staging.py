@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,10 +27,14 @@ from remitlake.sources.landing import read_landing, read_landing_range, read_und
 
 @dataclass(frozen=True)
 class Lake:
-    """Where the data lives: the landing folder and the database of typed tables."""
+    """Where the data lives: the landing folder and the database of typed tables.
+
+    With ``time_ordered``, every staging load also refreshes a copy laid out by time alone.
+    """
 
     landing: str
     database: str
+    time_ordered: bool = False
 
     def table(self, kind: Kind) -> str:
         return f"{self.database}.{kind.table}"
@@ -37,6 +42,9 @@ class Lake:
     def rejects(self, kind: Kind) -> str:
         return f"{self.database}.{kind.table}_rej"
 
+    def by_date(self, kind: Kind) -> str:
+        return f"{self.database}.{kind.table}_by_date"
+
     @property
     def mart(self) -> str:
         return f"{self.database}.{MART_TABLE}"
@@ -63,6 +71,11 @@ def _sides(judged: DataFrame, kind: Kind) -> tuple[DataFrame, DataFrame]:
     )
 
 
+def _refresh(spark: SparkSession, lake: Lake, kind: Kind, days: Sequence[Day]) -> None:
+    if lake.time_ordered:
+        tables.refresh_by_date(spark, lake.table(kind), lake.by_date(kind), kind.event_time, days)
+
+
 def stage_day(
     spark: SparkSession, lake: Lake, kind: Kind, day: Day, keep: str = "first"
 ) -> bool:
@@ -76,6 +89,7 @@ def stage_day(
         if not tables.replace_day(judged, ordered, lake.table(kind), day):
             return False
         tables.overwrite_day(bad, lake.rejects(kind), day)
+    _refresh(spark, lake, kind, [day])
     return True
 
 
@@ -85,10 +99,12 @@ def stage_range(
     """Load every day of lo..hi in one job; returns the days landing has something for.
 
     Same outcome as ``stage_day`` day by day: days without an extract stay, days whose rows are all
-    rejected are cleared.
+    rejected are cleared. The extract is laid out by day once, in its copy; both tables are written
+    from that without a further shuffle.
     """
     landing = read_landing_range(spark, lake.landing, kind.name, lo, hi)
-    with materialized(with_faults(extract(landing, kind, keep), kind), kind.table) as judged:
+    dealt = with_faults(extract(landing, kind, keep), kind).hint("rebalance", tables.EVENT_DAY)
+    with materialized(dealt, kind.table) as judged:
         # One row per calendar day, from two columns of the written extract.
         per_day = (
             judged.groupBy(F.date_format(tables.EVENT_DAY, "yyyy-MM-dd").alias("day"))
@@ -101,12 +117,14 @@ def stage_range(
         )
         ok, bad = _sides(judged, kind)
         if any(r.accepted for r in per_day):
-            tables.overwrite_days(ok, lake.table(kind), [kind.event_time, "object_id"])
+            tables.overwrite_days(ok, lake.table(kind), [kind.event_time, "object_id"], dealt=True)
         if any(r.rejected for r in per_day):
-            tables.overwrite_days(bad, lake.rejects(kind))
+            tables.overwrite_days(bad, lake.rejects(kind), dealt=True)
     for table, filled in ((lake.table(kind), "accepted"), (lake.rejects(kind), "rejected")):
         tables.drop_listed_days(spark, table, [r.day for r in per_day if not r[filled]])
-    return [row.day for row in per_day]
+    days = [row.day for row in per_day]
+    _refresh(spark, lake, kind, days)
+    return days
 
 
 def undated_rejects(spark: SparkSession, lake: Lake, kind: Kind) -> DataFrame:

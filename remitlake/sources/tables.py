@@ -14,6 +14,7 @@ from remitlake.operators.typing import REASON
 from remitlake.schemas import BY_KIND, MART_DDL, MART_TABLE
 
 EVENT_DAY = "event_day"
+EVENT_MONTH = "event_month"
 MART_DAY = "date_update"
 # Kept with the table, so that an overwrite replaces only the days it has rows for whatever the
 # session says. A session setting switched on and off would race between concurrent loads.
@@ -75,16 +76,20 @@ def replace_day(extract: DataFrame, accepted: DataFrame, table: str, day: Day) -
     return True
 
 
-def overwrite_days(df: DataFrame, table: str, sort_cols: Sequence[str] = ()) -> None:
+def overwrite_days(
+    df: DataFrame, table: str, sort_cols: Sequence[str] = (), dealt: bool = False
+) -> None:
     """Replace every day that occurs in ``df``, leaving the others.
 
     The rebalance hint cuts a dominant day into several files; ``sort_cols`` order each of them.
+    ``dealt`` rows are laid out by day already and are not shuffled again.
     """
     spark = df.sparkSession
     _check_replaces_by_day(spark, table)
     key = _day_column(spark, table)
     columns = [c for c in spark.table(table).columns if c != key]
-    spread = df.select(*columns, key).hint("rebalance", key)
+    rows = df.select(*columns, key)
+    spread = rows if dealt else rows.hint("rebalance", key)
     ordered = spread.sortWithinPartitions(key, *sort_cols)
     ordered.write.mode("overwrite").insertInto(table)
 
@@ -162,6 +167,32 @@ def write_by_date(df: DataFrame, table: str, date_col: str, n: int) -> None:
     )
 
 
+def refresh_by_date(
+    spark: SparkSession, source: str, table: str, date_col: str, days: Sequence[Day]
+) -> None:
+    """Bring a time-ordered copy of ``source`` up to date for the months that hold ``days``.
+
+    Only those months are read and replaced, each as ranges of (time, hash of the row id), so a file
+    covers one stretch of time. A month without rows is dropped. The copy is created when missing.
+    """
+    months = sorted({dt.date.fromisoformat(day_text(d)).replace(day=1) for d in days})
+    if not months:
+        return
+    columns = ", ".join(f"{name} {kind}" for name, kind in spark.table(source).dtypes)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {table} ({columns}, {EVENT_MONTH} date) USING parquet "
+        f"OPTIONS ({BY_DAY[0]} '{BY_DAY[1]}') PARTITIONED BY ({EVENT_MONTH})"
+    )
+    _check_replaces_by_day(spark, table)
+    rows = spark.table(source).withColumn(EVENT_MONTH, F.trunc(EVENT_DAY, "month"))
+    rows = rows.filter(F.col(EVENT_MONTH).isin(months))
+    ranges = rows.repartitionByRange(EVENT_MONTH, date_col, F.xxhash64("object_id"))
+    ordered = ranges.sortWithinPartitions(EVENT_MONTH, date_col)
+    ordered.write.mode("overwrite").insertInto(table)
+    filled = {row[0] for row in rows.select(EVENT_MONTH).distinct().collect()}
+    drop_listed_days(spark, table, [m for m in months if m not in filled])
+
+
 def compact_days(
     df: DataFrame,
     table: str,

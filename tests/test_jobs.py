@@ -87,6 +87,25 @@ def test_staging_keeps_the_day_when_nothing_landed(spark, lake):
     assert spark.table(lake.table(TRANSACTIONS)).count() == 1
 
 
+def test_time_ordered_copy_follows_the_table(spark, lake):
+    ordered = staging.Lake(lake.landing, lake.database, time_ordered=True)
+
+    def same():
+        table, copy = spark.table(lake.table(TRANSACTIONS)), spark.table(ordered.by_date(TRANSACTIONS))
+        assert sorted(table.collect()) == sorted(copy.drop(tables.EVENT_MONTH).collect())
+        return tables.stored_days(spark, ordered.by_date(TRANSACTIONS))
+
+    later = [payment(20, "2022-11-05 09:00:00", 410, 5, 5, 6)]
+    land_all(spark, ordered, MESSAGES + later)
+    staging.stage_day(spark, ordered, TRANSACTIONS, "2022-10-01")
+    assert same() == ["2022-10-01"]
+    staging.stage_range(spark, ordered, TRANSACTIONS, "2022-10-02", "2022-11-30")
+    assert same() == ["2022-10-01", "2022-11-01"]
+    land_all(spark, ordered, [payment(20, "2022-11-05 09:00:00", 410, "abc", 5, 6)], mode="overwrite")
+    staging.stage_range(spark, ordered, TRANSACTIONS, "2022-11-01", "2022-11-30")
+    assert same() == ["2022-10-01"]
+
+
 def bad_day():
     return [payment(16, "2022-10-03 09:00:00", 410, "abc", 5, 6)]
 
