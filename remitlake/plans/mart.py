@@ -47,6 +47,15 @@ def make_mart_day(
     """Rebuild one day of the mart; a day without metrics is left empty."""
     rows = mart_rows(day_metrics(spark, lake, day, day, **options), src, now)
     tables.overwrite_day(rows, lake.mart, day)
+    _age(spark, lake, day, day)
+
+
+def _age(spark: SparkSession, lake: Lake, lo: Day, hi: Day) -> None:
+    if lake.aged:
+        first, last = (dt.date.fromisoformat(day_text(d)) for d in (lo, hi))
+        days = [first + dt.timedelta(days=i) for i in range((last - first).days + 1)]
+        order = [tables.MART_DAY, "currency_from"]
+        tables.refresh_aged(spark, lake.mart, f"{lake.mart}_aged", order, days=days)
 
 
 def backfill(
@@ -65,6 +74,7 @@ def backfill(
         filled = [row.day for row in days.orderBy("day").collect()]
         tables.overwrite_days(rows, lake.mart)
     tables.keep_only_days(spark, lake.mart, lo, hi, filled)
+    _age(spark, lake, lo, hi)
     return filled
 
 

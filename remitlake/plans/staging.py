@@ -29,12 +29,14 @@ from remitlake.sources.landing import read_landing, read_landing_range, read_und
 class Lake:
     """Where the data lives: the landing folder and the database of typed tables.
 
-    With ``time_ordered``, every staging load also refreshes a copy laid out by time alone.
+    With ``time_ordered``, every staging load also refreshes a copy laid out by time alone; with
+    ``aged``, staging and mart loads refresh copies whose old days are joined to months and years.
     """
 
     landing: str
     database: str
     time_ordered: bool = False
+    aged: bool = False
 
     def table(self, kind: Kind) -> str:
         return f"{self.database}.{kind.table}"
@@ -72,8 +74,12 @@ def _sides(judged: DataFrame, kind: Kind) -> tuple[DataFrame, DataFrame]:
 
 
 def _refresh(spark: SparkSession, lake: Lake, kind: Kind, days: Sequence[Day]) -> None:
+    table = lake.table(kind)
     if lake.time_ordered:
-        tables.refresh_by_date(spark, lake.table(kind), lake.by_date(kind), kind.event_time, days)
+        tables.refresh_by_date(spark, table, lake.by_date(kind), kind.event_time, days)
+    if lake.aged:
+        order = [kind.event_time, "object_id"]
+        tables.refresh_aged(spark, table, f"{table}_aged", order, days=days)
 
 
 def stage_day(

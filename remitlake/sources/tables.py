@@ -15,6 +15,8 @@ from remitlake.schemas import BY_KIND, MART_DDL, MART_TABLE
 
 EVENT_DAY = "event_day"
 EVENT_MONTH = "event_month"
+PART_GROUP = "part_group"
+AGED_AS_OF = "aged_as_of"
 MART_DAY = "date_update"
 # Kept with the table, so that an overwrite replaces only the days it has rows for whatever the
 # session says. A session setting switched on and off would race between concurrent loads.
@@ -214,6 +216,56 @@ def compact_days(
     ).format("parquet").saveAsTable(table)
 
 
+def refresh_aged(
+    spark: SparkSession,
+    source: str,
+    table: str,
+    sort_cols: Sequence[str],
+    as_of: Day | None = None,
+    days: Sequence[Day] = (),
+    months: int = 3,
+    years: int = 2,
+) -> list[str]:
+    """Bring the aged copy of a day-partitioned table up to date; returns the groups rewritten.
+
+    Rewritten are the groups that ``days`` (those just loaded or cleared) belong to, groups not
+    stored yet, and those that stored days or months have grown into since the last refresh; the
+    parts they replace are dropped after the write. ``as_of`` defaults to the newest day stored and
+    never goes back: the table keeps the latest one. The driver sees a row per calendar day.
+    """
+    key = _day_column(spark, source)
+    columns = ", ".join(f"{name} {kind}" for name, kind in spark.table(source).dtypes)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {table} ({columns}, {PART_GROUP} date) USING parquet "
+        f"OPTIONS ({BY_DAY[0]} '{BY_DAY[1]}') PARTITIONED BY ({PART_GROUP})"
+    )
+    _check_replaces_by_day(spark, table)
+    own, stored = set(stored_days(spark, source)), set(stored_days(spark, table))
+    known = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    seen = [day_text(as_of)] if as_of else sorted(own)[-1:]
+    now = max([*seen, known.get(AGED_AS_OF, "")], default="")
+    if not now:
+        return []
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{AGED_AS_OF}' = '{now}')")
+    touched = {day_text(d) for d in days}
+    dates = [(dt.date.fromisoformat(d),) for d in sorted(own | stored | touched)]
+    grouped = spark.createDataFrame(dates, "day date").select(
+        "day", partition_group("day", now, months, years).alias("g")
+    )
+    group_of = {str(r.day): str(r.g) for r in grouped.collect()}
+    live = {group_of[d] for d in own}
+    due = (live - stored) | {group_of[d] for d in (stored - live) | touched}
+    inside = [dt.date.fromisoformat(d) for d in sorted(own) if group_of[d] in due]
+    rows = spark.table(source).filter(F.col(key).isin(inside) if inside else F.lit(False))
+    rows = rows.withColumn(PART_GROUP, partition_group(key, now, months, years))
+    ranges = rows.repartitionByRange(PART_GROUP, *sort_cols)
+    ordered = ranges.sortWithinPartitions(PART_GROUP, *sort_cols)
+    ordered.write.mode("overwrite").insertInto(table)
+    filled = {str(row[0]) for row in rows.select(PART_GROUP).distinct().collect()}
+    drop_listed_days(spark, table, sorted((stored - live) | (due - filled)))
+    return sorted(filled)
+
+
 def run_sql(spark: SparkSession, text: str, day: Day, **frames: DataFrame) -> DataFrame:
     """Run SQL with the anchor day bound to ``:day`` and DataFrames to ``{name}``."""
     return spark.sql(text, args={"day": dt.date.fromisoformat(day_text(day))}, **frames)

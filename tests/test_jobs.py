@@ -106,6 +106,35 @@ def test_time_ordered_copy_follows_the_table(spark, lake):
     assert same() == ["2022-10-01"]
 
 
+def test_aged_copies_rewrite_only_groups_that_grew(spark, lake):
+    aged = staging.Lake(lake.landing, lake.database, aged=True)
+    source, copy = lake.table(TRANSACTIONS), f"{lake.table(TRANSACTIONS)}_aged"
+
+    def same(source=source, copy=copy):
+        assert sorted(spark.table(source).collect(), key=str) == sorted(
+            spark.table(copy).drop(tables.PART_GROUP).collect(), key=str
+        )
+        return tables.stored_days(spark, copy)
+
+    days = ["2022-09-30", "2022-10-01", "2022-10-02", "2022-12-30", "2023-01-01"]
+    land_all(spark, aged, [payment(30 + i, f"{d} 09:00:00", 410, 5, 5, 6) for i, d in enumerate(days)])
+    staging.stage_range(spark, aged, TRANSACTIONS, "2022-09-30", "2022-12-30")
+    assert same() == ["2022-09-01", "2022-10-01", "2022-10-02", "2022-12-30"]
+    staging.stage_day(spark, aged, TRANSACTIONS, "2023-01-01")
+    assert same() == ["2022-09-01", "2022-10-01", "2022-12-30", "2023-01-01"]
+    again = tables.refresh_aged(spark, source, copy, ["transaction_dt"])
+    assert again == [] and same()
+    # an earlier date changes nothing; two years on, everything of 2022 is one group
+    assert tables.refresh_aged(spark, source, copy, ["transaction_dt"], "2022-10-05") == []
+    assert tables.refresh_aged(spark, source, copy, ["transaction_dt"], "2024-01-01") == ["2022-01-01"]
+    assert same() == ["2022-01-01", "2023-01-01"]
+    tables.drop_days(spark, source, "2022-10-02", "2022-10-02")
+    tables.refresh_aged(spark, source, copy, ["transaction_dt"], days=["2022-10-02"])
+    assert len(same()) == 2
+    mart.backfill(spark, aged, "2022-09-30", "2023-01-01", now=NOW)
+    same(lake.mart, f"{lake.mart}_aged")
+
+
 def bad_day():
     return [payment(16, "2022-10-03 09:00:00", 410, "abc", 5, 6)]
 
