@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from remitlake.llm import byte_bpe, decontaminate, dictionary, exact_dedup, language_model, pii, quality
 from remitlake.llm import similarity_join, substring_dedup, token_counts, warc
+from remitlake.llm.graph import components
 from remitlake.llm.words import shingles, words_of
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -161,6 +162,17 @@ def test_similarity_join(spark, odd, empty):
     assert similarity_join.near_duplicates(empty).count() == 0
 
 
+def test_contracted_links_keep_components(spark):
+    r = random.Random(4)
+    links = [(a, b) for a in range(2, 120) for b in r.sample(range(a), min(a, r.choice([0, 1, 1, 2]))) if a % 9 == b % 9 or a == b]
+    links += [(a, a) for a in range(0, 120, 7)] + [(200 + i, b) for i in range(40) for b in (130, 131, 132)]
+    frame = spark.createDataFrame(links, "a long, b long")
+    few = similarity_join.contracted(frame)
+    assert few.count() < len(set(links)) and few.where("b > a").isEmpty()
+    named = lambda x: sorted((y.node, y.label) for y in components(x).collect())
+    assert named(few) == named(frame)
+
+
 def test_large_nodes_lose_no_link(spark, monkeypatch):
     monkeypatch.setattr(similarity_join, "LEAF", 8)
     monkeypatch.setattr(similarity_join, "BLOCK", 16)
