@@ -1,8 +1,9 @@
 """Benchmark passages in documents: SimHash windows, Hamming blocks, exact verification.
 
-Every item gets the fingerprint of a window in its middle; the window's size is the item's number of
-words rounded down to 2^k or 3 * 2^k, so items of like size share a window size. Every window of
-each such size in every document is fingerprinted. A fingerprint is cut into RADIUS + 1 blocks: two
+An item gets the fingerprint of a window in its middle; the window's size is the item's number of
+words rounded down to 2^k or 3 * 2^k, so items of like size share a window size. An item long enough
+to stay similar with n places inside it edited is first cut into n + 1 parts, each with its window, so
+that one of them is without an edit. Every window of each such size in every document is fingerprinted. A fingerprint is cut into RADIUS + 1 blocks: two
 that differ in at most RADIUS bits agree in a block, so block tables find all of them. Each hit is
 then compared with its item by weighted shingle similarity at the places where the item can lie.
 """
@@ -26,6 +27,9 @@ RADIUS = 5
 SIMILARITY = 0.8
 #: Items that one pass over the documents looks for; more items are looked for in further passes.
 BLOCK_ITEMS = 2_000
+#: Shingles of an item for each place inside it that can be edited with SIMILARITY kept: a word put in
+#: takes four shingles away and adds five, and (40 - 4) / (40 + 5) is SIMILARITY.
+SHINGLES_PER_EDIT = 40
 _CHUNK = 1 << 12
 
 
@@ -35,6 +39,13 @@ def window_size(n_words: int) -> int:
     return two * 3 // 2 if two >= 2 and n_words >= two * 3 // 2 else two
 
 
+def parts_of(n_words: int) -> list[tuple[int, int]]:
+    """First word and size of the windows of an item of ``n_words``."""
+    parts = max(0, n_words - SHINGLE + 1) // SHINGLES_PER_EDIT + 1
+    size = window_size(n_words // parts)
+    return [(n_words * i // parts + (n_words // parts - size) // 2, size) for i in range(parts)]
+
+
 def _sums(hashes: np.ndarray, longest: int) -> np.ndarray:
     """Per bit, how many of the first i words have it; differences hold for windows up to ``longest``."""
     kind = np.int16 if longest < 1 << 15 else np.int32
@@ -109,9 +120,8 @@ class ItemIndex:
         self.weights = [_weights(h) for _, h in self.items]
         by_size: dict[int, list[tuple[int, int, np.uint64]]] = defaultdict(list)
         for k, (_, h) in enumerate(self.items):
-            size = window_size(len(h))
-            skip = (len(h) - size) // 2
-            by_size[size].append((k, skip, fingerprints(h[skip : skip + size], size)[0]))
+            for skip, size in parts_of(len(h)):
+                by_size[size].append((k, skip, fingerprints(h[skip : skip + size], size)[0]))
         self.sizes = {s: (x, BlockIndex(np.array([m for *_, m in x], np.uint64))) for s, x in by_size.items()}
 
     def matches(self, hashes: np.ndarray, at: np.ndarray) -> dict[int, dict[int, float]]:

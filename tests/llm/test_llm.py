@@ -319,6 +319,21 @@ def test_decontamination(spark, odd, empty):
     assert not any(x.contaminated for x in decontaminate.benchmark_hits(odd, benchmark.limit(0)).collect())
 
 
+def test_an_edit_anywhere_in_an_item_is_forgiven():
+    r = random.Random(8)
+    words = {n: [f"k{r.randint(0, 900)}" for _ in range(n)] for n in (49, 60, 84, 97, 200)}
+    index = decontaminate.ItemIndex([(n, " ".join(w).encode()) for n, w in words.items()])
+    texts, want = [], []
+    for n, w in words.items():
+        assert all(a >= 0 and a + size <= n for a, size in decontaminate.parts_of(n))
+        for at in range(5, n - 5):
+            texts += [" ".join(["before", *w[:at], *put, *w[at + gone :], "after"]) for put, gone in ((["new"], 1), (["new"], 0), ([], 1))]
+            want += [n] * 3
+    found = words_of(pa.array(texts))
+    hits = index.matches(found.hash, found.at)
+    assert [[*hits[i]] for i in range(len(texts))] == [[n] for n in want]
+
+
 def test_items_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "BLOCK_ITEMS", 2)
     items = [(i, " ".join(f"b{i}x{k}" for k in range(20))) for i in range(5)]
