@@ -37,46 +37,43 @@ _TX_TIES = (
     "transaction_type, amount, transaction_dt"
 )
 _CUR_TIES = "date_update, currency_code, currency_code_with, currency_with_div"
-_MS = "date_trunc('millisecond', sent_dttm)"
+_MS = "date_trunc('millisecond', feed.sent_dttm)"
+_MS_OWN = "date_trunc('millisecond', sent_dttm)"
 
 
-def _texts(ties: str) -> str:
-    return ", ".join(f"CAST({c.strip()} AS VARCHAR)" for c in ties.split(","))
+# Partition and offset of the message.
+_ARRIVAL = "event_id % 8, event_id"
 
 
-def _desc(columns: str) -> str:
-    return ", ".join(f"{c.strip()} DESC" for c in columns.split(","))
+def _first(sent: str, way: str = "") -> str:
+    """One row per id and day, the earliest sent or by ``way`` DESC the latest."""
+    order = ", ".join(f"{c.strip()}{way}" for c in f"{sent}; {_ARRIVAL.replace(', ', '; ')}".split(";"))
+    return f"row_number() OVER (PARTITION BY object_id, CAST(dt AS DATE) ORDER BY {order}) = 1"
 
 
 TYPED = f"""
 tx_raw AS (SELECT {_TX_COLUMNS.format(sent=_MS)} FROM feed WHERE object_type = 'TRANSACTION'),
 cur_raw AS (SELECT {_CUR_COLUMNS.format(sent=_MS)} FROM feed WHERE object_type = 'CURRENCY'),
-tx AS (SELECT *, CAST(transaction_dt AS DATE) AS event_day FROM tx_raw
-  QUALIFY row_number() OVER (PARTITION BY object_id, CAST(transaction_dt AS DATE)
-    ORDER BY sent_dttm, {_TX_TIES}) = 1),
-tx_latest AS (SELECT *, CAST(transaction_dt AS DATE) AS event_day FROM tx_raw
-  QUALIFY row_number() OVER (PARTITION BY object_id, CAST(transaction_dt AS DATE)
-    ORDER BY sent_dttm DESC, {_desc(_TX_TIES)}) = 1),
-cur AS (SELECT *, CAST(date_update AS DATE) AS event_day FROM cur_raw
-  QUALIFY row_number() OVER (PARTITION BY object_id, CAST(date_update AS DATE)
-    ORDER BY sent_dttm, {_CUR_TIES}) = 1)"""
-
-# As loaded from messages: full-precision arrival order, ties by text, then typed.
+tx AS (SELECT {_TX_COLUMNS.format(sent=_MS)}, CAST(dt AS DATE) AS event_day FROM feed
+  WHERE object_type = 'TRANSACTION' QUALIFY {_first(_MS)}),
+tx_latest AS (SELECT {_TX_COLUMNS.format(sent=_MS)}, CAST(dt AS DATE) AS event_day FROM feed
+  WHERE object_type = 'TRANSACTION' QUALIFY {_first(_MS, " DESC")}),
+cur AS (SELECT {_CUR_COLUMNS.format(sent=_MS)}, CAST(dt AS DATE) AS event_day FROM feed
+  WHERE object_type = 'CURRENCY' QUALIFY {_first(_MS)})"""
+
+# As loaded from messages: full-precision arrival order, then typed.
 TEXT = f"""
 tx_us AS (SELECT {_TX_COLUMNS.format(sent="sent_dttm")} FROM feed WHERE object_type = 'TRANSACTION'),
 cur_us AS (SELECT {_CUR_COLUMNS.format(sent="sent_dttm")} FROM feed WHERE object_type = 'CURRENCY'),
-tx_text AS (SELECT *, CAST(transaction_dt AS DATE) AS event_day FROM tx_us
-  QUALIFY row_number() OVER (PARTITION BY object_id, CAST(transaction_dt AS DATE)
-    ORDER BY sent_dttm, {_texts(_TX_TIES)}) = 1),
-tx_text_latest AS (SELECT *, CAST(transaction_dt AS DATE) AS event_day FROM tx_us
-  QUALIFY row_number() OVER (PARTITION BY object_id, CAST(transaction_dt AS DATE)
-    ORDER BY sent_dttm DESC, {_desc(_texts(_TX_TIES).replace("CAST(", "(").replace(" AS VARCHAR)", "::VARCHAR)"))}) = 1),
-cur_text AS (SELECT *, CAST(date_update AS DATE) AS event_day FROM cur_us
-  QUALIFY row_number() OVER (PARTITION BY object_id, CAST(date_update AS DATE)
-    ORDER BY sent_dttm, {_texts(_CUR_TIES)}) = 1),
-tx AS (SELECT * REPLACE ({_MS} AS sent_dttm) FROM tx_text),
-tx_latest AS (SELECT * REPLACE ({_MS} AS sent_dttm) FROM tx_text_latest),
-cur AS (SELECT * REPLACE ({_MS} AS sent_dttm) FROM cur_text)"""
+tx_text AS (SELECT {_TX_COLUMNS.format(sent="feed.sent_dttm")}, CAST(dt AS DATE) AS event_day
+  FROM feed WHERE object_type = 'TRANSACTION' QUALIFY {_first("feed.sent_dttm")}),
+tx_text_latest AS (SELECT {_TX_COLUMNS.format(sent="feed.sent_dttm")}, CAST(dt AS DATE) AS event_day
+  FROM feed WHERE object_type = 'TRANSACTION' QUALIFY {_first("feed.sent_dttm", " DESC")}),
+cur_text AS (SELECT {_CUR_COLUMNS.format(sent="feed.sent_dttm")}, CAST(dt AS DATE) AS event_day
+  FROM feed WHERE object_type = 'CURRENCY' QUALIFY {_first("feed.sent_dttm")}),
+tx AS (SELECT * REPLACE ({_MS_OWN} AS sent_dttm) FROM tx_text),
+tx_latest AS (SELECT * REPLACE ({_MS_OWN} AS sent_dttm) FROM tx_text_latest),
+cur AS (SELECT * REPLACE ({_MS_OWN} AS sent_dttm) FROM cur_text)"""
 
 DIRTY = f"""
 dirty AS (
@@ -98,18 +95,18 @@ tx_dirty AS (
     CAST(account_number_to AS VARCHAR) AS account_number_to,
     CAST(currency_code AS VARCHAR) AS currency_code, country_text AS country, status,
     transaction_type, amount_text AS amount, dt_text AS transaction_dt,
-    TRY_CAST(TRY_CAST(dt_text AS TIMESTAMP) AS DATE) AS event_day
+    TRY_CAST(TRY_CAST(dt_text AS TIMESTAMP) AS DATE) AS event_day, event_id
   FROM landed WHERE sent_type = 'TRANSACTION'),
 cur_dirty AS (
   SELECT object_id, sent_at AS sent_dttm, dt_text AS date_update,
     CAST(currency_code AS VARCHAR) AS currency_code,
     CAST(currency_code_with AS VARCHAR) AS currency_code_with, rate_text AS currency_with_div,
-    TRY_CAST(TRY_CAST(dt_text AS TIMESTAMP) AS DATE) AS event_day
+    TRY_CAST(TRY_CAST(dt_text AS TIMESTAMP) AS DATE) AS event_day, event_id
   FROM landed WHERE sent_type = 'CURRENCY'),
 tx_day AS (SELECT * FROM tx_dirty WHERE event_day IS NOT NULL
-  QUALIFY row_number() OVER (PARTITION BY object_id, event_day ORDER BY sent_dttm, {_TX_TIES}) = 1),
+  QUALIFY row_number() OVER (PARTITION BY object_id, event_day ORDER BY sent_dttm, {_ARRIVAL}) = 1),
 cur_day AS (SELECT * FROM cur_dirty WHERE event_day IS NOT NULL
-  QUALIFY row_number() OVER (PARTITION BY object_id, event_day ORDER BY sent_dttm, {_CUR_TIES}) = 1),
+  QUALIFY row_number() OVER (PARTITION BY object_id, event_day ORDER BY sent_dttm, {_ARRIVAL}) = 1),
 tx_judged AS (SELECT *, concat_ws('; ',
     CASE WHEN octet_length(CAST(country AS BLOB)) > 64 THEN 'country: over 64 bytes' END,
     CASE WHEN TRY_CAST(amount AS BIGINT) IS NULL THEN 'amount: bigint' END) AS reject_reason
@@ -120,7 +117,7 @@ cur_judged AS (SELECT *,
   FROM cur_day)"""
 
 _TX_TYPED = (
-    f"object_id, {_MS} AS sent_dttm, operation_id, "
+    f"object_id, {_MS_OWN} AS sent_dttm, operation_id, "
     "TRY_CAST(account_number_from AS BIGINT) AS account_number_from, "
     "TRY_CAST(account_number_to AS BIGINT) AS account_number_to, "
     "TRY_CAST(currency_code AS INT) AS currency_code, country, status, transaction_type, "
@@ -128,7 +125,7 @@ _TX_TYPED = (
     "date_trunc('second', TRY_CAST(transaction_dt AS TIMESTAMP)) AS transaction_dt"
 )
 _CUR_TYPED = (
-    f"object_id, {_MS} AS sent_dttm, "
+    f"object_id, {_MS_OWN} AS sent_dttm, "
     "date_trunc('second', TRY_CAST(date_update AS TIMESTAMP)) AS date_update, "
     "TRY_CAST(currency_code AS INT) AS currency_code, "
     "TRY_CAST(currency_code_with AS INT) AS currency_code_with, "
@@ -256,16 +253,16 @@ def all_sql() -> dict[str, str]:
             f"SELECT {_TX_TYPED} FROM tx_judged WHERE reject_reason = ''", DIRTY
         ),
         "rejects_bad": _with(
-            "SELECT * EXCLUDE (event_day) FROM tx_judged WHERE reject_reason <> ''", DIRTY
+            "SELECT * EXCLUDE (event_day, event_id) FROM tx_judged WHERE reject_reason <> ''", DIRTY
         ),
         "rejects_ok_currencies": _with(
             f"SELECT {_CUR_TYPED} FROM cur_judged WHERE reject_reason = ''", DIRTY
         ),
         "rejects_bad_currencies": _with(
-            "SELECT * EXCLUDE (event_day) FROM cur_judged WHERE reject_reason <> ''", DIRTY
+            "SELECT * EXCLUDE (event_day, event_id) FROM cur_judged WHERE reject_reason <> ''", DIRTY
         ),
         "rejects_undated": _with(
-            """SELECT * EXCLUDE (event_day), concat_ws('; ',
+            """SELECT * EXCLUDE (event_day, event_id), concat_ws('; ',
               CASE WHEN octet_length(CAST(country AS BLOB)) > 64 THEN 'country: over 64 bytes' END,
               CASE WHEN TRY_CAST(amount AS BIGINT) IS NULL THEN 'amount: bigint' END,
               'transaction_dt: timestamp') AS reject_reason
@@ -540,6 +537,14 @@ def all_sql() -> dict[str, str]:
               ORDER BY side DESC, sent_dttm DESC, status DESC, amount DESC) = 1""",
             TYPED,
         ),
+        "table_upsert": _with(
+            f"""SELECT * FROM tx WHERE event_day <= {DAY}
+              AND object_id NOT IN (SELECT object_id FROM tx_latest WHERE event_day >= {DAY})
+            UNION ALL SELECT * FROM (SELECT * FROM tx_latest WHERE event_day >= {DAY}
+              QUALIFY row_number() OVER (PARTITION BY object_id
+                ORDER BY sent_dttm DESC, status DESC, amount DESC) = 1)""",
+            TYPED,
+        ),
         "fk_violations": _with(
             f"""SELECT account_number_from, COUNT(*) AS violations FROM tx
             WHERE account_number_from NOT IN (SELECT account_number_from FROM tx WHERE {REAL}

@@ -69,8 +69,9 @@ def _raw(spark, sf_dir, kind: Kind) -> DataFrame:
 
 def _staged(spark, sf_dir, kind: Kind, keep="first") -> DataFrame:
     """Typed rows, one per object id and event day."""
-    dated = tables.with_day(_raw(spark, sf_dir, kind), kind.event_time)
-    return dedup_batch(dated, ["object_id", tables.EVENT_DAY], keep=keep)
+    rows = event_feed.typed_rows(_events(spark, sf_dir), kind, position=True)
+    dated, ties = tables.with_day(rows, kind.event_time), landing.position_of(rows)
+    return dedup_batch(dated, ["object_id", tables.EVENT_DAY], keep=keep, ties=ties).drop(*ties)
 
 
 def _tx(spark, sf_dir, keep="first"):
@@ -200,7 +201,7 @@ def mart_replace_day(spark, sf_dir):
 @query
 def drop_days_remaining(spark, sf_dir):
     lake = _loaded(spark, sf_dir, CURRENCIES)
-    tables.drop_days(spark, lake.table(CURRENCIES), *DROP)
+    staging.drop_range(spark, lake, CURRENCIES, *DROP)
     return reports.day_counts(spark.table(lake.table(CURRENCIES)), tables.EVENT_DAY)
 
 
@@ -726,6 +727,21 @@ def upsert_by_object_id(spark, sf_dir):
     return scd1(old, new, ["object_id"], ["sent_dttm", "status", "amount"])
 
 
+@query
+def table_upsert(spark, sf_dir):
+    """First arrivals up to the anchor day in the staging table, then the last ones from that day on.
+
+    Only the days that hold a key of the new rows are read and rewritten.
+    """
+    table = _lake(spark).table(TRANSACTIONS)
+    anchor = F.lit(DAY).cast("date")
+    old = _staged(spark, sf_dir, TRANSACTIONS).filter(F.col(tables.EVENT_DAY) <= anchor)
+    new = _staged(spark, sf_dir, TRANSACTIONS, "latest").filter(F.col(tables.EVENT_DAY) >= anchor)
+    tables.overwrite_days(old, table)
+    tables.upsert_days(new, table, ["object_id"], ["sent_dttm", "status", "amount"])
+    return spark.table(table)
+
+
 @query
 def fk_violations(spark, sf_dir):
     """Senders that are no account because they are test accounts."""

@@ -34,16 +34,19 @@ def dedup_batch(
     keys: Sequence[str | Column],
     order: Sequence[str] = ("sent_dttm",),
     keep: str = "first",
+    ties: Sequence[str] | None = None,
 ) -> DataFrame:
     """Keep the earliest (``first``) or last (``latest``) row of each key.
 
-    Ties on ``order`` are broken by every other column, so the result does not depend on the order
-    in which rows arrive.
+    Ties on ``order`` are broken by ``ties``, by default by every other column, so the result does
+    not depend on the order in which rows arrive. Narrow ``ties``, such as a position in the topic,
+    keep the other columns out of the sort, and those that nobody reads out of the shuffle.
     """
     if keep not in ("first", "latest"):
         raise ValueError(f"keep must be 'first' or 'latest', not {keep!r}")
     named = {k for k in keys if isinstance(k, str)}
-    ties = [c for c in df.columns if c not in named and c not in order]
+    if ties is None:
+        ties = [c for c in df.columns if c not in named and c not in order]
     columns = [F.col(c) for c in (*order, *ties)]
     return first_per_key(df, keys, columns if keep == "first" else [c.desc() for c in columns])
 

@@ -67,11 +67,16 @@ def with_event_date(df: DataFrame) -> DataFrame:
     return df.withColumn("event_date", day)
 
 
-def flatten(df: DataFrame, kind: Kind, fields: Sequence[str] | None = None) -> DataFrame:
+def flatten(
+    df: DataFrame,
+    kind: Kind,
+    fields: Sequence[str] | None = None,
+    keep: Sequence[str] = ("object_id", "sent_dttm"),
+) -> DataFrame:
     """Payload fields as text columns, in one parse. ``fields`` limits which are extracted."""
     names = list(fields) if fields is not None else kind.payload_names
     schema = ", ".join(f"{name} string" for name in names)
-    return _parsed(df, F.col("payload"), schema, ["object_id", "sent_dttm"])
+    return _parsed(df, F.col("payload"), schema, keep)
 
 
 def flatten_currencies(df: DataFrame) -> DataFrame:

@@ -29,10 +29,12 @@ def day_metrics(
     mode: str = "asof",
     statuses: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Metrics of the days lo..hi from the staging tables; both scans are pruned by partition."""
+    """Metrics of the days lo..hi. The transactions are pruned by partition; of the rates only the
+    last one per currency and day is read, from the table that staging keeps."""
     tx = spark.table(lake.table(TRANSACTIONS))
     tx = tx.filter(F.col(tables.EVENT_DAY).between(day_lit(lo), day_lit(hi)))
-    cur = spark.table(lake.table(CURRENCIES)).filter(F.col(tables.EVENT_DAY) <= day_lit(hi))
+    cur = spark.table(lake.daily_rates).filter(F.col(tables.EVENT_DAY) <= day_lit(hi))
+    cur = cur.filter(F.col(tables.RATE_YEAR) <= F.trunc(day_lit(hi), "year"))
     return global_metrics(tx.select(*_TX, "status"), cur, code, mode, statuses)
 
 

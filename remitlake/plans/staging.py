@@ -19,10 +19,10 @@ from remitlake.operators.typing import (
     split_rejects,
     with_faults,
 )
-from remitlake.schemas import MART_TABLE, Kind
+from remitlake.schemas import CURRENCIES, DAILY_RATES, MART_TABLE, Kind
 from remitlake.scratch import materialized
 from remitlake.sources import tables
-from remitlake.sources.landing import read_landing, read_landing_range, read_undated
+from remitlake.sources.landing import position_of, read_landing, read_landing_range, read_undated
 
 
 @dataclass(frozen=True)
@@ -47,22 +47,42 @@ class Lake:
     def by_date(self, kind: Kind) -> str:
         return f"{self.database}.{kind.table}_by_date"
 
+    @property
+    def daily_rates(self) -> str:
+        return f"{self.database}.{DAILY_RATES}"
+
     @property
     def mart(self) -> str:
         return f"{self.database}.{MART_TABLE}"
 
 
+def _dated(landing: DataFrame, kind: Kind) -> tuple[DataFrame, list[str]]:
+    """Flattened text rows with their event day, and the columns that settle equal sending times.
+
+    These are the position in the topic and, for sources without one, a hash of the payload.
+    """
+    ties = [*position_of(landing), "__payload"]
+    hashed = landing.withColumn("__payload", F.xxhash64("payload"))
+    flat = flatten(hashed, kind, keep=["object_id", "sent_dttm", *ties])
+    return flat.withColumn(tables.EVENT_DAY, event_day(kind.event_time)), ties
+
+
 def extract(landing: DataFrame, kind: Kind, keep: str = "first") -> DataFrame:
     """Flattened text rows, one per object id and event day."""
-    flat = flatten(landing, kind)
-    dated = flat.withColumn(tables.EVENT_DAY, event_day(kind.event_time))
-    return dedup_batch(dated, ["object_id", tables.EVENT_DAY], keep=keep)
+    dated, ties = _dated(landing, kind)
+    return dedup_batch(dated, ["object_id", tables.EVENT_DAY], keep=keep, ties=ties).drop(*ties)
 
 
 def staged(landing: DataFrame, kind: Kind, keep: str = "first") -> DataFrame:
-    """Typed accepted rows straight from landing, without writing a table."""
-    dated = extract(landing, kind, keep).filter(F.col(tables.EVENT_DAY).isNotNull())
-    return split_rejects(dated.drop(tables.EVENT_DAY), kind)[0]
+    """Typed accepted rows straight from landing, without writing a table.
+
+    Rows are judged before the de-duplication: its shuffle then carries the verdict and the columns
+    that are read afterwards, not all that the verdict depends on.
+    """
+    dated, ties = _dated(landing, kind)
+    judged = with_faults(dated.filter(F.col(tables.EVENT_DAY).isNotNull()), kind)
+    one = dedup_batch(judged, ["object_id", tables.EVENT_DAY], keep=keep, ties=ties)
+    return accepted(one, kind)
 
 
 def _sides(judged: DataFrame, kind: Kind) -> tuple[DataFrame, DataFrame]:
@@ -75,6 +95,8 @@ def _sides(judged: DataFrame, kind: Kind) -> tuple[DataFrame, DataFrame]:
 
 def _refresh(spark: SparkSession, lake: Lake, kind: Kind, days: Sequence[Day]) -> None:
     table = lake.table(kind)
+    if kind is CURRENCIES:
+        tables.refresh_daily_rates(spark, table, lake.daily_rates, days)
     if lake.time_ordered:
         tables.refresh_by_date(spark, table, lake.by_date(kind), kind.event_time, days)
     if lake.aged:
@@ -133,6 +155,13 @@ def stage_range(
     return days
 
 
+def drop_range(spark: SparkSession, lake: Lake, kind: Kind, lo: Day, hi: Day) -> list[str]:
+    """Drop the stored days lo..hi, from the tables that follow this one too; returns the days."""
+    days = tables.drop_days(spark, lake.table(kind), lo, hi)
+    _refresh(spark, lake, kind, days)
+    return days
+
+
 def undated_rejects(spark: SparkSession, lake: Lake, kind: Kind) -> DataFrame:
     """Landed messages that no day claims, as reject rows."""
     return undated(read_undated(spark, lake.landing, kind.name), kind)

@@ -91,6 +91,7 @@ TRANSACTIONS = Kind(
 BY_KIND = {CURRENCY: CURRENCIES, TRANSACTION: TRANSACTIONS}
 BY_TABLE = {k.table: k for k in BY_KIND.values()}
 
+DAILY_RATES = "daily_rates"
 MART_TABLE = "global_metrics"
 MART_DDL = (
     "hk_global_metrics bigint, currency_from int, amount_total decimal(18,2), "

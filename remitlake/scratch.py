@@ -27,9 +27,22 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_HANDED_OUT: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path under the shared folder; nothing is created yet."""
-    return f"{scratch_root(spark)}/remitlake-{label}-{uuid.uuid4().hex}"
+    _HANDED_OUT.append(f"{scratch_root(spark)}/remitlake-{label}-{uuid.uuid4().hex}")
+    return _HANDED_OUT[-1]
+
+
+def clean(spark: SparkSession) -> int:
+    """Delete every path that this process was given, when no result that reads one is needed any
+    more; returns their number."""
+    paths, _HANDED_OUT[:] = list(_HANDED_OUT), []
+    for path in paths:
+        delete(spark, path)
+    return len(paths)
 
 
 @contextmanager
@@ -45,10 +58,10 @@ def materialized(df: DataFrame, label: str) -> Iterator[DataFrame]:
     try:
         yield spark.read.schema(df.schema).parquet(path)
     finally:
-        _delete(spark, path)
+        delete(spark, path)
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def delete(spark: SparkSession, path: str) -> None:
     context = spark.sparkContext
     target = context._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)

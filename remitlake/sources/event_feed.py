@@ -6,7 +6,7 @@ some messages are damaged in ways the landing or the typing must catch.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from remitlake.functions import event_day
@@ -38,6 +38,13 @@ _MAPPING = {
 }
 
 
+def _position() -> list[Column]:
+    return [
+        (F.col("event_id") % 8).cast("int").alias("partition"),
+        F.col("event_id").alias("offset"),
+    ]
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
@@ -55,14 +62,17 @@ def feed(events: DataFrame) -> DataFrame:
     return keyed.select(*[F.expr(sql).alias(name) for name, sql in _MAPPING.items()])
 
 
-def typed_rows(events: DataFrame, kind: Kind) -> DataFrame:
-    """One kind with its declared columns, repeats included, without the detour over JSON."""
+def typed_rows(events: DataFrame, kind: Kind, position: bool = False) -> DataFrame:
+    """One kind with its declared columns, repeats included, without the detour over JSON.
+
+    With ``position``, also where the message stands in its topic.
+    """
     rows = feed(events).filter(F.col("object_type") == kind.name)
     rows = rows.withColumn("operation_id", F.col("object_id")).withColumn(
         kind.event_time, F.col("dt")
     )
     return rows.withColumn("sent_dttm", F.date_trunc("MILLISECOND", "sent_dttm")).select(
-        *kind.names
+        *kind.names, *(_position() if position else [])
     )
 
 
@@ -113,15 +123,15 @@ def messages(events: DataFrame, dirty: bool = False) -> DataFrame:
         F.col("object_id").cast("binary").alias("key"),
         value.cast("binary").alias("value"),
         F.when(is_rate, "rates").otherwise("payments").alias("topic"),
-        (F.col("event_id") % 8).cast("int").alias("partition"),
-        F.col("event_id").alias("offset"),
+        *_position(),
         F.col("sent_dttm").alias("timestamp"),
     )
 
 
 def landed(events: DataFrame, dirty: bool = False, kind: Kind | None = None) -> DataFrame:
     """Landing rows of one kind or both, split after the mixed messages are parsed."""
-    rows = with_event_date(parse_envelope(messages(events, dirty)).filter(landable()))
+    parsed = parse_envelope(messages(events, dirty), keep=["partition", "offset"])
+    rows = with_event_date(parsed.filter(landable()))
     return rows if kind is None else rows.filter(F.col("object_type") == kind.name)
 
 

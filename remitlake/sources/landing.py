@@ -3,29 +3,45 @@
 from __future__ import annotations
 
 import uuid
+from collections import Counter
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from remitlake.functions import Day, day_lit
 from remitlake.operators.parse import landable, with_event_date
+from remitlake.scratch import delete
 
-LANDING_COLUMNS = ["object_id", "object_type", "sent_dttm", "payload", "event_date"]
+# Where a message stood in its topic: the order of arrival. Null for sources without positions.
+POSITION = {"partition": "int", "offset": "bigint"}
+LANDING_COLUMNS = ["object_id", "object_type", "sent_dttm", "payload", *POSITION, "event_date"]
 LANDING_DDL = (
-    "object_id string, sent_dttm timestamp, payload string, object_type string, event_date date"
+    "object_id string, sent_dttm timestamp, payload string, partition int, offset bigint, "
+    "object_type string, event_date date"
 )
 PARTITIONS = ["object_type", "event_date"]
 # Above them, who wrote: streams and batch loads share the folder and never touch each other's files.
 OWNER = ["run", "batch_id"]
 
 
+def position_of(messages: DataFrame) -> list[str]:
+    """The position columns that the messages have."""
+    return [c for c in POSITION if c in messages.columns]
+
+
+def as_landed(parsed: DataFrame) -> DataFrame:
+    """Parsed messages with the columns of landing."""
+    missing = {c: F.lit(None).cast(t) for c, t in POSITION.items() if c not in parsed.columns}
+    return with_event_date(parsed).withColumns(missing).select(*LANDING_COLUMNS)
+
+
 def land(messages: DataFrame, path: str, mode: str = "append") -> None:
     """Batch landing of parsed messages.
 
     The rebalance hint lets adaptive execution cut a dominant day into several files and join small
     ones, so file sizes follow the data.
     """
-    rows = with_event_date(messages.filter(landable())).select(*LANDING_COLUMNS)
+    rows = as_landed(messages.filter(landable()))
     owned = rows.hint("rebalance", *PARTITIONS).withColumns(
         {"run": F.lit(uuid.uuid4().hex), "batch_id": F.lit(0)}
     )
@@ -39,8 +55,43 @@ def land_as(rows: DataFrame, path: str, run: str, batch_id: int) -> None:
 
 
 def read_all(spark: SparkSession, path: str) -> DataFrame:
+    """Every landed message; files from before positions were kept have null there."""
     columns = [c.split()[0] for c in LANDING_DDL.split(", ")]
-    return spark.read.schema(f"{LANDING_DDL}, run string, batch_id long").parquet(path).select(*columns)
+    return _owned(spark, path).select(*columns)
+
+
+def _owned(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(f"{LANDING_DDL}, run string, batch_id long").parquet(path)
+
+
+def compact_landing(spark: SparkSession, path: str, lo: Day, hi: Day) -> int:
+    """Join the small files that many batches left for the event days lo..hi; returns parts replaced.
+
+    Meant for days that the stream is past. The rows are written under a run of their own and then the
+    parts they came from are deleted; a reader in between, or after a failure in between, sees them
+    twice and the staging de-duplication drops the repeats. The driver sees a row per part.
+    """
+    rows = _owned(spark, path).filter(F.col("event_date").between(day_lit(lo), day_lit(hi)))
+    every = rows.select(*OWNER, *PARTITIONS).distinct().collect()
+    shared = Counter((p.object_type, p.event_date) for p in every)
+    parts = [p for p in every if shared[p.object_type, p.event_date] > 1]
+    if not parts:
+        return 0
+    # Named from the listing, so that a part that arrives meanwhile is neither copied nor deleted.
+    folders = [
+        f"{path}/run={p.run}/batch_id={p.batch_id}/object_type={p.object_type}/event_date={p.event_date}"
+        for p in parts
+    ]
+    columns = [c for c in LANDING_DDL.split(", ") if c.split()[0] not in PARTITIONS]
+    found = spark.read.option("basePath", path).schema(
+        ", ".join([*columns, "object_type string", "event_date date"])
+    )
+    merged = found.parquet(*folders).hint("rebalance", *PARTITIONS)
+    owner = {"run": F.lit(f"joined-{uuid.uuid4().hex}"), "batch_id": F.lit(0)}
+    merged.withColumns(owner).write.mode("append").partitionBy(*OWNER, *PARTITIONS).parquet(path)
+    for folder in folders:
+        delete(spark, folder)
+    return len(folders)
 
 
 def read_landing(spark: SparkSession, path: str, kind: str, day: Day | None = None) -> DataFrame:

@@ -9,12 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from remitlake.functions import Day, day_lit, day_text, event_day, partition_group
+from remitlake.operators.dedup import latest_per_key
 from remitlake.operators.metrics import only_new
+from remitlake.operators.rates import RATE_ORDER
 from remitlake.operators.typing import REASON
-from remitlake.schemas import BY_KIND, MART_DDL, MART_TABLE
+from remitlake.schemas import BY_KIND, CURRENCIES, DAILY_RATES, MART_DDL, MART_TABLE
+from remitlake.scratch import materialized
 
 EVENT_DAY = "event_day"
 EVENT_MONTH = "event_month"
+RATE_YEAR = "rate_year"
 PART_GROUP = "part_group"
 AGED_AS_OF = "aged_as_of"
 MART_DAY = "date_update"
@@ -40,6 +44,7 @@ def ensure_tables(spark: SparkSession, database: str) -> None:
         rejected = f"{kind.text_ddl}, {REASON} string"
         spark.sql(create.format(f"{name}_rej", rejected, EVENT_DAY, EVENT_DAY))
     spark.sql(create.format(f"{database}.{MART_TABLE}", MART_DDL, MART_DAY, MART_DAY))
+    refresh_daily_rates(spark, f"{database}.{CURRENCIES.table}", f"{database}.{DAILY_RATES}", [])
 
 
 def with_day(df: DataFrame, ts_col: str, name: str = EVENT_DAY) -> DataFrame:
@@ -195,6 +200,58 @@ def refresh_by_date(
     drop_listed_days(spark, table, [m for m in months if m not in filled])
 
 
+def refresh_daily_rates(spark: SparkSession, source: str, table: str, days: Sequence[Day]) -> None:
+    """Bring the last rate per currency pair and day up to date for ``days`` (loaded or cleared).
+
+    The mart reads this table and not the history of all rates. It holds a few rows a day, a partition
+    per year; the years that hold ``days`` are rewritten, from the source for those days and from
+    themselves for the others. A table without rows is filled for all days that the source stores.
+    """
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {table} ({CURRENCIES.ddl}, {EVENT_DAY} date, {RATE_YEAR} date) "
+        f"USING parquet OPTIONS ({BY_DAY[0]} '{BY_DAY[1]}') PARTITIONED BY ({RATE_YEAR})"
+    )
+    if not stored_days(spark, table):
+        days = stored_days(spark, source)
+    due = sorted({dt.date.fromisoformat(day_text(d)) for d in days})
+    if not due:
+        return
+    _check_replaces_by_day(spark, table)
+    years = sorted({d.replace(month=1, day=1) for d in due})
+    fresh = spark.table(source).filter(F.col(EVENT_DAY).isin(due))
+    last = latest_per_key(fresh, ["currency_code", "currency_code_with", EVENT_DAY], RATE_ORDER)
+    others = spark.table(table).filter(F.col(RATE_YEAR).isin(years) & ~F.col(EVENT_DAY).isin(due))
+    rows = last.withColumn(RATE_YEAR, F.trunc(EVENT_DAY, "year")).unionByName(others)
+    with materialized(rows, "daily-rates") as copy:
+        overwrite_days(copy, table, [EVENT_DAY, "currency_code"])
+        filled = {row[0] for row in copy.select(RATE_YEAR).distinct().collect()}
+    drop_listed_days(spark, table, [y for y in years if y not in filled])
+
+
+def upsert_days(df: DataFrame, table: str, keys: Sequence[str], order: Sequence[str]) -> list[str]:
+    """Overwrite by key in a day-partitioned table; returns the days rewritten.
+
+    All stored rows of a key give way to its last new row; other rows stay as they are. Read and rewritten are the days that hold one of the keys, found from the key columns alone, and
+    the days of the new rows; the other days are not touched. A row whose day changes moves, and a day
+    that is left without rows is dropped. Stored rows of a null key stay. The driver sees a row per day.
+    """
+    spark = df.sparkSession
+    day = _day_column(spark, table)
+    old = spark.table(table)
+    new = latest_per_key(df.select(*old.columns), keys, order)
+    with materialized(new, "upsert-new") as new:
+        held = old.select(day, *keys).join(new.select(*keys), list(keys), "left_semi").select(day)
+        days = [row[0] for row in held.union(new.select(day)).distinct().collect()]
+        if not days:
+            return []
+        stays = only_new(old.filter(F.col(day).isin(days)), new.select(*keys), list(keys))
+        with materialized(stays.select(*old.columns).unionByName(new), "upsert") as rows:
+            overwrite_days(rows, table)
+            filled = {row[0] for row in rows.select(day).distinct().collect()}
+    drop_listed_days(spark, table, [d for d in days if d not in filled])
+    return sorted(map(str, days))
+
+
 def compact_days(
     df: DataFrame,
     table: str,

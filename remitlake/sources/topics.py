@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -59,15 +60,35 @@ def read_messages_stream(spark: SparkSession, conf: TopicConf) -> DataFrame:
     return _load(spark.readStream, conf)
 
 
-def read_messages(spark: SparkSession, conf: TopicConf) -> DataFrame:
-    """Bounded read from the earliest message to the current end."""
+def read_messages(
+    spark: SparkSession,
+    conf: TopicConf,
+    since: dt.datetime | None = None,
+    until: dt.datetime | None = None,
+) -> DataFrame:
+    """Bounded read from the earliest message to the current end, or of a span of broker time.
+
+    Of a topic, ``since`` and ``until`` become offsets before anything is read, so a look at a few
+    minutes of a large topic reads those minutes. Files have no such index and ignore them.
+    """
     options = dict(conf.options)
     if conf.format == "kafka":
         options |= {"startingOffsets": "earliest", "endingOffsets": "latest"}
         options.pop("maxOffsetsPerTrigger", None)
+        if since is not None:
+            options["startingTimestamp"] = _millis(since)
+            options["startingOffsetsByTimestampStrategy"] = "latest"
+        if until is not None:
+            options["endingTimestamp"] = _millis(until)
     return _load(spark.read, TopicConf(conf.format, options, conf.schema, conf.path))
 
 
+def _millis(moment: dt.datetime) -> str:
+    """Milliseconds since 1970; a time without zone is UTC."""
+    zoned = moment if moment.tzinfo else moment.replace(tzinfo=dt.UTC)
+    return str(int(zoned.timestamp() * 1000))
+
+
 def first_messages(messages: DataFrame, n: int) -> DataFrame:
     """The first ``n`` messages by position."""
     return messages.orderBy("offset", "topic", "partition").limit(n)
@@ -80,11 +101,23 @@ def first_messages_per_topic(messages: DataFrame, n: int) -> DataFrame:
     return numbered.filter(F.col("__n") <= n).drop("__n")
 
 
-def peek(spark: SparkSession, conf: TopicConf, n: int) -> DataFrame:
-    """A sample of a topic, to look at its messages."""
-    return first_messages(read_messages(spark, conf), n)
-
-
-def peek_topics(spark: SparkSession, conf: TopicConf, n: int) -> DataFrame:
-    """A sample of every subscribed topic."""
-    return first_messages_per_topic(read_messages(spark, conf), n)
+def peek(
+    spark: SparkSession,
+    conf: TopicConf,
+    n: int,
+    since: dt.datetime | None = None,
+    until: dt.datetime | None = None,
+) -> DataFrame:
+    """A sample of a topic, to look at its messages. Bound it in time where the topic is large."""
+    return first_messages(read_messages(spark, conf, since, until), n)
+
+
+def peek_topics(
+    spark: SparkSession,
+    conf: TopicConf,
+    n: int,
+    since: dt.datetime | None = None,
+    until: dt.datetime | None = None,
+) -> DataFrame:
+    """A sample of every subscribed topic. Bound it in time where the topics are large."""
+    return first_messages_per_topic(read_messages(spark, conf, since, until), n)

@@ -10,10 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from remitlake.operators.parse import landable, parse_envelope, quarantine, with_event_date
+from remitlake.operators.parse import landable, parse_envelope, quarantine
 from remitlake.session import STATE_STORE
 from remitlake.sources.jdbc import write_jdbc
-from remitlake.sources.landing import LANDING_COLUMNS, land_as
+from remitlake.sources.landing import as_landed, land_as, position_of
 
 KEYS = ["object_type", "object_id"]
 DELAY = "5 minutes"
@@ -25,8 +25,9 @@ def collapse_repeats(df: DataFrame) -> DataFrame:
     """Drop repeats of a key within each Arrow batch, keeping the first and every later event time.
 
     A repeat with a later event time than all before it goes on: the first may turn out too late for
-    the watermark, and event times move the watermark. Streaming de-duplication shuffles every row by key and has no map-side step of its own. Without
-    this a key repeated through the stream would send all its rows to one task.
+    the watermark, and event times move the watermark. Streaming de-duplication shuffles every row by
+    key and has no map-side step of its own. Without this a key repeated through the stream would send
+    all its rows to one task.
     """
 
     def first_of_batch(batches):
@@ -73,29 +74,34 @@ def landing_rows(
     Rows that cannot land are filtered before the de-duplication, where they would all share the
     null key. They are counted under the name ``landing`` in the query's progress.
     """
-    parsed = parse_envelope(messages).observe(
+    parsed = parse_envelope(messages, keep=position_of(messages)).observe(
         "landing",
         F.count("*").alias("messages"),
         F.count_if(~landable()).alias("quarantined"),
     )
     unique = dedup_stream(parsed.filter(landable()), mode, delay, collapse)
-    return with_event_date(unique).select(*LANDING_COLUMNS)
+    return as_landed(unique)
+
+
+_STARTING = threading.Lock()
 
 
 @contextmanager
 def _state_on_disk(spark: SparkSession) -> Iterator[None]:
     """Start a query with RocksDB state unless the session names a store.
 
-    A query copies the settings when it starts, so the session's own are put back at once.
+    A query copies the settings when it starts, so the session's own are put back at once. Starts
+    from several threads wait for each other.
     """
-    unset = [key for key in STATE_STORE if spark.conf.get(key, None) is None]
-    for key in unset:
-        spark.conf.set(key, STATE_STORE[key])
-    try:
-        yield
-    finally:
+    with _STARTING:
+        unset = [key for key in STATE_STORE if spark.conf.get(key, None) is None]
         for key in unset:
-            spark.conf.unset(key)
+            spark.conf.set(key, STATE_STORE[key])
+        try:
+            yield
+        finally:
+            for key in unset:
+                spark.conf.unset(key)
 
 
 def _start(

@@ -8,7 +8,7 @@ from remitlake.operators import metrics
 from remitlake.plans import mart, staging
 from remitlake.schemas import CURRENCIES, TRANSACTIONS
 from remitlake.sources import landing, tables
-from samples import land_all, payment, rate, uid
+from samples import land_all, landed, payment, rate, tx_df, uid
 
 NOW = dt.datetime(2022, 11, 1)
 MESSAGES = [
@@ -197,6 +197,7 @@ def test_ensure_tables_is_repeatable(spark, lake):
         "transactions",
         "transactions_rej",
         "global_metrics",
+        "daily_rates",
     }
 
 
@@ -224,3 +225,97 @@ def test_scratch_copies_are_removed(spark, lake):
     land_all(spark, lake, MESSAGES)
     staging.stage_day(spark, lake, TRANSACTIONS, "2022-10-01")
     assert glob.glob(f"{scratch_root(spark)}/remitlake-transactions-2022-10-01-*") == []
+
+
+def test_mart_reads_daily_rates_and_not_the_history(spark, lake):
+    land_all(spark, lake, MESSAGES)
+    mart.run_range(spark, lake, "2022-10-02", "2022-10-04", now=NOW)
+    files = mart.day_metrics(spark, lake, "2022-10-03", "2022-10-03").inputFiles()
+    assert files and not any(f"/{CURRENCIES.table}/" in f for f in files)
+    days = {f.split("event_day=")[1][:10] for f in files if f"/{TRANSACTIONS.table}/" in f}
+    assert days == {"2022-10-03"}
+
+
+def test_a_late_rate_and_a_dropped_day_reach_the_mart(spark, lake):
+    land_all(spark, lake, MESSAGES)
+    mart.run_range(spark, lake, "2022-10-02", "2022-10-04", now=NOW)
+    land_all(spark, lake, [rate(20, "2022-10-02 00:00:00", 410, 0.5)])
+    staging.stage_day(spark, lake, CURRENCIES, "2022-10-02")
+    mart.make_mart_day(spark, lake, "2022-10-02", now=NOW)
+    assert (EXPECTED[2][0], 410, Decimal("50.00")) in [r[:3] for r in mart_rows(spark, lake)]
+    staging.drop_range(spark, lake, CURRENCIES, "2022-10-02", "2022-10-02")
+    mart.make_mart_day(spark, lake, "2022-10-02", now=NOW)
+    assert mart_rows(spark, lake) == EXPECTED
+
+
+def test_daily_rates_are_filled_where_they_are_missing(spark, lake):
+    land_all(spark, lake, MESSAGES)
+    staging.stage_range(spark, lake, CURRENCIES, "2022-10-01", "2022-10-03")
+    before = sorted(spark.table(lake.daily_rates).collect())
+    spark.sql(f"DROP TABLE {lake.daily_rates}")
+    tables.ensure_tables(spark, lake.database)
+    assert sorted(spark.table(lake.daily_rates).collect()) == before and len(before) == 3
+
+
+def test_upsert_rewrites_only_days_with_the_keys(spark, lake):
+    table, order = lake.table(TRANSACTIONS), ["sent_dttm", "status"]
+
+    def rows(*spec):
+        made = [(n, f"{day} 10:00:00", 410, amount, 5, 6, "done") for n, day, amount in spec]
+        return tables.with_day(tx_df(spark, made), "transaction_dt")
+
+    tables.overwrite_days(
+        rows((1, "2022-10-01", 1), (2, "2022-10-01", 2), (3, "2022-10-02", 3), (4, "2022-10-03", 4)), table
+    )
+    new = rows((1, "2022-10-02", 10), (3, "2022-10-02", 30), (5, "2022-10-05", 50))
+    days = tables.upsert_days(new, table, ["object_id"], order)
+    assert days == ["2022-10-01", "2022-10-02", "2022-10-05"]
+    got = sorted((int(r.object_id[-12:]), str(r.event_day), r.amount) for r in spark.table(table).collect())
+    assert got == [(1, "2022-10-02", 10), (2, "2022-10-01", 2), (3, "2022-10-02", 30), (4, "2022-10-03", 4), (5, "2022-10-05", 50)]
+    tables.upsert_days(rows((4, "2022-10-05", 40)), table, ["object_id"], order)
+    assert "2022-10-03" not in tables.stored_days(spark, table)
+    assert tables.upsert_days(new.limit(0), table, ["object_id"], order) == []
+
+
+def test_landing_files_of_many_batches_are_joined(spark, lake):
+    for i in range(4):
+        land_all(spark, lake, [payment(i, "2022-10-01 10:00:00"), payment(9 + i, f"2022-10-0{i + 2} 10:00:00")])
+    before = sorted(landing.read_all(spark, lake.landing).collect())
+    assert landing.compact_landing(spark, lake.landing, "2022-10-01", "2022-10-03") == 4
+    day = landing.read_landing(spark, lake.landing, TRANSACTIONS.name, "2022-10-01")
+    assert day.select(F.input_file_name()).distinct().count() == 1 and day.count() == 4
+    assert sorted(landing.read_all(spark, lake.landing).collect()) == before
+    assert landing.compact_landing(spark, lake.landing, "2022-10-01", "2022-10-03") == 0
+
+
+def test_position_settles_equal_sending_times(spark):
+    messages = [payment(1, "2022-10-01 10:00:00", status=s) for s in ("b", "a", "c")]
+    parsed = landed(spark, messages).coalesce(1)
+    status = F.get_json_object("payload", "$.status")
+    placed = parsed.withColumn("partition", F.lit(0)).withColumn(
+        "offset", F.when(status == "b", 1).when(status == "a", 2).otherwise(3).cast("long")
+    )
+    for keep, expected in (("first", "b"), ("latest", "c")):
+        assert [r.status for r in staging.extract(placed, TRANSACTIONS, keep).collect()] == [expected]
+    one = staging.extract(parsed, TRANSACTIONS).collect()
+    assert len(one) == 1 and one == staging.extract(parsed.repartition(3, status), TRANSACTIONS).collect()
+
+
+def test_deduplication_shuffles_what_is_read(spark):
+    rows = staging.staged(landed(spark, MESSAGES), TRANSACTIONS).select("amount")
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    window = next(line for line in plan.splitlines() if "Window [row_number" in line)
+    below = plan[plan.index(window) :].splitlines()[1:]
+    passed = next(line for line in below if "Project [" in line)
+    assert "amount" in passed and "country" not in passed.split("concat_ws")[0]
+
+
+def test_scratch_is_cleaned(spark, tmp_path):
+    import os
+
+    from remitlake import scratch
+
+    path = scratch.scratch_path(spark, "trial")
+    spark.range(3).write.parquet(path)
+    assert scratch.clean(spark) >= 1 and not os.path.exists(path)
+    assert scratch.clean(spark) == 0

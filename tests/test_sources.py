@@ -41,6 +41,16 @@ def test_bounded_kafka_read_covers_the_topic():
     assert "maxOffsetsPerTrigger" not in options
 
 
+def test_bounded_kafka_read_of_a_span():
+    spark = mock.MagicMock()
+    reader = spark.read.format.return_value
+    since, until = dt.datetime(2022, 10, 1), dt.datetime(2022, 10, 1, 0, 5, tzinfo=dt.UTC)
+    topics.read_messages(spark, topics.kafka_conf("b:1", ["t"]), since, until)
+    options = reader.options.call_args.kwargs
+    assert options["startingTimestamp"] == "1664582400000"
+    assert options["endingTimestamp"] == "1664582700000"
+
+
 def test_peek(spark, tmp_path):
     rows = spark.range(40).selectExpr(
         "if(id % 2 = 0, 'a', 'b') as topic", "cast(0 as int) as partition", "id as offset"
