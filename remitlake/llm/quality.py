@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from remitlake.llm.words import slices, utf8, words_of
@@ -136,31 +136,30 @@ def fit_quality(docs: DataFrame, labels: DataFrame) -> AttentionPool | None:
     """A model from a bounded sample of the labelled texts that are not held out; None without labels.
 
     The sample is the FIT_TEXTS labels with the smallest hash of their id, fewer if their passages are
-    more than FIT_PASSAGES. An id labelled twice counts once, with the smaller label. Passages are
-    encoded in the tasks; the driver gets numbers of a bounded size and no text.
+    more than FIT_PASSAGES; an id with more than a tenth of those is left out. An id labelled twice
+    counts once, with the smaller label. The choice is made from sizes alone, a row per id of the
+    sample. Passages are encoded in the tasks; the driver gets numbers of a bounded size and no text.
     """
     usable = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").where(~held_out())
     sample = usable.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("quality"))
     sample = sample.orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_TEXTS)
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    # At most FIT_TEXTS narrow rows are broadcast.
-    rows = text.join(F.broadcast(sample), "doc_id")
+    # At most FIT_TEXTS narrow rows are broadcast, twice, and as many are sized up in one task.
     size = F.ceil(F.octet_length(F.coalesce("text", F.lit(""))) / F.lit(PASSAGE)) + 1
-    from pyspark.sql import Window
-
-    rows = rows.withColumn("_size", size).where(F.col("_size") <= FIT_PASSAGES // 10)
+    sizes = text.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "quality").agg(F.sum(size).alias("size"))
+    order = Window.orderBy(F.xxhash64("doc_id"), "doc_id")
+    fit = sizes.where(F.col("size") <= FIT_PASSAGES // 10).withColumn("_sum", F.sum("size").over(order))
+    rows = text.join(F.broadcast(fit.where(F.col("_sum") <= FIT_PASSAGES).select("doc_id", "quality")), "doc_id")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 x, at = encode(part.column("text"))
                 cells = [np.ascontiguousarray(x[a:b], np.float16).tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("quality"), part.column("_size"), pa.array(cells, pa.binary())], names=["doc_id", "quality", "size", "x"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("quality"), pa.array(cells, pa.binary())], names=["doc_id", "quality", "x"])
 
-    encoded = rows.select("doc_id", F.col("quality").cast("int").alias("quality"), F.col("_size").cast("long").alias("_size"), "text").mapInArrow(features, "doc_id long, quality int, size long, x binary")
-    order = Window.orderBy(F.xxhash64("doc_id"), "doc_id", "x")
-    kept = encoded.withColumn("_sum", F.sum("size").over(order)).where(F.col("_sum") <= FIT_PASSAGES)
-    got = kept.select("quality", "x").collect()
+    encoded = rows.select("doc_id", F.col("quality").cast("int").alias("quality"), "text").mapInArrow(features, "doc_id long, quality int, x binary")
+    got = sorted(encoded.collect(), key=lambda r: (r["doc_id"], r["x"]))
     if not got:
         return None
     bags = [np.frombuffer(r["x"], np.float16).reshape(-1, FEATURES).astype(np.float32) for r in got]
@@ -200,6 +199,6 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
                 if model.value is None:
                     yield part
                 else:
-                    yield part.filter(pa.array(model.value.score(*encode(part.column("text"))) >= THRESHOLD))
+                    yield part.filter(pa.array(model.value.score(*encode(part.column("text"))).astype(np.float64) >= THRESHOLD))
 
     return docs.mapInArrow(keep, docs.schema)
