@@ -165,15 +165,20 @@ class ItemIndex:
         return top
 
 
-def _passes(docs: DataFrame, benchmark: DataFrame) -> list[DataFrame]:
-    """One scan of the documents for each BLOCK_ITEMS items: the block is a bounded query set."""
-    spark = docs.sparkSession
+def _indexes(benchmark: DataFrame) -> Iterator:
+    """An index for each BLOCK_ITEMS items, sent to the tasks: the block is a bounded query set."""
+    spark = benchmark.sparkSession
     items = benchmark.where("text IS NOT NULL").select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("binary").alias("text"))
     blocks = -(-items.count() // BLOCK_ITEMS)
-    out = []
     for k in range(blocks):
         own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()
-        index = spark.sparkContext.broadcast(ItemIndex([(r["item_id"], bytes(r["text"])) for r in own]))
+        yield spark.sparkContext.broadcast(ItemIndex([(r["item_id"], bytes(r["text"])) for r in own]))
+
+
+def _passes(docs: DataFrame, benchmark: DataFrame) -> list[DataFrame]:
+    """One scan of the documents for each index."""
+    out = []
+    for index in _indexes(benchmark):
 
         def search(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -211,6 +216,19 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` with no benchmark passage, with all their columns."""
-    hit = benchmark_hits(docs, benchmark).where("contaminated").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["_id"]), "left_anti")
+    """The rows of ``docs`` with no benchmark passage, with all their columns.
+
+    Each row is judged by its own text, whatever other rows of its id hold. One scan, no shuffle.
+    """
+    schema = docs.schema
+    for index in _indexes(benchmark):
+
+        def clean(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for part in slices(batch, "text"):
+                    words = words_of(part.column("text"))
+                    found = index.value.matches(words.hash, words.at)
+                    yield part.filter(pa.array([not found.get(r) for r in range(part.num_rows)], pa.bool_()))
+
+        docs = docs.mapInArrow(clean, schema)
+    return docs

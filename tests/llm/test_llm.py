@@ -315,6 +315,9 @@ def test_decontamination(spark, odd, empty):
     assert not any(v for k, v in out.items() if k is None or not 100 <= k <= 106 and k != 301)
     clean = decontaminate.drop_contaminated(make(spark, rows), benchmark)
     assert clean.count() == len(rows) - 8
+    shared = make(spark, [(None, items[4][1]), (None, fill(30)), (7, items[5][1]), (7, fill(30))])
+    assert [x.doc_id for x in decontaminate.drop_contaminated(shared, benchmark).orderBy("doc_id").collect()] == [None, 7]
+    assert decontaminate.drop_contaminated(empty, benchmark).count() == 0
     assert decontaminate.benchmark_hits(empty, benchmark).count() == 0
     assert not any(x.contaminated for x in decontaminate.benchmark_hits(odd, benchmark.limit(0)).collect())
 
@@ -340,6 +343,8 @@ def test_items_in_blocks(spark, monkeypatch):
     docs = make(spark, [(i, t) for i, t in items] + [(9, "nothing here"), (9, "nothing here")])
     out = [(x.doc_id, [i.item_id for i in x["items"]]) for x in decontaminate.benchmark_hits(docs, spark.createDataFrame(items, "item_id long, text string")).collect()]
     same(out, [(i, [i]) for i in range(5)] + [(9, []), (9, [])])
+    kept = decontaminate.drop_contaminated(docs, spark.createDataFrame(items, "item_id long, text string"))
+    assert [x.doc_id for x in kept.collect()] == [9, 9]
 
 
 def test_near_fingerprints_are_all_found():
