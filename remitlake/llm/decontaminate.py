@@ -10,7 +10,8 @@ then compared with its item by weighted shingle similarity at the places where t
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
+import math
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import reduce
 
@@ -21,8 +22,6 @@ from pyspark.sql import functions as F
 
 from remitlake.llm.words import SHINGLE, grams, slices, words_of
 
-#: Words that may have been added or left out before a window.
-SLACK = 8
 RADIUS = 5
 SIMILARITY = 0.8
 #: Items that one pass over the documents looks for; more items are looked for in further passes.
@@ -31,6 +30,8 @@ BLOCK_ITEMS = 2_000
 #: takes four shingles away and adds five, and (40 - 4) / (40 + 5) is SIMILARITY.
 SHINGLES_PER_EDIT = 40
 _CHUNK = 1 << 12
+#: Stretches that are compared at once.
+_STRETCHES = 1 << 20
 
 
 def window_size(n_words: int) -> int:
@@ -101,14 +102,32 @@ class BlockIndex:
         return pairs[:, 0], pairs[:, 1]
 
 
-def _weights(hashes: np.ndarray) -> Counter:
-    return Counter(grams(hashes, min(SHINGLE, len(hashes))).tolist())
+def best_stretch(found: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> float:
+    """The largest similarity of an item with any run of the shingles ``found``; 0 below SIMILARITY.
 
-
-def weighted_jaccard(a: Counter, b: Counter) -> float:
-    """Shingles weighted by how often they occur: sum of minima over sum of maxima."""
-    both = sum(min(n, b[k]) for k, n in a.items() if k in b)
-    return both / max(1, sum(a.values()) + sum(b.values()) - both)
+    The item has the sorted shingles ``keys``, ``counts`` times each. Shingles are weighted by how often
+    they occur: sum of minima over sum of maxima. The best run begins and ends with a shingle of the item.
+    """
+    own = np.minimum(np.searchsorted(keys, found), len(keys) - 1)
+    place = np.flatnonzero(keys[own] == found)
+    own, total = own[place], int(counts.sum())
+    least = math.ceil(SIMILARITY * total - 1e-9)
+    if len(place) < least:
+        return 0.0
+    # A shingle counts in runs that begin after its occurrence ``counts`` places back in its own list.
+    order = np.argsort(own, kind="stable")
+    back = np.arange(len(order)) - counts[own[order]]
+    same = (back >= 0) & (own[order[np.maximum(back, 0)]] == own[order])
+    limit = np.empty(len(order), np.int64)
+    limit[order] = np.where(same, order[np.maximum(back, 0)], -1)
+    top, starts = 0.0, len(place) - least + 1
+    step = max(1, _STRETCHES // len(place))
+    for a in range(0, starts, step):
+        first = np.arange(a, min(starts, a + step))[:, None]
+        both = np.cumsum((limit[a:] < first) & (np.arange(a, len(place)) >= first), axis=1)
+        length = place[a:] - place[first] + 1
+        top = max(top, float((both / np.maximum(total, total + length - both)).max()))
+    return top if top >= SIMILARITY else 0.0
 
 
 class ItemIndex:
@@ -117,7 +136,7 @@ class ItemIndex:
     def __init__(self, items: list[tuple[int, bytes]]):
         self.items = [(i, words_of(pa.array([t.decode()])).hash) for i, t in items]
         self.items = [(i, h) for i, h in self.items if len(h)]
-        self.weights = [_weights(h) for _, h in self.items]
+        self.weights = [np.unique(grams(h, min(SHINGLE, len(h))), return_counts=True) for _, h in self.items]
         by_size: dict[int, list[tuple[int, int, np.uint64]]] = defaultdict(list)
         for k, (_, h) in enumerate(self.items):
             for skip, size in parts_of(len(h)):
@@ -127,6 +146,7 @@ class ItemIndex:
     def matches(self, hashes: np.ndarray, at: np.ndarray) -> dict[int, dict[int, float]]:
         """Best similarity by row and item, for rows whose words are ``hashes[at[i]:at[i + 1]]``."""
         best: dict[int, dict[int, float]] = defaultdict(dict)
+        tried: set[tuple[int, int, int]] = set()
         longest = max(self.sizes, default=0)
         for a in range(0, len(hashes), _CHUNK):
             total = _sums(hashes[a : a + _CHUNK + longest - 1], longest)
@@ -141,28 +161,23 @@ class ItemIndex:
                         continue
                     k, skip, _ = own[m]
                     item, item_words = self.items[k]
-                    if best[row].get(item) == 1:
+                    if best[row].get(item) == 1 or (row, k, place - skip) in tried:
                         continue
+                    tried.add((row, k, place - skip))
                     s = self._similarity(hashes[at[row] : at[row + 1]], place - skip - int(at[row]), len(item_words), self.weights[k])
-                    if s >= SIMILARITY and s > best[row].get(item, 0):
+                    if s > best[row].get(item, 0):
                         best[row][item] = s
         return best
 
     @staticmethod
-    def _similarity(words: np.ndarray, start: int, n: int, weights: Counter) -> float:
-        """Similarity of the item with the stretch of its size at ``start``.
+    def _similarity(words: np.ndarray, start: int, n: int, weights: tuple[np.ndarray, np.ndarray]) -> float:
+        """The largest similarity of the item with a stretch around its place at ``start``.
 
-        Where that is too low, the largest with stretches that begin or end up to a fifth of the item
-        earlier or later, as words may have been added or left out before the window.
+        A stretch of SIMILARITY has at most a quarter of the item's shingles added, all of them before or
+        all behind the window that was found.
         """
-        top = weighted_jaccard(weights, _weights(words[max(0, start) : max(0, start) + n]))
-        slack = 0 if top >= SIMILARITY else min(SLACK, n // 5)
-        for a in range(-slack, slack + 1):
-            for b in range(-slack, slack + 1):
-                part = words[max(0, start + a) : max(0, start + n + b)]
-                if len(part):
-                    top = max(top, weighted_jaccard(weights, _weights(part)))
-        return top
+        reach = n // 4 + SHINGLE
+        return best_stretch(grams(words[max(0, start - reach) : max(0, start + n + reach)], min(SHINGLE, n)), *weights)
 
 
 def _indexes(benchmark: DataFrame) -> Iterator:

@@ -337,6 +337,40 @@ def test_an_edit_anywhere_in_an_item_is_forgiven():
     assert [[*hits[i]] for i in range(len(texts))] == [[n] for n in want]
 
 
+def best_of_all_stretches(item, text):
+    """By every pair of begin and end, shingles as word tuples."""
+    size = min(5, len(item))
+    grams = lambda w: [tuple(w[i : i + size]) for i in range(len(w) - size + 1)]
+    want, found, top = Counter(grams(item)), grams(text), 0
+    total = sum(want.values())
+    for a in range(len(found)):
+        met, both = Counter(), 0
+        for b in range(a, min(len(found), a + total * 5 // 4 + 1)):
+            met[found[b]] += 1
+            both += met[found[b]] <= want[found[b]]
+            top = max(top, both / (total + b - a + 1 - both))
+    return top
+
+
+def found_similarity(item, texts):
+    index = decontaminate.ItemIndex([(1, " ".join(item).encode())])
+    found = words_of(pa.array([" ".join(t) for t in texts]))
+    hits = index.matches(found.hash, found.at)
+    return [hits[i].get(1, 0) if i in hits else 0 for i in range(len(texts))]
+
+
+def test_passages_cut_short_or_with_blocks_put_in():
+    r = random.Random(3)
+    fill = [f"f{i}" for i in range(60)]
+    for n in (60, 120, 200):
+        item = [f"k{r.randint(0, 900)}" for _ in range(n)]
+        texts = [fill[:30] + t + fill[30:] for k in range(0, n // 4 + 2, 3) for t in (item[k:], item[: n - k], item[k // 2 : n - k + k // 2], item[: n // 2] + fill[:k] + item[n // 2 :])]
+        texts.append(fill[:9] + item[: n // 2] + item[n // 2 - 4 :] + item[:20])
+        for got, text in zip(found_similarity(item, texts), texts, strict=True):
+            want = best_of_all_stretches(item, text)
+            assert got == pytest.approx(want if want >= 0.8 else 0), (n, text)
+
+
 def test_items_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "BLOCK_ITEMS", 2)
     items = [(i, " ".join(f"b{i}x{k}" for k in range(20))) for i in range(5)]
