@@ -1,9 +1,8 @@
 """Benchmark passages in documents: SimHash windows, Hamming blocks, exact verification.
 
-An item gets the fingerprint of a window in its middle; the window's size is the item's number of
-words rounded down to 2^k or 3 * 2^k, so items of like size share a window size. An item long enough
-to stay similar with n places inside it edited is first cut into n + 1 parts, each with its window, so
-that one of them is without an edit. Every window of each such size in every document is fingerprinted. A fingerprint is cut into RADIUS + 1 blocks: two
+An item gets the fingerprints of some of its windows, of 2^k or 3 * 2^k words, so that items of like
+size share a window size; they are so many, and so far from its ends, that edits which keep it similar
+leave one of them whole. Every window of each such size in every document is fingerprinted. A fingerprint is cut into RADIUS + 1 blocks: two
 that differ in at most RADIUS bits agree in a block, so block tables find all of them. Each hit is
 then compared with its item by weighted shingle similarity at the places where the item can lie.
 """
@@ -13,7 +12,7 @@ from __future__ import annotations
 import math
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import reduce
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -26,9 +25,10 @@ RADIUS = 5
 SIMILARITY = 0.8
 #: Items that one pass over the documents looks for; more items are looked for in further passes.
 BLOCK_ITEMS = 2_000
-#: Shingles of an item for each place inside it that can be edited with SIMILARITY kept: a word put in
-#: takes four shingles away and adds five, and (40 - 4) / (40 + 5) is SIMILARITY.
-SHINGLES_PER_EDIT = 40
+#: With x shingles of an item missing and y others added, SIMILARITY means 5 x + 4 y <= its shingles. A
+#: word cut off at an end costs 5; a break inside costs 16 at least (four words said twice: x = 0, y = 4)
+#: and with j of the item's words lost 5 j, or 20 (four of eight repeated words gone: x = 4, y = 0).
+CUT, BREAK, LOSS = 5, 16, 20
 _CHUNK = 1 << 12
 #: Stretches that are compared at once.
 _STRETCHES = 1 << 20
@@ -40,11 +40,37 @@ def window_size(n_words: int) -> int:
     return two * 3 // 2 if two >= 2 and n_words >= two * 3 // 2 else two
 
 
+def _cost(starts: list[int], size: int, n_words: int) -> int:
+    """The least that edits cost which leave none of the windows whole."""
+    least = [0, *(CUT * (a + 1) for a in starts)]
+    for i in range(1, len(least)):
+        for j in range(i - 1, -1, -1):
+            lost = starts[i - 1] - starts[j] - size + 2
+            one = BREAK if lost <= 0 else max(LOSS, CUT * lost)
+            if one > BREAK * (i - j) + LOSS:
+                break
+            least[i] = min(least[i], least[j] + one)
+    ends = [CUT * (n_words - a - size + 1) for a in starts]
+    return min(a + b for a, b in zip(least, [*ends, 0], strict=True))
+
+
+@lru_cache(1 << 16)
 def parts_of(n_words: int) -> list[tuple[int, int]]:
-    """First word and size of the windows of an item of ``n_words``."""
-    parts = max(0, n_words - SHINGLE + 1) // SHINGLES_PER_EDIT + 1
-    size = window_size(n_words // parts)
-    return [(n_words * i // parts + (n_words // parts - size) // 2, size) for i in range(parts)]
+    """First word and size of the windows of an item of ``n_words``.
+
+    The largest windows of which any edit that keeps SIMILARITY leaves one whole: each break spoils the
+    windows it lies in and words cut off at the ends those that hold them, so windows stand apart.
+    """
+    shingles_, size = max(1, n_words - SHINGLE + 1), window_size(n_words)
+    while size > 1:
+        for count in (shingles_ // BREAK + 1, shingles_ // BREAK + 2):
+            for off in range(min(10, (n_words - size) // 2 + 1)):
+                room = n_words - size - 2 * off
+                starts = [off + room * i // (count - 1) for i in range(count)] if count > 1 else [off + room // 2]
+                if _cost(starts, size, n_words) > shingles_:
+                    return [(a, size) for a in starts]
+        size = window_size(size - 1)
+    return [(a, 1) for a in range(n_words)]
 
 
 def _sums(hashes: np.ndarray, longest: int) -> np.ndarray:

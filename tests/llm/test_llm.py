@@ -362,7 +362,7 @@ def found_similarity(item, texts):
 def test_passages_cut_short_or_with_blocks_put_in():
     r = random.Random(3)
     fill = [f"f{i}" for i in range(60)]
-    for n in (60, 120, 200):
+    for n in (49, 60, 120, 200):
         item = [f"k{r.randint(0, 900)}" for _ in range(n)]
         texts = [fill[:30] + t + fill[30:] for k in range(0, n // 4 + 2, 3) for t in (item[k:], item[: n - k], item[k // 2 : n - k + k // 2], item[: n // 2] + fill[:k] + item[n // 2 :])]
         texts.append(fill[:9] + item[: n // 2] + item[n // 2 - 4 :] + item[:20])
@@ -371,6 +371,18 @@ def test_passages_cut_short_or_with_blocks_put_in():
             assert got == pytest.approx(want if want >= 0.8 else 0), (n, text)
 
 
+def test_edits_at_every_place_leave_a_window():
+    r = random.Random(12)
+    for n in range(15, 61):
+        assert all(a >= 0 and a + size <= n for a, size in decontaminate.parts_of(n))
+        item = [f"k{r.randint(0, 9000)}" for _ in range(n)]
+        texts = [["before", *item[:at], *put, *item[at + gone :], "after"] for at in range(n + 1) for put, gone in ((["new"], 1), (["new"], 0), ([], 1), (item[max(0, at - 4) : at], 0))]
+        texts += [["before", "new", *item[1:at], "new", *item[at + 1 : n - 1], "new", "after"] for at in range(1, n - 1)]
+        for got, text in zip(found_similarity(item, texts), texts, strict=True):
+            want = best_of_all_stretches(item, text)
+            assert got == pytest.approx(want if want >= 0.8 else 0), (n, text)
+
+
 def test_items_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "BLOCK_ITEMS", 2)
     items = [(i, " ".join(f"b{i}x{k}" for k in range(20))) for i in range(5)]
