@@ -276,15 +276,8 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([sids[i] for i in own], pa.binary()), pa.array(count[own], pa.int64()), pa.array([sids[label[i]] for i in own], pa.binary())], names=["sid", "links", "other"])
 
 
-def near_duplicates(docs: DataFrame, miss: float = MISS) -> DataFrame:
-    """doc_id, class_id, n_links of every row of ``docs``.
-
-    Rows are linked if the Jaccard similarity of their sets of five-word shingles is at least 0.8; a
-    text of one to four words is one shingle. n_links counts the rows that a row is linked to, copies
-    included. class_id is the smallest doc_id that links lead to, the own one without links. Null and
-    empty texts have no shingles and no links. Rows of equal id are rows of their own. Null ids never
-    name a class that has another id. Extra columns are ignored.
-    """
+def _classes(docs: DataFrame, miss: float) -> tuple[DataFrame, DataFrame]:
+    """The rows (doc_id, th, sid) and the distinct sets with their first row, links and class ``label``."""
     spark = docs.sparkSession
     at = scratch_path(spark, "sets")
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
@@ -308,8 +301,20 @@ def near_duplicates(docs: DataFrame, miss: float = MISS) -> DataFrame:
     links = spark.read.parquet(at)
 
     label = components(contracted(links.select(F.col("sid").alias("a"), F.col("other").alias("b")))).withColumnRenamed("node", "sid")
-    known = sets.select("sid", "size", "doc_id").join(links.groupBy("sid").agg(F.sum("links").alias("links")), "sid", "left").join(label, "sid", "left")
-    known = known.withColumn("label", F.coalesce("label", "sid"))
+    known = sets.select("sid", "size", "doc_id", "th").join(links.groupBy("sid").agg(F.sum("links").alias("links")), "sid", "left").join(label, "sid", "left")
+    return described, known.withColumn("label", F.coalesce("label", "sid"))
+
+
+def near_duplicates(docs: DataFrame, miss: float = MISS) -> DataFrame:
+    """doc_id, class_id, n_links of every row of ``docs``.
+
+    Rows are linked if the Jaccard similarity of their sets of five-word shingles is at least 0.8; a
+    text of one to four words is one shingle. n_links counts the rows that a row is linked to, copies
+    included. class_id is the smallest doc_id that links lead to, the own one without links. Null and
+    empty texts have no shingles and no links. Rows of equal id are rows of their own. Null ids never
+    name a class that has another id. Extra columns are ignored.
+    """
+    described, known = _classes(docs, miss)
     named = known.join(_stored(known.groupBy("label").agg(F.min("doc_id").alias("class_id")), "classes"), "label")
     named = named.select("sid", "class_id", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"))
     out = described.select("doc_id", "sid").join(named, "sid", "left")
@@ -317,8 +322,18 @@ def near_duplicates(docs: DataFrame, miss: float = MISS) -> DataFrame:
 
 
 def keep_one_of_each_class(docs: DataFrame) -> DataFrame:
-    """The row of ``docs`` that names each class, with all its columns."""
-    named = near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    kept = docs.join(named, docs["doc_id"].eqNullSafe(named["_id"]), "left_semi")
-    # Rows of one id have one row left; the window passes on one row a key before its shuffle.
-    return kept.withColumn("_n", F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))).where("_n = 1 OR doc_id IS NULL").drop("_n")
+    """One row of ``docs`` for each class, with all its columns.
+
+    It is the row that names the class, known by its id and a hash of its text: other texts of its id
+    have classes of their own, null ids too. Rows without shingles are in no class and stay.
+    """
+    _, known = _classes(docs, MISS)
+    first = known.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "th")).alias("first"))
+    named = first.select(F.col("first.doc_id").alias("_id"), F.col("first.th").alias("_th"))
+    has_words = F.coalesce(F.col("text"), F.lit("")).rlike("[^\\x20\\x09-\\x0D]")
+    keyed = docs.where(has_words).withColumn("_key", F.xxhash64("text"))
+    kept = keyed.join(named, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_th")))
+    # Rows that repeat id and text have one row left; the window passes on one row a key before its shuffle.
+    others = [c for c in docs.columns if c not in ("doc_id", "text")] or ["_key"]
+    one = kept.withColumn("_n", F.row_number().over(Window.partitionBy("_id", "_th").orderBy(*others))).where("_n = 1")
+    return one.select(*docs.columns).unionByName(docs.where(~has_words))

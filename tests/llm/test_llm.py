@@ -162,6 +162,17 @@ def test_similarity_join(spark, odd, empty):
     assert similarity_join.near_duplicates(empty).count() == 0
 
 
+def test_one_row_of_each_class_stays(spark):
+    texts = [" ".join(f"t{k}x{i}" for i in range(60)) for k in range(6)]
+    near = texts[1] + " more"
+    rows = [(1, texts[0]), (1, texts[1]), (1, texts[2]), (1, texts[2]), (2, near), (3, texts[3]), (None, texts[3] + " more")]
+    rows += [(None, texts[4]), (None, texts[4] + " more"), (None, texts[5]), (None, None), (None, ""), (4, ""), (4, "  ")]
+    kept = [(x.doc_id, x.text) for x in similarity_join.keep_one_of_each_class(make(spark, rows)).collect()]
+    four = [k for k in kept if k[1] and k[1].startswith("t4")]
+    assert len(four) == 1 and four[0] in rows
+    same([k for k in kept if k not in four], [(1, texts[0]), (1, texts[1]), (1, texts[2]), (3, texts[3]), (None, texts[5]), (None, None), (None, ""), (4, ""), (4, "  ")])
+
+
 def test_contracted_links_keep_components(spark):
     r = random.Random(4)
     links = [(a, b) for a in range(2, 120) for b in r.sample(range(a), min(a, r.choice([0, 1, 1, 2]))) if a % 9 == b % 9 or a == b]
