@@ -31,8 +31,7 @@ UNSEEN = HEAD + BINS
 START = UNSEEN + 1
 HIDDEN = 24
 WINDOW = 32
-#: Each round trains on one of SHARES of the training documents, by a hash of the id.
-SHARES = 16
+#: Each round trains on its share of the training documents, by a hash of the id: together on all.
 ROUNDS = 2
 LANES_TRAIN, LANES_SCORE = 32, 256
 #: Steps until the full rate; words of a stretch in training, where lanes of like length cost least.
@@ -295,7 +294,7 @@ def _train_round(coded: DataFrame, model: GatedModel, round_: int) -> GatedModel
         own, moments, seen = GatedModel(), {}, 0
         own.p = {k: v.copy() for k, v in sent.value.items()}
         for rows in _held(batches):
-            picked = [(r, np.array([f == 0 and ((0 if d is None else d) * 2654435761 >> 8) % SHARES == round_ for d, f in zip(r["doc_ids"], r["flags"], strict=True)], bool)) for r in rows]
+            picked = [(r, np.array([f == 0 and ((0 if d is None else d) * 2654435761 >> 8) % ROUNDS == round_ for d, f in zip(r["doc_ids"], r["flags"], strict=True)], bool)) for r in rows]
             counts = np.concatenate([r["counts"][x] for r, x in picked]).astype(np.int64)
             tokens = np.concatenate([r["tokens"][np.repeat(x, r["counts"])] for r, x in picked]).astype(np.int64)
             if len(counts):

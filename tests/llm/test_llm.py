@@ -239,6 +239,21 @@ def test_language_model(odd, empty):
     assert language_model.score(empty).count() == 0
 
 
+def coded(spark, docs):
+    """(id, held out, tokens) as the rows that training reads, one chunk."""
+    rows = [([i for i, *_ in docs], [f for _, f, _ in docs], [0] * len(docs), [0.0] * len(docs), [0.0] * len(docs), bytearray(dictionary.pack(np.array([len(t) for *_, t in docs], np.uint32), np.concatenate([t for *_, t in docs]).astype(np.uint16))))]
+    return spark.createDataFrame(rows, language_model.CODED)
+
+
+def test_every_training_document_is_learned_from(spark):
+    docs = [(i, int(i % 7 == 2), np.array([2 * i + 1, 2 * i + 2, 0])) for i in range(200)]
+    model, start = language_model.GatedModel(), language_model.GatedModel().p["X"]
+    for round_ in range(language_model.ROUNDS):
+        model = language_model._train_round(coded(spark, docs), model, round_)
+    moved = (np.abs(model.p["X"] - start) > 1e-6).any(axis=1)
+    assert [i for i, held, t in docs if moved[t[:2]].all() == held] == []
+
+
 def test_recurrent_gradients_and_carried_state():
     model = language_model.GatedModel()
     r = np.random.default_rng(1)
