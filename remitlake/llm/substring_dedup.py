@@ -6,7 +6,8 @@ is a hash of what it stands for, so every task gives equal stretches equal names
 the ends of a stretch depend on what is around it: after ROUNDS rounds, at most MARGIN words from
 either end. Every window therefore has the same symbols inside wherever it occurs, and the NEIGHBOURS
 consecutive ones of the smallest hash stand for the window. Spark rounds then find the symbols that stand for windows of two
-documents or more, and the windows behind those symbols are verified by their whole word sequence.
+documents or more; the windows behind those symbols are decided by a 64-bit hash of their whole word
+sequence, the words themselves are not compared. Runs of three or more equal words get no name.
 """
 
 from __future__ import annotations
