@@ -34,9 +34,8 @@ WINDOW = 32
 #: Each round trains on its share of the training documents, by a hash of the id: together on all.
 ROUNDS = 2
 LANES_TRAIN, LANES_SCORE = 32, 256
-#: Steps until the full rate; words of a stretch in training, where lanes of like length cost least.
+#: Steps until the full rate.
 WARM = 60
-STRETCH = 1024
 HOLD_TOKENS = 2 << 20
 REDUCERS = 32
 
@@ -301,9 +300,7 @@ def _train_round(coded: DataFrame, model: GatedModel, round_: int) -> GatedModel
                 # Words met once stand for themselves and, every second time, for words never met.
                 once = np.flatnonzero(tokens == HEAD)
                 tokens[once[::2]] = UNSEEN
-                whole, rest = counts // STRETCH, counts % STRETCH
-                pieces = [np.append(np.full(w, STRETCH), r) if r else np.full(w, STRETCH) for w, r in zip(whole, rest, strict=True)]
-                train(own, np.concatenate(pieces), tokens, moments)
+                train(own, counts, tokens, moments)
                 seen += len(tokens)
         if seen:
             yield pa.RecordBatch.from_pydict({"r": [seen % REDUCERS], "n": [seen], "p": [_flat(own.p).tobytes()]})

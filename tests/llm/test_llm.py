@@ -254,6 +254,13 @@ def test_every_training_document_is_learned_from(spark):
     assert [i for i, held, t in docs if moved[t[:2]].all() == held] == []
 
 
+def test_long_documents_are_followed_from_start_to_end(spark):
+    tokens = np.random.default_rng(2).integers(1, 50, 2500)
+    model, direct = language_model._train_round(coded(spark, [(0, 0, tokens)]), language_model.GatedModel(), 0), language_model.GatedModel()
+    language_model.train(direct, np.array([len(tokens)]), tokens, {})
+    assert all(np.allclose(model.p[k], direct.p[k], atol=1e-5) for k in direct.p)
+
+
 def test_recurrent_gradients_and_carried_state():
     model = language_model.GatedModel()
     r = np.random.default_rng(1)
