@@ -32,6 +32,8 @@ MARGIN = 3 * (2**ROUNDS - 1)
 #: symbols at least, and so some such row.
 NEIGHBOURS = 4
 CHUNK_BYTES = 8 << 20
+#: Copies of a row that one array stands for.
+COPIES = 1 << 16
 
 _R = np.random.default_rng(50)
 _SALT = _R.integers(1, 2**63, (ROUNDS + 1, 3), dtype=np.uint64) | np.uint64(1)
@@ -165,18 +167,31 @@ def _chunk_of(table: pa.Table) -> int:
     return table.column("chunk")[0].as_py()
 
 
+def folded(rows: DataFrame) -> DataFrame:
+    """Rows that repeat id and text as one, with their number in ``copies``. Null equals null."""
+    return rows.groupBy("doc_id", "text").agg(F.count(F.lit(1)).alias("copies"))
+
+
+def expanded(rows: DataFrame) -> DataFrame:
+    """Each row ``copies`` times, without that column; in blocks, so that no array is large."""
+    block = F.explode(F.sequence(F.lit(0).cast("long"), F.expr("(copies - 1) div %d" % COPIES)))
+    inside = F.explode(F.sequence(F.lit(1).cast("long"), F.expr("least(%d, copies - block * %d)" % (COPIES, COPIES))))
+    return rows.withColumn("block", block).withColumn("copy", inside).drop("copies", "block", "copy")
+
+
 def drop_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed, kept (the words that stay, joined by one space, as bytes).
 
     A word goes if one of the windows that cover it has the word sequence of a window that starts in a
     document with a smaller id. Windows are those of the input. Null and empty texts have no words.
     Documents of null id neither lose words nor take any; documents of equal id take none from each
-    other. Other columns are ignored. Texts go once to chunks of about CHUNK_BYTES; a chunk sends each
+    other. Other columns are ignored. Rows that repeat id and text are one row with a count until the
+    end, so copies fill no chunk. Texts go once to chunks of about CHUNK_BYTES; a chunk sends each
     distinct symbol and window once, so a passage in a third of the documents is an entry per chunk.
     """
     total = docs.agg(F.sum(F.octet_length("text"))).head()[0] or 0
     chunks, buckets = max(12, -(-total // CHUNK_BYTES)), max(12, -(-total // dictionary.BUCKET_BYTES))
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    own = folded(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     texts = own.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks))).repartition("chunk")
     by_chunk = texts.groupBy("chunk")
 
@@ -226,12 +241,12 @@ def drop_repeats(docs: DataFrame) -> DataFrame:
             text[stop[1:] - 1] = 32
             n, stays = np.diff(words.at), np.diff(kept)
             cells = [text[a : b - 1 if b > a else b].tobytes() for a, b in zip(stop[kept[:-1]].tolist(), stop[kept[1:]].tolist(), strict=True)]
-            out.append(pa.table({"doc_id": part.column("doc_id"), "n_words": pa.array(n, pa.int64()), "n_removed": pa.array(n - stays, pa.int64()), "kept": pa.array(cells, pa.binary())}))
-        return pa.concat_tables(out) if out else pa.table({"doc_id": pa.array([], pa.int64()), "n_words": pa.array([], pa.int64()), "n_removed": pa.array([], pa.int64()), "kept": pa.array([], pa.binary())})
+            out.append(pa.table({"doc_id": part.column("doc_id"), "n_words": pa.array(n, pa.int64()), "n_removed": pa.array(n - stays, pa.int64()), "kept": pa.array(cells, pa.binary()), "copies": part.column("copies")}))
+        return pa.concat_tables(out) if out else pa.table({"doc_id": pa.array([], pa.int64()), "n_words": pa.array([], pa.int64()), "n_removed": pa.array([], pa.int64()), "kept": pa.array([], pa.binary()), "copies": pa.array([], pa.int64())})
 
     met = dictionary.by_bucket(by_chunk.applyInArrow(symbols, ROWS_SCHEMA), _answer, ROWS_SCHEMA)
     same = dictionary.by_bucket(by_chunk.cogroup(met.groupBy("chunk")).applyInArrow(contents, ROWS_SCHEMA), _answer, ROWS_SCHEMA)
-    return by_chunk.cogroup(same.groupBy("chunk")).applyInArrow(removed, "doc_id long, n_words long, n_removed long, kept binary")
+    return expanded(by_chunk.cogroup(same.groupBy("chunk")).applyInArrow(removed, "doc_id long, n_words long, n_removed long, kept binary, copies long"))
 
 
 def digests(result: DataFrame) -> DataFrame:

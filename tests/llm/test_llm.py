@@ -227,6 +227,14 @@ def test_substring_dedup(spark, odd, empty):
     assert substring_dedup.drop_repeats(empty).count() == 0
 
 
+def test_repeated_rows_are_folded_before_chunks_and_come_back(spark, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "COPIES", 4)
+    base = " ".join(f"w{i}" for i in range(70))
+    rows = [(1, base)] + [(2, base)] * 9 + [(None, base)] * 8 + [(None, None)] * 3 + [(2, "other")] * 2 + [(3, "")]
+    same([tuple(x) for x in substring_dedup.folded(make(spark, rows).select("doc_id", "text")).collect()], [(*k, n) for k, n in Counter(rows).items()])
+    same([tuple(x) for x in substring_dedup.digests(substring_dedup.drop_repeats(make(spark, rows))).collect()], substring_dedup.brute_force(rows))
+
+
 def test_language_model(odd, empty):
     rows = odd_rows()
     low = lambda t: (t or "").encode().lower().split() + [None]
