@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from remitlake.llm.words import groups
@@ -193,13 +193,23 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that exact_dedup keeps, with all their columns."""
-    kept = exact_dedup(docs).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
+    """The rows of ``docs`` that exact_dedup keeps, with all their columns.
+
+    Of rows with the id and the normalised text that stay, the one stays whose raw text is smallest and
+    then whose other columns, as JSON, are; rows equal in all of that are the same row. Null text counts as
+    empty, null ids stay as in exact_dedup, an empty table gives an empty one. Columns may have any name:
+    they travel in a struct of their own. Very long texts are shuffled whole, once.
+    """
+    kept = exact_dedup(docs).where("kept").select(F.col("doc_id").alias("id"), F.col("text_sha256").alias("sha"))
     text = F.regexp_replace(F.coalesce(docs["text"], F.lit("")), r"[\x20\x09-\x0D]+", " ")
-    marked = docs.withColumn("_own", F.sha2(text, 256))
-    found = marked.join(kept, marked["doc_id"].eqNullSafe(kept["_id"]) & (marked["_own"] == kept["_sha"]), "left_semi")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.sha2(text, 256).alias("own"), F.struct(*docs.columns).alias("row"))
+    found = rows.join(kept, rows["doc_id"].eqNullSafe(kept["id"]) & (rows["own"] == kept["sha"]), "left_semi")
     # Rows that repeat id and text: one stays. The window is limited to one row a key before its shuffle.
-    from pyspark.sql import Window
+    one = Window.partitionBy("doc_id", "own").orderBy("row.text", *other_columns(docs))
+    return found.withColumn("nth", F.row_number().over(one)).where("nth = 1").select("row.*")
+
 
-    one = Window.partitionBy("doc_id", "_own").orderBy("_own")
-    return found.withColumn("_n", F.row_number().over(one)).where("_n = 1").drop("_n", "_own")
+def other_columns(docs: DataFrame) -> list[Column]:
+    """What settles ties among rows of one id and text, for rows held in a struct ``row``."""
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    return [F.to_json(F.struct(*(F.col("row").getField(c) for c in others)))] if others else []

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from remitlake.llm.exact_dedup import other_columns
 from remitlake.llm.graph import components
 from remitlake.llm.words import groups, mix, shingles, slices, words_of
 from remitlake.scratch import scratch_path
@@ -293,8 +294,13 @@ def _classes(docs: DataFrame, miss: float) -> tuple[DataFrame, DataFrame]:
     group = components(contracted(candidate_links(sets.select("sid", "sketch"), runs_for(miss)))).withColumnRenamed("node", "sid")
     members = group.join(sets.select("sid", "size", "doc_id", "th"), "sid")
     members = members.join(_stored(group.groupBy("label").agg(F.count("*").alias("n")), "groups"), "label")
-    texts = keyed.withColumnRenamed("doc_id", "_id").withColumnRenamed("th", "_th")
-    whole = members.join(texts, members["doc_id"].eqNullSafe(texts["_id"]) & (members["th"] == texts["_th"]))
+    # Rows that repeat id and text are one text here; the window passes on one of them a task, and the
+    # join finds its rows laid out by the same key.
+    key = {"known": F.col("doc_id").isNotNull(), "doc_id": F.coalesce("doc_id", F.lit(0))}
+    place = ["known", "doc_id", "th"]
+    once = F.row_number().over(Window.partitionBy(*place).orderBy("th"))
+    texts = keyed.withColumns(key).withColumn("nth", once).where("nth = 1").select(*place, "text")
+    whole = members.withColumns(key).join(texts, place)
     whole = _blocks(whole.select("label", "n", "sid", "size", "text"), "label", "n", "sid", BLOCK).select("block", "side", "sid", "size", "text")
     at = scratch_path(spark, "links")
     whole.repartition("block").sortWithinPartitions("block", "sid").mapInArrow(_verify, "sid binary, links long, other binary").write.parquet(at)
@@ -325,15 +331,16 @@ def keep_one_of_each_class(docs: DataFrame) -> DataFrame:
     """One row of ``docs`` for each class, with all its columns.
 
     It is the row that names the class, known by its id and a hash of its text: other texts of its id
-    have classes of their own, null ids too. Rows without shingles are in no class and stay.
+    have classes of their own, null ids too. Of rows that repeat id and text, the one stays whose other
+    columns, as JSON, are smallest. Rows without shingles (null, empty) are in no class and stay. Columns
+    may have any name: they travel in a struct of their own.
     """
     _, known = _classes(docs, MISS)
     first = known.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "th")).alias("first"))
-    named = first.select(F.col("first.doc_id").alias("_id"), F.col("first.th").alias("_th"))
+    named = first.select(F.col("first.doc_id").alias("id"), F.col("first.th").alias("key"))
     has_words = F.coalesce(F.col("text"), F.lit("")).rlike("[^\\x20\\x09-\\x0D]")
-    keyed = docs.where(has_words).withColumn("_key", F.xxhash64("text"))
-    kept = keyed.join(named, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_th")))
+    rows = docs.where(has_words).select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), F.struct(*docs.columns).alias("row"))
+    kept = rows.join(named, rows["doc_id"].eqNullSafe(named["id"]) & (rows["th"] == named["key"]), "left_semi")
     # Rows that repeat id and text have one row left; the window passes on one row a key before its shuffle.
-    others = [c for c in docs.columns if c not in ("doc_id", "text")] or ["_key"]
-    one = kept.withColumn("_n", F.row_number().over(Window.partitionBy("_id", "_th").orderBy(*others))).where("_n = 1")
-    return one.select(*docs.columns).unionByName(docs.where(~has_words))
+    one = Window.partitionBy("doc_id", "th").orderBy("row.text", *other_columns(docs))
+    return kept.withColumn("nth", F.row_number().over(one)).where("nth = 1").select("row.*").unionByName(docs.where(~has_words))

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from remitlake.llm import dictionary
 from remitlake.llm.byte_bpe import gather
-from remitlake.llm.words import Words, grams, mix, slices, words_of
+from remitlake.llm.words import Words, grams, mix, sequences, slices, words_of
 
 WINDOW = 50
 ROUNDS = 2
@@ -37,8 +37,6 @@ COPIES = 1 << 16
 
 _R = np.random.default_rng(50)
 _SALT = _R.integers(1, 2**63, (ROUNDS + 1, 3), dtype=np.uint64) | np.uint64(1)
-_BETA = 0xA24BAED4963EE407
-_INVERSE = pow(_BETA, -1, 1 << 64)
 
 
 def recompress(hashes: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -93,13 +91,7 @@ def windows(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
     low = np.searchsorted(start, first + MARGIN)
     high = np.searchsorted(end, first + WINDOW - MARGIN, "right")
     stands = _least_between(symbol, low, high)
-    power = np.full(n, _BETA, np.uint64)
-    power[0] = 1
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words.hash * np.cumprod(power), dtype=np.uint64)])
-    back = np.full(n, _INVERSE, np.uint64)
-    back[0] = 1
-    content = (total[first + WINDOW] - total[first]) * np.cumprod(back)[first]
-    return first, row[first], stands, mix(content)
+    return first, row[first], stands, sequences(words.hash, WINDOW)[first]
 
 
 def _by_bucket_rows(chunk: int, key: np.ndarray, bucket_key: np.ndarray, low: np.ndarray, high: np.ndarray, buckets: int) -> pa.Table:

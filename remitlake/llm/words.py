@@ -1,11 +1,14 @@
 """Words and shingles of whole Arrow batches, hashed with numpy and without a Python loop per word.
 
 A word is a maximal run of bytes other than space and \\t \\n \\v \\f \\r. The hash is a fixed function
-of the word's bytes, so tasks on any machine agree on it.
+of the word's bytes, so tasks on any machine agree on it: a sum of random numbers drawn for each place
+and byte, and BLAKE2 for words that are longer than the table. No polynomial is used: modulo 2^64 those
+are equal for some regular words of every base.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -19,7 +22,9 @@ SLICE_BYTES = 2 << 20
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 _RNG = np.random.default_rng(20240229)
-_BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64)
+#: Bytes of a word that the table covers.
+PLACES = 64
+_TABLE = _RNG.integers(0, 2**64, PLACES * 256, dtype=np.uint64)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _ORDER = _RNG.integers(1, 2**63, 64, dtype=np.uint64) | np.uint64(1)
 
@@ -94,23 +99,32 @@ def _hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         begin = start[a:b] - low
         gap = np.diff(np.append(begin, high - low))
         place = np.arange(high - low, dtype=np.int64) - np.repeat(begin, gap)
-        value = _BYTE[raw[low:high]] * _powers(int(place.max()) + 1)[place]
+        value = _TABLE[np.minimum(place, PLACES - 1) * 256 + raw[low:high]]
         value[_SPACE[raw[low:high]]] = 0
         out[a:b] = np.add.reduceat(value, begin)
         a = b
-    return mix(out + (end - start).astype(np.uint64) * _STEP)
+    out = mix(out + (end - start).astype(np.uint64) * _STEP)
+    for i in np.flatnonzero(end - start > PLACES).tolist():
+        out[i] = int.from_bytes(hashlib.blake2b(raw[start[i] : end[i]], digest_size=8).digest(), "little")
+    return out
 
 
-_POWERS = np.ones(1, np.uint64)
+def sequences(hashes: np.ndarray, size: int) -> np.ndarray:
+    """The hash of each ``size`` consecutive words, for every place that has so many.
 
-
-def _powers(n: int) -> np.ndarray:
-    global _POWERS
-    if len(_POWERS) < n:
-        base = np.full(max(n, 64), 0xD6E8FEB86659FD93, np.uint64)
-        base[0] = 1
-        _POWERS = np.cumprod(base)
-    return _POWERS
+    Halves are joined to wholes and every joint is mixed, so that no sum of words can cancel out.
+    """
+    n = len(hashes) - size + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    total, at, level, span = np.full(n, size, np.uint64), 0, hashes, 1
+    while span <= size:
+        if size & span:
+            total = mix(total * _ORDER[0] + level[at : at + n] * _ORDER[1])
+            at += span
+        level = mix(level[:-span] * _ORDER[2] + level[span:] * _ORDER[3])
+        span *= 2
+    return total
 
 
 def grams(hashes: np.ndarray, size: int) -> np.ndarray:

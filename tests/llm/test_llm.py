@@ -18,7 +18,7 @@ import corpus_pipeline
 from remitlake.llm import byte_bpe, decontaminate, dictionary, exact_dedup, language_model, pii, quality
 from remitlake.llm import similarity_join, substring_dedup, token_counts, warc
 from remitlake.llm.graph import components
-from remitlake.llm.words import shingles, words_of
+from remitlake.llm.words import sequences, shingles, words_of
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -136,6 +136,59 @@ def brute_links(rows):
     return [[j for j, b in enumerate(sets) if j != i and a and 5 * len(a & b) >= 4 * len(a | b)] for i, a in enumerate(sets)]
 
 
+def regular_word(n, one="a", two="b"):
+    """A Thue-Morse word: sums of powers of any odd base agree on it and on its mirror, modulo 2^64."""
+    word = one
+    while len(word) < n:
+        word += word.translate(str.maketrans(one + two, two + one))
+    return word
+
+
+@pytest.mark.parametrize("n", [16, 64, 128, 1024, 4096])
+def test_regular_words_differ(spark, n):
+    word = regular_word(n)
+    mirror = word.translate(str.maketrans("ab", "ba"))
+    assert len(set(words_of(pa.array([word + " " + mirror])).hash.tolist())) == 2
+    if n != 1024:
+        return
+    head = " ".join(f"h{i}" for i in range(49))
+    texts = [(1, f"{head} {word}"), (2, f"{head} {mirror}"), (3, word), (4, mirror)]
+    docs = make(spark, texts)
+    got = [(x.doc_id, x.n_removed) for x in substring_dedup.drop_repeats(docs).collect()]
+    same(got, [(1, 0), (2, 0), (3, 0), (4, 0)])
+    links = {x.doc_id: x.n_links for x in similarity_join.near_duplicates(docs).collect()}
+    assert links[3] == links[4] == 0
+    items = spark.createDataFrame([(7, " ".join([word] * 8))], "item_id long, text string")
+    assert decontaminate.drop_contaminated(make(spark, [(1, " ".join([mirror] * 8))]), items).count() == 1
+
+
+def test_regular_windows_differ():
+    r = np.random.default_rng(3)
+    pair = r.integers(0, 2**63, 2, dtype=np.uint64)
+    one = np.array([int(c == "b") for c in regular_word(64)])
+    found = [sequences(pair[x[:50]], 50)[0] for x in (one, 1 - one)]
+    assert found[0] != found[1]
+
+
+def clashing(spark, rows):
+    """Documents whose other columns have the names that operators use inside."""
+    names = ["_own", "_n", "_id", "_th", "_key", "_sha", "row", "own", "nth", "sid", "label", "known", "th", "key"]
+    ddl = ", ".join(["doc_id long", "text string", *(f"{n} string" for n in names)])
+    return spark.createDataFrame([(i, t, *(f"{n}-{tag}" for n in names)) for i, t, tag in rows], ddl)
+
+
+@pytest.mark.parametrize("keep", [exact_dedup.keep_first, similarity_join.keep_one_of_each_class])
+def test_stages_keep_columns_of_any_name(spark, keep):
+    a, b = (" ".join(f"{c}{i}" for i in range(40)) for c in "ab")
+    rows = [(1, a, "z"), (1, a, "y"), (2, a, "x"), (3, b, "x"), (None, b, "x"), (None, None, "q")]
+    docs = clashing(spark, rows)
+    kept = keep(docs)
+    assert kept.columns == docs.columns
+    want = [(1, a, "y"), (3, b, "x"), (None, None, "q")]
+    same([tuple(x) for x in kept.collect()], [tuple(x) for x in clashing(spark, want).collect()])
+    assert keep(docs.limit(0)).count() == 0
+
+
 def test_similarity_join(spark, odd, empty):
     r = random.Random(9)
     rows = odd_rows()
