@@ -15,6 +15,7 @@ from remitlake.plans.staging import Lake, stage_day, stage_range
 from remitlake.schemas import CURRENCIES, TRANSACTIONS, USD, Kind
 from remitlake.scratch import materialized
 from remitlake.sources import tables
+from remitlake.sources.landing import compact_landing
 
 # The transaction columns the mart reads; the rest is pruned from the scan.
 _TX = ["transaction_dt", "account_number_from", "account_number_to", "currency_code", "amount"]
@@ -87,14 +88,29 @@ def _both_kinds(stage: Callable[[Kind], object]) -> None:
 
 
 def run_day(spark: SparkSession, lake: Lake, run_date: Day, **options) -> str:
-    """The whole daily run: tables, both stagings, mart. Works on the day before ``run_date``."""
+    """The whole daily run: tables, both stagings, mart. Works on the day before ``run_date``.
+
+    Landing files of days that the stream is past by then are joined.
+    """
     day = dt.date.fromisoformat(day_text(run_date)) - dt.timedelta(days=1)
     tables.ensure_tables(spark, lake.database)
     _both_kinds(lambda kind: stage_day(spark, lake, kind, day))
     make_mart_day(spark, lake, day, **options)
+    settle_landing(spark, lake, day, day)
     return day_text(day)
 
 
+def settle_landing(spark: SparkSession, lake: Lake, lo: Day, hi: Day) -> int:
+    """Join the landing files of the days that came to rest while lo..hi were worked on.
+
+    These are the days ``lake.settled_after`` before; a week more is looked at for late batches and
+    runs that were left out. Days in one piece cost a listing.
+    """
+    first, last = (dt.date.fromisoformat(day_text(d)) for d in (lo, hi))
+    rest = dt.timedelta(days=lake.settled_after)
+    return compact_landing(spark, lake.landing, first - rest - dt.timedelta(days=7), last - rest)
+
+
 def run_range(spark: SparkSession, lake: Lake, first_run: Day, last_run: Day, **options):
     """The daily runs ``first_run``..``last_run`` as one job per table instead of one per day."""
     lo, hi = (
@@ -102,4 +118,6 @@ def run_range(spark: SparkSession, lake: Lake, first_run: Day, last_run: Day, **
     )
     tables.ensure_tables(spark, lake.database)
     _both_kinds(lambda kind: stage_range(spark, lake, kind, lo, hi))
-    return backfill(spark, lake, lo, hi, **options)
+    filled = backfill(spark, lake, lo, hi, **options)
+    settle_landing(spark, lake, lo, hi)
+    return filled

@@ -31,12 +31,14 @@ class Lake:
 
     With ``time_ordered``, every staging load also refreshes a copy laid out by time alone; with
     ``aged``, staging and mart loads refresh copies whose old days are joined to months and years.
+    Landing files of a day are joined once the runs are ``settled_after`` days past it.
     """
 
     landing: str
     database: str
     time_ordered: bool = False
     aged: bool = False
+    settled_after: int = 2
 
     def table(self, kind: Kind) -> str:
         return f"{self.database}.{kind.table}"

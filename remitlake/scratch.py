@@ -61,7 +61,33 @@ def materialized(df: DataFrame, label: str) -> Iterator[DataFrame]:
         delete(spark, path)
 
 
-def delete(spark: SparkSession, path: str) -> None:
+def _path(spark: SparkSession, path: str):
+    """A path and the file system that it is on."""
     context = spark.sparkContext
     target = context._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+    return target, target.getFileSystem(context._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    target, files = _path(spark, path)
+    return files.exists(target)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder, without hidden ones; a missing folder has none."""
+    target, files = _path(spark, path)
+    if not files.exists(target):
+        return []
+    found = [(s.getPath().getName(), s.isDirectory()) for s in files.listStatus(target)]
+    return sorted(name for name, folder in found if folder and name[0] not in "._")
+
+
+def matches(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that a pattern with * finds."""
+    target, files = _path(spark, pattern)
+    return sorted(s.getPath().toString() for s in files.globStatus(target) or [])
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    target, files = _path(spark, path)
+    files.delete(target, True)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import threading
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,10 +13,23 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from remitlake.operators.parse import landable, parse_envelope, quarantine
 from remitlake.session import STATE_STORE
 from remitlake.sources.jdbc import write_jdbc
-from remitlake.sources.landing import as_landed, land_as, position_of
+from remitlake.scratch import delete, exists
+from remitlake.sources.landing import (
+    PARTITIONS,
+    as_landed,
+    drop_owner,
+    land_as,
+    not_landed,
+    owner_of,
+    position_of,
+    write_owned,
+)
 
 KEYS = ["object_type", "object_id"]
 DELAY = "5 minutes"
+MODES = ("exact", "bounded", "landed")
+# The watermark that a late row was judged by.
+WATERMARK = "watermark"
 # Rows, batch id and run: batch ids begin anew with a new checkpoint, runs are never the same.
 BatchWriter = Callable[[DataFrame, int, str], None]
 
@@ -55,15 +68,18 @@ def dedup_stream(
     ``exact`` remembers every key for ever: nothing late is lost and state grows with the number of
     keys. ``bounded`` forgets a key ``delay`` after its event time and drops rows later than that:
     state is bounded, and a key coming back after it was forgotten is passed on again (the staging
-    de-duplication removes it).
+    de-duplication removes it). ``landed`` remembers nothing in the stream: each batch is compared with
+    what has landed (``not_landed``), so that nothing late is lost and no state grows.
     """
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
     if collapse:
         df = collapse_repeats(df)
     if mode == "exact":
         return df.dropDuplicates(KEYS)
     if mode == "bounded":
         return df.withWatermark("sent_dttm", delay).dropDuplicatesWithinWatermark(KEYS)
-    raise ValueError(f"mode must be 'exact' or 'bounded', not {mode!r}")
+    return df
 
 
 def landing_rows(
@@ -115,6 +131,22 @@ def _start(
         return writer.start()
 
 
+class _Attempts:
+    """Removes what a failed attempt of a batch left, which a repeated one may not overwrite.
+
+    A batch is repeated only after a restart, so only the first batch of a start has to look.
+    """
+
+    def __init__(self, by: Sequence[str] = PARTITIONS):
+        self._by, self._last = by, ""
+
+    def clear(self, spark: SparkSession, owner: str, *paths: str) -> None:
+        if self._last in ("", owner):
+            for path in paths:
+                drop_owner(spark, path, owner, self._by)
+        self._last = owner
+
+
 def run_landing(
     messages: DataFrame,
     path: str,
@@ -125,24 +157,72 @@ def run_landing(
     available_now: bool = False,
     every: str | None = None,
     files_per_batch: int | None = None,
+    late_path: str | None = None,
 ) -> StreamingQuery:
     """Land into one partitioned Parquet folder, each message exactly once across restarts.
 
-    A batch that is written again replaces itself. ``land`` may add to the same folder.
+    A batch that is written again replaces itself. ``land`` may add to the same folder. Each batch is
+    written as few files per type and day, cut by size; ``files_per_batch`` repartitions by message id
+    instead.
 
-    ``files_per_batch`` repartitions by message id before writing, to keep small micro-batches from
-    writing one file per state partition.
+    Mode ``landed`` keeps no state: an id lands once per event day, and each batch reads the ids of the
+    days that it touches. With ``late_path``, rows whose sending time is ``delay`` or more behind the
+    largest of the batches before do not land but are kept there, repeats included, with the watermark
+    that they missed (``dropped_late`` counts what mode ``bounded`` drops).
     """
+    if late_path and mode != "landed":
+        raise ValueError("late_path needs mode 'landed'")
     rows = landing_rows(messages, mode, delay, collapse)
     if files_per_batch:
         rows = rows.repartition(files_per_batch, "object_id")
+    attempts = _Attempts()
 
     def write(df: DataFrame, batch_id: int, run: str) -> None:
-        land_as(df, path, run, batch_id)
+        attempts.clear(df.sparkSession, owner_of(run, batch_id), path, *filter(None, [late_path]))
+        if mode != "landed":
+            land_as(df, path, run, batch_id, dealt=bool(files_per_batch))
+            return
+        df.persist()
+        try:
+            on_time = df
+            if late_path:
+                on_time = _set_late_aside(df, f"{checkpoint}/event_time", late_path, run, batch_id, delay)
+            land_as(not_landed(on_time, path), path, run, batch_id)
+        finally:
+            df.unpersist()
 
     return _start_batches(rows, write, checkpoint, available_now, every)
 
 
+def _set_late_aside(
+    df: DataFrame, clock: str, late_path: str, run: str, batch_id: int, delay: str
+) -> DataFrame:
+    """Keep the late rows of a batch in ``late_path``; returns the others.
+
+    ``clock`` holds the largest sending time up to each batch, so that a batch that is repeated after a
+    restart is judged by the same watermark. The last two are kept.
+    """
+    spark = df.sparkSession
+    before, now = f"{clock}/batch={batch_id - 1}", f"{clock}/batch={batch_id}"
+    known = spark.read.schema("seen timestamp").parquet(before) if exists(spark, before) else None
+    seen = df.agg(F.max("sent_dttm").alias("seen"))
+    seen = seen if known is None else seen.union(known).agg(F.max("seen").alias("seen"))
+    seen.coalesce(1).write.mode("overwrite").parquet(now)
+    delete(spark, f"{clock}/batch={batch_id - 2}")
+    if known is None:
+        return df
+    watermark = F.lit(known.head().seen) - F.expr(f"INTERVAL {delay}")
+    late = F.coalesce(F.col("sent_dttm") <= watermark, F.lit(False))
+    write_owned(df.filter(late).withColumn(WATERMARK, watermark), late_path, owner_of(run, batch_id))
+    return df.filter(~late)
+
+
+def dropped_late(query: StreamingQuery) -> int:
+    """Rows that the watermark of mode ``bounded`` dropped, in the batches that Spark still reports."""
+    operators = [o for p in query.recentProgress for o in p["stateOperators"]]
+    return sum(o["numRowsDroppedByWatermark"] for o in operators)
+
+
 def _start_batches(
     rows: DataFrame, write: BatchWriter, checkpoint: str, available_now: bool, every: str | None
 ) -> StreamingQuery:
@@ -179,11 +259,13 @@ def run_quarantine(
 
 
 def folder_writer(path: str) -> BatchWriter:
-    """A batch writer that is safe to repeat: each batch of a run owns a folder and replaces it whole."""
+    """A batch writer that is safe to repeat: each batch of a run owns a folder per day and replaces it."""
+    attempts = _Attempts(["event_date"])
 
     def write(df: DataFrame, batch_id: int, run: str) -> None:
-        folder = f"{path}/run={run}/batch_id={batch_id}"
-        df.write.mode("overwrite").partitionBy("event_date").parquet(folder)
+        owner = owner_of(run, batch_id)
+        attempts.clear(df.sparkSession, owner, path)
+        write_owned(df, path, owner, ["event_date"])
 
     return write
 

@@ -217,6 +217,49 @@ def test_landing_day_reads_one_partition(spark, lake):
     assert all("object_type=CURRENCY/event_date=2022-10-01" in f[0] for f in files)
 
 
+def listed(spark):
+    """Files that Spark's scans have listed so far."""
+    counters = spark._jvm.org.apache.spark.metrics.source.HiveCatalogMetrics
+    return counters.METRIC_FILES_DISCOVERED().getCount()
+
+
+def test_a_day_is_opened_without_listing_the_rest(spark, lake):
+    import os
+    import shutil
+
+    land_all(spark, lake, MESSAGES)
+    day = f"{lake.landing}/object_type=CURRENCY/event_date=2022-10-01"
+    batch = os.listdir(day)[0]
+    for i in range(500):
+        other = f"{lake.landing}/object_type=CURRENCY/event_date=2021-{1 + i % 12:02d}-07/batch=old-{i}"
+        shutil.copytree(f"{day}/{batch}", other)
+    before = listed(spark)
+    assert landing.read_landing(spark, lake.landing, CURRENCIES.name, "2022-10-01").count() == 2
+    assert listed(spark) - before == len([f for f in os.listdir(f"{day}/{batch}") if f.endswith(".parquet")])
+    before = listed(spark)
+    span = landing.read_landing_range(spark, lake.landing, CURRENCIES.name, "2022-10-01", "2022-10-31")
+    assert len(span.inputFiles()) == listed(spark) - before == 2
+    before = listed(spark)
+    assert staging.stage_day(spark, lake, CURRENCIES, "2022-10-03")
+    files = [f for f in spark.table(lake.table(CURRENCIES)).inputFiles()]
+    assert listed(spark) - before < 20 and files
+    assert landing.read_landing(spark, lake.landing, CURRENCIES.name, "2030-01-01").count() == 0
+    assert landing.read_landing_range(spark, lake.landing, "NONE", "2022-10-01", "2022-10-31").count() == 0
+
+
+def test_daily_runs_join_landing_files_of_settled_days(spark, lake):
+    import os
+
+    for i in range(3):
+        land_all(spark, lake, [payment(i, f"2022-10-0{d} 10:00:00") for d in (1, 2, 3)])
+    day = f"{lake.landing}/object_type=TRANSACTION/event_date=2022-10-0"
+    mart.run_day(spark, lake, "2022-10-04", now=NOW)
+    assert [len(os.listdir(f"{day}{d}")) for d in (1, 2, 3)] == [1, 3, 3]
+    mart.run_day(spark, lake, "2022-10-05", now=NOW)
+    assert [len(os.listdir(f"{day}{d}")) for d in (1, 2, 3)] == [1, 1, 3]
+    assert landing.read_all(spark, lake.landing).count() == 9
+
+
 def test_scratch_copies_are_removed(spark, lake):
     import glob
 

@@ -142,7 +142,7 @@ def test_files_per_batch(spark, tmp_path):
     rows = [payment(i, minute(1)) for i in range(50)]
     write_lines(tmp_path / "in", "a", rows)
     land(spark, tmp_path, files_per_batch=1)
-    assert len(list((tmp_path / "out").glob("*/*/*/*/*.parquet"))) == 1
+    assert len(list((tmp_path / "out").glob("*/*/*/*.parquet"))) == 1
     assert len(landed_ids(spark, tmp_path)) == 50
 
 
@@ -182,3 +182,94 @@ def test_stream_and_batch_land_in_one_folder(spark, tmp_path):
     write_lines(tmp_path / "in", "b", [payment(3, minute(3))])
     land(spark, tmp_path)
     assert [i for _, i in landed_ids(spark, tmp_path)] == [1, 2, 3]
+
+
+def test_a_batch_writes_few_files(spark, tmp_path):
+    """Not one for each state partition: the micro-batch is joined by size, per type and day."""
+    write_lines(tmp_path / "in", "a", [payment(i, minute(1)) for i in range(60)] + [rate(99, minute(1), 410, 1)])
+    land(spark, tmp_path)
+    assert len(list((tmp_path / "out").glob("*/*/*/*.parquet"))) == 2
+    assert len(landed_ids(spark, tmp_path)) == 61
+
+
+def test_a_repeated_batch_leaves_nothing_of_the_first_attempt(spark, tmp_path):
+    out = str(tmp_path / "out")
+    rows = [landing.as_landed(parse_envelope(values(spark, [payment(i, when)]))) for i, when in [(1, minute(1)), (2, "2022-10-02 00:00:00")]]
+    landing.land_as(rows[0], out, "run", 7)
+    landing.land_as(rows[1], out, "run", 8)
+    attempts = stream._Attempts()
+    attempts.clear(spark, landing.owner_of("run", 7), out)  # what a restart does
+    landing.land_as(rows[1], out, "run", 7)
+    assert sorted(r.object_id for r in landing.read_all(spark, out).collect()) == [uid(2), uid(2)]
+    attempts.clear(spark, landing.owner_of("run", 9), out)  # later batches do not look
+    assert landing.drop_owner(spark, out, landing.owner_of("run", 9)) == 0
+
+
+def stored(query):
+    return sum(o["numRowsTotal"] for o in query.recentProgress[-1]["stateOperators"])
+
+
+def test_landed_mode_equals_exact_and_keeps_no_state(spark, tmp_path):
+    """Repeats in a batch, in the next, hours late, and a first arrival that is late."""
+    batches = [
+        [payment(i, minute(0, 1)) for i in range(200)] + [payment(3, minute(0, 1), status="queued")],
+        [payment(500 + i, minute(0, 9)) for i in range(200)] + [rate(3, minute(0, 9), 410, 1)],
+        [payment(5, minute(0, 1)), payment(900, minute(0, 2)), payment(505, minute(0, 9)), payment(900, minute(0, 2))],
+        [payment(7, "someday", sent="2022-10-01T12:00:00"), payment(7, "someday", sent="2022-10-01T12:00:00")],
+        [payment(7, "someday", sent="2022-10-01T12:00:00")],
+    ]
+    found = {}
+    for mode in ("exact", "landed"):
+        (tmp_path / mode).mkdir()
+        for i, rows in enumerate(batches):
+            write_lines(tmp_path / mode / "in", f"b{i}", rows)
+            query = land(spark, tmp_path / mode, mode=mode)
+        found[mode] = landed_ids(spark, tmp_path / mode)
+        # 7 has a day and no day: once for each event day
+        assert len(found[mode]) == len(set(found[mode])) + (mode == "landed")
+        assert stored(query) == (0 if mode == "landed" else 402)
+    assert set(found["landed"]) == set(found["exact"])
+    first = landing.read_landing(spark, str(tmp_path / "landed" / "out"), "TRANSACTION", "2022-10-01")
+    assert first.filter(F.col("object_id") == uid(3)).count() == 1
+
+
+def test_landed_keys_open_only_days_of_the_batch(spark, tmp_path):
+    out = str(tmp_path / "out")
+    for i, day in enumerate(["2022-10-01", "2022-10-02", "2022-10-03"]):
+        landing.land(parse_envelope(values(spark, [payment(i, f"{day} 10:00:00")])), out)
+    rows = landing.as_landed(parse_envelope(values(spark, [payment(1, "2022-10-02 10:00:00"), payment(8, "2022-10-02 10:00:00")])))
+    fresh = landing.not_landed(rows, out)
+    assert [r.object_id for r in fresh.collect()] == [uid(8)]
+    keys = landing.landed_keys(spark, out, ["TRANSACTION"], ["2022-10-02"])
+    assert all("event_date=2022-10-02" in f for f in keys.inputFiles()) and keys.count() == 1
+    plan = keys._jdf.queryExecution().executedPlan().toString()
+    assert "payload" not in plan.split("ReadSchema")[1]
+
+
+def test_late_rows_are_kept_aside(spark, tmp_path):
+    late = str(tmp_path / "late")
+    for name, rows in [
+        ("a", [payment(1, minute(0, 5))]),
+        ("b", [payment(2, minute(0, 6)), payment(3, minute(0, 1))]),  # hours late
+        ("c", [payment(3, minute(0, 1)), payment(4, minute(56, 5)), payment(5, minute(55, 5)), payment(1, minute(0, 6))]),
+    ]:
+        write_lines(tmp_path / "in", name, rows)
+        land(spark, tmp_path, mode="landed", late_path=late)
+    assert [i for _, i in landed_ids(spark, tmp_path)] == [1, 2, 4]
+    aside = [(r.object_id, str(r.watermark)) for r in spark.read.parquet(late).collect()]
+    assert sorted(aside) == [
+        (uid(3), "2022-10-01 04:55:00"),
+        (uid(3), "2022-10-01 05:55:00"),
+        (uid(5), "2022-10-01 05:55:00"),
+    ]
+    assert len(list((tmp_path / "checkpoint" / "event_time").iterdir())) == 2
+    with pytest.raises(ValueError):
+        land(spark, tmp_path, mode="exact", late_path=late)
+
+
+def test_dropped_rows_are_counted(spark, tmp_path):
+    counted = []
+    for name, row in [("a", payment(1, minute(0, 5))), ("b", payment(2, minute(0, 6))), ("c", payment(3, minute(0, 1))), ("d", payment(4, minute(0, 1)))]:
+        write_lines(tmp_path / "in", name, [row])
+        counted.append(stream.dropped_late(land(spark, tmp_path, mode="bounded")))
+    assert counted == [0, 0, 1, 1]
