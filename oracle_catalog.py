@@ -221,6 +221,12 @@ _QUARANTINED = (
 )
 
 
+# Transactions of two weeks that the mart counts.
+_SENT = f"""tx t JOIN rate_asof c ON c.currency_code = t.currency_code AND c.event_day = t.event_day
+  AND t.event_day BETWEEN DATE '2024-01-08' AND DATE '2024-01-21' AND {REAL}"""
+_TWO_DAYS = f"event_day BETWEEN {DAY} AND {DAY} + 1"
+
+
 def all_sql() -> dict[str, str]:
     text = {c: f"CAST({c} AS VARCHAR) AS {c}" for c in (_TX_TIES + ", " + _CUR_TIES).split(", ")}
     tx_text = "object_id, sent_dttm, " + ", ".join(text[c] for c in _TX_TIES.split(", "))
@@ -272,6 +278,12 @@ def all_sql() -> dict[str, str]:
         "csv_round_trip": _with(
             f"SELECT {_TX_TYPED} FROM tx_judged WHERE reject_reason = ''", DIRTY
         ),
+        "csv_line_breaks": _with(
+            """SELECT object_id, account_number_from,
+              status || chr(10) || '"\\n,' || chr(13) || '\\' || country || '\\\\' || chr(10) AS note
+            FROM tx""",
+            TYPED,
+        ),
         "stage_replace_day": _with(
             f"""SELECT * FROM tx WHERE event_day <> {DAY}
             UNION ALL SELECT * FROM tx_latest WHERE event_day = {DAY}""",
@@ -312,6 +324,18 @@ def all_sql() -> dict[str, str]:
             FROM tx GROUP BY event_day""",
             TYPED,
         ),
+        "aged_refresh": _with(
+            """SELECT DATE '2024-01-01' AS part_group, event_day, COUNT(*) AS cnt,
+              CAST(SUM(amount) AS BIGINT) AS amount
+            FROM tx GROUP BY event_day""",
+            TEXT,
+        ),
+        "by_date_refresh": _with(f"SELECT * FROM cur WHERE event_day <> {DAY}", TEXT),
+        "clustered_join": _with(
+            """SELECT tx.object_id, tx.event_day, tx.status, tx_latest.status AS last_status
+            FROM tx JOIN tx_latest USING (object_id, event_day)""",
+            TYPED,
+        ),
         "clustered_copy": _with(f"SELECT {_TX_ALL} FROM tx", TYPED),
         "by_date_copy": _with(f"SELECT {_TX_ALL} FROM cur", TYPED),
         "by_date_copy_transactions": _with(f"SELECT {_TX_ALL} FROM tx", TYPED),
@@ -425,6 +449,18 @@ def all_sql() -> dict[str, str]:
         # streaming
         "stream_dedup_exact": _STREAM_KEYS,
         "stream_dedup_bounded": _STREAM_KEYS,
+        "stream_dedup_landed": _with(
+            """SELECT DISTINCT sent_type AS object_type, object_id,
+              TRY_CAST(TRY_CAST(dt_text AS TIMESTAMP) AS DATE) AS event_date FROM landed""",
+            DIRTY,
+        ),
+        "stream_late_rows": _with(
+            """SELECT sent_type AS object_type, object_id, sent_dttm,
+              TRY_CAST(TRY_CAST(dt_text AS TIMESTAMP) AS DATE) AS event_date, FALSE AS landed
+            FROM landed WHERE event_id % 50 = 0
+              AND sent_dttm < (SELECT CAST(min(ts) AS DATE) + INTERVAL 10 DAY FROM events)""",
+            DIRTY,
+        ),
         "stream_land_counts": _with(
             """SELECT sent_type AS object_type, COUNT(DISTINCT object_id) AS cnt FROM landed
             GROUP BY sent_type""",
@@ -482,6 +518,22 @@ def all_sql() -> dict[str, str]:
             WHERE date_update BETWEEN DATE '2024-01-08' AND DATE '2024-01-21'
               AND currency_from IN (410, 420, 450)"""
         ),
+        "dash_unique_senders": _with(
+            f"""SELECT t.currency_code AS currency_from, COUNT(DISTINCT account_number_from) AS unique_senders
+            FROM {_SENT} GROUP BY GROUPING SETS ((t.currency_code), ())""",
+            TEXT,
+            RATES,
+        ),
+        "dash_running_senders": _with(
+            f"""SELECT d.event_day AS date_update, d.currency_code AS currency_from,
+              COUNT(DISTINCT s.account_number_from) AS unique_senders
+            FROM (SELECT DISTINCT t.event_day, t.currency_code FROM {_SENT}) d
+            JOIN (SELECT t.event_day, t.currency_code, account_number_from FROM {_SENT}) s
+              ON s.currency_code = d.currency_code AND s.event_day <= d.event_day
+            GROUP BY d.event_day, d.currency_code""",
+            TEXT,
+            RATES,
+        ),
         # core layer
         "dim_accounts": _with(
             _dim(
@@ -529,6 +581,32 @@ def all_sql() -> dict[str, str]:
               ORDER BY date_update DESC, sent_dttm DESC, object_id DESC) = 1""",
             TYPED,
         ),
+        "core_facts": _with(
+            f"""SELECT md5(operation_id) AS hk, operation_id, account_number_from,
+              account_number_to, transaction_dt, event_day AS "date", currency_code, country,
+              transaction_type AS "type", amount
+            FROM tx WHERE status = 'done' AND {REAL} AND {_TWO_DAYS}""",
+            TEXT,
+        ),
+        "core_new_accounts": _with(
+            f"""SELECT md5(CAST(n AS VARCHAR)) AS hk_account_number, n AS account_number,
+              first_seen AS load_day
+            FROM (SELECT n, CASE WHEN bool_or(event_day = {DAY}) THEN {DAY} ELSE min(event_day) END
+                AS first_seen
+              FROM (SELECT account_number_from AS n, event_day FROM tx WHERE {REAL} AND {_TWO_DAYS}
+                UNION ALL SELECT account_number_to, event_day FROM tx WHERE {REAL} AND {_TWO_DAYS})
+              GROUP BY n)""",
+            TEXT,
+        ),
+        "core_rates_upsert": _with(
+            """SELECT md5(CAST(event_day AS VARCHAR) || '|' || CAST(currency_code AS VARCHAR)
+                || '|' || CAST(currency_code_with AS VARCHAR)) AS hk_rate,
+              event_day AS "date", currency_code, currency_code_with, currency_with_div
+            FROM cur QUALIFY row_number() OVER (
+              PARTITION BY event_day, currency_code, currency_code_with
+              ORDER BY date_update DESC, sent_dttm DESC, object_id DESC) = 1""",
+            TYPED,
+        ),
         "upsert_by_object_id": _with(
             f"""SELECT * EXCLUDE (event_day, side) FROM (
               SELECT *, 0 AS side FROM tx WHERE event_day <= {DAY}

@@ -5,22 +5,33 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from remitlake.functions import event_day, on_day, partition_group
 from remitlake.functions import hash_key_md5 as md5_key
-from remitlake.operators import checks, convert, core, metrics, parse, rates, reports
+from remitlake.operators import checks, convert, core, metrics, parse, rates, reports, senders
 from remitlake.operators.dedup import dedup_batch, latest_per_key, scd1
 from remitlake.operators.typing import split_rejects
 from remitlake.plans import calendar, mart, staging
-from remitlake.schemas import BY_KIND, CURRENCIES, MART_COLUMNS, TRANSACTIONS, Kind
+from remitlake.plans import core as core_plan
+from remitlake.schemas import (
+    BY_KIND,
+    CURRENCIES,
+    FACT_TABLE,
+    MART_COLUMNS,
+    RATES_TABLE,
+    TRANSACTIONS,
+    Kind,
+)
 from remitlake.scratch import scratch_path
 from remitlake.sources import csv_files, event_feed, landing, tables, topics
 from remitlake.streaming import landing as stream
 
 DAY = "2024-01-15"
+NEXT_DAY = "2024-01-16"
 DROP = ("2024-01-05", "2024-01-10")
 COMPACT_AS_OF = "2024-04-10"
 GROUPS_AS_OF = "1998-06-15"
@@ -103,8 +114,9 @@ def _loaded(spark, sf_dir, *kinds: Kind) -> staging.Lake:
     """A lake with the events landed and the given kinds staged for all days."""
     lake = _lake(spark)
     landing.land(_landed(spark, sf_dir), lake.landing)
-    for kind in kinds:
-        staging.stage_range(spark, lake, kind, *_bounds(spark, sf_dir))
+    lo, hi = _bounds(spark, sf_dir)
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(lambda kind: staging.stage_range(spark, lake, kind, lo, hi), kinds))
     return lake
 
 
@@ -183,6 +195,16 @@ def csv_round_trip(spark, sf_dir):
     return split_rejects(csv_files.split_corrupt(loaded)[0], TRANSACTIONS)[0]
 
 
+@query
+def csv_line_breaks(spark, sf_dir):
+    """Text with line ends, quotes and backslashes; a line of the file is still a row."""
+    odd = F.concat("status", F.lit('\n"\\n,\r\\'), "country", F.lit("\\\\\n"))
+    rows = _tx(spark, sf_dir).select("object_id", "account_number_from", odd.alias("note"))
+    path = csv_files.export_csv(rows, scratch_path(spark, "csv"), "notes", DAY)
+    ddl = "object_id string, account_number_from bigint, note string"
+    return csv_files.split_corrupt(csv_files.load_csv(spark, path, ddl))[0]
+
+
 @query
 def stage_replace_day(spark, sf_dir):
     lake = _loaded(spark, sf_dir, TRANSACTIONS)
@@ -244,6 +266,44 @@ def compacted_days(spark, sf_dir):
     )
 
 
+@query
+def aged_refresh(spark, sf_dir):
+    """The aged copy as the jobs keep it: days first, and groups once a later day makes them old."""
+    lake = _loaded(spark, sf_dir, TRANSACTIONS)
+    source = lake.table(TRANSACTIONS)
+    copy, order = f"{source}_aged", [TRANSACTIONS.event_time, "object_id"]
+    tables.refresh_aged(spark, source, copy, order)
+    tables.refresh_aged(spark, source, copy, order, as_of=COMPACT_AS_OF)
+    return spark.table(copy).groupBy(tables.PART_GROUP, tables.EVENT_DAY).agg(
+        F.count("*").alias("cnt"), F.sum("amount").alias("amount")
+    )
+
+
+@query
+def by_date_refresh(spark, sf_dir):
+    """The time-ordered copy as the jobs keep it, after one day was dropped from the table."""
+    lake = _loaded(spark, sf_dir, CURRENCIES)
+    source, copy = lake.table(CURRENCIES), lake.by_date(CURRENCIES)
+    tables.refresh_by_date(spark, source, copy, CURRENCIES.event_time, tables.stored_days(spark, source))
+    tables.drop_days(spark, source, DAY, DAY)
+    tables.refresh_by_date(spark, source, copy, CURRENCIES.event_time, [DAY])
+    return spark.table(copy).drop(tables.EVENT_MONTH)
+
+
+@query
+def clustered_join(spark, sf_dir):
+    """First and last arrivals side by side, from copies in segments by message id: no shuffle."""
+    database, key = _lake(spark).database, "object_id"
+    copies = {}
+    for keep in ("first", "latest"):
+        copies[keep] = f"{database}.by_id_{keep}"
+        rows = _staged(spark, sf_dir, TRANSACTIONS, keep)
+        tables.write_clustered(rows, copies[keep], [key], [key], _slices(spark))
+    first, last = (spark.table(t).select(key, tables.EVENT_DAY, "status") for t in copies.values())
+    last = last.withColumnRenamed("status", "last_status")
+    return first.join(last, [key, tables.EVENT_DAY])
+
+
 @query
 def clustered_copy(spark, sf_dir):
     table = f"{_lake(spark).database}.clustered"
@@ -554,6 +614,51 @@ def stream_dedup_bounded(spark, sf_dir):
     return _landed_by_stream(spark, sf_dir, "bounded").select("object_type", "object_id")
 
 
+def _in_slices(spark, sf_dir) -> str:
+    """The events as files that arrive one after the other, a third of the days each.
+
+    Every fiftieth event of the first file comes with the last one, many days late.
+    """
+    path = scratch_path(spark, "slices")
+    rows, lo = _events(spark, sf_dir), _bounds(spark, sf_dir)[0]
+    cuts = [lo, lo + dt.timedelta(days=10), lo + dt.timedelta(days=20), lo + dt.timedelta(days=9999)]
+    late = (F.col("event_id") % 50 == 0) & (F.col("ts") < F.lit(cuts[1]).cast("timestamp_ntz"))
+    for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
+        inside = event_day("ts").between(F.lit(a), F.date_sub(F.lit(b), 1)) & ~late
+        part = rows.filter(inside | late if i == 2 else inside)
+        part.coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def _landed_in_slices(spark, sf_dir, **options) -> str:
+    path, checkpoint = scratch_path(spark, "landing"), scratch_path(spark, "checkpoint")
+    reader = spark.readStream.schema(event_feed.EVENTS_DDL).option("maxFilesPerTrigger", 1)
+    messages = event_feed.messages(reader.parquet(_in_slices(spark, sf_dir)), dirty=True)
+    query = stream.run_landing(
+        messages, path, checkpoint, mode="landed", available_now=True, **options
+    )
+    query.awaitTermination()
+    return path
+
+
+@query
+def stream_dedup_landed(spark, sf_dir):
+    """Every id once for each of its days, without state, over files that bring repeats and late rows."""
+    path = _landed_in_slices(spark, sf_dir)
+    return landing.read_all(spark, path).select("object_type", "object_id", "event_date")
+
+
+@query
+def stream_late_rows(spark, sf_dir):
+    """What was too late to land, repeats included, and whether it landed all the same."""
+    late = scratch_path(spark, "late")
+    path = _landed_in_slices(spark, sf_dir, late_path=late)
+    kept = spark.read.parquet(late).select("object_type", "object_id", "sent_dttm", "event_date")
+    key = ["object_type", "object_id", "sent_dttm"]
+    held = landing.read_all(spark, path).select(*key, F.lit(True).alias("landed"))
+    return kept.join(held, key, "left").na.fill(False, ["landed"])
+
+
 @query
 def stream_land_counts(spark, sf_dir):
     return reports.row_counts(_landed_by_stream(spark, sf_dir, "exact"))
@@ -670,6 +775,24 @@ def dash_filtered(spark, sf_dir):
     return reports.dash_volume(_mart(spark, sf_dir), "2024-01-08", "2024-01-21", [410, 420, 450])
 
 
+def _senders(spark, sf_dir):
+    lake = _loaded(spark, sf_dir, CURRENCIES, TRANSACTIONS)
+    mart.keep_senders(spark, lake, *_bounds(spark, sf_dir))
+    return spark.table(lake.senders)
+
+
+@query
+def dash_unique_senders(spark, sf_dir):
+    """Exact unique senders of two weeks, per currency and in all, from the stored bitmaps alone."""
+    return senders.unique_senders(_senders(spark, sf_dir), "2024-01-08", "2024-01-21")
+
+
+@query
+def dash_running_senders(spark, sf_dir):
+    """Exact unique senders from the first of the two weeks up to each day."""
+    return senders.running_senders(_senders(spark, sf_dir), "2024-01-08", "2024-01-21")
+
+
 # --- core layer -------------------------------------------------------------------------------
 
 
@@ -717,6 +840,39 @@ def rates_scd1(spark, sf_dir):
     )
 
 
+def _core_loaded(spark, sf_dir) -> staging.Lake:
+    """Two days of the core layer, loaded one after the other and the first one again."""
+    lake = _loaded(spark, sf_dir, CURRENCIES, TRANSACTIONS)
+    core_plan.ensure_core(spark, lake, "string")
+    for day in (DAY, NEXT_DAY, DAY):
+        core_plan.load_core_day(spark, lake, day, md5_key)
+    return lake
+
+
+@query
+def core_facts(spark, sf_dir):
+    return spark.table(_core_loaded(spark, sf_dir).core(FACT_TABLE))
+
+
+@query
+def core_new_accounts(spark, sf_dir):
+    """Accounts with the day that brought them; the second day adds new ones only."""
+    return spark.table(_core_loaded(spark, sf_dir).core("accounts"))
+
+
+@query
+def core_rates_upsert(spark, sf_dir):
+    """Stored rates up to the anchor day, overwritten by key by everything after it and of the day."""
+    lake = _lake(spark)
+    core_plan.ensure_core(spark, lake, "string")
+    cur, day, anchor = _cur(spark, sf_dir), event_day("date_update"), F.lit(DAY).cast("date")
+    core_plan.upsert_rates(spark, lake, cur.filter(day <= anchor), md5_key)
+    core_plan.upsert_rates(spark, lake, cur.filter(day >= anchor), md5_key)
+    return spark.table(lake.core(RATES_TABLE)).select(
+        "hk_rate", "date", "currency_code", "currency_code_with", "currency_with_div"
+    )
+
+
 @query
 def upsert_by_object_id(spark, sf_dir):
     """First arrivals up to the anchor day, then the last arrivals from that day on."""

@@ -1,6 +1,6 @@
 """The core layer: dimensions with hash keys, the fact of finished transactions, rates by day.
 
-Described by the design but not part of the daily run.
+``plans.core`` loads it; the daily run does not.
 """
 
 from __future__ import annotations
@@ -57,6 +57,25 @@ def dim_types(tx: DataFrame, hasher=hash_key) -> DataFrame:
     return dimension(tx, "transaction_type", "type", "hk_type", hasher)
 
 
+def dim_transaction_accounts(tx: DataFrame, hasher=hash_key) -> DataFrame:
+    """Accounts with a finished transaction, on either side."""
+    done = real_accounts(with_status(tx, ["done"]))
+    both = stacked(done, ["account_number_from", "account_number_to"], "n")
+    return dimension(both, "n", "id", "hk_id", hasher)
+
+
+def dimensions(tx: DataFrame, cur: DataFrame, hasher=hash_key) -> dict[str, DataFrame]:
+    """Every dimension by its table."""
+    return {
+        "accounts": dim_accounts(tx, hasher),
+        "dates": dim_dates(tx, cur, hasher),
+        "countries": dim_countries(tx, hasher),
+        "currency_codes": dim_currencies(tx, cur, hasher),
+        "transaction_types": dim_types(tx, hasher),
+        "transaction_accounts": dim_transaction_accounts(tx, hasher),
+    }
+
+
 def fact_done(tx: DataFrame, hasher=hash_key) -> DataFrame:
     """Finished transactions without test accounts."""
     return real_accounts(with_status(tx, ["done"])).select(

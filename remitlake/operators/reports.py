@@ -11,7 +11,7 @@ from remitlake.functions import Day, day_lit, event_day
 from remitlake.schemas import Kind
 
 
-def _selected(
+def selected(
     mart: DataFrame, lo: Day | None, hi: Day | None, codes: Sequence[int] | None
 ) -> DataFrame:
     """The dashboard filters: day range (inclusive) and currencies; everything by default."""
@@ -27,7 +27,7 @@ def _selected(
 def dash_volume(mart, lo=None, hi=None, codes=None) -> DataFrame:
     """Transactions per currency over time."""
     return (
-        _selected(mart, lo, hi, codes)
+        selected(mart, lo, hi, codes)
         .groupBy("date_update", "currency_from")
         .agg(F.sum("cnt_transactions").alias("cnt_transactions"))
     )
@@ -35,14 +35,15 @@ def dash_volume(mart, lo=None, hi=None, codes=None) -> DataFrame:
 
 def dash_avg(mart, lo=None, hi=None, codes=None) -> DataFrame:
     """Average transactions per account."""
-    return _selected(mart, lo, hi, codes).select(
+    return selected(mart, lo, hi, codes).select(
         "date_update", "currency_from", "avg_transactions_per_account"
     )
 
 
 def dash_accounts(mart, lo=None, hi=None, codes=None) -> DataFrame:
-    """Unique senders per day and currency. Days must not be added up to a unique total."""
-    return _selected(mart, lo, hi, codes).select(
+    """Unique senders per day and currency. Days must not be added up to a unique total: see
+    ``operators.senders`` for spans of days."""
+    return selected(mart, lo, hi, codes).select(
         "date_update", "currency_from", "cnt_accounts_make_transactions"
     )
 
@@ -50,7 +51,7 @@ def dash_accounts(mart, lo=None, hi=None, codes=None) -> DataFrame:
 def dash_turnover(mart, lo=None, hi=None, codes=None) -> DataFrame:
     """Turnover per day in the one quote currency."""
     return (
-        _selected(mart, lo, hi, codes)
+        selected(mart, lo, hi, codes)
         .groupBy("date_update")
         .agg(F.sum("amount_total").cast("decimal(38,2)").alias("amount_total"))
     )

@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 
 from remitlake.functions import Day, day_lit, day_text
 from remitlake.operators.metrics import LOAD_SRC, global_metrics, mart_rows
+from remitlake.operators.senders import sender_bitmaps
 from remitlake.plans.staging import Lake, stage_day, stage_range
 from remitlake.schemas import CURRENCIES, TRANSACTIONS, USD, Kind
-from remitlake.scratch import materialized
-from remitlake.sources import tables
+from remitlake.sources import generations, tables
 from remitlake.sources.landing import compact_landing
 
 # The transaction columns the mart reads; the rest is pruned from the scan.
@@ -32,11 +32,22 @@ def day_metrics(
 ) -> DataFrame:
     """Metrics of the days lo..hi. The transactions are pruned by partition; of the rates only the
     last one per currency and day is read, from the table that staging keeps."""
+    tx, cur = _inputs(spark, lake, lo, hi)
+    return global_metrics(tx, cur, code, mode, statuses)
+
+
+def _inputs(spark: SparkSession, lake: Lake, lo: Day, hi: Day) -> tuple[DataFrame, DataFrame]:
     tx = spark.table(lake.table(TRANSACTIONS))
     tx = tx.filter(F.col(tables.EVENT_DAY).between(day_lit(lo), day_lit(hi)))
     cur = spark.table(lake.daily_rates).filter(F.col(tables.EVENT_DAY) <= day_lit(hi))
     cur = cur.filter(F.col(tables.RATE_YEAR) <= F.trunc(day_lit(hi), "year"))
-    return global_metrics(tx.select(*_TX, "status"), cur, code, mode, statuses)
+    return tx.select(*_TX, "status"), cur
+
+
+def keep_senders(spark: SparkSession, lake: Lake, lo: Day, hi: Day, **options) -> list[str]:
+    """Rebuild the sender bitmaps of the days lo..hi; returns the days filled."""
+    bitmaps = sender_bitmaps(*_inputs(spark, lake, lo, hi), **options)
+    return tables.overwrite_days(bitmaps, lake.senders, ["currency_from", "bucket"], days=_days(lo, hi))
 
 
 def make_mart_day(
@@ -50,15 +61,14 @@ def make_mart_day(
     """Rebuild one day of the mart; a day without metrics is left empty."""
     rows = mart_rows(day_metrics(spark, lake, day, day, **options), src, now)
     tables.overwrite_day(rows, lake.mart, day)
+    keep_senders(spark, lake, day, day, **options)
     _age(spark, lake, day, day)
 
 
 def _age(spark: SparkSession, lake: Lake, lo: Day, hi: Day) -> None:
     if lake.aged:
-        first, last = (dt.date.fromisoformat(day_text(d)) for d in (lo, hi))
-        days = [first + dt.timedelta(days=i) for i in range((last - first).days + 1)]
         order = [tables.MART_DAY, "currency_from"]
-        tables.refresh_aged(spark, lake.mart, f"{lake.mart}_aged", order, days=days)
+        tables.refresh_aged(spark, lake.mart, f"{lake.mart}_aged", order, days=_days(lo, hi))
 
 
 def backfill(
@@ -70,17 +80,22 @@ def backfill(
     now: dt.datetime | None = None,
     **options,
 ) -> list[str]:
-    """Rebuild the mart for lo..hi in one pass over the staging tables; returns the days filled."""
-    metrics = day_metrics(spark, lake, lo, hi, **options)
-    with materialized(mart_rows(metrics, src, now), "mart") as rows:
-        days = rows.select(F.date_format("date_update", "yyyy-MM-dd").alias("day")).distinct()
-        filled = [row.day for row in days.orderBy("day").collect()]
-        tables.overwrite_days(rows, lake.mart)
-    tables.keep_only_days(spark, lake.mart, lo, hi, filled)
+    """Rebuild the mart for lo..hi in one pass over the staging tables; returns the days filled.
+
+    Readers see the whole range change at once, days that lost their rows too.
+    """
+    rows = mart_rows(day_metrics(spark, lake, lo, hi, **options), src, now)
+    filled = tables.overwrite_days(rows, lake.mart, days=_days(lo, hi))
+    keep_senders(spark, lake, lo, hi, **options)
     _age(spark, lake, lo, hi)
     return filled
 
 
+def _days(lo: Day, hi: Day) -> list[dt.date]:
+    first, last = (dt.date.fromisoformat(day_text(d)) for d in (lo, hi))
+    return [first + dt.timedelta(days=i) for i in range((last - first).days + 1)]
+
+
 def _both_kinds(stage: Callable[[Kind], object]) -> None:
     """Stage both tables at the same time; the smaller one fills idle executors."""
     with ThreadPoolExecutor(2) as pool:
@@ -97,9 +112,16 @@ def run_day(spark: SparkSession, lake: Lake, run_date: Day, **options) -> str:
     _both_kinds(lambda kind: stage_day(spark, lake, kind, day))
     make_mart_day(spark, lake, day, **options)
     settle_landing(spark, lake, day, day)
+    clean_up(spark, lake)
     return day_text(day)
 
 
+def clean_up(spark: SparkSession, lake: Lake) -> int:
+    """Delete what the tables showed more than ``lake.keep_hours`` ago; returns the writes deleted."""
+    age = dt.timedelta(hours=lake.keep_hours)
+    return sum(generations.vacuum(spark, name, age) for name in lake.tables(spark))
+
+
 def settle_landing(spark: SparkSession, lake: Lake, lo: Day, hi: Day) -> int:
     """Join the landing files of the days that came to rest while lo..hi were worked on.
 
@@ -120,4 +142,5 @@ def run_range(spark: SparkSession, lake: Lake, first_run: Day, last_run: Day, **
     _both_kinds(lambda kind: stage_range(spark, lake, kind, lo, hi))
     filled = backfill(spark, lake, lo, hi, **options)
     settle_landing(spark, lake, lo, hi)
+    clean_up(spark, lake)
     return filled

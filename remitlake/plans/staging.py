@@ -19,7 +19,7 @@ from remitlake.operators.typing import (
     split_rejects,
     with_faults,
 )
-from remitlake.schemas import CURRENCIES, DAILY_RATES, MART_TABLE, Kind
+from remitlake.schemas import CURRENCIES, DAILY_RATES, MART_TABLE, SENDERS, Kind
 from remitlake.scratch import materialized
 from remitlake.sources import tables
 from remitlake.sources.landing import position_of, read_landing, read_landing_range, read_undated
@@ -31,7 +31,8 @@ class Lake:
 
     With ``time_ordered``, every staging load also refreshes a copy laid out by time alone; with
     ``aged``, staging and mart loads refresh copies whose old days are joined to months and years.
-    Landing files of a day are joined once the runs are ``settled_after`` days past it.
+    Landing files of a day are joined once the runs are ``settled_after`` days past it. What a table no
+    longer shows is kept for ``keep_hours``, for queries that still read it.
     """
 
     landing: str
@@ -39,6 +40,12 @@ class Lake:
     time_ordered: bool = False
     aged: bool = False
     settled_after: int = 2
+    keep_hours: float = 24
+
+    def tables(self, spark: SparkSession) -> list[str]:
+        """Every table of the lake that exists."""
+        found = spark.catalog.listTables(self.database)
+        return [f"{self.database}.{t.name}" for t in found if t.tableType == "VIEW"]
 
     def table(self, kind: Kind) -> str:
         return f"{self.database}.{kind.table}"
@@ -57,6 +64,13 @@ class Lake:
     def mart(self) -> str:
         return f"{self.database}.{MART_TABLE}"
 
+    @property
+    def senders(self) -> str:
+        return f"{self.database}.{SENDERS}"
+
+    def core(self, name: str) -> str:
+        return f"{self.database}.core_{name}"
+
 
 def _dated(landing: DataFrame, kind: Kind) -> tuple[DataFrame, list[str]]:
     """Flattened text rows with their event day, and the columns that settle equal sending times.
@@ -135,24 +149,15 @@ def stage_range(
     landing = read_landing_range(spark, lake.landing, kind.name, lo, hi)
     dealt = with_faults(extract(landing, kind, keep), kind).hint("rebalance", tables.EVENT_DAY)
     with materialized(dealt, kind.table) as judged:
-        # One row per calendar day, from two columns of the written extract.
-        per_day = (
-            judged.groupBy(F.date_format(tables.EVENT_DAY, "yyyy-MM-dd").alias("day"))
-            .agg(
-                F.count_if(F.col(REASON) == "").alias("accepted"),
-                F.count_if(F.col(REASON) != "").alias("rejected"),
-            )
-            .orderBy("day")
-            .collect()
-        )
-        ok, bad = _sides(judged, kind)
-        if any(r.accepted for r in per_day):
-            tables.overwrite_days(ok, lake.table(kind), [kind.event_time, "object_id"], dealt=True)
-        if any(r.rejected for r in per_day):
-            tables.overwrite_days(bad, lake.rejects(kind), dealt=True)
-    for table, filled in ((lake.table(kind), "accepted"), (lake.rejects(kind), "rejected")):
-        tables.drop_listed_days(spark, table, [r.day for r in per_day if not r[filled]])
-    days = [row.day for row in per_day]
+        # One row per calendar day, from one column of the written extract.
+        day = F.date_format(tables.EVENT_DAY, "yyyy-MM-dd").alias("day")
+        per_day = judged.select(day).distinct().orderBy("day").collect()
+        days = [row.day for row in per_day]
+        if days:
+            ok, bad = _sides(judged, kind)
+            order = [kind.event_time, "object_id"]
+            tables.overwrite_days(ok, lake.table(kind), order, dealt=True, days=days)
+            tables.overwrite_days(bad, lake.rejects(kind), dealt=True, days=days)
     _refresh(spark, lake, kind, days)
     return days
 

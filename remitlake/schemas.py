@@ -98,6 +98,8 @@ MART_DDL = (
     "cnt_transactions bigint, avg_transactions_per_account decimal(12,4), "
     "cnt_accounts_make_transactions bigint, load_dt timestamp, load_src string"
 )
+SENDERS = "sender_bitmaps"
+SENDERS_DDL = "currency_from int, bucket bigint, senders binary"
 MART_COLUMNS = [
     "hk_global_metrics",
     "date_update",
@@ -109,3 +111,23 @@ MART_COLUMNS = [
     "load_dt",
     "load_src",
 ]
+
+# The core layer: a dimension's key, value and its type. A day's load adds the values that are new.
+DIMENSIONS = {
+    "accounts": ("hk_account_number", "account_number", "bigint"),
+    "dates": ("hk_date", "date", "date"),
+    "countries": ("hk_country", "country", "string"),
+    "currency_codes": ("hk_currency", "currency_code", "int"),
+    "transaction_types": ("hk_type", "type", "string"),
+    "transaction_accounts": ("hk_id", "id", "bigint"),
+}
+FACT_TABLE = "transactions_done"
+FACT_DDL = (
+    "hk {key}, operation_id string, account_number_from bigint, account_number_to bigint, "
+    "transaction_dt timestamp, currency_code int, country string, type string, amount bigint"
+)
+RATES_TABLE = "currency_rates"
+RATES_DDL = (
+    "hk_rate {key}, currency_code int, currency_code_with int, currency_with_div decimal(8,2), "
+    "date_update timestamp, sent_dttm timestamp, object_id string"
+)

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from remitlake.functions import Day, day_lit, day_text, event_day, partition_group
@@ -13,8 +13,9 @@ from remitlake.operators.dedup import latest_per_key
 from remitlake.operators.metrics import only_new
 from remitlake.operators.rates import RATE_ORDER
 from remitlake.operators.typing import REASON
-from remitlake.schemas import BY_KIND, CURRENCIES, DAILY_RATES, MART_DDL, MART_TABLE
+from remitlake.schemas import BY_KIND, CURRENCIES, DAILY_RATES, MART_DDL, MART_TABLE, SENDERS, SENDERS_DDL
 from remitlake.scratch import materialized
+from remitlake.sources import generations
 
 EVENT_DAY = "event_day"
 EVENT_MONTH = "event_month"
@@ -22,9 +23,9 @@ RATE_YEAR = "rate_year"
 PART_GROUP = "part_group"
 AGED_AS_OF = "aged_as_of"
 MART_DAY = "date_update"
-# Kept with the table, so that an overwrite replaces only the days it has rows for whatever the
-# session says. A session setting switched on and off would race between concurrent loads.
-BY_DAY = ("partitionOverwriteMode", "dynamic")
+# Columns that rows are looked up by.
+KEYED = ("object_id", "hk_rate")
+LOOKED_UP = 1000
 
 
 def ensure_database(spark: SparkSession, database: str, location: str | None = None) -> None:
@@ -34,16 +35,12 @@ def ensure_database(spark: SparkSession, database: str, location: str | None = N
 
 def ensure_tables(spark: SparkSession, database: str) -> None:
     """Create the staging, reject and mart tables that are missing."""
-    create = (
-        "CREATE TABLE IF NOT EXISTS {} ({}, {} date) USING parquet "
-        f"OPTIONS ({BY_DAY[0]} '{BY_DAY[1]}') PARTITIONED BY ({{}})"
-    )
     for kind in BY_KIND.values():
         name = f"{database}.{kind.table}"
-        spark.sql(create.format(name, kind.ddl, EVENT_DAY, EVENT_DAY))
-        rejected = f"{kind.text_ddl}, {REASON} string"
-        spark.sql(create.format(f"{name}_rej", rejected, EVENT_DAY, EVENT_DAY))
-    spark.sql(create.format(f"{database}.{MART_TABLE}", MART_DDL, MART_DAY, MART_DAY))
+        generations.create(spark, name, kind.ddl, EVENT_DAY)
+        generations.create(spark, f"{name}_rej", f"{kind.text_ddl}, {REASON} string", EVENT_DAY)
+    generations.create(spark, f"{database}.{MART_TABLE}", MART_DDL, MART_DAY)
+    generations.create(spark, f"{database}.{SENDERS}", SENDERS_DDL, MART_DAY)
     refresh_daily_rates(spark, f"{database}.{CURRENCIES.table}", f"{database}.{DAILY_RATES}", [])
 
 
@@ -52,24 +49,11 @@ def with_day(df: DataFrame, ts_col: str, name: str = EVENT_DAY) -> DataFrame:
     return df.withColumn(name, event_day(ts_col))
 
 
-def _day_column(spark: SparkSession, table: str) -> str:
-    return next(c.name for c in spark.catalog.listColumns(table) if c.isPartition)
-
-
 def overwrite_day(df: DataFrame, table: str, day: Day) -> None:
-    """Put ``df`` in place of one day; an empty ``df`` leaves the day empty.
-
-    One statement with a static partition: other days are never touched and readers do not see
-    the day dropped before it is loaded.
-    """
-    spark = df.sparkSession
-    key = _day_column(spark, table)
-    columns = [c for c in spark.table(table).columns if c != key]
-    spark.sql(
-        f"INSERT OVERWRITE TABLE {table} PARTITION ({key} = DATE'{day_text(day)}') "
-        f"SELECT {', '.join(columns)} FROM {{rows}}",
-        rows=df,
-    )
+    """Put ``df`` in place of one day; an empty ``df`` leaves the day empty. Readers see it at once."""
+    key = generations.key_of(df.sparkSession, table)
+    dated = df.withColumn(key, day_lit(day))
+    generations.publish(dated, table, [day], options=key_filters(dated.columns))
 
 
 def replace_day(extract: DataFrame, accepted: DataFrame, table: str, day: Day) -> bool:
@@ -84,82 +68,101 @@ def replace_day(extract: DataFrame, accepted: DataFrame, table: str, day: Day) -
 
 
 def overwrite_days(
-    df: DataFrame, table: str, sort_cols: Sequence[str] = (), dealt: bool = False
-) -> None:
-    """Replace every day that occurs in ``df``, leaving the others.
+    df: DataFrame,
+    table: str,
+    sort_cols: Sequence[str] = (),
+    dealt: bool = False,
+    days: Iterable[Day] = (),
+) -> list[str]:
+    """Replace every day that occurs in ``df`` and the days ``days``, leaving the others.
 
-    The rebalance hint cuts a dominant day into several files; ``sort_cols`` order each of them.
-    ``dealt`` rows are laid out by day already and are not shuffled again.
+    Readers see all days change at once; ``days`` without rows are gone. Returns the days filled. The
+    rebalance hint cuts a dominant day into several files; ``sort_cols`` order each of them. ``dealt``
+    rows are laid out by day already and are not shuffled again.
     """
-    spark = df.sparkSession
-    _check_replaces_by_day(spark, table)
-    key = _day_column(spark, table)
-    columns = [c for c in spark.table(table).columns if c != key]
-    rows = df.select(*columns, key)
-    spread = rows if dealt else rows.hint("rebalance", key)
+    key = generations.key_of(df.sparkSession, table)
+    spread = df if dealt else df.hint("rebalance", key)
     ordered = spread.sortWithinPartitions(key, *sort_cols)
-    ordered.write.mode("overwrite").insertInto(table)
+    return generations.publish(ordered, table, days, options=key_filters(df.columns))
+
 
+def key_filters(columns: Sequence[str]) -> dict[str, str]:
+    """Writer options for a Bloom filter on each key column, per row group.
+
+    Keys are random text, so neither ranges nor dictionaries tell where one is. One in a million
+    look-ups in a row group is in vain, so that thousands of keys can be looked up at once.
+    """
+    options = {"parquet.bloom.filter.adaptive.enabled": "true", "parquet.bloom.filter.max.bytes": "8388608"}
+    for column in (c for c in KEYED if c in columns):
+        options |= {
+            f"parquet.bloom.filter.enabled#{column}": "true",
+            f"parquet.bloom.filter.fpp#{column}": "0.000001",
+            f"parquet.enable.dictionary#{column}": "false",
+        }
+    return options
 
-def _check_replaces_by_day(spark: SparkSession, table: str) -> None:
-    """Refuse a table on which an overwrite would also remove the days not in the data."""
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name like 'Storage Prop%'")
-    properties = "".join(row.data_type for row in described.collect())
-    if "=".join(BY_DAY) not in properties:
-        raise ValueError(f"{table} lacks the option {BY_DAY[0]} '{BY_DAY[1]}'")
+
+def any_of(column: str, values: Sequence) -> Column:
+    """The column equals one of the values, as comparisons that Parquet looks up one by one.
+
+    A list of values would be pushed to the scan as a range only. The tree is balanced, as deep as the
+    logarithm of their number.
+    """
+    tests = [F.col(column) == F.lit(v) for v in values]
+    while len(tests) > 1:
+        pairs = [tests[i : i + 2] for i in range(0, len(tests), 2)]
+        tests = [p[0] | p[1] if len(p) == 2 else p[0] for p in pairs]
+    return tests[0] if tests else F.lit(False)
+
+
+def holding(rows: DataFrame, keys: Sequence[str], new: DataFrame) -> DataFrame:
+    """The rows that may hold a key of ``new``, so far as the files can tell.
+
+    Up to LOOKED_UP keys are looked up in the Bloom filters of each row group; with more, a row group
+    without any of them is rare and nothing is left out.
+    """
+    if len(keys) != 1 or keys[0] not in KEYED:
+        return rows
+    asked = new.select(*keys).distinct().limit(LOOKED_UP + 1).collect()
+    return rows if len(asked) > LOOKED_UP else rows.filter(any_of(keys[0], [r[0] for r in asked]))
 
 
 def stored_days(spark: SparkSession, table: str) -> list[str]:
     """Days a table has partitions for, from the catalog."""
-    rows = spark.sql(f"SHOW PARTITIONS {table}").collect()
-    return sorted(row[0].split("=", 1)[1] for row in rows)
+    return generations.days_of(spark, table)
 
 
 def drop_days(spark: SparkSession, table: str, lo: Day, hi: Day) -> list[str]:
     """Drop the day partitions lo..hi, inclusive; returns the days dropped."""
     first, last = day_text(lo), day_text(hi)
-    return _drop(spark, table, [d for d in stored_days(spark, table) if first <= d <= last])
+    days = [d for d in stored_days(spark, table) if first <= d <= last]
+    return generations.discard(spark, table, days)
 
 
 def drop_listed_days(spark: SparkSession, table: str, days: Sequence[Day]) -> list[str]:
     """Drop the given day partitions where they exist; returns the days dropped."""
-    wanted = {day_text(d) for d in days}
-    return _drop(spark, table, [d for d in stored_days(spark, table) if d in wanted])
-
-
-def keep_only_days(
-    spark: SparkSession, table: str, lo: Day, hi: Day, keep: Sequence[Day]
-) -> list[str]:
-    """Drop the day partitions lo..hi that are not among ``keep``."""
-    first, last, kept = day_text(lo), day_text(hi), {day_text(d) for d in keep}
-    stored = stored_days(spark, table)
-    return _drop(spark, table, [d for d in stored if first <= d <= last and d not in kept])
-
-
-def _drop(spark: SparkSession, table: str, days: list[str]) -> list[str]:
-    if days:
-        key = _day_column(spark, table)
-        parts = ", ".join(f"PARTITION ({key} = DATE'{d}')" for d in days)
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {parts}")
-    return days
+    return generations.discard(spark, table, days)
 
 
 def append_new(df: DataFrame, table: str, key: str) -> None:
-    """Append the rows whose key the table does not hold yet."""
-    spark = df.sparkSession
-    target = spark.table(table)
-    only_new(df, target.select(key), key).select(*target.columns).write.insertInto(table)
+    """Append the rows whose key the table does not hold yet, as files of their own."""
+    target = df.sparkSession.table(table)
+    fresh = only_new(df, target.select(key), key)
+    day = generations.key_of(df.sparkSession, table)
+    generations.publish(fresh.sortWithinPartitions(day), table, append=True)
 
 
 def write_clustered(
     df: DataFrame, table: str, hash_cols: Sequence[str], sort_cols: Sequence[str], n: int
 ) -> None:
-    """A copy spread over ``n`` segments by hash and sorted inside each.
+    """A copy in ``n`` segments by hash, each file sorted, which the planner knows about.
 
-    Rebalancing cuts a segment that one key value makes too large, and joins tiny ones.
+    Copies with the same segments are joined, and rows with the same ``hash_cols`` are grouped, without
+    a shuffle. Rebalancing cuts a segment that one key value makes too large into several files.
     """
-    spread = df.hint("rebalance", n, *hash_cols).sortWithinPartitions(*sort_cols)
-    spread.write.mode("overwrite").format("parquet").saveAsTable(table)
+    spread = df.hint("rebalance", n, *hash_cols)
+    writer = spread.write.mode("overwrite").format("parquet")
+    writer.bucketBy(n, *hash_cols).sortBy(*sort_cols).saveAsTable(table)
 
 
 def write_by_date(df: DataFrame, table: str, date_col: str, n: int) -> None:
@@ -186,18 +189,11 @@ def refresh_by_date(
     if not months:
         return
     columns = ", ".join(f"{name} {kind}" for name, kind in spark.table(source).dtypes)
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} ({columns}, {EVENT_MONTH} date) USING parquet "
-        f"OPTIONS ({BY_DAY[0]} '{BY_DAY[1]}') PARTITIONED BY ({EVENT_MONTH})"
-    )
-    _check_replaces_by_day(spark, table)
+    generations.create(spark, table, columns, EVENT_MONTH)
     rows = spark.table(source).withColumn(EVENT_MONTH, F.trunc(EVENT_DAY, "month"))
     rows = rows.filter(F.col(EVENT_MONTH).isin(months))
     ranges = rows.repartitionByRange(EVENT_MONTH, date_col, F.xxhash64("object_id"))
-    ordered = ranges.sortWithinPartitions(EVENT_MONTH, date_col)
-    ordered.write.mode("overwrite").insertInto(table)
-    filled = {row[0] for row in rows.select(EVENT_MONTH).distinct().collect()}
-    drop_listed_days(spark, table, [m for m in months if m not in filled])
+    overwrite_days(ranges, table, [date_col], dealt=True, days=months)
 
 
 def refresh_daily_rates(spark: SparkSession, source: str, table: str, days: Sequence[Day]) -> None:
@@ -207,48 +203,39 @@ def refresh_daily_rates(spark: SparkSession, source: str, table: str, days: Sequ
     per year; the years that hold ``days`` are rewritten, from the source for those days and from
     themselves for the others. A table without rows is filled for all days that the source stores.
     """
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} ({CURRENCIES.ddl}, {EVENT_DAY} date, {RATE_YEAR} date) "
-        f"USING parquet OPTIONS ({BY_DAY[0]} '{BY_DAY[1]}') PARTITIONED BY ({RATE_YEAR})"
-    )
+    generations.create(spark, table, f"{CURRENCIES.ddl}, {EVENT_DAY} date", RATE_YEAR)
     if not stored_days(spark, table):
         days = stored_days(spark, source)
     due = sorted({dt.date.fromisoformat(day_text(d)) for d in days})
     if not due:
         return
-    _check_replaces_by_day(spark, table)
     years = sorted({d.replace(month=1, day=1) for d in due})
     fresh = spark.table(source).filter(F.col(EVENT_DAY).isin(due))
     last = latest_per_key(fresh, ["currency_code", "currency_code_with", EVENT_DAY], RATE_ORDER)
     others = spark.table(table).filter(F.col(RATE_YEAR).isin(years) & ~F.col(EVENT_DAY).isin(due))
     rows = last.withColumn(RATE_YEAR, F.trunc(EVENT_DAY, "year")).unionByName(others)
-    with materialized(rows, "daily-rates") as copy:
-        overwrite_days(copy, table, [EVENT_DAY, "currency_code"])
-        filled = {row[0] for row in copy.select(RATE_YEAR).distinct().collect()}
-    drop_listed_days(spark, table, [y for y in years if y not in filled])
+    overwrite_days(rows, table, [EVENT_DAY, "currency_code"], days=years)
 
 
 def upsert_days(df: DataFrame, table: str, keys: Sequence[str], order: Sequence[str]) -> list[str]:
     """Overwrite by key in a day-partitioned table; returns the days rewritten.
 
-    All stored rows of a key give way to its last new row; other rows stay as they are. Read and rewritten are the days that hold one of the keys, found from the key columns alone, and
-    the days of the new rows; the other days are not touched. A row whose day changes moves, and a day
+    All stored rows of a key give way to its last new row; other rows stay as they are. Rewritten are the
+    days of the new rows and those that hold one of the keys, found from the key columns alone and, for
+    few keys, from the row groups whose Bloom filter knows one; the other days are not touched. A row whose day changes moves, and a day
     that is left without rows is dropped. Stored rows of a null key stay. The driver sees a row per day.
     """
     spark = df.sparkSession
-    day = _day_column(spark, table)
+    day = generations.key_of(spark, table)
     old = spark.table(table)
     new = latest_per_key(df.select(*old.columns), keys, order)
     with materialized(new, "upsert-new") as new:
-        held = old.select(day, *keys).join(new.select(*keys), list(keys), "left_semi").select(day)
+        held = holding(old.select(day, *keys), keys, new).join(new.select(*keys), list(keys), "left_semi").select(day)
         days = [row[0] for row in held.union(new.select(day)).distinct().collect()]
         if not days:
             return []
         stays = only_new(old.filter(F.col(day).isin(days)), new.select(*keys), list(keys))
-        with materialized(stays.select(*old.columns).unionByName(new), "upsert") as rows:
-            overwrite_days(rows, table)
-            filled = {row[0] for row in rows.select(day).distinct().collect()}
-    drop_listed_days(spark, table, [d for d in days if d not in filled])
+        overwrite_days(stays.select(*old.columns).unionByName(new), table, days=days)
     return sorted(map(str, days))
 
 
@@ -290,20 +277,16 @@ def refresh_aged(
     parts they replace are dropped after the write. ``as_of`` defaults to the newest day stored and
     never goes back: the table keeps the latest one. The driver sees a row per calendar day.
     """
-    key = _day_column(spark, source)
+    key = generations.key_of(spark, source)
     columns = ", ".join(f"{name} {kind}" for name, kind in spark.table(source).dtypes)
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} ({columns}, {PART_GROUP} date) USING parquet "
-        f"OPTIONS ({BY_DAY[0]} '{BY_DAY[1]}') PARTITIONED BY ({PART_GROUP})"
-    )
-    _check_replaces_by_day(spark, table)
+    generations.create(spark, table, columns, PART_GROUP)
     own, stored = set(stored_days(spark, source)), set(stored_days(spark, table))
     known = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
     seen = [day_text(as_of)] if as_of else sorted(own)[-1:]
     now = max([*seen, known.get(AGED_AS_OF, "")], default="")
     if not now:
         return []
-    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{AGED_AS_OF}' = '{now}')")
+    spark.sql(f"ALTER VIEW {table} SET TBLPROPERTIES ('{AGED_AS_OF}' = '{now}')")
     touched = {day_text(d) for d in days}
     dates = [(dt.date.fromisoformat(d),) for d in sorted(own | stored | touched)]
     grouped = spark.createDataFrame(dates, "day date").select(
@@ -312,15 +295,13 @@ def refresh_aged(
     group_of = {str(r.day): str(r.g) for r in grouped.collect()}
     live = {group_of[d] for d in own}
     due = (live - stored) | {group_of[d] for d in (stored - live) | touched}
+    if not due:
+        return []
     inside = [dt.date.fromisoformat(d) for d in sorted(own) if group_of[d] in due]
     rows = spark.table(source).filter(F.col(key).isin(inside) if inside else F.lit(False))
     rows = rows.withColumn(PART_GROUP, partition_group(key, now, months, years))
     ranges = rows.repartitionByRange(PART_GROUP, *sort_cols)
-    ordered = ranges.sortWithinPartitions(PART_GROUP, *sort_cols)
-    ordered.write.mode("overwrite").insertInto(table)
-    filled = {str(row[0]) for row in rows.select(PART_GROUP).distinct().collect()}
-    drop_listed_days(spark, table, sorted((stored - live) | (due - filled)))
-    return sorted(filled)
+    return overwrite_days(ranges, table, sort_cols, dealt=True, days=(stored - live) | due)
 
 
 def run_sql(spark: SparkSession, text: str, day: Day, **frames: DataFrame) -> DataFrame:

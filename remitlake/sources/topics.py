@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+# Topic -> partition -> offset.
+Offsets = Mapping[str, Mapping[int, int]]
+
 
 @dataclass(frozen=True)
 class TopicConf:
@@ -65,11 +70,13 @@ def read_messages(
     conf: TopicConf,
     since: dt.datetime | None = None,
     until: dt.datetime | None = None,
+    span: tuple[Offsets, Offsets] | None = None,
 ) -> DataFrame:
-    """Bounded read from the earliest message to the current end, or of a span of broker time.
+    """Bounded read from the earliest message to the current end, of a span of broker time, or of the
+    offsets of ``span``, from the first up to but without the second.
 
     Of a topic, ``since`` and ``until`` become offsets before anything is read, so a look at a few
-    minutes of a large topic reads those minutes. Files have no such index and ignore them.
+    minutes of a large topic reads those minutes. Files have no such index and ignore all of these.
     """
     options = dict(conf.options)
     if conf.format == "kafka":
@@ -80,9 +87,44 @@ def read_messages(
             options["startingOffsetsByTimestampStrategy"] = "latest"
         if until is not None:
             options["endingTimestamp"] = _millis(until)
+        if span is not None:
+            if since is not None or until is not None:
+                raise ValueError("give a span of time or of offsets, not both")
+            options["startingOffsets"], options["endingOffsets"] = map(_offset_json, span)
+            options["subscribe"] = ",".join(sorted(span[0]))
     return _load(spark.read, TopicConf(conf.format, options, conf.schema, conf.path))
 
 
+def _offset_json(offsets: Offsets) -> str:
+    return json.dumps({t: {str(p): n for p, n in parts.items()} for t, parts in offsets.items()})
+
+
+def from_offsets(starts: Offsets, n: int) -> tuple[Offsets, Offsets]:
+    """The span of the ``n`` messages of each partition that begin at ``starts``.
+
+    They have to be there: take ``starts`` from messages or progress seen before.
+    """
+    ends = {t: {p: at + n for p, at in parts.items()} for t, parts in starts.items()}
+    return starts, ends
+
+
+def up_to_offsets(ends: Offsets, n: int) -> tuple[Offsets, Offsets]:
+    """The span of the last ``n`` messages of each partition before ``ends``."""
+    starts = {t: {p: max(0, at - n) for p, at in parts.items()} for t, parts in ends.items()}
+    return starts, ends
+
+
+def offsets_reached(query: StreamingQuery) -> Offsets:
+    """Where a running stream of topics stands, from its last progress."""
+    found: dict[str, dict[int, int]] = {}
+    for source in (query.lastProgress or {}).get("sources", []):
+        reached = source["endOffset"]
+        reached = json.loads(reached) if isinstance(reached, str) else reached or {}
+        for topic, parts in reached.items():
+            found.setdefault(topic, {}).update({int(p): n for p, n in parts.items()})
+    return found
+
+
 def _millis(moment: dt.datetime) -> str:
     """Milliseconds since 1970; a time without zone is UTC."""
     zoned = moment if moment.tzinfo else moment.replace(tzinfo=dt.UTC)
@@ -107,9 +149,14 @@ def peek(
     n: int,
     since: dt.datetime | None = None,
     until: dt.datetime | None = None,
+    span: tuple[Offsets, Offsets] | None = None,
 ) -> DataFrame:
-    """A sample of a topic, to look at its messages. Bound it in time where the topic is large."""
-    return first_messages(read_messages(spark, conf, since, until), n)
+    """A sample of a topic, to look at its messages.
+
+    Where the topic is large, bound it in time or by offsets (``from_offsets``, ``up_to_offsets``): then
+    no more than that is read.
+    """
+    return first_messages(read_messages(spark, conf, since, until, span), n)
 
 
 def peek_topics(
@@ -118,6 +165,7 @@ def peek_topics(
     n: int,
     since: dt.datetime | None = None,
     until: dt.datetime | None = None,
+    span: tuple[Offsets, Offsets] | None = None,
 ) -> DataFrame:
-    """A sample of every subscribed topic. Bound it in time where the topics are large."""
-    return first_messages_per_topic(read_messages(spark, conf, since, until), n)
+    """A sample of every subscribed topic, bounded as in ``peek`` where the topics are large."""
+    return first_messages_per_topic(read_messages(spark, conf, since, until, span), n)

@@ -51,6 +51,32 @@ def test_bounded_kafka_read_of_a_span():
     assert options["endingTimestamp"] == "1664582700000"
 
 
+def test_peek_of_offsets_reads_no_more():
+    spark = mock.MagicMock()
+    reader = spark.read.format.return_value
+    conf = topics.kafka_conf("b:1", ["t", "other"])
+    topics.peek(spark, conf, 8, span=topics.from_offsets({"t": {0: 100, 1: 0}}, 8))
+    options = reader.options.call_args.kwargs
+    assert options["startingOffsets"] == '{"t": {"0": 100, "1": 0}}'
+    assert options["endingOffsets"] == '{"t": {"0": 108, "1": 8}}'
+    assert options["subscribe"] == "t"
+    topics.peek_topics(spark, conf, 8, span=topics.up_to_offsets({"t": {0: 100}, "other": {0: 3}}, 8))
+    options = reader.options.call_args.kwargs
+    assert options["startingOffsets"] == '{"t": {"0": 92}, "other": {"0": 0}}'
+    assert options["endingOffsets"] == '{"t": {"0": 100}, "other": {"0": 3}}'
+    assert options["subscribe"] == "other,t"
+    with pytest.raises(ValueError):
+        topics.peek(spark, conf, 8, since=dt.datetime(2022, 1, 1), span=topics.from_offsets({"t": {0: 1}}, 1))
+
+
+def test_offsets_reached():
+    query = mock.MagicMock()
+    query.lastProgress = {"sources": [{"endOffset": '{"t": {"0": 5, "1": 7}}'}, {"endOffset": {"u": {"0": 1}}}]}
+    assert topics.offsets_reached(query) == {"t": {0: 5, 1: 7}, "u": {0: 1}}
+    query.lastProgress = None
+    assert topics.offsets_reached(query) == {}
+
+
 def test_peek(spark, tmp_path):
     rows = spark.range(40).selectExpr(
         "if(id % 2 = 0, 'a', 'b') as topic", "cast(0 as int) as partition", "id as offset"
@@ -68,6 +94,7 @@ def test_peek(spark, tmp_path):
 
 
 AWKWARD = ["plain", 'quote " and, comma', "line\nbreak", "", None, " blank ", "back\\slash"]
+AWKWARD += ["\\n", "\\\\n", "\\\n", "\\N", "\r\n", "a\rb\\", "\\\\\\", '"\n"', "\u2028x"]
 
 
 def test_csv_round_trip(spark, tmp_path):
@@ -81,6 +108,27 @@ def test_csv_round_trip(spark, tmp_path):
     assert sorted((r.id, r.text) for r in good.collect()) == sorted(rows)
 
 
+def test_csv_files_are_cut_among_tasks(spark, tmp_path):
+    rows = [(i, f"two\nlines {i} " + "x" * 50) for i in range(2000)]
+    path = csv_files.export_csv(spark.createDataFrame(rows, "id int, text string").coalesce(1), str(tmp_path), "long", "2022-10-01")
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "16k")
+    try:
+        loaded = csv_files.split_corrupt(csv_files.load_csv(spark, path, "id int, text string"))[0]
+        assert len(loaded.inputFiles()) == 1 and loaded.rdd.getNumPartitions() > 4
+        assert sorted(map(tuple, loaded.collect())) == rows
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_csv_of_other_origin(spark, tmp_path):
+    (tmp_path / "x.csv").write_text('1,"two\nlines"\n2,back\\nslash\n')
+    loaded = csv_files.load_csv(spark, str(tmp_path / "x.csv"), "id int, v string", foreign=True)
+    good, bad = csv_files.split_corrupt(loaded)
+    assert sorted(map(tuple, good.collect())) == [(1, "two\nlines"), (2, "back\\nslash")] and bad.count() == 0
+
+
 def test_csv_export_replaces_the_previous(spark, tmp_path):
     for n in (5, 2):
         path = csv_files.export_csv(spark.range(n), str(tmp_path), "ids", dt.date(2022, 10, 1))
