@@ -79,18 +79,18 @@ def _new_generation(
 
 def live(spark: SparkSession, table: str) -> str:
     """The generation that a table shows."""
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'View Text'")
-    text = described.select("data_type").head()
-    found = text and re.search(rf"FROM (\S*{re.escape(table.rpartition('.')[2])}__\w+)$", text[0])
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+    text = next((r.data_type for r in described if r.col_name == "View Text"), "")
+    found = re.search(rf"FROM (\S*{re.escape(table.rpartition('.')[2])}__\w+)$", text)
     if not found:
         raise ValueError(f"{table} was not created as a table of generations")
     return found[1]
 
 
 def key_of(spark: SparkSession, table: str) -> str:
-    """The day column."""
-    columns = spark.catalog.listColumns(live(spark, table))
-    return next(c.name for c in columns if c.isPartition and c.name != WRITTEN)
+    """The day column, which is the last one."""
+    live(spark, table)
+    return spark.table(table).columns[-1]
 
 
 def _parts(spark: SparkSession, generation: str) -> list[tuple[str, str]]:
