@@ -161,7 +161,7 @@ def unpack_words(cell: bytes) -> list[bytes]:
     sizes, data = unpack(cell)
     ends = np.cumsum(sizes).tolist()
     raw = data.tobytes()
-    return [raw[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+    return [raw[a:b] for a, b in zip([0, *ends][: len(ends)], ends, strict=True)]
 
 
 def by_bucket(words: DataFrame, work: Callable[[pa.Table], Iterator[dict]], schema: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 Counts of every word are formed over the whole corpus by the dictionary exchange. The most frequent
 words are output words in classes of CLASS_WORDS; the others fall in classes by the size of their
-count, within which a word has its share of the counts; a last class is for words never met. The
+count, within which a word has its share of the counts; a last class is one symbol for all words never met. The
 network gives the class from its state and, for frequent words, the word from state and class.
 
 Training is truncated backpropagation in numpy: each task follows its documents in lanes, carries the
@@ -11,6 +11,7 @@ state from window to window, and the tasks' parameters are averaged by Spark bet
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from heapq import heapify, heapreplace
 
@@ -22,21 +23,26 @@ from pyspark.sql import functions as F
 from remitlake.llm import dictionary
 from remitlake.scratch import scratch_path
 
-CLASS_WORDS = 32
-HEAD_CLASSES = 32
+CLASS_WORDS = 24
+HEAD_CLASSES = 24
 HEAD = CLASS_WORDS * HEAD_CLASSES
-BINS = 40
+#: Classes of the other words, by their count's power of 2^BIN_BITS.
+BIN_BITS, BINS = 3, 14
 CLASSES = HEAD_CLASSES + BINS + 1
 UNSEEN = HEAD + BINS
 START = UNSEEN + 1
-HIDDEN = 24
+#: A word met once that stands for words never met while the network trains.
+ONCE = START + 1
+HIDDEN = 16
 WINDOW = 32
 #: Each round trains on its share of the training documents, by a hash of the id: together on all.
 ROUNDS = 2
-LANES_TRAIN, LANES_SCORE = 32, 256
+LANES_TRAIN, LANES_SCORE = (16, 256), 512
+#: Updates that a task makes of its documents at least, as long as there are lanes to give up for it.
+UPDATES = 400
 #: Steps until the full rate.
 WARM = 60
-HOLD_TOKENS = 2 << 20
+HOLD_TOKENS = 8 << 20
 REDUCERS = 32
 
 CODED = "doc_ids array<long>, flags array<int>, n_known array<long>, log_base array<double>, log_tail array<double>, blob binary"
@@ -60,9 +66,13 @@ def _totals(table: pa.Table) -> dict[bytes, int]:
 def _summary(table: pa.Table) -> Iterator[dict]:
     total = _totals(table)
     counts = np.array([n for n in total.values() if n], np.int64)
-    bins = np.bincount(np.log2(counts).astype(np.int64), counts, BINS).astype(np.int64) if len(counts) else np.zeros(BINS, np.int64)
+    bins = np.bincount(bin_of(counts), counts, BINS).astype(np.int64) if len(counts) else np.zeros(BINS, np.int64)
     top = sorted(((n, w) for w, n in total.items() if n), key=lambda x: (-x[0], x[1]))[:HEAD]
-    yield {"v": len(counts), "bins": bins.tolist(), "words": dictionary.pack(*_cells([w for _, w in top])), "counts": [n for n, _ in top]}
+    yield {"v": len(counts), "once": int((counts == 1).sum()), "bins": bins.tolist(), "words": dictionary.pack(*_cells([w for _, w in top])), "counts": [n for n, _ in top]}
+
+
+def bin_of(counts: np.ndarray) -> np.ndarray:
+    return np.log2(np.maximum(1, counts)).astype(np.int64) // BIN_BITS
 
 
 def _cells(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -72,14 +82,14 @@ def _cells(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 class Vocabulary:
     """The bounded part of the counts: frequent words, sums of the count classes, N and V."""
 
-    def __init__(self, head: list[tuple[bytes, int]], bins: np.ndarray, distinct: int, ends: int):
+    def __init__(self, head: list[tuple[bytes, int]], bins: np.ndarray, distinct: int, once: int, ends: int):
         # Number 0 is the end of a text.
         self.head = {w: i + 1 for i, (w, _) in enumerate(head[: HEAD - 1])}
         self.ends, self.tokens = ends, int(bins.sum()) + ends
-        self.distinct = distinct + (ends > 0)
+        self.distinct, self.once = distinct + (ends > 0), once
         self.tail = bins.astype(np.float64).copy()
         for _, n in head[: HEAD - 1]:
-            self.tail[int(np.log2(n))] -= n
+            self.tail[bin_of(np.array([n]))[0]] -= n
         self.counts = np.array([ends, *(n for _, n in head[: HEAD - 1])], np.float64)
         self.counts = np.pad(self.counts, (0, HEAD - len(self.counts)))
 
@@ -87,9 +97,9 @@ class Vocabulary:
 def vocabulary(words: DataFrame, ends: int) -> Vocabulary:
     """At most HEAD words and BINS sums reach the driver."""
     path = scratch_path(words.sparkSession, "counts")
-    dictionary.by_bucket(words, _summary, "v long, bins array<long>, words binary, counts array<long>").write.parquet(path)
+    dictionary.by_bucket(words, _summary, "v long, once long, bins array<long>, words binary, counts array<long>").write.parquet(path)
     stored = words.sparkSession.read.parquet(path)
-    distinct = stored.agg(F.sum("v")).head()[0] or 0
+    distinct, once = (n or 0 for n in stored.agg(F.sum("v"), F.sum("once")).head())
     bins = np.zeros(BINS, np.int64)
     for r in stored.select(F.posexplode("bins").alias("k", "n")).groupBy("k").agg(F.sum("n").alias("n")).collect():
         bins[r["k"]] = r["n"]
@@ -100,7 +110,7 @@ def vocabulary(words: DataFrame, ends: int) -> Vocabulary:
                 yield pa.RecordBatch.from_arrays([pa.array(dictionary.unpack_words(cell), pa.binary()), pa.array(counts, pa.int64())], names=["word", "n"])
 
     top = stored.select("words", "counts").mapInArrow(spread, "word binary, n long").orderBy(F.desc("n"), "word").limit(HEAD - 1).collect()
-    return Vocabulary([(bytes(r["word"]), r["n"]) for r in top], bins, distinct, ends)
+    return Vocabulary([(bytes(r["word"]), r["n"]) for r in top], bins, distinct, once, ends)
 
 
 class GatedModel:
@@ -109,53 +119,80 @@ class GatedModel:
     def __init__(self, vocab: Vocabulary | None = None, seed: int = 11):
         r, h = np.random.default_rng(seed), HIDDEN
         f = lambda *s: (r.standard_normal(s) * 0.1).astype(np.float32)
-        self.p = {"X": f(START + 1, 3 * h), "U": f(h, 3 * h), "C": f(h, CLASSES), "c": np.zeros(CLASSES, np.float32), "W": f(HEAD_CLASSES, h, CLASS_WORDS), "w": np.zeros((HEAD_CLASSES, CLASS_WORDS), np.float32)}
+        self.p = {"X": f(START + 1, 3 * h), "U": f(h, 2 * h), "V": f(h, h), "C": f(h, CLASSES), "c": np.zeros(CLASSES, np.float32), "W": f(HEAD_CLASSES, h, CLASS_WORDS), "w": np.zeros((HEAD_CLASSES, CLASS_WORDS), np.float32)}
         if vocab is not None:
             # Starts from the frequencies, so that training begins with a model of single words.
             head = vocab.counts.reshape(HEAD_CLASSES, CLASS_WORDS) + 0.1
-            mass = np.concatenate([head.sum(axis=1), np.maximum(0, vocab.tail) + 0.1, [max(1.0, vocab.tail[0])]])
+            tail = np.maximum(0, vocab.tail) + 0.1
+            tail[0] = max(0.1, tail[0] - vocab.once / 2)
+            mass = np.concatenate([head.sum(axis=1), tail, [vocab.once / 2 + 0.5]])
             self.p["c"] = np.log(mass / mass.sum()).astype(np.float32)
             self.p["w"] = np.log(head / head.sum(axis=1, keepdims=True)).astype(np.float32)
 
-    def step(self, token: np.ndarray, h: np.ndarray):
-        g, u = self.p["X"][token], self.p["U"]
-        zr = 1 / (1 + np.exp(-(g[:, : 2 * HIDDEN] + h @ u[:, : 2 * HIDDEN])))
-        z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
-        n = np.tanh(g[:, 2 * HIDDEN :] + (r * h) @ u[:, 2 * HIDDEN :])
-        return n + z * (h - n), z, r, n
+    def run(self, token: np.ndarray, alive: np.ndarray, h: np.ndarray):
+        """Some steps of all lanes; rows are those of step after step, of the first ``alive`` lanes.
+
+        Returns the states before, the gates, the proposals, the states after, where each step's rows
+        begin, and which rows begin a document, whose state before is zero.
+        """
+        p, at = self.p, np.concatenate([[0], np.cumsum(alive)])
+        g, first = p["X"][token], token == START
+        reset = first.any()
+        old, new, out = (np.empty((len(token), HIDDEN), np.float32) for _ in range(3))
+        zr = np.empty((len(token), 2 * HIDDEN), np.float32)
+        for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+            o, q, n = old[a:b], zr[a:b], new[a:b]
+            o[:] = h[: b - a]
+            if reset:
+                o[first[a:b]] = 0
+            np.matmul(o, p["U"], out=q)
+            q += g[a:b, : 2 * HIDDEN]
+            np.exp(np.negative(q, out=q), out=q)
+            q += 1
+            np.reciprocal(q, out=q)
+            np.matmul(q[:, HIDDEN:] * o, p["V"], out=n)
+            n += g[a:b, 2 * HIDDEN :]
+            np.tanh(n, out=n)
+            h = np.subtract(o, n, out=out[a:b])
+            h *= q[:, :HIDDEN]
+            h += n
+        return old, zr, new, out, at, first
 
     def losses(self, h: np.ndarray, target: np.ndarray, gradients: bool = False):
         """Natural log-probability of each target token from its state."""
         p, kind = self.p, np.where(target < HEAD, target // CLASS_WORDS, target - HEAD + HEAD_CLASSES)
-        a = h @ p["C"] + p["c"]
-        a -= a.max(axis=1, keepdims=True)
-        e = np.exp(a)
-        total = e.sum(axis=1)
         at = np.arange(len(target))
-        out = a[at, kind] - np.log(total)
+        e = h @ p["C"]
+        e += p["c"]
+        e -= e.max(axis=1, keepdims=True)
+        out = e[at, kind]
+        total = np.exp(e, out=e) @ np.ones(CLASSES, np.float32)
+        out -= np.log(total)
         g = {}
         if gradients:
-            d = e / total[:, None]
-            d[at, kind] -= 1
-            g = {"C": h.T @ d, "c": d.sum(axis=0), "W": np.zeros_like(p["W"]), "w": np.zeros_like(p["w"]), "h": d @ p["C"].T}
-        order = np.argsort(kind, kind="stable")
-        cuts = np.searchsorted(kind[order], np.arange(HEAD_CLASSES + 1))
-        for k in range(HEAD_CLASSES):
-            own = order[cuts[k] : cuts[k + 1]]
-            if not len(own):
-                continue
-            word = target[own] % CLASS_WORDS
-            a = h[own] @ p["W"][k] + p["w"][k]
-            a -= a.max(axis=1, keepdims=True)
-            e = np.exp(a)
-            total = e.sum(axis=1)
-            i = np.arange(len(own))
-            out[own] += a[i, word] - np.log(total)
-            if gradients:
-                d = e / total[:, None]
-                d[i, word] -= 1
-                g["W"][k], g["w"][k] = h[own].T @ d, d.sum(axis=0)
-                g["h"][own] += d @ p["W"][k].T
+            e /= total[:, None]
+            e[at, kind] -= 1
+            g = {"C": h.T @ e, "c": e.sum(axis=0), "h": e @ p["C"].T, "W": np.zeros_like(p["W"]), "w": np.zeros_like(p["w"])}
+        # Frequent words, by class: all of a class are one product.
+        own = np.flatnonzero(kind < HEAD_CLASSES)
+        own = own[np.argsort(kind[own], kind="stable")]
+        cuts = np.searchsorted(kind[own], np.arange(HEAD_CLASSES + 1)).tolist()
+        spans = [(k, a, b) for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
+        state, e, at, word = h[own], p["w"][kind[own]], np.arange(len(own)), target[own] % CLASS_WORDS
+        for k, a, b in spans:
+            e[a:b] += state[a:b] @ p["W"][k]
+        e -= e.max(axis=1, keepdims=True) if len(own) else 0
+        part = e[at, word]
+        total = np.exp(e, out=e) @ np.ones(CLASS_WORDS, np.float32)
+        out[own] += part - np.log(total)
+        if gradients:
+            e /= total[:, None]
+            e[at, word] -= 1
+            back = np.empty_like(state)
+            for k, a, b in spans:
+                g["W"][k], g["w"][k] = state[a:b].T @ e[a:b], e[a:b].sum(axis=0)
+                back[a:b] = e[a:b] @ p["W"][k].T
+            g["h"][own] += back
         return (out, g) if gradients else out
 
 
@@ -165,95 +202,86 @@ def lanes_of(counts: np.ndarray, most: int) -> list[list[int]]:
     heapify(lanes)
     for i in np.argsort(-counts, kind="stable").tolist():
         n, k, own = lanes[0]
-        heapreplace(lanes, (n + int(counts[i]), k, [*own, i] if len(own) < 8 else (own.append(i) or own)))
+        own.append(i)
+        heapreplace(lanes, (n + int(counts[i]), k, own))
     return [own for *_, own in sorted(lanes, key=lambda x: -x[0]) if own]
 
 
-def _grid(counts: np.ndarray, tokens: np.ndarray, most: int):
-    """Lanes side by side: inputs, targets, resets and documents by step, and lanes alive at each step."""
-    at = np.concatenate([[0], np.cumsum(counts)])
-    lanes = lanes_of(counts, most)
-    length = np.array([sum(int(counts[i]) for i in own) for own in lanes])
-    steps = int(length.max()) if len(length) else 0
-    target = np.zeros((steps, len(lanes)), np.int32)
-    enter = np.full((steps, len(lanes)), START, np.int32)
-    doc = np.full((steps, len(lanes)), -1, np.int32)
-    for k, own in enumerate(lanes):
-        t = 0
-        for i in own:
-            n = int(counts[i])
-            target[t : t + n, k] = tokens[at[i] : at[i + 1]]
-            enter[t + 1 : t + n, k] = tokens[at[i] : at[i + 1] - 1]
-            doc[t : t + n, k] = i
-            t += n
-    alive = (length[None, :] > np.arange(steps)[:, None]).sum(axis=1) if steps else np.zeros(0, int)
-    return enter, target, doc, alive
+class Lanes:
+    """Documents one after the other in lanes side by side; memory grows with their tokens alone."""
+
+    def __init__(self, counts: np.ndarray, tokens: np.ndarray, most: int):
+        lanes = lanes_of(counts, most) if len(counts) else []
+        order = np.array([i for own in lanes for i in own], np.int64)
+        n = counts[order]
+        begin = np.cumsum(n) - n
+        self.doc = np.repeat(order, n)
+        self.target = tokens[np.repeat((np.cumsum(counts) - counts)[order] - begin, n) + np.arange(int(n.sum()))]
+        self.enter = np.empty_like(self.target)
+        self.enter[1:] = self.target[:-1]
+        self.enter[begin] = START
+        size = np.array([len(own) for own in lanes], np.int64)
+        self.length = np.add.reduceat(n, np.cumsum(size) - size) if len(n) else n
+        self.at = np.cumsum(self.length) - self.length
+
+    def windows(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Lanes alive at each of the next WINDOW steps, and the places of their rows."""
+        last = int(self.length.max()) if len(self.length) else 0
+        for a in range(0, last, WINDOW):
+            step = np.arange(a, min(last, a + WINDOW))
+            alive = np.searchsorted(-self.length, -step, "left")
+            yield alive, np.concatenate([self.at[:k] + t for t, k in zip(step.tolist(), alive.tolist(), strict=True)])
 
 
 def score_documents(model: GatedModel, counts: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     """Natural log-probability of each document; the state runs through it from start to end."""
-    enter, target, doc, alive = _grid(counts, tokens, LANES_SCORE)
-    out = np.zeros(len(counts))
-    h = np.zeros((enter.shape[1], HIDDEN), np.float32)
-    for a in range(0, len(alive), WINDOW):
-        states, n = [], alive[a : a + WINDOW]
-        for t in range(a, min(len(alive), a + WINDOW)):
-            k = alive[t]
-            first = enter[t, :k] == START
-            h = h[:k]
-            if first.any():
-                h = np.where(first[:, None], np.float32(0), h)
-            h = model.step(enter[t, :k], h)[0]
-            states.append(h)
-        own = np.concatenate([target[a + i, :k] for i, k in enumerate(n)])
-        where = np.concatenate([doc[a + i, :k] for i, k in enumerate(n)])
-        out += np.bincount(where, model.losses(np.concatenate(states), own).astype(np.float64), len(counts))
+    lanes = Lanes(counts, tokens, LANES_SCORE)
+    out, h = np.zeros(len(counts)), np.zeros((len(lanes.length), HIDDEN), np.float32)
+    for alive, rows in lanes.windows():
+        *_, after, at, _ = model.run(lanes.enter[rows], alive, h)
+        out += np.bincount(lanes.doc[rows], model.losses(after, lanes.target[rows]), len(counts))
+        h = after[at[-2] :]
     return out
 
 
 def train(model: GatedModel, counts: np.ndarray, tokens: np.ndarray, moments: dict, rate: float = 4e-3) -> None:
-    """One pass by Adam; gradients run back WINDOW steps, the state runs on."""
-    enter, target, _, alive = _grid(counts, tokens, LANES_TRAIN)
-    p, state = model.p, np.zeros((enter.shape[1], HIDDEN), np.float32)
-    for a in range(0, len(alive), WINDOW):
-        k = alive[a]
-        h, tape, stop = state[:k], [], min(len(alive), a + WINDOW)
-        for t in range(a, stop):
-            live = (np.arange(k) < alive[t])[:, None]
-            h = np.where((enter[t, :k] == START)[:, None], np.float32(0), h)
-            new, z, r, n = model.step(enter[t, :k], h)
-            tape.append((h, z, r, n, live))
-            h = np.where(live, new, h)
-            tape[-1] += (h,)
-        state = h
-        rows = [np.flatnonzero(x[4][:, 0]) for x in tape]
-        own = np.concatenate([target[a + i, x] for i, x in enumerate(rows)])
-        _, g = model.losses(np.concatenate([x[5][i] for x, i in zip(tape, rows, strict=True)]), own, True)
-        g |= {"X": np.zeros_like(p["X"]), "U": np.zeros_like(p["U"])}
-        cut, back = np.cumsum([len(x) for x in rows])[:-1], np.zeros((k, HIDDEN), np.float32)
-        for t, i, dh in reversed(list(zip(range(a, stop), rows, np.split(g.pop("h"), cut), strict=True))):
-            h, z, r, n, live, _ = tape[t - a]
-            d = back.copy()
-            d[i] += dh
-            d = np.where(live, d, 0)
-            dz, dn = d * (h - n) * z * (1 - z), d * (1 - z) * (1 - n * n)
-            drh = dn @ p["U"][:, 2 * HIDDEN :].T
-            dr = drh * h * r * (1 - r)
-            dg = np.concatenate([dz, dr, dn], axis=1)
-            g["U"][:, : 2 * HIDDEN] += h.T @ dg[:, : 2 * HIDDEN]
-            g["U"][:, 2 * HIDDEN :] += (r * h).T @ dn
-            np.add.at(g["X"], enter[t, :k], dg)
-            before = d * z + drh * r + dg[:, : 2 * HIDDEN] @ p["U"][:, : 2 * HIDDEN].T
-            back = np.where(live, before, back)
-            back = np.where((enter[t, :k] == START)[:, None], np.float32(0), back)
+    """One pass by Adam; gradients run back WINDOW steps, the state runs on.
+
+    Few documents go in few lanes, so that they are worth enough updates.
+    """
+    fewest, most = LANES_TRAIN
+    lanes = Lanes(counts, tokens, int(np.clip(len(tokens) // (WINDOW * UPDATES), fewest, most)))
+    p, h = model.p, np.zeros((len(lanes.length), HIDDEN), np.float32)
+    for alive, rows in lanes.windows():
+        token = lanes.enter[rows]
+        old, zr, new, after, at, first = model.run(token, alive, h)
+        h = after[at[-2] :].copy()
+        _, g = model.losses(after, lanes.target[rows], True)
+        z, r, to_state = zr[:, :HIDDEN], zr[:, HIDDEN:], g.pop("h")
+        to_z, to_n, to_r = (old - new) * z * (1 - z), (1 - z) * (1 - new * new), old * r * (1 - r)
+        d, back = np.empty((len(token), 3 * HIDDEN), np.float32), np.zeros((0, HIDDEN), np.float32)
+        for a, b in zip(at[-2::-1].tolist(), at[:0:-1].tolist(), strict=True):
+            own, e = to_state[a:b], d[a:b]
+            own[: len(back)] += back
+            np.multiply(own, to_z[a:b], out=e[:, :HIDDEN])
+            np.multiply(own, to_n[a:b], out=e[:, 2 * HIDDEN :])
+            through = e[:, 2 * HIDDEN :] @ p["V"].T
+            np.multiply(through, to_r[a:b], out=e[:, HIDDEN : 2 * HIDDEN])
+            back = e[:, : 2 * HIDDEN] @ p["U"].T + own * z[a:b] + through * r[a:b]
+            back[first[a:b]] = 0
+        g["U"], g["V"] = old.T @ d[:, : 2 * HIDDEN], (r * old).T @ d[:, 2 * HIDDEN :]
+        order = np.argsort(token, kind="stable")
+        met = np.flatnonzero(np.diff(token[order], prepend=-1))
+        g["X"] = np.zeros_like(p["X"])
+        g["X"][token[order[met]]] = np.add.reduceat(d[order], met, axis=0)
         moments["t"] = moments.get("t", 0) + 1
-        slow = min(1.0, moments["t"] / WARM)
+        step = min(1.0, moments["t"] / WARM) * rate / (1 - 0.9 ** moments["t"])
         for name, x in g.items():
-            x = x / max(1, len(own))
+            x = x / len(token)
             one, two = moments.setdefault(name, (np.zeros_like(x), np.zeros_like(x)))
             one += 0.1 * (x - one)
             two += 0.01 * (x * x - two)
-            p[name] -= (slow * rate * (one / (1 - 0.9 ** moments["t"])) / (np.sqrt(two / (1 - 0.99 ** moments["t"])) + 1e-6)).astype(np.float32)
+            p[name] -= (step * one / (np.sqrt(two / (1 - 0.99 ** moments["t"])) + 1e-6)).astype(np.float32)
 
 
 def _flat(p: dict) -> np.ndarray:
@@ -297,9 +325,7 @@ def _train_round(coded: DataFrame, model: GatedModel, round_: int) -> GatedModel
             counts = np.concatenate([r["counts"][x] for r, x in picked]).astype(np.int64)
             tokens = np.concatenate([r["tokens"][np.repeat(x, r["counts"])] for r, x in picked]).astype(np.int64)
             if len(counts):
-                # Words met once stand for themselves and, every second time, for words never met.
-                once = np.flatnonzero(tokens == HEAD)
-                tokens[once[::2]] = UNSEEN
+                tokens[tokens == ONCE] = UNSEEN
                 train(own, counts, tokens, moments)
                 seen += len(tokens)
         if seen:
@@ -325,12 +351,8 @@ def held_out(doc_id: str = "doc_id"):
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % 7 == 2
 
 
-def score(docs: DataFrame) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row of ``docs``.
-
-    Whole texts are counted and scored; null is an empty text, which is its end alone. A null id is a
-    training row. Rows of equal id are rows of their own; other columns are ignored. Scores are log10.
-    """
+def coded_texts(docs: DataFrame) -> tuple[DataFrame, Vocabulary]:
+    """CODED: documents as tokens of the network, with what the counts alone say; and the vocabulary."""
     spark = docs.sparkSession
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held_out().cast("int").alias("flag"))
     buckets, tokenizer = dictionary.bucket_count(own), LowerWords()
@@ -344,14 +366,19 @@ def score(docs: DataFrame) -> DataFrame:
         total, head = _totals(table), sent.value.head
         for chunk, check, bucket, cell in zip(*(table.column(c).to_pylist() for c in ("chunk", "check", "bucket", "words")), strict=True):
             own = dictionary.unpack_words(cell)
-            yield {"chunk": chunk, "check": check, "seq": bucket, "blob": dictionary.pack(np.array([total[w] for w in own], np.int64), np.array([head.get(w, 0) for w in own], np.uint16))}
+            n = np.array([total[w] for w in own], np.int64)
+            token = np.array([head.get(w, 0) for w in own], np.uint16)
+            # Of the words met once, every second by a hash of the word stands for words never met.
+            once = np.flatnonzero((n == 1) & (token == 0))
+            token[once] = [ONCE * (zlib.crc32(own[i]) & 1) for i in once.tolist()]
+            yield {"chunk": chunk, "check": check, "seq": bucket, "blob": dictionary.pack(n, token)}
 
     def code(arrays: list[np.ndarray], parts: Iterator[dictionary.Part]) -> Iterator[pa.RecordBatch]:
         v = sent.value
-        c, head = arrays if arrays else (np.zeros(0, np.int64), np.zeros(0, np.uint16))
-        size = np.log2(np.maximum(1, c)).astype(np.int64)
-        token = np.where(head > 0, head, np.where(c > 0, HEAD + size, UNSEEN)).astype(np.uint16)
-        tail = np.where(head > 0, 0.0, np.where(c > 0, np.log(np.maximum(1, c) / np.maximum(1, v.tail[size])), -np.log(v.distinct + 1)))
+        c, known = arrays if arrays else (np.zeros(0, np.int64), np.zeros(0, np.uint16))
+        size, head = bin_of(c), (known > 0) & (known < HEAD)
+        token = np.where(known > 0, known, np.where(c > 0, HEAD + size, UNSEEN)).astype(np.uint16)
+        tail = np.where(head | (c == 0), 0.0, np.log(np.maximum(1, c) / np.maximum(1, v.tail[size])))
         base = np.log(c + 1.0)
         for p in parts:
             at = np.concatenate([[0], np.cumsum(p.counts)])
@@ -369,11 +396,25 @@ def score(docs: DataFrame) -> DataFrame:
 
     path = scratch_path(spark, "coded")
     dictionary.by_chunk(dictionary.by_bucket(words, values, "chunk long, check long, seq long, blob binary"), dictionary.places(own, tokenizer, buckets), code, CODED).write.parquet(path)
-    coded = spark.read.parquet(path)
+    return spark.read.parquet(path), vocab
+
+
+def fit(coded: DataFrame, vocab: Vocabulary) -> GatedModel:
+    """A network trained on every training document once, in ROUNDS rounds.
+
+    A round's models are averaged, so its parameters depend on how the rows are dealt among tasks; which
+    documents and words count for what does not.
+    """
     model = GatedModel(vocab)
     for round_ in range(ROUNDS):
         model = _train_round(coded, model, round_)
-    best = spark.sparkContext.broadcast(model.p)
+    return model
+
+
+def judged(coded: DataFrame, vocab: Vocabulary, model: GatedModel) -> DataFrame:
+    """The counts and both scores of every document, log10."""
+    context = coded.sparkSession.sparkContext
+    best, sent = context.broadcast(model.p), context.broadcast(vocab)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v, own = sent.value, GatedModel()
@@ -381,7 +422,9 @@ def score(docs: DataFrame) -> DataFrame:
         log10 = np.log(10)
         for rows in _held(batches):
             counts = np.concatenate([r["counts"] for r in rows]).astype(np.int64)
-            found = score_documents(own, counts, np.concatenate([r["tokens"] for r in rows]).astype(np.int64))
+            tokens = np.concatenate([r["tokens"] for r in rows]).astype(np.int64)
+            tokens[tokens == ONCE] = HEAD
+            found = score_documents(own, counts, tokens)
             every = {k: [x for r in rows for x in r[k]] for k in ("doc_ids", "flags", "n_known", "log_base", "log_tail")}
             base = (np.array(every["log_base"]) - counts * np.log(v.tokens + v.distinct + 1)) / log10
             yield pa.RecordBatch.from_arrays(
@@ -390,3 +433,15 @@ def score(docs: DataFrame) -> DataFrame:
             )
 
     return coded.mapInArrow(judge, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+
+
+def score(docs: DataFrame) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row of ``docs``.
+
+    Whole texts are counted and scored, however long; null is an empty text, which is its end alone. A
+    null id is a training row. Rows of equal id are rows of their own; other columns are ignored. Scores
+    are log10 of a distribution over the V words met in training and one symbol for all others, as the
+    base's is. An empty table gives no rows.
+    """
+    coded, vocab = coded_texts(docs)
+    return judged(coded, vocab, fit(coded, vocab))

@@ -322,17 +322,98 @@ def test_long_documents_are_followed_from_start_to_end(spark):
     assert all(np.allclose(model.p[k], direct.p[k], atol=1e-5) for k in direct.p)
 
 
+def plain_score(p, tokens):
+    """Natural log-probability of one document, word by word."""
+    lm, h, enter, out = language_model, np.zeros(language_model.HIDDEN), language_model.START, 0.0
+    for t in tokens:
+        x, n = p["X"][enter].astype(float), lm.HIDDEN
+        z, r = np.split(1 / (1 + np.exp(-(x[: 2 * n] + h @ p["U"]))), 2)
+        new = np.tanh(x[2 * n :] + (r * h) @ p["V"])
+        h = (1 - z) * new + z * h
+        kind = t // lm.CLASS_WORDS if t < lm.HEAD else t - lm.HEAD + lm.HEAD_CLASSES
+        a = h @ p["C"] + p["c"]
+        out += a[kind] - np.log(np.exp(a).sum())
+        if t < lm.HEAD:
+            a = h @ p["W"][kind] + p["w"][kind]
+            out += a[t % lm.CLASS_WORDS] - np.log(np.exp(a).sum())
+        enter = t
+    return out
+
+
+def test_gradients_of_the_network():
+    model, r = language_model.GatedModel(), np.random.default_rng(5)
+    model.p = {k: v.astype(np.float64) for k, v in model.p.items()}
+    tokens, moments = r.integers(0, language_model.START, 40), {}
+    slopes = {}
+
+    class Keep(dict):
+        def setdefault(self, name, default):
+            slopes[name] = default[0] * 0
+            return super().setdefault(name, default)
+
+    start = {k: v.copy() for k, v in model.p.items()}
+    moments = Keep()
+    language_model.train(model, np.array([32]), tokens[:32], moments, rate=0.0)
+    for name in ("X", "U", "V", "C", "c", "W", "w"):
+        got = moments[name][0] / 0.1  # the first moment after one step
+        flat = np.argsort(-np.abs(got).ravel())[:3]
+        for i in flat:
+            step = np.zeros(got.size)
+            step[i] = 1e-3
+            step = step.reshape(got.shape)
+            high, low = (plain_score(start | {name: start[name] + sign * step}, tokens[:32]) for sign in (1, -1))
+            assert got.ravel()[i] == pytest.approx(-(high - low) / 2e-3 / 32, rel=2e-2, abs=1e-4), name
+
+
+def test_scores_of_the_whole_query(spark, odd):
+    """Every score from the network's parameters and the counts, word by word."""
+    rows = odd_rows()
+    low = lambda t: (t or "").encode().lower().split()
+    trained = Counter(w for i, t in rows if zlib.crc32(b"" if i is None else str(i).encode()) % 7 != 2 for w in low(t))
+    ends = sum(zlib.crc32(b"" if i is None else str(i).encode()) % 7 != 2 for i, _ in rows)
+    coded_rows, vocab = language_model.coded_texts(odd)
+    model = language_model.fit(coded_rows, vocab)
+    lm, head = language_model, sorted(trained, key=lambda w: (-trained[w], w))[: language_model.HEAD - 1]
+    number = {w: i + 1 for i, w in enumerate(head)}
+    tail = Counter()
+    for w, n in trained.items():
+        tail[int(np.log2(n)) // lm.BIN_BITS] += n * (w not in number)
+    want = []
+    for i, t in rows:
+        tokens, share = [], 0.0
+        for w in low(t):
+            if w in number:
+                tokens.append(number[w])
+            elif trained[w]:
+                k = int(np.log2(trained[w])) // lm.BIN_BITS
+                tokens.append(lm.HEAD + k)
+                share += np.log(trained[w] / tail[k])
+            else:
+                tokens.append(lm.UNSEEN)
+        want.append((i, len(tokens) + 1, (plain_score(model.p, [*tokens, 0]) + share) / np.log(10)))
+    assert vocab.ends == ends
+    got = sorted(((x.doc_id, x.n_tokens, x.score) for x in language_model.judged(coded_rows, vocab, model).collect()), key=str)
+    for g, w in zip(got, sorted(want, key=str), strict=True):
+        assert g[:2] == w[:2] and g[2] == pytest.approx(w[2], rel=1e-3, abs=1e-2)
+
+
+def test_words_met_once_stand_for_unseen_ones_by_their_hash(spark):
+    words = [f"once{i}" for i in range(400)] + ["often"] * 900
+    docs = make(spark, [(1, " ".join(words[:700])), (3, " ".join(words[700:]))])
+    # one of the two is held out: buckets without a training word
+    assert language_model.score(docs).count() == 2
+    many = make(spark, [(1, " ".join(f"often{i % 700} " * 2 for i in range(700)) + " ".join(words[:400]))])
+    tokens = np.concatenate([dictionary.unpack(r.blob)[1] for r in language_model.coded_texts(many)[0].collect()])
+    flagged = sum(zlib.crc32(w.encode()) & 1 for w in words[:400])
+    assert (tokens == language_model.ONCE).sum() == flagged
+
+
 def test_recurrent_gradients_and_carried_state():
     model = language_model.GatedModel()
     r = np.random.default_rng(1)
     counts, tokens = np.array([90, 3, 40]), r.integers(0, language_model.START, 133)
     whole = language_model.score_documents(model, counts, tokens)
-    h = np.zeros((1, language_model.HIDDEN), np.float32)
-    one, enter = 0.0, language_model.START
-    for t in tokens[:90]:
-        h = model.step(np.array([enter]), h)[0]
-        one, enter = one + model.losses(h, np.array([t]))[0], t
-    assert whole[0] == pytest.approx(one, rel=1e-4)
+    assert whole[0] == pytest.approx(plain_score(model.p, tokens[:90]), rel=1e-4)
     before = whole.sum()
     moments = {}
     for _ in range(80):
