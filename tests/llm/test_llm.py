@@ -399,10 +399,10 @@ def test_scores_of_the_whole_query(spark, odd):
 
 def test_words_met_once_stand_for_unseen_ones_by_their_hash(spark):
     words = [f"once{i}" for i in range(400)] + ["often"] * 900
-    docs = make(spark, [(1, " ".join(words[:700])), (3, " ".join(words[700:]))])
+    docs = make(spark, [(2, " ".join(words[:700])), (1, " ".join(words[700:]))])
     # one of the two is held out: buckets without a training word
     assert language_model.score(docs).count() == 2
-    many = make(spark, [(1, " ".join(f"often{i % 700} " * 2 for i in range(700)) + " ".join(words[:400]))])
+    many = make(spark, [(2, " ".join(f"often{i % 700} " * 2 for i in range(700)) + " ".join(words[:400]))])
     tokens = np.concatenate([dictionary.unpack(r.blob)[1] for r in language_model.coded_texts(many)[0].collect()])
     flagged = sum(zlib.crc32(w.encode()) & 1 for w in words[:400])
     assert (tokens == language_model.ONCE).sum() == flagged
