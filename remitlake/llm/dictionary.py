@@ -19,12 +19,13 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from remitlake.llm.words import groups
+from remitlake.llm.words import Words, groups, slices, utf8, words_of
 
 CHUNK_BYTES = 16 << 20
 PART_BYTES = 4 << 20
@@ -76,6 +77,17 @@ class Tokenizer:
         return False
 
 
+class PlainWords(Tokenizer):
+    """Words between ASCII white space, as bytes: cut and numbered without a Python step per word."""
+
+    def column(self, texts: pa.Array) -> pa.Array:
+        """The texts as they are cut."""
+        return texts
+
+    def split(self, text: str) -> list[bytes]:
+        return self.column(pa.array([text])).to_pylist()[0].encode().split()
+
+
 class _Codes(dict):
     def __init__(self, odd: Callable):
         super().__init__()
@@ -107,6 +119,10 @@ class Chunk:
 
 
 def _chunks(batches: Iterator[pa.RecordBatch], tokenizer: Tokenizer, buckets: int) -> Iterator[Chunk]:
+    if isinstance(tokenizer, PlainWords):
+        yield from _plain_chunks(batches, tokenizer, buckets)
+        return
+
     def close() -> Chunk:
         words = [w if isinstance(w, bytes) else b" " + w.encode() for w in book]
         bucket = np.fromiter((crc32(w) % buckets for w in words), np.int64, len(words))
@@ -141,6 +157,65 @@ def _chunks(batches: Iterator[pa.RecordBatch], tokenizer: Tokenizer, buckets: in
         yield close()
 
 
+def _plain_chunks(batches: Iterator[pa.RecordBatch], tokenizer: PlainWords, buckets: int) -> Iterator[Chunk]:
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        for part in slices(batch, "text", CHUNK_BYTES):
+            held.append(part)
+            size += pc.sum(pc.binary_length(part.column("text"))).as_py() or 0
+            if size >= CHUNK_BYTES:
+                yield _plain_chunk(pa.Table.from_batches(held), tokenizer, buckets)
+                held, size = [], 0
+    if held:
+        yield _plain_chunk(pa.Table.from_batches(held), tokenizer, buckets)
+
+
+def _plain_chunk(table: pa.Table, tokenizer: PlainWords, buckets: int) -> Chunk:
+    texts = pa.concat_arrays(table.column("text").cast(pa.large_string()).chunks)
+    raw, at = utf8(texts)
+    seen = xxhash.xxh3_128(at.tobytes())
+    seen.update(raw)
+    words = words_of(tokenizer.column(pc.fill_null(texts, "")))
+    own, codes, bucket = number(words)
+    counts = np.diff(words.at)
+    flags = table.column("flag").to_pylist()
+    trained = np.repeat(np.array(flags, np.int64) == 0, counts)
+    digest = seen.intdigest()
+    where = (bucket % np.uint64(buckets)).astype(np.int64)
+    weights = np.bincount(codes[trained], minlength=len(own))
+    return Chunk(digest >> 65, digest & (1 << 63) - 1, own, np.argsort(where, kind="stable"), where, codes, counts, table.column("doc_id").to_pylist(), flags, np.diff(at).tolist(), weights)
+
+
+def number(words: Words) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The distinct words, the number of each word among them, and a hash of each distinct word.
+
+    Words are told apart by their bytes: those of equal hash are compared with the first of them.
+    """
+    hashes, first, codes = np.unique(words.hash, return_index=True, return_inverse=True)
+    start, end = words.start[first], words.end[first]
+    # Eight bytes from each place; what lies behind the end of a word is masked.
+    data = np.concatenate([words.raw, np.zeros(16 - len(words.raw) % 8, np.uint8)])
+    eight = np.lib.stride_tricks.as_strided(data.view(np.uint64), (len(words.raw),), (1,))
+    left = words.end - words.start
+    same = left == (end - start)[codes]
+    rows, skip = np.flatnonzero(same), 0
+    while len(rows):
+        n = np.minimum(left[rows] - skip, 8)
+        mask = np.where(n == 8, np.uint64(2**64 - 1), (np.uint64(1) << (8 * (n % 8)).astype(np.uint64)) - np.uint64(1))
+        a, b = eight[words.start[rows] + skip], eight[start[codes[rows]] + skip]
+        same[rows[((a ^ b) & mask) != 0]] = False
+        skip += 8
+        rows = rows[left[rows] > skip]
+    if same.all():
+        text = words.raw.tobytes()
+        return [text[a:b] for a, b in zip(start.tolist(), end.tolist(), strict=True)], codes, hashes
+    book: dict[bytes, int] = {}
+    codes = np.array([book.setdefault(words.text(i), len(book)) for i in range(len(codes))], np.int64)
+    kept = np.unique(codes, return_index=True)[1]
+    return list(book), codes, words.hash[kept]
+
+
 def words_by_bucket(docs: DataFrame, tokenizer: Tokenizer, buckets: int) -> DataFrame:
     """One row for each chunk and bucket with words: the words, and how often each is in rows of flag 0."""
 

@@ -17,6 +17,7 @@ from heapq import heapify, heapreplace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,10 +35,11 @@ START = UNSEEN + 1
 #: A word met once that stands for words never met while the network trains.
 ONCE = START + 1
 HIDDEN = 16
-WINDOW = 32
+#: Steps that gradients run back, and steps scored at once.
+WINDOW, SCORED = 32, 16
 #: Each round trains on its share of the training documents, by a hash of the id: together on all.
 ROUNDS = 2
-LANES_TRAIN, LANES_SCORE = (16, 256), 512
+LANES_TRAIN, LANES_SCORE = (16, 256), 256
 #: Updates that a task makes of its documents at least, as long as there are lanes to give up for it.
 UPDATES = 400
 #: Steps until the full rate.
@@ -48,11 +50,11 @@ REDUCERS = 32
 CODED = "doc_ids array<long>, flags array<int>, n_known array<long>, log_base array<double>, log_tail array<double>, blob binary"
 
 
-class LowerWords(dictionary.Tokenizer):
+class LowerWords(dictionary.PlainWords):
     """Runs without white space; A-Z become a-z, other letters stay."""
 
-    def split(self, text: str) -> list[bytes]:
-        return text.encode().lower().split()
+    def column(self, texts: pa.Array) -> pa.Array:
+        return pc.ascii_lower(texts)
 
 
 def _totals(table: pa.Table) -> dict[bytes, int]:
@@ -159,12 +161,14 @@ class GatedModel:
         return old, zr, new, out, at, first
 
     def losses(self, h: np.ndarray, target: np.ndarray, gradients: bool = False):
-        """Natural log-probability of each target token from its state."""
+        """Natural log-probability of each target token from its state.
+
+        States lie within -1 and 1 and weights are small, so no power can overflow: nothing is shifted.
+        """
         p, kind = self.p, np.where(target < HEAD, target // CLASS_WORDS, target - HEAD + HEAD_CLASSES)
         at = np.arange(len(target))
         e = h @ p["C"]
         e += p["c"]
-        e -= e.max(axis=1, keepdims=True)
         out = e[at, kind]
         total = np.exp(e, out=e) @ np.ones(CLASSES, np.float32)
         out -= np.log(total)
@@ -181,7 +185,6 @@ class GatedModel:
         state, e, at, word = h[own], p["w"][kind[own]], np.arange(len(own)), target[own] % CLASS_WORDS
         for k, a, b in spans:
             e[a:b] += state[a:b] @ p["W"][k]
-        e -= e.max(axis=1, keepdims=True) if len(own) else 0
         part = e[at, word]
         total = np.exp(e, out=e) @ np.ones(CLASS_WORDS, np.float32)
         out[own] += part - np.log(total)
@@ -224,11 +227,11 @@ class Lanes:
         self.length = np.add.reduceat(n, np.cumsum(size) - size) if len(n) else n
         self.at = np.cumsum(self.length) - self.length
 
-    def windows(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Lanes alive at each of the next WINDOW steps, and the places of their rows."""
+    def windows(self, steps: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Lanes alive at each of the next ``steps`` steps, and the places of their rows."""
         last = int(self.length.max()) if len(self.length) else 0
-        for a in range(0, last, WINDOW):
-            step = np.arange(a, min(last, a + WINDOW))
+        for a in range(0, last, steps):
+            step = np.arange(a, min(last, a + steps))
             alive = np.searchsorted(-self.length, -step, "left")
             yield alive, np.concatenate([self.at[:k] + t for t, k in zip(step.tolist(), alive.tolist(), strict=True)])
 
@@ -237,7 +240,7 @@ def score_documents(model: GatedModel, counts: np.ndarray, tokens: np.ndarray) -
     """Natural log-probability of each document; the state runs through it from start to end."""
     lanes = Lanes(counts, tokens, LANES_SCORE)
     out, h = np.zeros(len(counts)), np.zeros((len(lanes.length), HIDDEN), np.float32)
-    for alive, rows in lanes.windows():
+    for alive, rows in lanes.windows(SCORED):
         *_, after, at, _ = model.run(lanes.enter[rows], alive, h)
         out += np.bincount(lanes.doc[rows], model.losses(after, lanes.target[rows]), len(counts))
         h = after[at[-2] :]
@@ -252,7 +255,7 @@ def train(model: GatedModel, counts: np.ndarray, tokens: np.ndarray, moments: di
     fewest, most = LANES_TRAIN
     lanes = Lanes(counts, tokens, int(np.clip(len(tokens) // (WINDOW * UPDATES), fewest, most)))
     p, h = model.p, np.zeros((len(lanes.length), HIDDEN), np.float32)
-    for alive, rows in lanes.windows():
+    for alive, rows in lanes.windows(WINDOW):
         token = lanes.enter[rows]
         old, zr, new, after, at, first = model.run(token, alive, h)
         h = after[at[-2] :].copy()

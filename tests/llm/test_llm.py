@@ -322,6 +322,18 @@ def test_long_documents_are_followed_from_start_to_end(spark):
     assert all(np.allclose(model.p[k], direct.p[k], atol=1e-5) for k in direct.p)
 
 
+def test_words_are_numbered_by_their_bytes():
+    r = random.Random(12)
+    texts = [" ".join("".join(r.choice("ab") for _ in range(r.choice([1, 2, 7, 8, 9, 16, 17, 70]))) for _ in range(300)) for _ in range(3)] + ["", None, "z" * 100_000, " a "]
+    words = words_of(pa.array(texts))
+    every = [words.text(i) for i in range(len(words.hash))]
+    for hashes in (words.hash, words.hash % np.uint64(7)):  # and where hashes collide
+        words.hash = hashes
+        own, codes, _ = dictionary.number(words)
+        assert [own[c] for c in codes] == every and len(own) == len(set(every))
+    assert [len(x) for x in dictionary.number(words_of(pa.array(["", None])))] == [0, 0, 0]
+
+
 def plain_score(p, tokens):
     """Natural log-probability of one document, word by word."""
     lm, h, enter, out = language_model, np.zeros(language_model.HIDDEN), language_model.START, 0.0
