@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from heapq import heapify, heappop, heappush
 
 import numpy as np
@@ -16,6 +16,8 @@ from remitlake.llm import dictionary
 from remitlake.llm.token_counts import read_ranks
 
 SHORT = 48
+#: A longer piece is cut by the pattern, so that texts without spaces are dealt by pre-token as well.
+LONG = 64
 
 
 def merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -72,7 +74,8 @@ class Pieces(dictionary.Tokenizer):
     """Texts cut before single spaces; a piece is one pre-token or a few, such as a word and its stop.
 
     The public patterns let a pre-token begin at every space between visible characters, so cutting
-    there changes none. A text in which white space follows a space is cut by the pattern itself.
+    there changes none. A text in which white space follows a space, or with a piece of more than LONG
+    characters, is cut by the pattern itself.
     """
 
     def __init__(self, pattern: str):
@@ -80,13 +83,15 @@ class Pieces(dictionary.Tokenizer):
 
     def split(self, text: str) -> list:
         first, *rest = text.split(" ")
+        if len(first) > LONG:
+            raise dictionary.Odd
         return [first.encode(), *rest]
 
     def exact(self, text: str) -> list[bytes]:
         return [x.encode() for x in regex.findall(self.pattern, text)]
 
     def odd(self, word) -> bool:
-        return isinstance(word, str) and (not word or word[0].isspace())
+        return isinstance(word, str) and (not word or len(word) > LONG or word[0].isspace())
 
 
 def gather(start: np.ndarray, size: np.ndarray, data: np.ndarray) -> np.ndarray:
@@ -105,30 +110,48 @@ def binary_column(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(kind, len(sizes), [None, pa.py_buffer(at.astype(offset).tobytes()), pa.py_buffer(data.tobytes())])
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """doc_id, ids_le: the token ids of every whole text, little-endian unsigned 32-bit.
-
-    Null and empty texts have no tokens. Rows with equal ids each have a row; other columns are
-    ignored. The rank file is read on the driver; its size does not depend on the corpus. A text of
-    any length is one row; its words are encoded elsewhere, each distinct one once.
-    """
-    sent = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
-
-    tokenizer = Pieces(pattern)
+def resolver(ranks: dict[bytes, int], pattern: str) -> Callable[[pa.Table], Iterator[dict]]:
+    """The ids of the pieces of one bucket, for each chunk that asks; pre-tokens are merged once."""
 
     def resolve(table: pa.Table) -> Iterator[dict]:
-        ranks, known = sent.value, {}
+        known: dict[bytes, bytes] = {}
+        merged: dict[str, bytes] = {}
         kind = np.uint16 if len(ranks) <= 1 << 16 else np.uint32
+
+        def ids_of(token: str) -> bytes:
+            own = merged.get(token)
+            if own is None:
+                own = merged[token] = np.array(merge(token.encode(), ranks), kind).tobytes()
+            return own
+
         for chunk, check, bucket, cell in zip(*(table.column(c).to_pylist() for c in ("chunk", "check", "bucket", "words")), strict=True):
             ids = []
             for word in dictionary.unpack_words(cell):
                 own = known.get(word)
                 if own is None:
-                    own = known[word] = np.array([i for x in regex.findall(pattern, word.decode()) for i in merge(x.encode(), ranks)], kind).tobytes()
+                    own = known[word] = b"".join(map(ids_of, regex.findall(pattern, word.decode())))
                 ids.append(own)
             sizes = np.array([len(x) for x in ids], np.uint32) // np.dtype(kind).itemsize
             yield {"chunk": chunk, "check": check, "seq": bucket, "blob": dictionary.pack(sizes, np.frombuffer(b"".join(ids), kind))}
 
+    return resolve
+
+
+def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+    """doc_id, ids_le: the token ids of every whole text, little-endian unsigned 32-bit.
+
+    Null and empty texts have no tokens. Rows with equal ids each have a row; other columns are
+    ignored. The rank file is read on the driver; its size does not depend on the corpus. A text of
+    any length is one row; its pieces are encoded elsewhere, each distinct one once, and a bucket merges
+    each distinct pre-token of its pieces once. An empty table gives an empty result.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
+
+    tokenizer = Pieces(pattern)
+
+    def resolve(table: pa.Table) -> Iterator[dict]:
+        return resolver(sent.value, pattern)(table)
+
     def assemble(arrays: list[np.ndarray], parts: Iterator[dictionary.Part]) -> Iterator[pa.RecordBatch]:
         size, data = (arrays[0].astype(np.int64), arrays[1].astype("<u4")) if arrays else (np.zeros(0, np.int64), np.zeros(0, "<u4"))
         start = np.cumsum(size) - size
@@ -141,8 +164,8 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
 
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.lit(0).alias("flag"))
     buckets = dictionary.bucket_count(own)
-    values = dictionary.by_bucket(dictionary.words_by_bucket(own, tokenizer, buckets), resolve, "chunk long, check long, seq long, blob binary")
-    return dictionary.by_chunk(values, dictionary.places(own, tokenizer, buckets), assemble, "doc_id long, ids_le binary")
+    values = dictionary.by_bucket(dictionary.words_by_bucket(own, tokenizer, buckets), resolve, "chunk long, check long, seq long, blob binary", buckets)
+    return dictionary.by_chunk(values, dictionary.places(own, tokenizer, buckets), assemble, "doc_id long, ids_le binary", buckets)
 
 
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:

@@ -30,7 +30,7 @@ from remitlake.llm.words import Words, groups, slices, utf8, words_of
 CHUNK_BYTES = 16 << 20
 PART_BYTES = 4 << 20
 #: Bytes of text for each bucket; a bucket's words are held in one task.
-BUCKET_BYTES = 24 << 20
+BUCKET_BYTES = 16 << 20
 
 WORDS_SCHEMA = "bucket long, chunk long, check long, words binary, weights binary"
 PLACES_SCHEMA = "chunk long, check long, kind int, seq long, ids array<long>, flags array<int>, blob binary"
@@ -239,8 +239,11 @@ def unpack_words(cell: bytes) -> list[bytes]:
     return [raw[a:b] for a, b in zip([0, *ends][: len(ends)], ends, strict=True)]
 
 
-def by_bucket(words: DataFrame, work: Callable[[pa.Table], Iterator[dict]], schema: str) -> DataFrame:
-    """``work`` on the rows of each bucket, whole; it yields rows of ``schema`` as dictionaries."""
+def by_bucket(words: DataFrame, work: Callable[[pa.Table], Iterator[dict]], schema: str, buckets: int) -> DataFrame:
+    """``work`` on the rows of each bucket, whole; it yields rows of ``schema`` as dictionaries.
+
+    There are as many tasks as buckets, so that a task's share stays the same as the input grows.
+    """
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = None
@@ -249,7 +252,7 @@ def by_bucket(words: DataFrame, work: Callable[[pa.Table], Iterator[dict]], sche
                 kind = kind or _schema(schema)
                 yield pa.RecordBatch.from_pylist([row], schema=kind)
 
-    return words.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(each, schema)
+    return words.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(each, schema)
 
 
 def _schema(ddl: str) -> pa.Schema:
@@ -296,14 +299,14 @@ class Part:
     codes: np.ndarray
 
 
-def by_chunk(values: DataFrame, coded: DataFrame, work: Callable[[list[np.ndarray], Iterator[Part]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def by_chunk(values: DataFrame, coded: DataFrame, work: Callable[[list[np.ndarray], Iterator[Part]], Iterator[pa.RecordBatch]], schema: str, tasks: int) -> DataFrame:
     """``work`` on every chunk, with the arrays of its dictionary's values in the order of its codes.
 
     ``values`` has chunk, check, seq (the bucket) and blob (arrays packed; the first has a number for
     each word, the others follow by it or are taken as they are). A chunk is met as a stream of parts.
     """
     own = values.select("chunk", "check", F.lit(VALUES).alias("kind"), "seq", F.lit(None).cast("array<long>").alias("ids"), F.lit(None).cast("array<int>").alias("flags"), "blob")
-    both = own.unionByName(coded).repartition("chunk").sortWithinPartitions("chunk", "kind", "seq")
+    both = own.unionByName(coded).repartition(tasks, "chunk").sortWithinPartitions("chunk", "kind", "seq")
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = ({n: b.column(i)[r].as_py() for i, n in enumerate(b.schema.names)} for b in batches for r in range(b.num_rows))

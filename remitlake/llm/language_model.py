@@ -96,10 +96,10 @@ class Vocabulary:
         self.counts = np.pad(self.counts, (0, HEAD - len(self.counts)))
 
 
-def vocabulary(words: DataFrame, ends: int) -> Vocabulary:
+def vocabulary(words: DataFrame, ends: int, buckets: int) -> Vocabulary:
     """At most HEAD words and BINS sums reach the driver."""
     path = scratch_path(words.sparkSession, "counts")
-    dictionary.by_bucket(words, _summary, "v long, once long, bins array<long>, words binary, counts array<long>").write.parquet(path)
+    dictionary.by_bucket(words, _summary, "v long, once long, bins array<long>, words binary, counts array<long>", buckets).write.parquet(path)
     stored = words.sparkSession.read.parquet(path)
     distinct, once = (n or 0 for n in stored.agg(F.sum("v"), F.sum("once")).head())
     bins = np.zeros(BINS, np.int64)
@@ -362,7 +362,7 @@ def coded_texts(docs: DataFrame) -> tuple[DataFrame, Vocabulary]:
     path = scratch_path(spark, "words")
     dictionary.words_by_bucket(own, tokenizer, buckets).write.parquet(path)
     words = spark.read.parquet(path)
-    vocab = vocabulary(words, own.where("flag = 0").count())
+    vocab = vocabulary(words, own.where("flag = 0").count(), buckets)
     sent = spark.sparkContext.broadcast(vocab)
 
     def values(table: pa.Table) -> Iterator[dict]:
@@ -398,7 +398,7 @@ def coded_texts(docs: DataFrame) -> tuple[DataFrame, Vocabulary]:
             )
 
     path = scratch_path(spark, "coded")
-    dictionary.by_chunk(dictionary.by_bucket(words, values, "chunk long, check long, seq long, blob binary"), dictionary.places(own, tokenizer, buckets), code, CODED).write.parquet(path)
+    dictionary.by_chunk(dictionary.by_bucket(words, values, "chunk long, check long, seq long, blob binary", buckets), dictionary.places(own, tokenizer, buckets), code, CODED, buckets).write.parquet(path)
     return spark.read.parquet(path), vocab
 
 

@@ -101,6 +101,43 @@ SQL: dict[str, str] = {
                doc_id = min(doc_id) OVER same AS kept, text_sha256
         FROM own WINDOW same AS (PARTITION BY text_sha256)
     """,
+    "op2_ngram_jaccard_join": r"""
+        WITH RECURSIVE own AS (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+        ), grams AS (
+            SELECT DISTINCT r, array_to_string(w[p : p + 4], ' ') AS g
+            FROM (SELECT r, w, unnest(range(1, greatest(2, len(w) - 3))) AS p FROM own WHERE len(w) > 0)
+        ), size AS (SELECT r, count(*) AS n FROM grams GROUP BY r),
+        common AS (SELECT a.r AS a, b.r AS b, count(*) AS n FROM grams a JOIN grams b ON a.g = b.g AND a.r <> b.r GROUP BY ALL),
+        links AS (
+            SELECT a, b FROM common JOIN size x ON x.r = a JOIN size y ON y.r = b WHERE 9 * common.n >= 4 * (x.n + y.n)
+        ), reached AS (
+            SELECT a AS r, a AS other FROM links UNION SELECT reached.r, links.b FROM reached JOIN links ON links.a = reached.other
+        ), named AS (SELECT reached.r, min(own.doc_id) AS class_id FROM reached JOIN own ON own.r = other GROUP BY reached.r),
+        counted AS (SELECT a AS r, count(*) AS n_links FROM links GROUP BY a)
+        SELECT doc_id, coalesce(class_id, doc_id) AS class_id, coalesce(n_links, 0) AS n_links
+        FROM own LEFT JOIN named USING (r) LEFT JOIN counted USING (r)
+    """,
+    "op5_substring_dedup": r"""
+        WITH own AS (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+        ), windows AS (
+            SELECT r, doc_id, p, array_to_string(w[p : p + 49], ' ') AS s
+            FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 48)) AS p FROM own WHERE len(w) >= 50)
+        ), earliest AS (SELECT s, min(doc_id) AS low FROM windows GROUP BY s),
+        hits AS (SELECT r, p FROM windows JOIN earliest USING (s) WHERE doc_id > low),
+        words AS (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM own),
+        judged AS (
+            SELECT words.r, i, word, coalesce(i - p < 50, false) AS gone
+            FROM words ASOF LEFT JOIN hits ON words.r = hits.r AND words.i >= hits.p
+        ), told AS (
+            SELECT r, count(*) AS n_words, count(*) FILTER (gone) AS n_removed,
+                   string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept
+            FROM judged GROUP BY r
+        )
+        SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+        FROM own LEFT JOIN told USING (r)
+    """,
     "op7_warc": """
         WITH own AS (
             SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,

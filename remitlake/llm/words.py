@@ -25,6 +25,8 @@ _RNG = np.random.default_rng(20240229)
 #: Bytes of a word that the table covers.
 PLACES = 64
 _TABLE = _RNG.integers(0, 2**64, PLACES * 256, dtype=np.uint64)
+#: For a second hash of the same words, independent of the first.
+_OTHER = _RNG.integers(0, 2**64, PLACES * 256, dtype=np.uint64)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _ORDER = _RNG.integers(1, 2**63, 64, dtype=np.uint64) | np.uint64(1)
 
@@ -90,7 +92,12 @@ def words_of(column: pa.Array, hashed: bool = True) -> Words:
     return Words(raw, start, end, np.searchsorted(start, offsets), _hashes(raw, start, end) if hashed else start)
 
 
-def _hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+def second_hashes(words: Words) -> np.ndarray:
+    """Another hash of every word: with the first one, 128 bits tell words apart."""
+    return _hashes(words.raw, words.start, words.end, _OTHER, b"second")
+
+
+def _hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray, table: np.ndarray = _TABLE, key: bytes = b"") -> np.ndarray:
     out = np.empty(len(start), np.uint64)
     a = 0
     while a < len(start):
@@ -99,13 +106,13 @@ def _hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         begin = start[a:b] - low
         gap = np.diff(np.append(begin, high - low))
         place = np.arange(high - low, dtype=np.int64) - np.repeat(begin, gap)
-        value = _TABLE[np.minimum(place, PLACES - 1) * 256 + raw[low:high]]
+        value = table[np.minimum(place, PLACES - 1) * 256 + raw[low:high]]
         value[_SPACE[raw[low:high]]] = 0
         out[a:b] = np.add.reduceat(value, begin)
         a = b
     out = mix(out + (end - start).astype(np.uint64) * _STEP)
     for i in np.flatnonzero(end - start > PLACES).tolist():
-        out[i] = int.from_bytes(hashlib.blake2b(raw[start[i] : end[i]], digest_size=8).digest(), "little")
+        out[i] = int.from_bytes(hashlib.blake2b(raw[start[i] : end[i]], digest_size=8, key=key).digest(), "little")
     return out
 
 

@@ -11,6 +11,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import regex
 import tiktoken
 from pyspark.sql import functions as F
 
@@ -589,6 +590,30 @@ def test_near_fingerprints_are_all_found():
     assert sorted(zip(a.tolist(), b.tolist(), strict=True)) == want
 
 
+def test_texts_without_spaces_are_dealt_by_pre_token(spark):
+    """One entry for each distinct pre-token, however often a text without spaces repeats it."""
+    text = "".join(f"中文{i % 7}好.," for i in range(500))
+    plain, exact = byte_bpe.Pieces(PATTERN), set(regex.findall(PATTERN, text))
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": [text, "a " + text], "flag": [0, 0]})
+    chunk = next(dictionary._chunks(iter([batch]), plain, 3))
+    assert {w.decode() for w in chunk.words} == exact | {"a"} | {x for x in regex.findall(PATTERN, "a " + text)}
+    ranks = byte_bpe.read_ranks(RANKS)
+    got = byte_bpe.digests(byte_bpe.decode(byte_bpe.encode(make(spark, [(1, text)]), RANKS, PATTERN), RANKS)).first()
+    assert tuple(got)[1:] == byte_bpe.brute_force(text, ranks, PATTERN)
+
+
+def test_each_pre_token_is_merged_once(spark, monkeypatch):
+    """A bucket's pieces share their pre-tokens: word, word. and word, merge the word once."""
+    calls = Counter()
+    plain = byte_bpe.merge
+    texts = ["word word. word, word! (word", " word. other, word;"]
+    monkeypatch.setattr(byte_bpe, "merge", lambda w, ranks: calls.update([w]) or plain(w, ranks))
+    table = pa.table({"chunk": [1], "check": [1], "bucket": [0], "words": [dictionary.pack(*language_model._cells(sorted({w.encode() for t in texts for w in regex.findall(r" ?[^ ]+", t)})))]})
+    resolve = byte_bpe.resolver(byte_bpe.read_ranks(RANKS), PATTERN)
+    assert len(list(resolve(table))) == 1
+    assert calls and max(calls.values()) == 1 and calls[b"word"] == calls[b" word"] == 1
+
+
 def test_byte_bpe(odd, empty):
     ranks = byte_bpe.read_ranks(RANKS)
     encoding = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
