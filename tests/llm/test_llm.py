@@ -1,5 +1,6 @@
 """The operators against brute force, and the rows that ask for a defined result."""
 
+import datetime as dt
 import hashlib
 import json
 import random
@@ -446,10 +447,45 @@ def test_warc_round_trip(spark, tmp_path):
         want.append((i, len(data), hashlib.sha256(data).hexdigest(), "revisit" if again else "response", 1 if again else None))
     same(got, want)
     assert warc.archive_pages(pages.limit(0)).count() == 0
-    warc.write_bundles(pages, str(tmp_path / "b"))
-    bundles = spark.read.parquet(str(tmp_path / "b"))
-    entry = bundles.select(F.explode("entries").alias("e")).where("e.page_id = 7").first().e
-    assert warc.find_record(bundles, entry.record_id).decode() == "ü" * 5000
+    path = str(tmp_path / "b")
+    warc.write_bundles(pages, path, dt.datetime(2024, 1, 2, 3, 4, 5))
+    index = {x.page_id: x.record_id for x in warc.entries(spark.read.parquet(f"{path}/bundles")).collect()}
+    assert warc.find_payload(spark, path, index[7]).decode() == "ü" * 5000
+    assert warc.find_record(spark, path, "urn:page:0:x") is None
+    # a revisit names a record that is there and has the payload
+    fields, body = warc.find_record(spark, path, index[3])
+    assert fields["WARC-Type"] == "revisit" and body == b"" and warc.find_payload(spark, path, index[3]).decode() == big
+    target = fields["WARC-Refers-To"][1:-1]
+    assert target == index[1] and warc.find_record(spark, path, target)[0]["WARC-Type"] == "response"
+    assert fields["WARC-Profile"] == warc.SAME_PAYLOAD and fields["WARC-Date"] == "2024-01-02T03:04:05Z"
+    # and every record has what WARC/1.1 demands
+    for name in index.values():
+        assert {"WARC-Type", "WARC-Record-ID", "WARC-Date", "Content-Length"} <= set(warc.find_record(spark, path, name)[0])
+
+
+def test_one_record_reads_one_bundle(spark, tmp_path, monkeypatch):
+    r, path = random.Random(3), str(tmp_path / "b")
+    html = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(40_000))
+    pages = spark.createDataFrame([(i, "u", html()) for i in range(1200)], "page_id long, url string, html string").repartition(1)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        warc.write_bundles(pages, path)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    bundles = spark.read.parquet(f"{path}/bundles")
+    assert bundles.count() >= 3 and len(bundles.inputFiles()) <= 2
+    name = warc.entries(bundles).where("page_id = 777").first().record_id
+    place = warc.record_place(spark, path, name)
+    assert len(place.collect()) == 1
+    plan = place._jdf.queryExecution().executedPlan()
+    assert plan.collectLeaves().apply(0).metrics().apply("numOutputRows").value() == 1
+    whole = bundles.where("bundle_id = '%s'" % place.first().bundle_id).first()
+    reader, unpacked = warc.BundleReader(bytes(whole.bundle)), []
+    assert len(reader) > 5
+    plain = warc.BundleReader.frame
+    monkeypatch.setattr(warc.BundleReader, "frame", lambda self, i: unpacked.append(i) or plain(self, i))
+    assert len(warc.find_payload(spark, path, name)) == 40_000 and len(unpacked) == 1
 
 
 BASE = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
