@@ -519,6 +519,54 @@ def test_personal_data(spark, odd, empty):
     assert pii.summary(pii.find_personal_data(empty)).count() == 0
 
 
+def planted_noise(n):
+    """Rows with noisy personal data, rows with look-alikes, and the spans to be added."""
+    r, rows, want = random.Random(9), [], set()
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(5))
+    digits = lambda k: "".join(r.choice("0123456789") for _ in range(k))
+
+    def luhn(d):
+        v = [int(c) if i % 2 == 0 else int(c) * 2 - 9 * (int(c) > 4) for i, c in enumerate(reversed(d))]
+        return sum(v) % 10 == 0
+
+    def number(first, good):
+        while True:
+            d = first + digits(15)
+            if luhn(d) == good:
+                return d
+
+    def row(before, own, after, kind=None):
+        i, head = len(rows), f"{word()} {word()} {before}"
+        rows.append((i, f"{head}{own}{after} {word()}"))
+        if kind is not None:
+            want.add((i, kind, len(head), len(head) + len(own)))
+
+    for _ in range(n):
+        d = number("4", True)
+        row("please charge my card ", d, ".")
+        row("he has ", number("4", True), "")
+        wrong = number("4", False)
+        row("please charge my card ", " ".join(wrong[k : k + 4] for k in range(0, 16, 4)), " today", 2)
+        row("serial no ", number(r.choice("01789"), False), "")
+        row("", number(r.choice("01789"), False), "")
+        row("call +1 (212) 555-", digits(4), "")
+        row("", f"+1 (212) 555-{digits(4)}", " 10.20.30.40", 3)
+        row("write to ", f"{word()}@{word()}.com", "")
+        row("write to ", f"{word()} (at) {word()} (dot) com", "", 0)
+        row("we met ", f"{word()}(at){word()}.5", "")
+    return rows, want
+
+
+def test_the_method_adds_noisy_spans(spark):
+    rows, want = planted_noise(60)
+    found = pii.find_personal_data(make(spark, rows).repartition(4)).collect()
+    added = {(x.doc_id, s.kind, s.start, s.end) for x in found for s in x.spans if not s.base}
+    kept = {x.doc_id: [(s.start, s.kind, s.end) for s in x.spans if s.base] for x in found}
+    assert all(kept[i] == brute_spans(t) for i, t in rows)
+    right = len(added & want)
+    assert right / len(added) >= 0.99 and right / len(want) >= 0.95
+
+
 def test_reliabilities_follow_the_labelers():
     counts = [((1, 1, 1, 1), 60), ((-1, -1, 0, -1), 40), ((1, -1, 1, 1), 10), ((-1, 1, 0, -1), 8)]
     share, _, post = pii.reliabilities(counts)
