@@ -23,8 +23,9 @@ from remitlake.llm.words import SHINGLE, grams, slices, words_of
 
 RADIUS = 5
 SIMILARITY = 0.8
-#: Items that one pass over the documents looks for; more items are looked for in further passes.
-BLOCK_ITEMS = 2_000
+#: Items of one index, and indexes that one pass over the documents looks into: so many items are sent to
+#: the tasks at most, and more are looked for in further passes.
+BLOCK_ITEMS, PASS_BLOCKS = 2_000, 16
 #: With x shingles of an item missing and y others added, SIMILARITY means 5 x + 4 y <= its shingles. A
 #: word cut off at an end costs 5; a break inside costs 16 at least (four words said twice: x = 0, y = 4)
 #: and with j of the item's words lost 5 j, or 20 (four of eight repeated words gone: x = 4, y = 0).
@@ -206,26 +207,41 @@ class ItemIndex:
         return best_stretch(grams(words[max(0, start - reach) : max(0, start + n + reach)], min(SHINGLE, n)), *weights)
 
 
-def _indexes(benchmark: DataFrame) -> Iterator:
-    """An index for each BLOCK_ITEMS items, sent to the tasks: the block is a bounded query set."""
+def _indexes(benchmark: DataFrame) -> list[list]:
+    """The indexes of each pass: BLOCK_ITEMS items each, sent to the tasks, PASS_BLOCKS a pass."""
     spark = benchmark.sparkSession
     items = benchmark.where("text IS NOT NULL").select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("binary").alias("text"))
     blocks = -(-items.count() // BLOCK_ITEMS)
+    passes: list[list] = []
     for k in range(blocks):
         own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()
-        yield spark.sparkContext.broadcast(ItemIndex([(r["item_id"], bytes(r["text"])) for r in own]))
+        if k % PASS_BLOCKS == 0:
+            passes.append([])
+        passes[-1].append(spark.sparkContext.broadcast(ItemIndex([(r["item_id"], bytes(r["text"])) for r in own])))
+    return passes
+
+
+def _found(column: pa.Array, indexes: list) -> dict[int, dict[int, float]]:
+    """Similarity by row and item, from all indexes of a pass; words are hashed once."""
+    words = words_of(column)
+    best: dict[int, dict[int, float]] = {}
+    for index in indexes:
+        for row, items in index.value.matches(words.hash, words.at).items():
+            own = best.setdefault(row, {})
+            for item, similarity in items.items():
+                own[item] = max(similarity, own.get(item, 0.0))
+    return best
 
 
 def _passes(docs: DataFrame, benchmark: DataFrame) -> list[DataFrame]:
-    """One scan of the documents for each index."""
+    """One scan of the documents for each pass."""
     out = []
-    for index in _indexes(benchmark):
+    for indexes in _indexes(benchmark):
 
-        def search(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
+        def search(batches: Iterator[pa.RecordBatch], indexes=indexes) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for part in slices(batch, "text"):
-                    words = words_of(part.column("text"))
-                    found = index.value.matches(words.hash, words.at)
+                    found = _found(part.column("text"), indexes)
                     rows = range(part.num_rows)
                     yield pa.RecordBatch.from_arrays(
                         [part.column("doc_id"), pa.array([[{"item_id": i, "similarity": s} for i, s in found[r].items()] if r in found else [] for r in rows], pa.list_(pa.struct([("item_id", pa.int64()), ("similarity", pa.float64())]))), part.column("row_key")],
@@ -252,7 +268,9 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         # Rows that repeat id and text have equal hits: their number goes along, one is looked at.
         every = reduce(DataFrame.unionAll, [p.withColumn("pass", F.lit(k)) for k, p in enumerate(passes)])
         one = every.groupBy("doc_id", "row_key").agg(F.flatten(F.collect_set("items")).alias("items"), F.sum(F.when(F.col("pass") == 0, 1).otherwise(0)).alias("n"))
-        out = one.select("doc_id", "items", F.explode(F.expr("sequence(1, n)"))).select("doc_id", "items")
+        block = F.explode(F.expr("sequence(0, (n - 1) div 65536)")).alias("block")
+        inside = F.explode(F.expr("sequence(1, least(65536, n - block * 65536))"))
+        out = one.select("doc_id", "items", "n", block).select("doc_id", "items", inside).select("doc_id", "items")
     return out.select("doc_id", F.array_sort("items").alias("items")).withColumn("contaminated", F.size("items") > 0)
 
 
@@ -262,13 +280,12 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     Each row is judged by its own text, whatever other rows of its id hold. One scan, no shuffle.
     """
     schema = docs.schema
-    for index in _indexes(benchmark):
+    for indexes in _indexes(benchmark):
 
-        def clean(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
+        def clean(batches: Iterator[pa.RecordBatch], indexes=indexes) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for part in slices(batch, "text"):
-                    words = words_of(part.column("text"))
-                    found = index.value.matches(words.hash, words.at)
+                    found = _found(part.column("text"), indexes)
                     yield part.filter(pa.array([not found.get(r) for r in range(part.num_rows)], pa.bool_()))
 
         docs = docs.mapInArrow(clean, schema)

@@ -187,9 +187,11 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
     counted = rows.groupBy("doc_id", "digest", "n_bytes").agg(F.count("*").alias("times"))
     joined = counted.join(live, ["digest", "n_bytes"])
     same = F.col("doc_id").eqNullSafe(F.col("keep_id"))
-    return joined.select(
-        "doc_id", "keep_id", "group_size", F.explode(F.sequence(F.lit(1).cast("long"), "times")).alias("copy"), F.lower(F.hex("digest")).alias("text_sha256")
-    ).select("doc_id", "keep_id", "group_size", (same & (F.col("copy") == 1)).alias("kept"), "text_sha256")
+    # In blocks, so that no array grows with the copies of a row.
+    block = F.explode(F.expr("sequence(0L, (times - 1) div 65536)")).alias("block")
+    blocks = joined.select("doc_id", "keep_id", "group_size", "times", "digest", block)
+    inside = F.explode(F.expr("sequence(block * 65536 + 1, least(block * 65536 + 65536, times))")).alias("copy")
+    return blocks.select("doc_id", "keep_id", "group_size", inside, F.lower(F.hex("digest")).alias("text_sha256")).select("doc_id", "keep_id", "group_size", (same & (F.col("copy") == 1)).alias("kept"), "text_sha256")
 
 
 def keep_first(docs: DataFrame) -> DataFrame:

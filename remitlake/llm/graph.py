@@ -14,7 +14,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
     Each round takes the smallest label among the neighbours and then the label of that label, so long
     chains shorten by half. The minimum is formed before the shuffle and a hub's rows meet its label
     in a join that adaptive execution splits, so a hub with a third of the edges is no hot task.
-    Rounds end when no label changes; the driver sees one number a round.
+    Rounds end when no label changes; the driver sees one number a round. Labels that still change after
+    ``rounds`` rounds, more than a path of a billion billion nodes needs, end the job with an error.
     """
     scratch_root(edges.sparkSession)
     both = edges.select(F.col(a).alias("node"), F.col(b).alias("other")).where(F.col(a) != F.col(b))

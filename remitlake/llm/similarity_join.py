@@ -41,6 +41,8 @@ LINKED = 12
 SETTLED = 26
 #: Sets of a candidate group that are verified at once; larger groups are verified block by block.
 BLOCK = 256
+#: Sets with candidates for each task that verifies.
+VERIFIED = 1_000
 
 _R = np.random.default_rng(5_8_2021)
 _MULT = _R.integers(1, 2**63, FUNCTIONS, dtype=np.uint64) | np.uint64(1)
@@ -292,6 +294,7 @@ def _classes(docs: DataFrame, miss: float) -> tuple[DataFrame, DataFrame]:
     sets = spark.read.parquet(at)
 
     group = components(contracted(candidate_links(sets.select("sid", "sketch"), runs_for(miss)))).withColumnRenamed("node", "sid")
+    tasks = max(12, -(-group.count() // VERIFIED))
     members = group.join(sets.select("sid", "size", "doc_id", "th"), "sid")
     members = members.join(_stored(group.groupBy("label").agg(F.count("*").alias("n")), "groups"), "label")
     # Rows that repeat id and text are one text here; the window passes on one of them a task, and the
@@ -303,7 +306,7 @@ def _classes(docs: DataFrame, miss: float) -> tuple[DataFrame, DataFrame]:
     whole = members.withColumns(key).join(texts, place)
     whole = _blocks(whole.select("label", "n", "sid", "size", "text"), "label", "n", "sid", BLOCK).select("block", "side", "sid", "size", "text")
     at = scratch_path(spark, "links")
-    whole.repartition("block").sortWithinPartitions("block", "sid").mapInArrow(_verify, "sid binary, links long, other binary").write.parquet(at)
+    whole.repartition(tasks, "block").sortWithinPartitions("block", "sid").mapInArrow(_verify, "sid binary, links long, other binary").write.parquet(at)
     links = spark.read.parquet(at)
 
     label = components(contracted(links.select(F.col("sid").alias("a"), F.col("other").alias("b")))).withColumnRenamed("node", "sid")
@@ -318,7 +321,8 @@ def near_duplicates(docs: DataFrame, miss: float = MISS) -> DataFrame:
     text of one to four words is one shingle. n_links counts the rows that a row is linked to, copies
     included. class_id is the smallest doc_id that links lead to, the own one without links. Null and
     empty texts have no shingles and no links. Rows of equal id are rows of their own. Null ids never
-    name a class that has another id. Extra columns are ignored.
+    name a class that has another id. Extra columns are ignored. Texts are read whole, however long; an
+    empty table gives an empty result.
     """
     described, known = _classes(docs, miss)
     named = known.join(_stored(known.groupBy("label").agg(F.min("doc_id").alias("class_id")), "classes"), "label")

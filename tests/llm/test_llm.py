@@ -594,6 +594,23 @@ def test_decontamination(spark, odd, empty):
     assert not any(x.contaminated for x in decontaminate.benchmark_hits(odd, benchmark.limit(0)).collect())
 
 
+@pytest.mark.parametrize("blocks", [16, 2])
+def test_many_items_take_one_pass(spark, blocks, monkeypatch):
+    monkeypatch.setattr(decontaminate, "PASS_BLOCKS", blocks)
+    r = random.Random(15)
+    items = [(i, " ".join(f"k{r.randint(0, 9000)}" for _ in range(16))) for i in range(10_000)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    fill = lambda n: " ".join(f"f{r.randint(0, 900)}" for _ in range(n))
+    rows = [(i, f"{fill(30)} {items[j][1]} {fill(5)} {items[j + 1][1]}" if j % 2 else fill(40)) for i, j in enumerate(r.sample(range(9_999), 60))]
+    want = {i: [k for k, t in items if f" {t} " in f" {text} "] for i, text in rows}
+    hits = decontaminate.benchmark_hits(make(spark, rows), benchmark)
+    assert {x.doc_id: [y.item_id for y in x["items"]] for x in hits.collect()} == want
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    assert len(set(re.findall(r"MapInArrow search[^\n]*", plan))) == (1 if blocks == 16 else 3)
+    clean = decontaminate.drop_contaminated(make(spark, rows), benchmark)
+    assert sorted(x.doc_id for x in clean.collect()) == sorted(i for i, w in want.items() if not w)
+
+
 def test_an_edit_anywhere_in_an_item_is_forgiven():
     r = random.Random(8)
     words = {n: [f"k{r.randint(0, 900)}" for _ in range(n)] for n in (49, 60, 84, 97, 200)}
