@@ -2,6 +2,10 @@
 
 Every stage is written as Parquet in the shared folder and read again, so a lost executor costs a
 re-read and no stage is computed twice.
+
+Null and empty texts pass where their score lets them; equal ones are copies, so one row stays. Null ids
+are ids of their own rows: a row with an id stays before one without. All stages but the last return the
+columns of the documents, whatever their names. An empty table gives an empty result.
 """
 
 from __future__ import annotations
