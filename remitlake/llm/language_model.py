@@ -24,11 +24,11 @@ from pyspark.sql import functions as F
 from remitlake.llm import dictionary
 from remitlake.scratch import scratch_path
 
-CLASS_WORDS = 24
-HEAD_CLASSES = 24
+CLASS_WORDS = 20
+HEAD_CLASSES = 20
 HEAD = CLASS_WORDS * HEAD_CLASSES
 #: Classes of the other words, by their count's power of 2^BIN_BITS.
-BIN_BITS, BINS = 3, 14
+BIN_BITS, BINS = 4, 11
 CLASSES = HEAD_CLASSES + BINS + 1
 UNSEEN = HEAD + BINS
 START = UNSEEN + 1
@@ -135,18 +135,18 @@ class GatedModel:
         """Some steps of all lanes; rows are those of step after step, of the first ``alive`` lanes.
 
         Returns the states before, the gates, the proposals, the states after, where each step's rows
-        begin, and which rows begin a document, whose state before is zero.
+        begin, and the rows that begin a document, whose state before is zero.
         """
         p, at = self.p, np.concatenate([[0], np.cumsum(alive)])
-        g, first = p["X"][token], token == START
-        reset = first.any()
+        g, first = p["X"][token], np.flatnonzero(token == START)
+        cut = np.searchsorted(first, at).tolist()
         old, new, out = (np.empty((len(token), HIDDEN), np.float32) for _ in range(3))
         zr = np.empty((len(token), 2 * HIDDEN), np.float32)
-        for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+        for i, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist(), strict=True)):
             o, q, n = old[a:b], zr[a:b], new[a:b]
             o[:] = h[: b - a]
-            if reset:
-                o[first[a:b]] = 0
+            if cut[i] < cut[i + 1]:
+                old[first[cut[i] : cut[i + 1]]] = 0
             np.matmul(o, p["U"], out=q)
             q += g[a:b, : 2 * HIDDEN]
             np.exp(np.negative(q, out=q), out=q)
@@ -263,7 +263,9 @@ def train(model: GatedModel, counts: np.ndarray, tokens: np.ndarray, moments: di
         z, r, to_state = zr[:, :HIDDEN], zr[:, HIDDEN:], g.pop("h")
         to_z, to_n, to_r = (old - new) * z * (1 - z), (1 - z) * (1 - new * new), old * r * (1 - r)
         d, back = np.empty((len(token), 3 * HIDDEN), np.float32), np.zeros((0, HIDDEN), np.float32)
-        for a, b in zip(at[-2::-1].tolist(), at[:0:-1].tolist(), strict=True):
+        cut = np.searchsorted(first, at).tolist()
+        for i in range(len(alive) - 1, -1, -1):
+            a, b = int(at[i]), int(at[i + 1])
             own, e = to_state[a:b], d[a:b]
             own[: len(back)] += back
             np.multiply(own, to_z[a:b], out=e[:, :HIDDEN])
@@ -271,7 +273,7 @@ def train(model: GatedModel, counts: np.ndarray, tokens: np.ndarray, moments: di
             through = e[:, 2 * HIDDEN :] @ p["V"].T
             np.multiply(through, to_r[a:b], out=e[:, HIDDEN : 2 * HIDDEN])
             back = e[:, : 2 * HIDDEN] @ p["U"].T + own * z[a:b] + through * r[a:b]
-            back[first[a:b]] = 0
+            back[first[cut[i] : cut[i + 1]] - a] = 0
         g["U"], g["V"] = old.T @ d[:, : 2 * HIDDEN], (r * old).T @ d[:, 2 * HIDDEN :]
         order = np.argsort(token, kind="stable")
         met = np.flatnonzero(np.diff(token[order], prepend=-1))

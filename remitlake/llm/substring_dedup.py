@@ -7,7 +7,7 @@ the ends of a stretch depend on what is around it: after ROUNDS rounds, at most
 either end. Every window therefore has the same symbols inside wherever it occurs, and the NEIGHBOURS
 consecutive ones of the smallest hash stand for the window. Spark rounds then find the symbols that
 stand for windows of two documents or more. The windows behind those symbols are equal if two hashes of
-their whole word sequence are, 128 bits made from independent hashes of the words; the words themselves
+their whole word sequence are, 96 bits made from independent hashes of the words; the words themselves
 are not sent. Runs of three or more equal words get no name.
 """
 
@@ -95,8 +95,10 @@ def windows(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def contents_of(words: Words, first: np.ndarray) -> np.ndarray:
-    """Two hashes of the words of each window that begins at ``first``, a row each."""
-    return np.stack([sequences(h, WINDOW)[first] if len(first) else np.zeros(0, np.uint64) for h in (words.hash, second_hashes(words))])
+    """Two hashes, of 64 and 32 bits, of the words of each window that begins at ``first``, a row each."""
+    if not len(first):
+        return np.zeros((2, 0), np.uint64)
+    return np.stack([sequences(words.hash, WINDOW)[first], sequences(second_hashes(words), WINDOW)[first] >> np.uint64(32)])
 
 
 def _by_bucket_rows(chunk: int, key: np.ndarray, bucket_key: np.ndarray, low: np.ndarray, high: np.ndarray, buckets: int) -> pa.Table:
@@ -127,15 +129,15 @@ def _begins(key: np.ndarray) -> np.ndarray:
 
 
 def _closer(key: np.ndarray) -> list[np.ndarray]:
-    """Sorted keys, the first part as differences."""
-    return [np.diff(key[0], prepend=np.uint64(0)), *key[1:]]
+    """Sorted keys, the first part as differences, the others in 32 bits."""
+    return [np.diff(key[0], prepend=np.uint64(0)), *key[1:].astype(np.uint32)]
 
 
 def _unpacked(cells: list[bytes]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Keys, smallest documents and what follows of each cell."""
     out = []
     for low, more, first, *rest in map(dictionary.unpack, cells):
-        out.append((np.stack([np.cumsum(first, dtype=np.uint64), *rest]), low, more))
+        out.append((np.stack([np.cumsum(first, dtype=np.uint64), *(x.astype(np.uint64) for x in rest)]), low, more))
     return out
 
 
