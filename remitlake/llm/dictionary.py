@@ -6,9 +6,10 @@ positions of the words go to the chunk on a second way, as numbers of its dictio
 values there. So what is shuffled is one entry per distinct word and chunk and a byte or two per
 word, and a word with a third of all places is one entry per chunk.
 
-Both ways read the documents, and a chunk is known by a hash of its texts: if a source gives other
-rows the second time, the job fails and nothing wrong is returned. Give it a table, not a random
-sample. Chunks of the very same texts share their dictionary.
+With ``words_by_bucket`` and ``places`` both ways read the documents, and a chunk is known by a hash of
+its texts: if a source gives other rows the second time, the job fails and nothing wrong is returned.
+Give it a table, not a random sample. ``both_ways`` reads them once and stores both, which takes less
+time and more disk. Chunks of the very same texts share their dictionary.
 """
 
 from __future__ import annotations
@@ -34,7 +35,8 @@ BUCKET_BYTES = 16 << 20
 
 WORDS_SCHEMA = "bucket long, chunk long, check long, words binary, weights binary"
 PLACES_SCHEMA = "chunk long, check long, kind int, seq long, ids array<long>, flags array<int>, blob binary"
-VALUES, ORDER, PLACES = 0, 1, 2
+VALUES, ORDER, PLACES, WORDS = 0, 1, 2, 3
+STORED_SCHEMA = f"{PLACES_SCHEMA}, bucket long, words binary, weights binary"
 
 
 def pack(*arrays: np.ndarray) -> bytes:
@@ -216,20 +218,43 @@ def number(words: Words) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     return list(book), codes, words.hash[kept]
 
 
+def _word_rows(c: Chunk) -> Iterator[dict]:
+    own = c.buckets[c.bucket_order]
+    cuts = np.flatnonzero(np.diff(own)) + 1
+    for part in np.split(c.bucket_order, cuts) if len(own) else []:
+        words = [c.words[i] for i in part]
+        sizes = np.array([len(w) for w in words], np.uint32)
+        cell = pack(sizes, np.frombuffer(b"".join(words), np.uint8))
+        yield {"bucket": int(c.buckets[part[0]]), "chunk": c.number, "check": c.check, "words": cell, "weights": pack(c.weights[part].astype(np.uint32))}
+
+
 def words_by_bucket(docs: DataFrame, tokenizer: Tokenizer, buckets: int) -> DataFrame:
     """One row for each chunk and bucket with words: the words, and how often each is in rows of flag 0."""
+    return _rows_of_chunks(docs, tokenizer, buckets, _word_rows, WORDS_SCHEMA)
 
+
+def _rows_of_chunks(docs: DataFrame, tokenizer: Tokenizer, buckets: int, rows_of: Callable[[Chunk], Iterator[dict]], schema: str) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = _schema(schema)
         for c in _chunks(batches, tokenizer, buckets):
-            own = c.buckets[c.bucket_order]
-            cuts = np.flatnonzero(np.diff(own)) + 1
-            for part in np.split(c.bucket_order, cuts) if len(own) else []:
-                words = [c.words[i] for i in part]
-                sizes = np.array([len(w) for w in words], np.uint32)
-                cell = pack(sizes, np.frombuffer(b"".join(words), np.uint8))
-                yield pa.RecordBatch.from_pydict({"bucket": [int(c.buckets[part[0]])], "chunk": [c.number], "check": [c.check], "words": [cell], "weights": [pack(c.weights[part].astype(np.uint32))]})
+            for row in rows_of(c):
+                yield pa.RecordBatch.from_pylist([row], schema=kind)
+
+    return docs.mapInArrow(work, schema)
+
+
+def both_ways(docs: DataFrame, tokenizer: Tokenizer, buckets: int, path: str) -> tuple[DataFrame, DataFrame]:
+    """``words_by_bucket`` and ``places`` of one read of ``docs``, stored at ``path``."""
 
-    return docs.mapInArrow(work, WORDS_SCHEMA)
+    def rows_of(c: Chunk) -> Iterator[dict]:
+        for row in _word_rows(c):
+            yield row | {"kind": WORDS}
+        yield from _place_rows(c)
+
+    _rows_of_chunks(docs, tokenizer, buckets, rows_of, STORED_SCHEMA).write.parquet(path)
+    stored = docs.sparkSession.read.parquet(path)
+    words = stored.where(F.col("kind") == WORDS).select("bucket", "chunk", "check", "words", "weights")
+    return words, stored.where(F.col("kind") != WORDS).select("chunk", "check", "kind", "seq", "ids", "flags", "blob")
 
 
 def unpack_words(cell: bytes) -> list[bytes]:
@@ -260,33 +285,29 @@ def _schema(ddl: str) -> pa.Schema:
     return pa.schema([(n, kinds[k]) for n, k in (x.split() for x in ddl.split(", "))])
 
 
+def _place_rows(c: Chunk) -> Iterator[dict]:
+    n = len(c.words)
+    at_bucket = np.empty(n, np.uint32)
+    at_bucket[c.bucket_order] = np.arange(n, dtype=np.uint32)
+    frequent = np.argsort(-np.bincount(c.codes, minlength=n), kind="stable")
+    rank = np.empty(n, np.uint32)
+    rank[frequent] = np.arange(n, dtype=np.uint32)
+    head = {"chunk": c.number, "check": c.check}
+    yield head | {"kind": ORDER, "seq": 0, "ids": [], "flags": [], "blob": pack(at_bucket[frequent])}
+    piece = np.cumsum(c.sizes) // PART_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), len(c.ids)]
+    at = np.concatenate([[0], np.cumsum(c.counts)])
+    for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+        blob = pack(c.counts[a:b].astype(np.uint32), rank[c.codes[at[a] : at[b]]])
+        yield head | {"kind": PLACES, "seq": k, "ids": c.ids[a:b], "flags": c.flags[a:b], "blob": blob}
+
+
 def places(docs: DataFrame, tokenizer: Tokenizer, buckets: int) -> DataFrame:
     """PLACES_SCHEMA: a row with the order of a chunk's dictionary, and rows with its words' places.
 
     Words are numbered by frequency, so that most numbers are small.
     """
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = _schema(PLACES_SCHEMA)
-        for c in _chunks(batches, tokenizer, buckets):
-            n = len(c.words)
-            at_bucket = np.empty(n, np.uint32)
-            at_bucket[c.bucket_order] = np.arange(n, dtype=np.uint32)
-            frequent = np.argsort(-np.bincount(c.codes, minlength=n), kind="stable")
-            rank = np.empty(n, np.uint32)
-            rank[frequent] = np.arange(n, dtype=np.uint32)
-            head = {"chunk": c.number, "check": c.check}
-            rows = [head | {"kind": ORDER, "seq": 0, "ids": [], "flags": [], "blob": pack(at_bucket[frequent])}]
-            piece = np.cumsum(c.sizes) // PART_BYTES
-            cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), len(c.ids)]
-            at = np.concatenate([[0], np.cumsum(c.counts)])
-            for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
-                blob = pack(c.counts[a:b].astype(np.uint32), rank[c.codes[at[a] : at[b]]])
-                rows.append(head | {"kind": PLACES, "seq": k, "ids": c.ids[a:b], "flags": c.flags[a:b], "blob": blob})
-            for row in rows:
-                yield pa.RecordBatch.from_pylist([row], schema=schema)
-
-    return docs.mapInArrow(work, PLACES_SCHEMA)
+    return _rows_of_chunks(docs, tokenizer, buckets, _place_rows, PLACES_SCHEMA)
 
 
 @dataclass

@@ -260,21 +260,26 @@ def train(model: GatedModel, counts: np.ndarray, tokens: np.ndarray, moments: di
         old, zr, new, after, at, first = model.run(token, alive, h)
         h = after[at[-2] :].copy()
         _, g = model.losses(after, lanes.target[rows], True)
-        z, r, to_state = zr[:, :HIDDEN], zr[:, HIDDEN:], g.pop("h")
+        z, r, to_state = np.ascontiguousarray(zr[:, :HIDDEN]), np.ascontiguousarray(zr[:, HIDDEN:]), g.pop("h")
         to_z, to_n, to_r = (old - new) * z * (1 - z), (1 - z) * (1 - new * new), old * r * (1 - r)
-        d, back = np.empty((len(token), 3 * HIDDEN), np.float32), np.zeros((0, HIDDEN), np.float32)
-        cut = np.searchsorted(first, at).tolist()
+        gates, proposal = np.empty((len(token), 2 * HIDDEN), np.float32), np.empty((len(token), HIDDEN), np.float32)
+        from_gates, from_proposal = np.ascontiguousarray(p["U"].T), np.ascontiguousarray(p["V"].T)
+        cut, back = np.searchsorted(first, at).tolist(), np.zeros((0, HIDDEN), np.float32)
         for i in range(len(alive) - 1, -1, -1):
             a, b = int(at[i]), int(at[i + 1])
-            own, e = to_state[a:b], d[a:b]
+            own, e = to_state[a:b], gates[a:b]
             own[: len(back)] += back
             np.multiply(own, to_z[a:b], out=e[:, :HIDDEN])
-            np.multiply(own, to_n[a:b], out=e[:, 2 * HIDDEN :])
-            through = e[:, 2 * HIDDEN :] @ p["V"].T
-            np.multiply(through, to_r[a:b], out=e[:, HIDDEN : 2 * HIDDEN])
-            back = e[:, : 2 * HIDDEN] @ p["U"].T + own * z[a:b] + through * r[a:b]
-            back[first[cut[i] : cut[i + 1]] - a] = 0
-        g["U"], g["V"] = old.T @ d[:, : 2 * HIDDEN], (r * old).T @ d[:, 2 * HIDDEN :]
+            through = np.multiply(own, to_n[a:b], out=proposal[a:b]) @ from_proposal
+            np.multiply(through, to_r[a:b], out=e[:, HIDDEN:])
+            back = e @ from_gates
+            through *= r[a:b]
+            back += through
+            back += own * z[a:b]
+            if cut[i] < cut[i + 1]:
+                back[first[cut[i] : cut[i + 1]] - a] = 0
+        g["U"], g["V"] = old.T @ gates, (r * old).T @ proposal
+        d = np.concatenate([gates, proposal], axis=1)
         order = np.argsort(token, kind="stable")
         met = np.flatnonzero(np.diff(token[order], prepend=-1))
         g["X"] = np.zeros_like(p["X"])
@@ -361,9 +366,7 @@ def coded_texts(docs: DataFrame) -> tuple[DataFrame, Vocabulary]:
     spark = docs.sparkSession
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held_out().cast("int").alias("flag"))
     buckets, tokenizer = dictionary.bucket_count(own), LowerWords()
-    path = scratch_path(spark, "words")
-    dictionary.words_by_bucket(own, tokenizer, buckets).write.parquet(path)
-    words = spark.read.parquet(path)
+    words, places = dictionary.both_ways(own, tokenizer, buckets, scratch_path(spark, "words"))
     vocab = vocabulary(words, own.where("flag = 0").count(), buckets)
     sent = spark.sparkContext.broadcast(vocab)
 
@@ -400,7 +403,7 @@ def coded_texts(docs: DataFrame) -> tuple[DataFrame, Vocabulary]:
             )
 
     path = scratch_path(spark, "coded")
-    dictionary.by_chunk(dictionary.by_bucket(words, values, "chunk long, check long, seq long, blob binary", buckets), dictionary.places(own, tokenizer, buckets), code, CODED, buckets).write.parquet(path)
+    dictionary.by_chunk(dictionary.by_bucket(words, values, "chunk long, check long, seq long, blob binary", buckets), places, code, CODED, buckets).write.parquet(path)
     return spark.read.parquet(path), vocab
 
 
