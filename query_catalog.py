@@ -614,30 +614,36 @@ def stream_dedup_bounded(spark, sf_dir):
     return _landed_by_stream(spark, sf_dir, "bounded").select("object_type", "object_id")
 
 
-def _in_slices(spark, sf_dir) -> str:
-    """The events as files that arrive one after the other, a third of the days each.
+#: Rows in a file of a slice at most: what is parsed at once is then cut by rows, not by row groups.
+SLICE_FILE_ROWS = 100_000
 
-    Every fiftieth event of the first file comes with the last one, many days late.
+
+def _slices(spark, sf_dir) -> list[DataFrame]:
+    """The events in three parts that arrive one after the other, a third of the days each.
+
+    Every fiftieth event of the first part comes with the last one, many days late.
     """
-    path = scratch_path(spark, "slices")
     rows, lo = _events(spark, sf_dir), _bounds(spark, sf_dir)[0]
     cuts = [lo, lo + dt.timedelta(days=10), lo + dt.timedelta(days=20), lo + dt.timedelta(days=9999)]
     late = (F.col("event_id") % 50 == 0) & (F.col("ts") < F.lit(cuts[1]).cast("timestamp_ntz"))
+    parts = []
     for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
         inside = event_day("ts").between(F.lit(a), F.date_sub(F.lit(b), 1)) & ~late
-        part = rows.filter(inside | late if i == 2 else inside)
-        part.coalesce(1).write.mode("append").parquet(path)
-    return path
+        parts.append(rows.filter(inside | late if i == 2 else inside))
+    return parts
 
 
 def _landed_in_slices(spark, sf_dir, **options) -> str:
+    """Every slice is a batch of its own: its files arrive, and the stream starts again where it was."""
     path, checkpoint = scratch_path(spark, "landing"), scratch_path(spark, "checkpoint")
-    reader = spark.readStream.schema(event_feed.EVENTS_DDL).option("maxFilesPerTrigger", 1)
-    messages = event_feed.messages(reader.parquet(_in_slices(spark, sf_dir)), dirty=True)
-    query = stream.run_landing(
-        messages, path, checkpoint, mode="landed", available_now=True, **options
-    )
-    query.awaitTermination()
+    arrived = scratch_path(spark, "slices")
+    for part in _slices(spark, sf_dir):
+        part.write.option("maxRecordsPerFile", SLICE_FILE_ROWS).mode("append").parquet(arrived)
+        files = spark.readStream.schema(event_feed.EVENTS_DDL).parquet(arrived)
+        messages = event_feed.messages(files, dirty=True)
+        stream.run_landing(
+            messages, path, checkpoint, mode="landed", available_now=True, **options
+        ).awaitTermination()
     return path
 
 
