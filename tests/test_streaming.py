@@ -307,3 +307,11 @@ def test_late_rows_of_slices_in_many_files(spark, tmp_path, sliced):
     behind = sliced.filter("event_id % 50 = 0 AND ts < '2024-01-11'")
     sent = event_feed.landed(behind, dirty=True).select("object_id", "sent_dttm").collect()
     assert found == {tuple(r) for r in sent} and len(found) > 1
+
+
+def test_landed_in_slices_of_many_files(spark, tmp_path, sliced):
+    rows = query_catalog.stream_dedup_landed(spark, str(tmp_path)).collect()
+    check_slices(spark, tmp_path)
+    key = ["object_type", "object_id", "event_date"]
+    one_each = landing.as_landed(event_feed.landed(sliced, dirty=True)).select(*key).distinct()
+    assert sorted(map(str, rows)) == sorted(map(str, one_each.collect())) and rows
