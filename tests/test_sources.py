@@ -6,8 +6,8 @@ from unittest import mock
 import pytest
 from pyspark.sql import functions as F
 from remitlake import scratch
-from remitlake.schemas import TRANSACTIONS
-from remitlake.sources import csv_files, jdbc, tables, topics
+from remitlake.schemas import CURRENCIES, TRANSACTIONS
+from remitlake.sources import csv_files, event_feed, jdbc, tables, topics
 from remitlake.streaming.landing import jdbc_writer
 from samples import tx_df, uid
 
@@ -259,3 +259,25 @@ def test_scratch_root_is_required_on_a_cluster():
     session.sparkContext.master = "yarn"
     with pytest.raises(ValueError):
         scratch.scratch_root(session)
+
+
+@pytest.mark.parametrize("kind", [None, TRANSACTIONS, CURRENCIES])
+def test_messages_of_one_file_are_parsed_by_many_tasks(spark, tmp_path, kind):
+    rows = spark.range(100).selectExpr(
+        "id AS event_id",
+        "timestamp_ntz'2024-01-01 00:10:00' AS ts",
+        "id AS user_id",
+        "if(id % 2 = 0, 'signup', 'done') AS event_type",
+        "1D AS value",
+        "'{\"k\": 1}' AS props",
+    )
+    rows.coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        landed = event_feed.landed(event_feed.events(spark, str(tmp_path)), kind=kind)
+        tasks = [r[0] for r in landed.select(F.spark_partition_id()).collect()]
+    finally:
+        spark.conf.set(key, before)
+    assert len(tasks) == (50 if kind else 100) and len(set(tasks)) > 1
