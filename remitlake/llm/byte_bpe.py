@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from remitlake.llm import dictionary
 from remitlake.llm.token_counts import read_ranks
+from remitlake.llm.words import tidy
 
 SHORT = 48
 #: A longer piece is cut by the pattern, so that texts without spaces are dealt by pre-token as well.
@@ -197,7 +198,7 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*part.columns, binary_column(gather(start[ids], own, data), np.diff(at))], names=[*part.schema.names, "decoded"])
 
     schema = ", ".join(f"`{n}` {t}" for n, t in encoded.dtypes)
-    return encoded.mapInArrow(work, f"{schema}, decoded binary")
+    return encoded.mapInArrow(tidy(work), f"{schema}, decoded binary")
 
 
 def digests(decoded: DataFrame, *also: str) -> DataFrame:

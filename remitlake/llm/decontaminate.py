@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from remitlake.llm.words import SHINGLE, grams, slices, words_of
+from remitlake.llm.words import SHINGLE, grams, slices, tidy, words_of
 
 RADIUS = 5
 SIMILARITY = 0.8
@@ -249,7 +249,7 @@ def _passes(docs: DataFrame, benchmark: DataFrame) -> list[DataFrame]:
                     )
 
         keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("doc_id", "text").alias("row_key"))
-        out.append(keyed.mapInArrow(search, "doc_id long, items array<struct<item_id:long,similarity:double>>, row_key long"))
+        out.append(keyed.mapInArrow(tidy(search), "doc_id long, items array<struct<item_id:long,similarity:double>>, row_key long"))
     return out
 
 
@@ -288,5 +288,5 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                     found = _found(part.column("text"), indexes)
                     yield part.filter(pa.array([not found.get(r) for r in range(part.num_rows)], pa.bool_()))
 
-        docs = docs.mapInArrow(clean, schema)
+        docs = docs.mapInArrow(tidy(clean), schema)
     return docs

@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from remitlake.llm.words import Words, groups, slices, utf8, words_of
+from remitlake.llm.words import Words, groups, slices, tidy, utf8, words_of
 
 CHUNK_BYTES = 16 << 20
 PART_BYTES = 4 << 20
@@ -153,8 +153,11 @@ def _chunks(batches: Iterator[pa.RecordBatch], tokenizer: Tokenizer, buckets: in
             seen.update(f"{len(value)}:{value}")
             held += len(value)
             if held >= CHUNK_BYTES:
-                yield close()
+                # What the chunk was made of goes before the chunk is worked on, and that before the next.
+                done = close()
                 book, places, counts, ids, flags, sizes, seen, held = fresh()
+                yield done
+                del done
     if ids:
         yield close()
 
@@ -167,8 +170,10 @@ def _plain_chunks(batches: Iterator[pa.RecordBatch], tokenizer: PlainWords, buck
             held.append(part)
             size += pc.sum(pc.binary_length(part.column("text"))).as_py() or 0
             if size >= CHUNK_BYTES:
-                yield _plain_chunk(pa.Table.from_batches(held), tokenizer, buckets)
+                done = _plain_chunk(pa.Table.from_batches(held), tokenizer, buckets)
                 held, size = [], 0
+                yield done
+                del done
     if held:
         yield _plain_chunk(pa.Table.from_batches(held), tokenizer, buckets)
 
@@ -239,8 +244,9 @@ def _rows_of_chunks(docs: DataFrame, tokenizer: Tokenizer, buckets: int, rows_of
         for c in _chunks(batches, tokenizer, buckets):
             for row in rows_of(c):
                 yield pa.RecordBatch.from_pylist([row], schema=kind)
+            del c
 
-    return docs.mapInArrow(work, schema)
+    return docs.mapInArrow(tidy(work), schema)
 
 
 def both_ways(docs: DataFrame, tokenizer: Tokenizer, buckets: int, path: str) -> tuple[DataFrame, DataFrame]:
@@ -277,7 +283,7 @@ def by_bucket(words: DataFrame, work: Callable[[pa.Table], Iterator[dict]], sche
                 kind = kind or _schema(schema)
                 yield pa.RecordBatch.from_pylist([row], schema=kind)
 
-    return words.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(each, schema)
+    return words.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(tidy(each), schema)
 
 
 def _schema(ddl: str) -> pa.Schema:
@@ -365,7 +371,7 @@ def by_chunk(values: DataFrame, coded: DataFrame, work: Callable[[list[np.ndarra
 
             yield from work(arrays, parts())
 
-    return both.mapInArrow(each, schema)
+    return both.mapInArrow(tidy(each), schema)
 
 
 def bucket_count(docs: DataFrame) -> int:

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from remitlake.llm.words import groups
+from remitlake.llm.words import groups, tidy
 from remitlake.scratch import scratch_path
 
 SHARD_KEYS = 200_000
@@ -166,9 +166,9 @@ def live_contents(rows: DataFrame, n_rows: int) -> DataFrame:
     schema = "shard long, digest binary, n_bytes int, first_id long, n long"
     shards = max(16, -(-n_rows // SHARD_KEYS))
     folded = rows.select("digest", "n_bytes", F.col("doc_id").cast("long").alias("first_id"), F.lit(1).cast("long").alias("n"))
-    folded = folded.mapInArrow(lambda it: _index(it, False), schema)
+    folded = folded.mapInArrow(tidy(lambda it: _index(it, False)), schema)
     dealt = folded.withColumn("shard", F.pmod("shard", F.lit(shards))).repartition("shard").sortWithinPartitions("shard")
-    merged = dealt.mapInArrow(lambda it: _index(it, True), schema)
+    merged = dealt.mapInArrow(tidy(lambda it: _index(it, True)), schema)
     return merged.select("digest", "n_bytes", F.col("first_id").alias("keep_id"), F.col("n").alias("group_size"))
 
 

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from remitlake.llm.words import slices, utf8, words_of
+from remitlake.llm.words import slices, tidy, utf8, words_of
 
 #: Bytes of a passage.
 PASSAGE = 384
@@ -158,7 +158,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame) -> AttentionPool | None:
                 cells = [np.ascontiguousarray(x[a:b], np.float16).tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("quality"), pa.array(cells, pa.binary())], names=["doc_id", "quality", "x"])
 
-    encoded = rows.select("doc_id", F.col("quality").cast("int").alias("quality"), "text").mapInArrow(features, "doc_id long, quality int, x binary")
+    encoded = rows.select("doc_id", F.col("quality").cast("int").alias("quality"), "text").mapInArrow(tidy(features), "doc_id long, quality int, x binary")
     got = sorted(encoded.collect(), key=lambda r: (r["doc_id"], r["x"]))
     if not got:
         return None
@@ -186,7 +186,7 @@ def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
                     y = sent.value.score(*encode(part.column("text"))).astype(np.float64)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("held_out"), pa.array(y), pa.array((y >= THRESHOLD).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 
-    return own.mapInArrow(score, "doc_id long, held_out boolean, score double, predicted int")
+    return own.mapInArrow(tidy(score), "doc_id long, held_out boolean, score double, predicted int")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -201,4 +201,4 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
                 else:
                     yield part.filter(pa.array(model.value.score(*encode(part.column("text"))).astype(np.float64) >= THRESHOLD))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(tidy(keep), docs.schema)

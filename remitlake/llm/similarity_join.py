@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from remitlake.llm.exact_dedup import other_columns
 from remitlake.llm.graph import components
-from remitlake.llm.words import groups, mix, shingles, slices, words_of
+from remitlake.llm.words import groups, mix, shingles, slices, tidy, words_of
 from remitlake.scratch import scratch_path
 
 #: Similarity from which two sets are linked, as a fraction.
@@ -201,7 +201,7 @@ def contracted(links: DataFrame) -> DataFrame:
 def candidate_links(sets: DataFrame, runs: int) -> DataFrame:
     """a, b: links whose components hold every pair that met in a node. ``sets``: sid, sketch."""
     leaves, links = [], []
-    rows = sets.mapInArrow(lambda it: _split(it, runs), "path long, sid binary")
+    rows = sets.mapInArrow(tidy(lambda it: _split(it, runs)), "path long, sid binary")
     for level in range(DEPTH):
         counts = _stored(rows.groupBy("path").agg(F.count("*").alias("n")).where("n > 1"), "nodes")
         sized = _stored(rows.join(counts, "path"), "paths")
@@ -214,18 +214,18 @@ def candidate_links(sets: DataFrame, runs: int) -> DataFrame:
         first = Window.partitionBy("path").orderBy("sid")
         leaders = large.withColumn("_k", F.row_number().over(first)).where(F.col("_k") <= LEADERS)
         leaders = _stored(leaders.groupBy("path").agg(F.sort_array(F.collect_list(F.struct("sid", "sketch"))).alias("leaders")), "leaders")
-        settled = _stored(large.join(leaders, "path").mapInArrow(_settle, "path long, sid binary, sketch binary, stays boolean, linked array<binary>"), "settled")
+        settled = _stored(large.join(leaders, "path").mapInArrow(tidy(_settle), "path long, sid binary, sketch binary, stays boolean, linked array<binary>"), "settled")
         links.append(settled.select(F.col("sid").alias("a"), F.explode("linked").alias("b")).where("a != b"))
         rest = settled.where("stays")
         if level < DEPTH - 1:
-            rows = rest.mapInArrow(lambda it: _split(it, runs), "path long, sid binary")
+            rows = rest.mapInArrow(tidy(lambda it: _split(it, runs)), "path long, sid binary")
         else:
             # Nodes that no function splits hold sets that are alike: compared block by block.
             left = _stored(rest.groupBy("path").agg(F.count("*").alias("n")), "left")
             leaves.append(_blocks(rest.select("path", "sid").join(left, "path"), "path", "n", "sid", LEAF).select(F.col("block").alias("path"), "sid"))
     every = reduce(DataFrame.unionByName, leaves)
     dealt = every.join(sets, "sid").repartition("path").sortWithinPartitions("path", "sid")
-    return reduce(DataFrame.unionByName, links, dealt.mapInArrow(_meet, "a binary, b binary"))
+    return reduce(DataFrame.unionByName, links, dealt.mapInArrow(tidy(_meet), "a binary, b binary"))
 
 
 def _common(sets: list[np.ndarray]) -> np.ndarray:
@@ -284,7 +284,7 @@ def _classes(docs: DataFrame, miss: float) -> tuple[DataFrame, DataFrame]:
     spark = docs.sparkSession
     at = scratch_path(spark, "sets")
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
-    keyed.mapInArrow(_describe, "doc_id long, th long, sid binary, sketch binary").write.parquet(at)
+    keyed.mapInArrow(tidy(_describe), "doc_id long, th long, sid binary, sketch binary").write.parquet(at)
     described = spark.read.parquet(at)
     at = scratch_path(spark, "distinct-sets")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "th"))
@@ -306,7 +306,7 @@ def _classes(docs: DataFrame, miss: float) -> tuple[DataFrame, DataFrame]:
     whole = members.withColumns(key).join(texts, place)
     whole = _blocks(whole.select("label", "n", "sid", "size", "text"), "label", "n", "sid", BLOCK).select("block", "side", "sid", "size", "text")
     at = scratch_path(spark, "links")
-    whole.repartition(tasks, "block").sortWithinPartitions("block", "sid").mapInArrow(_verify, "sid binary, links long, other binary").write.parquet(at)
+    whole.repartition(tasks, "block").sortWithinPartitions("block", "sid").mapInArrow(tidy(_verify), "sid binary, links long, other binary").write.parquet(at)
     links = spark.read.parquet(at)
 
     label = components(contracted(links.select(F.col("sid").alias("a"), F.col("other").alias("b")))).withColumnRenamed("node", "sid")

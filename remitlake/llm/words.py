@@ -8,8 +8,9 @@ are equal for some regular words of every base.
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,6 +32,30 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 _ORDER = _RNG.integers(1, 2**63, 64, dtype=np.uint64) | np.uint64(1)
 
 
+def give_back() -> None:
+    """Return what this process has freed to the system, which allocators keep for themselves."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def tidy(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``work`` for ``mapInArrow``, after which its worker keeps no freed memory.
+
+    A Python worker lives on for later tasks, beside those of other steps: together they hold what the
+    largest task of each has ever needed.
+    """
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+
+    return each
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values that spreads every bit (the finaliser of SplitMix64)."""
     x = x ^ (x >> np.uint64(30))

@@ -4,12 +4,14 @@ import random
 import zlib
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import regex
 from test_llm import brute_links
 
 import corpus_pipeline
-from remitlake.llm import byte_bpe
+from remitlake.llm import byte_bpe, dictionary, words
+from remitlake.llm.queries import BYTE_PATTERN
 
 RANKS = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
 DDL = "doc_id long, text string, lang string, source string, n_chars long, row string, _own string, sid string"
@@ -101,3 +103,19 @@ def test_pipeline(spark, tmp_path):
 def test_pipeline_of_next_to_nothing(spark, tmp_path, rows):
     write(spark, str(tmp_path), rows, [(9, 1, 0)], [(1, "a b c d e f")])
     assert corpus_pipeline.run(spark, str(tmp_path)).count() <= min(1, len(rows))
+
+
+def test_workers_keep_no_freed_memory(monkeypatch):
+    calls = []
+    monkeypatch.setattr(words, "give_back", lambda: calls.append(1))
+    assert list(words.tidy(lambda it: (x + 1 for x in it))(iter([1, 2]))) == [2, 3] and calls == [1]
+    # What a chunk is made of is gone when the chunk is handed over.
+    monkeypatch.setattr(dictionary, "CHUNK_BYTES", 10)
+    texts = ["some words here", "and more words here", "ends"]
+    batch = pa.RecordBatch.from_pylist([{"doc_id": i, "text": t, "flag": 0} for i, t in enumerate(texts)])
+    for tokenizer, held in ((byte_bpe.Pieces(BYTE_PATTERN), "places"), (dictionary.PlainWords(), "held")):
+        chunks = dictionary._chunks(iter([batch.slice(i, 1) for i in range(3)]), tokenizer, 2)
+        first = next(chunks)
+        owner = chunks.gi_yieldfrom or chunks
+        assert first.ids == [0] and owner.gi_frame.f_locals[held] == []
+        assert [c.ids for c in chunks] == [[1], [2]]
