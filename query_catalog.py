@@ -618,7 +618,7 @@ def stream_dedup_bounded(spark, sf_dir):
 SLICE_FILE_ROWS = 100_000
 
 
-def _slices(spark, sf_dir) -> list[DataFrame]:
+def _arrivals(spark, sf_dir) -> list[DataFrame]:
     """The events in three parts that arrive one after the other, a third of the days each.
 
     Every fiftieth event of the first part comes with the last one, many days late.
@@ -637,7 +637,7 @@ def _landed_in_slices(spark, sf_dir, **options) -> str:
     """Every slice is a batch of its own: its files arrive, and the stream starts again where it was."""
     path, checkpoint = scratch_path(spark, "landing"), scratch_path(spark, "checkpoint")
     arrived = scratch_path(spark, "slices")
-    for part in _slices(spark, sf_dir):
+    for part in _arrivals(spark, sf_dir):
         part.write.option("maxRecordsPerFile", SLICE_FILE_ROWS).mode("append").parquet(arrived)
         files = spark.readStream.schema(event_feed.EVENTS_DDL).parquet(arrived)
         messages = event_feed.messages(files, dirty=True)
