@@ -9,6 +9,7 @@ are equal for some regular words of every base.
 from __future__ import annotations
 
 import ctypes
+import functools
 import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -47,6 +48,7 @@ def tidy(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -
     largest task of each has ever needed.
     """
 
+    @functools.wraps(work)
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:
             yield from work(batches)
