@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from remitlake.functions import event_day
 from remitlake.schemas import BY_KIND, CURRENCIES, ENVELOPE, KINDS, TRANSACTIONS, Kind
 
+_TIME = "__time"
+
 
 def _parsed(df: DataFrame, text: Column, schema: str, keep: Sequence[str]) -> DataFrame:
     """The fields of JSON text as columns beside ``keep``, in exactly one parse per row.
@@ -60,11 +62,12 @@ def with_event_date(df: DataFrame) -> DataFrame:
     Computed once at landing, so that a day's extract prunes partitions instead of parsing
     everything ever landed.
     """
-    day = F.lit(None).cast("date")
+    text = F.lit(None).cast("string")
     for kind in BY_KIND.values():
-        text = F.get_json_object("payload", f"$.{kind.event_time}")
-        day = F.when(F.col("object_type") == kind.name, event_day(text)).otherwise(day)
-    return df.withColumn("event_date", day)
+        own = F.get_json_object("payload", f"$.{kind.event_time}")
+        text = F.when(F.col("object_type") == kind.name, own).otherwise(text)
+    # A column of its own, since the day reads the text twice and each read would parse the payload.
+    return df.withColumn(_TIME, text).withColumn("event_date", event_day(_TIME)).drop(_TIME)
 
 
 def flatten(

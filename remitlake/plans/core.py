@@ -7,8 +7,11 @@ any, nothing of the load is shown and the day stays as it was.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +33,8 @@ from remitlake.schemas import (
 )
 from remitlake.sources import generations, tables
 
+T = TypeVar("T")
+
 LOAD_DAY = "load_day"
 FACT_DAY = RATE_DAY = "date"
 # Column of a fact or rate -> the dimension that must hold its value.
@@ -46,6 +51,8 @@ RATE_KEYS = {
     "currency_code": "currency_codes",
     "currency_code_with": "currency_codes",
 }
+# Writes and checks of a load that run at once; each is a few short jobs that leave most cores idle.
+_AT_ONCE = 8
 
 
 class AuditError(ValueError):
@@ -62,10 +69,20 @@ class Finding:
 
 def ensure_core(spark: SparkSession, lake: Lake, key_type: str = "bigint") -> None:
     """Create the core tables that are missing; keys made by ``hash_key_md5`` are strings."""
-    for name, (key, value, kind) in DIMENSIONS.items():
-        generations.create(spark, lake.core(name), f"{key} {key_type}, {value} {kind}", LOAD_DAY)
-    generations.create(spark, lake.core(FACT_TABLE), FACT_DDL.format(key=key_type), FACT_DAY)
-    generations.create(spark, lake.core(RATES_TABLE), RATES_DDL.format(key=key_type), RATE_DAY)
+    made = {name: (f"{k} {key_type}, {v} {kind}", LOAD_DAY) for name, (k, v, kind) in DIMENSIONS.items()}
+    made[FACT_TABLE] = (FACT_DDL.format(key=key_type), FACT_DAY)
+    made[RATES_TABLE] = (RATES_DDL.format(key=key_type), RATE_DAY)
+    _at_once(partial(generations.create, spark, lake.core(name), *spec) for name, spec in made.items())
+
+
+def _at_once(calls: Iterable[Callable[[], T]]) -> list[T]:
+    """The results of independent calls, in their order.
+
+    Every call has ended before the error of one is raised, so nothing is written after it.
+    """
+    with ThreadPoolExecutor(_AT_ONCE) as pool:
+        started = [pool.submit(call) for call in calls]
+    return [call.result() for call in started]
 
 
 def _counted(table: str, check: str, column: str, found: DataFrame) -> list[Finding]:
@@ -73,6 +90,11 @@ def _counted(table: str, check: str, column: str, found: DataFrame) -> list[Find
     return [Finding(table, check, column, n)] if n else []
 
 
+def _nulls(table: str, rows: DataFrame, columns: list[str]) -> list[Finding]:
+    found = checks.null_violations(rows, columns).filter("violations > 0").collect()
+    return [Finding(table, "not null", row.column_name, row.violations) for row in found]
+
+
 def audit(
     spark: SparkSession, lake: Lake, writes: dict[str, generations.Write], day: Day
 ) -> list[Finding]:
@@ -80,7 +102,7 @@ def audit(
 
     A dimension is judged with the rows that it has from other days, as readers would see it.
     """
-    found: list[Finding] = []
+    calls: list[Callable[[], list[Finding]]] = []
     dims: dict[str, DataFrame] = {}
     for name, (key, value, _) in DIMENSIONS.items():
         own = writes[name].read(spark)
@@ -88,19 +110,17 @@ def audit(
         dims[name] = others.unionByName(own)
         # Only a key of this load can have become a second one.
         twice = checks.duplicate_keys(dims[name].join(own.select(key).distinct(), key, "left_semi"), [key])
-        found += _counted(name, "unique", key, twice)
-        for row in checks.null_violations(own, [key, value]).filter("violations > 0").collect():
-            found.append(Finding(name, "not null", row.column_name, row.violations))
+        calls.append(partial(_counted, name, "unique", key, twice))
+        calls.append(partial(_nulls, name, own, [key, value]))
     for name, unique, keys in ((FACT_TABLE, "hk", FACT_KEYS), (RATES_TABLE, "hk_rate", RATE_KEYS)):
         rows = writes[name].read(spark)
-        found += _counted(name, "unique", unique, checks.duplicate_keys(rows, [unique]))
-        for row in checks.null_violations(rows, [unique, *keys]).filter("violations > 0").collect():
-            found.append(Finding(name, "not null", row.column_name, row.violations))
+        calls.append(partial(_counted, name, "unique", unique, checks.duplicate_keys(rows, [unique])))
+        calls.append(partial(_nulls, name, rows, [unique, *keys]))
         for column, dim in keys.items():
             held = dims[dim].select(DIMENSIONS[dim][1])
             missing = checks.fk_violations(rows.filter(F.col(column).isNotNull()), held, column, held.columns[0])
-            found += _counted(name, "foreign key", column, missing)
-    return found
+            calls.append(partial(_counted, name, "foreign key", column, missing))
+    return [found for several in _at_once(calls) for found in several]
 
 
 def load_core_day(
@@ -120,30 +140,34 @@ def load_core_day(
     on_day = F.col(tables.EVENT_DAY) == day_lit(day)
     tx = spark.table(lake.table(TRANSACTIONS)).filter(on_day)
     cur = spark.table(lake.table(CURRENCIES)).filter(on_day)
+    due: dict[str, tuple[DataFrame, dict[str, str]]] = {}
+    for name, rows in core.dimensions(tx, cur, hasher).items():
+        key = DIMENSIONS[name][0]
+        known = spark.table(lake.core(name)).filter(F.col(LOAD_DAY) != day_lit(day))
+        due[name] = only_new(rows, known.select(key), key).withColumn(LOAD_DAY, day_lit(day)), {}
+    facts = core.fact_done(tx, hasher)
+    due[FACT_TABLE] = fact(facts) if fact else facts, {}
+    rates = latest_per_key(core.rate_rows(cur, hasher), ["hk_rate"], RATE_ORDER)
+    due[RATES_TABLE] = rates, tables.key_filters(rates.columns)
     writes: dict[str, generations.Write] = {}
+
+    def write(name: str) -> None:
+        rows, options = due[name]
+        writes[name] = generations.write_beside(rows, lake.core(name), options)
+
     try:
-        for name, rows in core.dimensions(tx, cur, hasher).items():
-            key = DIMENSIONS[name][0]
-            known = spark.table(lake.core(name)).filter(F.col(LOAD_DAY) != day_lit(day))
-            fresh = only_new(rows, known.select(key), key).withColumn(LOAD_DAY, day_lit(day))
-            writes[name] = generations.write_beside(fresh, lake.core(name))
-        facts = core.fact_done(tx, hasher)
-        facts = fact(facts) if fact else facts
-        writes[FACT_TABLE] = generations.write_beside(facts, lake.core(FACT_TABLE))
-        rates = latest_per_key(core.rate_rows(cur, hasher), ["hk_rate"], RATE_ORDER)
-        filters = tables.key_filters(rates.columns)
-        writes[RATES_TABLE] = generations.write_beside(rates, lake.core(RATES_TABLE), filters)
+        _at_once(partial(write, name) for name in due)
         found = audit(spark, lake, writes, day)
         if found:
             raise AuditError(f"{day_text(day)} was not loaded: {found}")
     except Exception:
-        for write in writes.values():
-            generations.forget(spark, write)
+        for done in writes.values():
+            generations.forget(spark, done)
         raise
-    counts = {name: write.read(spark).count() for name, write in writes.items()}
-    for write in writes.values():
-        generations.show(spark, write, [day])
-    return counts
+    counts = _at_once(writes[name].read(spark).count for name in due)
+    for shown in (DIMENSIONS, (FACT_TABLE, RATES_TABLE)):
+        _at_once(partial(generations.show, spark, writes[name], [day]) for name in shown)
+    return dict(zip(due, counts))
 
 
 def upsert_rates(spark: SparkSession, lake: Lake, cur: DataFrame, hasher: Callable = hash_key) -> list[str]:

@@ -132,9 +132,11 @@ def landed(events: DataFrame, dirty: bool = False, kind: Kind | None = None) ->
     """Landing rows of one kind or both, split after the mixed messages are parsed.
 
     Making and parsing messages costs far more than reading events, and a file is cut at its row groups
-    only: the narrow rows are dealt out first, whatever the files hold.
+    only: the narrow rows are dealt out first, whatever the files hold. By hash they need no sort, which
+    dealing in turn would put before the shuffle.
     """
-    parsed = parse_envelope(messages(events.hint("rebalance"), dirty), keep=["partition", "offset"])
+    dealt = events.hint("rebalance", *events.columns)
+    parsed = parse_envelope(messages(dealt, dirty), keep=["partition", "offset"])
     rows = with_event_date(parsed.filter(landable()))
     return rows if kind is None else rows.filter(F.col("object_type") == kind.name)
 

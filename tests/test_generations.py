@@ -11,6 +11,7 @@ from remitlake.operators import senders
 from remitlake.plans import core as core_plan
 from remitlake.plans import mart, staging
 from remitlake.schemas import CURRENCIES, DIMENSIONS, FACT_TABLE, RATES_TABLE, TRANSACTIONS
+from remitlake.scratch import children
 from remitlake.sources import generations, tables
 from samples import land_all, payment, rate, rates_df, tx_df
 
@@ -297,6 +298,30 @@ def test_a_load_that_fails_its_audit_shows_nothing(spark, lake, change, check):
     assert core_plan.load_core_day(spark, lake, DAYS[1])[FACT_TABLE] == 1
 
 
+def test_core_writes_run_at_once(spark, lake, monkeypatch):
+    core_lake(spark, lake)
+    both, write = threading.Barrier(2, timeout=60), generations.write_beside
+
+    def met(*args):
+        both.wait()
+        return write(*args)
+
+    monkeypatch.setattr(generations, "write_beside", met)
+    assert core_plan.load_core_day(spark, lake, DAYS[0])[FACT_TABLE] == 1
+
+
+def test_a_write_that_fails_leaves_no_other_write(spark, lake):
+    core_lake(spark, lake)
+    core_plan.load_core_day(spark, lake, DAYS[0])
+    before = core_rows(spark, lake)
+    folders = [generations.root(spark, lake.core(n)) for n in before]
+    kept = [children(spark, folder) for folder in folders]
+    with pytest.raises(ValueError, match="have no date"):
+        core_plan.load_core_day(spark, lake, DAYS[1], fact=lambda f: f.withColumn("date", F.lit(None).cast("date")))
+    assert core_rows(spark, lake) == before
+    assert [children(spark, folder) for folder in folders] == kept
+
+
 def test_core_load_of_a_day_without_rows(spark, lake):
     core_lake(spark, lake)
     assert set(core_plan.load_core_day(spark, lake, DAYS[2]).values()) == {0}

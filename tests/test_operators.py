@@ -417,3 +417,11 @@ def test_dashboard_filters(spark):
 def test_a_day_needs_a_whole_date(spark, text, day):
     got = spark.createDataFrame([(text,)], "t string").select(event_day("t").alias("d")).first().d
     assert (got and str(got)) == day
+
+
+def test_event_date_parses_a_payload_once(spark):
+    messages = [payment(1, "2022-10-01 10:00:00"), rate(2, "2022-10-02 00:00:00", 410, 0.5), payment(3, "n/a")]
+    dated = parse.with_event_date(parse.parse_envelope(values(spark, messages)))
+    assert [str(r.event_date) for r in dated.orderBy("object_id").collect()] == ["2022-10-01", "2022-10-02", "None"]
+    # One look for each kind's own field.
+    assert dated._jdf.queryExecution().optimizedPlan().toString().count("get_json_object(") == 2

@@ -281,3 +281,18 @@ def test_messages_of_one_file_are_parsed_by_many_tasks(spark, tmp_path, kind):
     finally:
         spark.conf.set(key, before)
     assert len(tasks) == (50 if kind else 100) and len(set(tasks)) > 1
+
+
+def test_events_are_dealt_out_without_a_sort(spark):
+    rows = spark.range(10).selectExpr(
+        "id AS event_id",
+        "timestamp_ntz'2024-01-01 00:10:00' AS ts",
+        "id AS user_id",
+        "'done' AS event_type",
+        "1D AS value",
+        "'{\"k\": 1}' AS props",
+    )
+    landed = event_feed.landed(rows)
+    plan = landed._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan and "RoundRobinPartitioning" not in plan
+    assert landed.count() == 10
