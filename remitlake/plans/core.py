@@ -52,7 +52,7 @@ RATE_KEYS = {
     "currency_code_with": "currency_codes",
 }
 # Writes and checks of a load that run at once; each is a few short jobs that leave most cores idle.
-_AT_ONCE = 4
+_AT_ONCE = 8
 
 
 class AuditError(ValueError):
